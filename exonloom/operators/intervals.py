@@ -147,18 +147,18 @@ def merge_intervals(df: DataFrame, keys=("contig",), touching: bool = False, max
     ``touching=False`` keeps spans that only share an end point apart, so
     ``(2,4),(4,9)`` stay two intervals; ``max_gap`` bridges gaps up to that size.
     """
-    return islands(df, keys, touching, max_gap).select(
+    return islands(df, keys, touching, max_gap, "_isl").select(
         *keys, F.col("isl_start").alias("start"), F.col("isl_end").alias("end"))
 
 
-def islands(df: DataFrame, keys=("contig",), touching: bool = False, max_gap: int = 0) -> DataFrame:
+def islands(df: DataFrame, keys=("contig",), touching: bool = False, max_gap: int = 0, name: str = "island") -> DataFrame:
     """Island number, span and member spans per key; one row per island."""
     keys = list(keys)
     spans = df.groupBy(*keys, "start").agg(F.max("end").alias("end"), F.count(F.lit(1)).alias("_n"))
     same = F.col("start") <= F.col("_reach") + max_gap if (touching or max_gap) else F.col("start") < F.col("_reach")
     slabs = Slabs(spans, keys, ["start"]).scan(("_reach", "max", F.col("end"), False))
-    slabs.scan(("island", "sum", F.when(same, 0).otherwise(1).cast("long"), True))
-    return slabs.result().groupBy(*keys, "island").agg(
+    slabs.scan((name, "sum", F.when(same, 0).otherwise(1).cast("long"), True))
+    return slabs.result().groupBy(*keys, name).agg(
         F.min("start").alias("isl_start"), F.max("end").alias("isl_end"), F.sum("_n").alias("members"))
 
 
