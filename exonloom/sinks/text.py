@@ -162,19 +162,30 @@ def tbl_blocks(models: DataFrame, transl_table: int = 1) -> DataFrame:
     return g.select("contig", "gene_start", "gene_id", F.array_join(lines, "\n").alias("line"))
 
 
+TBL_PIECE = 10_000_000
+
+
 def tbl_lines(models: DataFrame, sequences: DataFrame, center: str = "CENTER", version: str = "12345", transl_table: int = 1) -> DataFrame:
-    """K4: contig headers with their reference span, then the gene blocks."""
-    body = tbl_blocks(models, transl_table)
-    used = body.select("contig").distinct()
-    head = (sequences.select(F.col("seq_id").alias("contig"), F.length("seq").alias("n")).join(used, "contig", "left_semi")
-            .select("contig", F.lit(-1).cast("long").alias("gene_start"), F.lit("").alias("gene_id"),
-                    F.concat(F.lit(">Feature "), "contig", F.lit("\n1\t"), "n", F.lit(f"\tREFERENCE\n\t\t\t{center}\t{version}")).alias("line")))
+    """K4: contig headers with their reference span, then the gene blocks.
+
+    A contig is written in pieces of fixed span, each under its own header, so that a
+    huge contig can be sorted and written by many tasks; the reference line stands in
+    the first piece only.
+    """
+    body = tbl_blocks(models, transl_table).withColumn("piece", F.floor(F.col("gene_start") / TBL_PIECE))
+    used = body.select("contig", "piece").distinct()
+    first = used.groupBy("contig").agg(F.min("piece").alias("p0"))
+    lens = sequences.select(F.col("seq_id").alias("contig"), F.length("seq").alias("n"))
+    ref = F.when(F.col("piece") == F.col("p0"), F.concat(F.lit("\n1\t"), "n", F.lit(f"\tREFERENCE\n\t\t\t{center}\t{version}"))).otherwise("")
+    head = used.join(first, "contig").join(lens, "contig").select(
+        "contig", "piece", F.lit(-1).cast("long").alias("gene_start"), F.lit("").alias("gene_id"), F.concat(F.lit(">Feature "), "contig", ref).alias("line"))
     return head.unionByName(body)
 
 
 def write_tbl(models: DataFrame, sequences: DataFrame, path: str, **kw) -> None:
     out = tbl_lines(models, sequences, **kw).withColumn("key", S.natural_key(F.col("contig")))
-    write_lines(out, path, ["key", "gene_start", "gene_id"])
+    (out.repartitionByRange("key", "piece").sortWithinPartitions("key", "piece", "gene_start", "gene_id")
+     .select(F.col("line").alias("value")).write.text(path))
 
 
 def fasta_lines(df: DataFrame, header: str = "seq_id", seq: str = "seq", protein: bool = False, width: int = 80) -> DataFrame:

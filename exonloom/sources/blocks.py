@@ -207,7 +207,7 @@ def read_exonerate(spark: SparkSession, path, mode: str = "prot") -> DataFrame:
 
 def read_augustus_support(spark: SparkSession, path, introns_only: bool = False) -> DataFrame:
     """Hint support in percent per gene block."""
-    b = read_blocks(spark, path, "# start gene ").where("value not like '#%'")
+    b = read_blocks(spark, path, "# start gene ").where("value != '' and value not like '#%'")
     gene = F.trim(F.substring_index("value", "\n", 1))
     if introns_only:
         a = F.regexp_extract("value", r"# CDS introns: (\d+)/(\d+)", 1).try_cast("double")
