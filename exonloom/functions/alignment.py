@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..scale import computed_once
+
 # Intron ends (first two, last two bases) seen as canonical per strand.
 CANONICAL_PLUS = r"^(gt.*ag|at.*ac)$"
 CANONICAL_MINUS = r"^(ct.*ac|gt.*at)$"
@@ -41,7 +43,7 @@ def expand_cs(alignments: DataFrame) -> DataFrame:
             F.when(cut, F.concat(s["ex"], F.array(p, p + intron))).otherwise(s["ex"]).alias("ex"),
             F.when(cut, F.concat(s["qx"], F.array(q, q + 1).cast("array<bigint>"))).otherwise(s["qx"]).alias("qx"))
 
-    done = base.withColumn("_s", F.aggregate("_t", init, step))
+    done = computed_once(base, "_s", F.aggregate("_t", init, step))
     ex = F.concat(F.array(F.col("pos").cast("bigint")), F.col("_s.ex"), F.array(F.col("_s.p")))
     qx = F.concat(F.array(F.lit(1).cast("bigint")), F.col("_s.qx"), F.array(F.col("seq_len").cast("bigint")))
     n = F.col("seq_len")

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..scale import computed_once
+
 # Organisms whose names are removed from product texts.
 MODEL_ORGANISMS = r"(?:Saccharomyces\s+cerevisiae|Candida\s+albicans|Aspergillus\s+(?:nidulans|fumigatus)|Cryptococcus\s+neoformans)"
 
@@ -114,17 +116,27 @@ def is_sentence(product: Column, symbol: Column) -> Column:
     return (found | (product == F.concat(F.lit("protein "), symbol)) | (F.length(product) > 100) | product.rlike(SENTENCE_VERBS))
 
 
-def tidy_product(product: Column) -> Column:
-    text = F.replace(F.trim(F.regexp_replace(product, r"\s+", " ")), F.lit("()"), F.lit(""))
+def squeeze(product: Column) -> Column:
+    return F.replace(F.trim(F.regexp_replace(product, r"\s+", " ")), F.lit("()"), F.lit(""))
+
+
+def close_parens(text: Column) -> Column:
     cut = F.rtrim(F.substring_index(text, "(", 1))
     text = F.when(text.contains("(") & ~text.contains(")"), cut).otherwise(text)
     return F.replace(text, F.lit(" ,"), F.lit(","))
 
 
-def clean_product(product: Column, symbol: Column, curated: Column) -> Column:
-    """rules, symbol in lower case, fallback to ``Symbolp`` for sentences, tidying."""
-    ruled = lower_symbol(apply_rules(product), symbol)
-    return tidy_product(F.when(~curated & is_sentence(ruled, symbol), symbol_product(symbol)).otherwise(ruled))
+def add_clean_product(df: DataFrame, product: str = "product", symbol: str = "name", curated: str | None = None, out: str = "clean") -> DataFrame:
+    """rules, symbol in lower case, fallback to ``Symbolp`` for sentences, tidying.
+
+    Also adds ``need_curating``: the fallback was taken. Done in steps, so that the
+    long rule chain runs once per row.
+    """
+    known = F.col(curated) if curated else F.lit(False)
+    step = computed_once(df, "_r", lower_symbol(apply_rules(F.col(product)), F.col(symbol)))
+    step = step.withColumn("need_curating", ~known & is_sentence(F.col("_r"), F.col(symbol)))
+    text = F.when(F.col("need_curating"), symbol_product(F.col(symbol))).otherwise(F.col("_r"))
+    return computed_once(step, "_t", squeeze(text)).withColumn(out, close_parens(F.col("_t"))).drop("_r", "_t")
 
 
 def digit_count(text: Column) -> Column:

@@ -123,10 +123,8 @@ def choose_product(candidates: DataFrame, curated: DataFrame) -> DataFrame:
 def name_products(candidates: DataFrame, curated: DataFrame) -> DataFrame:
     """O15 + F18: chosen name with its cleaned product, and whether it needs curating."""
     chosen = choose_product(candidates, curated)
-    ruled = N.lower_symbol(N.apply_rules(F.col("product")), F.col("name"))
-    return chosen.withColumn("original", F.col("product")).withColumn(
-        "need_curating", ~F.col("curated") & N.is_sentence(ruled, F.col("name"))).withColumn(
-        "product", N.clean_product(F.col("product"), F.col("name"), F.col("curated")))
+    named = N.add_clean_product(chosen.withColumnRenamed("product", "original"), "original", "name", "curated", "product")
+    return named.select("id", "name", "product", "original", "curated", "need_curating")
 
 
 def curation_reports(products: DataFrame, failed: DataFrame, curated: DataFrame) -> DataFrame:
@@ -145,7 +143,7 @@ def route_notes(annotations: DataFrame) -> DataFrame:
     known = F.when(F.col("ref_db") == "db_xref", prefix.isin(*N.XREF_PREFIXES)).when(F.col("ref_db") == "note", prefix.isin(*N.NOTE_PREFIXES)).otherwise(False)
     routed = annotations.withColumn("channel", F.when(known, prefix).otherwise(F.lit("other"))).withColumn(
         "hit", F.when(known, rest).otherwise(F.col("value")))
-    return routed.withColumn("hit", F.explode(F.when(F.col("channel") == "COG", F.split("hit", ",")).otherwise(F.array("hit"))))
+    return routed.withColumn("hit", F.explode_outer(F.when(F.col("channel") == "COG", F.split("hit", ",")).otherwise(F.array("hit"))))
 
 
 def note_headers(annotations: DataFrame) -> DataFrame:
@@ -179,7 +177,7 @@ def with_descriptions(df: DataFrame, lookup: DataFrame, term: str = "term", defa
 def go_category(df: DataFrame, terms: DataFrame) -> DataFrame:
     """Qualifier line per GO id; alternative ids resolve to their main term; unknown ids drop."""
     main = terms.select(F.col("go_id").alias("_id"), "name", "namespace")
-    alts = terms.select(F.explode("alt_ids").alias("_id"), "name", "namespace")
+    alts = terms.select(F.explode_outer("alt_ids").alias("_id"), "name", "namespace").where("_id is not null")
     look = broadcast_if_small(main.unionByName(alts))
     kind = F.create_map(*[F.lit(x) for kv in N.GO_QUALIFIERS.items() for x in kv])
     return (df.join(look, F.col("go_id") == F.col("_id")).withColumn("qualifier", kind[F.col("namespace")])
@@ -221,7 +219,7 @@ def eggnog_annotations(rows: DataFrame, prefix: str = "ENOG50") -> DataFrame:
         F.struct(F.lit("note").alias("ref_db"), F.when(F.col("cogs") != "", F.concat(F.lit("COG:"), "cogs")).alias("value")),
         F.struct(F.lit("name").alias("ref_db"), F.col("symbol").alias("value")),
         F.struct(F.lit("product").alias("ref_db"), F.when(F.col("symbol").isNotNull(), F.col("head")).alias("value")))
-    return d.select(F.col("query").alias("id"), F.explode(parts).alias("a")).select("id", "a.*").where("value is not null")
+    return d.select(F.col("query").alias("id"), F.explode_outer(parts).alias("a")).select("id", "a.*").where("value is not null")
 
 
 def drop_models(models: DataFrame, ids: DataFrame, key: str = "gene_id") -> DataFrame:

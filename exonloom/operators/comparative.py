@@ -20,7 +20,7 @@ def family_counts(annotations: DataFrame) -> DataFrame:
 def dense_counts(counts: DataFrame) -> DataFrame:
     """A8 with zeros: every family for every species (the species list is one small array)."""
     names = counts.agg(F.array_sort(F.collect_set("species"))).scalar()
-    grid = counts.select("family").distinct().withColumn("species", F.explode(names))
+    grid = counts.select("family").distinct().withColumn("species", F.explode_outer(names))
     return grid.join(counts, ["species", "family"], "left").withColumn("n", F.coalesce("n", F.lit(0).cast("long")))
 
 
@@ -70,7 +70,7 @@ def braycurtis(counts: DataFrame) -> DataFrame:
     b = counts.select(F.col("species").alias("sp_b"), "family", F.col("n").alias("nb"))
     shared = a.join(b, "family").where("sp_a < sp_b").groupBy("sp_a", "sp_b").agg(F.sum(F.least("na", "nb")).alias("m"))
     names = counts.agg(F.array_sort(F.collect_set("species"))).scalar()
-    pairs = total.select(F.col("species").alias("sp_a"), F.col("t").alias("ta")).withColumn("sp_b", F.explode(names)).where("sp_a < sp_b")
+    pairs = total.select(F.col("species").alias("sp_a"), F.col("t").alias("ta")).withColumn("sp_b", F.explode_outer(names)).where("sp_a < sp_b")
     tb = total.select(F.col("species").alias("sp_b"), F.col("t").alias("tb"))
     full = pairs.join(tb, "sp_b").join(shared, ["sp_a", "sp_b"], "left")
     return full.select("sp_a", "sp_b", (1 - F.coalesce("m", F.lit(0)) * 2.0 / (F.col("ta") + F.col("tb"))).alias("distance"))
@@ -91,7 +91,7 @@ def backbone_counts(products: DataFrame, clusters: DataFrame) -> DataFrame:
 def factor_counts(counts: DataFrame, factors: DataFrame) -> DataFrame:
     """Every listed factor for every species, zero where absent."""
     names = counts.agg(F.array_sort(F.collect_set("species"))).scalar()
-    grid = factors.select("family", "description").withColumn("species", F.explode(names))
+    grid = factors.select("family", "description").withColumn("species", F.explode_outer(names))
     return grid.join(counts, ["species", "family"], "left").withColumn("n", F.coalesce("n", F.lit(0).cast("long")))
 
 
@@ -161,9 +161,9 @@ def next_locus(genes: DataFrame, tag: str = "gene_id") -> DataFrame:
 
 def poff_to_long(df: DataFrame, species: list[str]) -> DataFrame:
     """Wide ortholog table to ``(group_id, species, gene_id)``; ``*`` means absent."""
-    pairs = F.explode(F.array(*[F.struct(F.lit(s.replace(".faa", "")).alias("species"), F.col(f"`{s}`").alias("ids")) for s in species]))
+    pairs = F.explode_outer(F.array(*[F.struct(F.lit(s.replace(".faa", "")).alias("species"), F.col(f"`{s}`").alias("ids")) for s in species]))
     return (df.select("group_id", pairs.alias("p")).where(F.col("p.ids") != "*")
-            .select("group_id", "p.species", F.explode(F.split("p.ids", ",")).alias("gene_id")))
+            .select("group_id", "p.species", F.explode_outer(F.split("p.ids", ",")).alias("gene_id")))
 
 
 def gene_report(genes: DataFrame, channels: DataFrame, orth: DataFrame, kinds: list[str]) -> DataFrame:

@@ -51,7 +51,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     cur = materialize(edges.select("u", "v").where("u != v").distinct(), "edges")
     mark = None
     for _ in range(max_rounds):
-        cur = materialize(_star(_star(cur, True), False), "edges")
+        cur = materialize(_star(_star(_star(_star(cur, True), False), True), False), "edges")
         now = tuple(cur.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == mark:
             break

@@ -11,6 +11,9 @@ from ..scale import Slabs, materialize
 from .intervals import Layout, assign_islands, covered_length
 
 
+HEADS = 8   # holders of a k-mer tried first when contigs are de-duplicated
+
+
 def best_hit(hits: DataFrame, query: str = "query", order: list | None = None) -> DataFrame:
     """One hit per query; an aggregate with map-side combine, safe for hot queries."""
     order = order or ["evalue", F.col("bitscore") * -1, "subject"]
@@ -111,6 +114,7 @@ def measure_busco(hits: DataFrame, cutoffs: DataFrame) -> DataFrame:
 
 def resolve_busco(classed: DataFrame, ratio: float = 0.85) -> DataFrame:
     """Each gene keeps its best BUSCO, weak copies go, then complete > large > fragment."""
+    classed = materialize(classed, "busco")
     full = classed.where("class != 'fragment'")
     best = full.groupBy("class", "gene").agg(F.max_by("busco", F.struct("score", "busco")).alias("busco"))
     one = full.join(best, ["class", "gene", "busco"], "left_semi")
@@ -177,11 +181,11 @@ def dedup_contained(sequences: DataFrame, k: int = 31, min_cov: float = 0.95) ->
     """
     up = sequences.select("seq_id", F.upper("seq").alias("seq"), F.length("seq").alias("n"))
     unique = up.groupBy(F.sha2("seq", 256).alias("h")).agg(F.min_by(F.struct("seq_id", "seq", "n"), "seq_id").alias("m")).select("m.*")
-    pieces = F.regexp_extract_all("seq", F.lit("(?s).{1,4096}"), F.lit(0))
-    cut = unique.where(F.col("n") >= k).select("seq_id", "n", F.posexplode(pieces).alias("i", "p"), pieces.alias("all"))
+    pieces = F.regexp_extract_all("seq", F.lit("(?s).{1,256}"), F.lit(0))
+    cut = unique.where(F.col("n") >= k).select("seq_id", "n", F.posexplode_outer(pieces).alias("i", "p"), pieces.alias("all"))
     ext = cut.select("seq_id", "n", F.concat("p", F.coalesce(F.substring(F.get("all", F.col("i") + 1), 1, k - 1), F.lit(""))).alias("p"))
     grams = ext.where(F.length("p") >= k).select(
-        "seq_id", "n", F.explode(F.transform(F.sequence(F.lit(1), F.length("p") - (k - 1)), lambda j: F.xxhash64(F.substring(F.col("p"), j, F.lit(k))))).alias("g")).distinct()
+        "seq_id", "n", F.explode_outer(F.transform(F.sequence(F.lit(1), F.length("p") - (k - 1)), lambda j: F.xxhash64(F.substring(F.col("p"), j, F.lit(k))))).alias("g")).distinct()
     grams = materialize(grams, "kmers")
     freq = grams.groupBy("g").agg(F.count(F.lit(1)).alias("f"))
     total = grams.groupBy("seq_id").agg(F.count(F.lit(1)).alias("t"))
@@ -191,11 +195,22 @@ def dedup_contained(sequences: DataFrame, k: int = 31, min_cov: float = 0.95) ->
     probe = ranked.join(total, "seq_id").where((F.col("r") <= need) & (F.col("f") > 1)).select("seq_id", "n", "g", "t")
     other = grams.select(F.col("seq_id").alias("big"), F.col("n").alias("bn"), "g")
     longer = (F.col("bn") > F.col("n")) | ((F.col("bn") == F.col("n")) & (F.col("big") < F.col("seq_id")))
-    pairs = probe.join(other, "g").where(longer).select("seq_id", "big", "t").distinct()
-    shared = (pairs.join(grams.select("seq_id", "g"), "seq_id")
-              .join(grams.select(F.col("seq_id").alias("big"), "g"), ["big", "g"])
-              .groupBy("seq_id", "big", "t").agg(F.count(F.lit(1)).alias("s")))
-    gone = shared.where(F.col("s") >= F.col("t") * min_cov).select("seq_id").distinct()
+
+    def contained(ask: DataFrame, index: DataFrame) -> DataFrame:
+        pairs = ask.join(index, "g").where(longer).select("seq_id", "big", "t").distinct()
+        shared = (pairs.join(grams.select("seq_id", "g"), "seq_id")
+                  .join(grams.select(F.col("seq_id").alias("big"), "g"), ["big", "g"])
+                  .groupBy("seq_id", "big", "t").agg(F.count(F.lit(1)).alias("s")))
+        return materialize(shared.where(F.col("s") >= F.col("t") * min_cov).select("seq_id").distinct(), "contained")
+
+    # families of near copies settle against the few longest holders of each k-mer, a
+    # linear number of pairs; only what stays open meets every holder
+    probe = materialize(probe, "probe")
+    rank = F.row_number().over(W.partitionBy("g").orderBy(F.col("bn").desc(), "big"))
+    heads = other.withColumn("_k", rank).where(f"_k <= {HEADS}").drop("_k")
+    first = contained(probe, heads)
+    rest = contained(probe.join(first, "seq_id", "left_anti"), other)
+    gone = first.unionByName(rest)
     return unique.join(gone, "seq_id", "left_anti").select("seq_id", F.col("n").alias("length"))
 
 

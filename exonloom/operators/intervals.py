@@ -38,7 +38,7 @@ def choose_layout(*frames: DataFrame) -> Layout:
 
 def _binned(df: DataFrame, width: int, start: str, end: str) -> DataFrame:
     bins = F.sequence(F.floor(F.col(start) / width), F.floor(F.col(end) / width))
-    return df.withColumn("_bin", F.explode(bins))
+    return df.withColumn("_bin", F.explode_outer(bins))
 
 
 def _pairs(a: DataFrame, b: DataFrame, keys: list[str], width: int, extra: Column | None) -> DataFrame:
@@ -71,7 +71,7 @@ def _salt_hot_bins(left: DataFrame, right: DataFrame, keys: list[str]):
                                    F.col("_n").cast("long")), F.lit(0).cast("long"))).drop("_n")
     rhot = hot.select(*[F.col(k).alias(f"b_{k}") for k in keys], F.col("_bin").alias("_bbin"), "_n")
     right = right.join(rhot, [f"b_{k}" for k in keys] + ["_bbin"], "left").withColumn(
-        "_bsalt", F.explode(F.sequence(F.lit(0).cast("long"),
+        "_bsalt", F.explode_outer(F.sequence(F.lit(0).cast("long"),
                                        F.coalesce(F.col("_n"), F.lit(1)).cast("long") - 1))).drop("_n")
     return left, right
 
@@ -99,12 +99,12 @@ def _with_reach(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     """Adds ``_reach``: the furthest end of any ``b`` that starts at or before ``end``."""
     marks = (b.groupBy(*keys, F.col("start").alias("_pos")).agg(F.max("end").alias("_bend"))
              .withColumn("_kind", F.lit(0)))
-    asks = a.withColumn("_pos", F.col("end")).withColumn("_kind", F.lit(1))
-    both = asks.unionByName(marks, allowMissingColumns=True)
-    order = ["_pos", "_kind"] + [c for c in a.columns if c not in keys and
-                                 a.schema[c].dataType.typeName() not in ("array", "map", "struct")]
-    return (Slabs(both, keys, order).scan(("_reach", "max", F.col("_bend"), True))
-            .where("_kind = 1").result().drop("_pos", "_kind", "_bend"))
+    # the hash only spreads equal positions over slabs; marks precede asks of the same position
+    tie = F.xxhash64(*[c for c in a.columns if a.schema[c].dataType.typeName() != "map"])
+    asks = a.withColumn("_pos", F.col("end")).withColumn("_kind", F.lit(1)).withColumn("_tie", tie)
+    both = asks.unionByName(marks.withColumn("_tie", F.lit(0).cast("long")), allowMissingColumns=True)
+    return (Slabs(both, keys, ["_pos", "_kind", "_tie"]).scan(("_reach", "max", F.col("_bend"), True))
+            .where("_kind = 1").result().drop("_pos", "_kind", "_bend", "_tie"))
 
 
 def overlap_semi(a: DataFrame, b: DataFrame, keys=("contig",)) -> DataFrame:
@@ -281,7 +281,7 @@ def introns(exons: DataFrame, tx: str = "tx_id") -> DataFrame:
     pair = F.zip_with(F.slice("exons", 1, F.size("exons") - 1), F.slice("exons", 2, F.size("exons") - 1),
                       lambda l, r: F.struct((l["end"] + 1).alias("start"), (r["start"] - 1).alias("end")))
     keep = [c for c in exons.columns if c != "exons"]
-    return (exons.where(F.size("exons") > 1).select(*keep, F.posexplode(pair).alias("intron_no", "i"))
+    return (exons.where(F.size("exons") > 1).select(*keep, F.posexplode_outer(pair).alias("intron_no", "i"))
             .select(*keep, (F.col("intron_no") + 1).alias("intron_no"),
                     F.col("i.start").alias("start"), F.col("i.end").alias("end")))
 
@@ -313,7 +313,7 @@ def partition_spans(loci: DataFrame, lengths: DataFrame, per_part: int = 35, min
             .select(*keys, (F.expr("_idx div _step")).alias("part"),
                     F.coalesce(F.col("_back.start"), -F.col("_fwd.s")).alias("_cut"),
                     F.coalesce(F.col("_back._prev"), F.col("_fwd._prev")).alias("_before")))
-    parts = totals.withColumn("part", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_chunks"))))
+    parts = totals.withColumn("part", F.explode_outer(F.sequence(F.lit(1).cast("long"), F.col("_chunks"))))
     opened = cuts.select(*keys, (F.col("part") + 1).alias("part"), (F.col("_before") + 1).alias("_from"))
     spans = (parts.join(cuts, keys + ["part"], "left").join(opened, keys + ["part"], "left")
              .withColumn("start", F.when(F.col("part") == 1, F.lit(1).cast("long")).otherwise(F.col("_from")))
@@ -336,7 +336,7 @@ def chunk_spans(lengths: DataFrame, size: int = 500_000, overlap: int = 10_000)
     """Equal chunks of contigs longer than ``size``, each reaching ``overlap`` into the next."""
     n = F.when(F.col("length") > size, F.floor(F.col("length") / size) + 1).otherwise(1).cast("long")
     out = lengths.withColumn("_n", n).withColumn("_step", F.floor(F.col("length") / F.col("_n")))
-    out = out.withColumn("chunk", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
+    out = out.withColumn("chunk", F.explode_outer(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
     start = F.greatest((F.col("chunk") - 1) * F.col("_step"), F.lit(1).cast("long"))
     end = F.when(F.col("chunk") == F.col("_n"), F.col("length")).otherwise(
         F.least(F.col("chunk") * F.col("_step") + overlap, F.col("length")))

@@ -12,10 +12,9 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from ..functions import sequence as S
-from ..scale import broadcast_if_small, number_rows
+from ..scale import broadcast_if_small, materialize, number_rows
 from ..sources.lines import MODEL_FEATURES
 from .intervals import Layout, assign_islands, flag_overlap, overlap_anti, overlap_fraction, overlap_join
 from .sequences import splice
@@ -33,13 +32,15 @@ def gene_models(features: DataFrame, sequences: DataFrame | None = None) -> Data
     f = features.where(F.col("feature").isin(*MODEL_FEATURES))
     if sequences is not None:
         f = f.join(sequences.select(F.col("seq_id").alias("contig")).distinct(), "contig", "left_semi")
+    # three passes follow; parse once and read the columns back
+    f = materialize(f.select("contig", "source", "feature", "start", "end", "strand", "phase", "id", "parents", "name", "product", "notes", "dbxrefs", "go", "ec", "synonyms", "gbkey"), "features")
     genes = (f.where(F.col("feature").isin("gene", "pseudogene")).groupBy(F.col("id").alias("gene_id"))
              .agg(F.min("start").alias("g0"), F.max("end").alias("g1"), F.max("name").alias("name"), F.max(F.col("feature") == "pseudogene").alias("pseudo"),
                   F.array_sort(F.array_distinct(F.flatten(F.collect_set("synonyms")))).alias("synonyms")))
     tx = f.where(F.col("feature").isin(*RNA_KINDS)).select(
         F.get("parents", F.lit(0)).alias("gene_id"), F.col("id").alias("tx_id"), "contig", "source", "strand",
         F.when(F.col("gbkey") == "misc_RNA", "ncRNA").otherwise(F.col("feature")).alias("type"), "product", "notes", "dbxrefs", "go", "ec", F.col("start").alias("t0"), F.col("end").alias("t1"))
-    part = f.where(F.col("feature").isin("exon", "CDS") & F.col("parents").isNotNull()).select(F.explode("parents").alias("tx_id"), "feature", "start", "end", "phase")
+    part = f.where(F.col("feature").isin("exon", "CDS") & F.col("parents").isNotNull()).select(F.explode_outer("parents").alias("tx_id"), "feature", "start", "end", "phase")
     span = F.struct("start", "end")
     parts = part.groupBy("tx_id").agg(
         F.sort_array(F.collect_list(F.when(F.col("feature") == "exon", span))).alias("exons"),
@@ -133,8 +134,8 @@ def mark_pseudo_trna(features: DataFrame) -> DataFrame:
 
 def order_transcripts(tx: DataFrame, by: str = "tpm") -> DataFrame:
     """``gene-T1..n`` by falling expression; genes without any keep their order."""
-    w = W.partitionBy("gene_id").orderBy(F.col(by).desc_nulls_last(), "tx_ord")
-    return tx.withColumn("rank", F.row_number().over(w)).withColumn("new_tx_id", F.concat("gene_id", F.lit("-T"), "rank"))
+    ranked = number_rows(tx, [F.col(by).desc_nulls_last(), "tx_ord", "tx_id"], "rank", ["gene_id"])
+    return ranked.withColumn("rank", F.col("rank").cast("int")).withColumn("new_tx_id", F.concat("gene_id", F.lit("-T"), "rank"))
 
 
 def cds_phase(cds: Column, strand: Column, codon_start: Column) -> Column:
@@ -153,7 +154,7 @@ def exon_hints(alignments: DataFrame, priority: int = 4, src: str = "E") -> Data
     gap = F.zip_with(F.slice("exons", 1, n - 1), F.slice("exons", 2, n - 1),
                      lambda l, r: F.struct(F.lit("intron").alias("feature"), (l["end"] + 1).alias("start"), (r["start"] - 1).alias("end"), F.lit(1).alias("score")))
     both = F.concat(ex, F.when(n > 1, gap).otherwise(F.array().cast("array<struct<feature:string,start:bigint,end:bigint,score:int>>")))
-    rows = alignments.select("contig", "strand", F.col("tx_id").alias("grp"), F.explode(both).alias("h"))
+    rows = alignments.select("contig", "strand", F.col("tx_id").alias("grp"), F.explode_outer(both).alias("h")).where("h is not null")
     return rows.select("contig", "h.feature", "h.start", "h.end", "h.score", "strand", "grp", F.lit(priority).alias("pri"), F.lit(src).alias("src"))
 
 
@@ -163,7 +164,7 @@ def protein_hints(alignments: DataFrame, trim: int = 15, priority: int = 4) -> D
     part = F.transform("exons", lambda e: F.struct(F.lit("CDSpart").alias("feature"), (e["start"] + trim).alias("start"), (e["end"] - trim).alias("end")))
     gap = F.zip_with(F.slice("exons", 1, n - 1), F.slice("exons", 2, n - 1), lambda l, r: F.struct(F.lit("intron").alias("feature"), (l["end"] + 1).alias("start"), (r["start"] - 1).alias("end")))
     both = F.concat(part, F.when(n > 1, gap).otherwise(F.array().cast("array<struct<feature:string,start:bigint,end:bigint>>")))
-    rows = alignments.select("contig", "strand", F.col("target").alias("grp"), F.explode(both).alias("h"))
+    rows = alignments.select("contig", "strand", F.col("target").alias("grp"), F.explode_outer(both).alias("h")).where("h is not null")
     return rows.select("contig", "h.feature", "h.start", "h.end", "strand", "grp", F.lit(priority).alias("pri"), F.lit("XNT").alias("src"))
 
 

@@ -16,7 +16,8 @@ PIECE = 65_536
 def pieces(sequences: DataFrame, size: int = PIECE, key: str = "seq_id") -> DataFrame:
     """Fixed-size pieces ``(key, piece, offset, chunk)``; one regex pass per contig."""
     cut = F.regexp_extract_all("seq", F.lit("(?s).{1,%d}" % size), F.lit(0))
-    return (sequences.select(key, F.posexplode(cut).alias("piece", "chunk"))
+    return (sequences.select(key, F.posexplode_outer(cut).alias("piece", "chunk"))
+            .where("chunk is not null")
             .select(key, F.col("piece").cast("long").alias("piece"), (F.col("piece").cast("long") * size).alias("offset"), "chunk"))
 
 
@@ -24,7 +25,7 @@ def runs(sequences: DataFrame, letters: str, min_len: int = 1, size: int = PIECE
     """1-based closed runs of a character class, joined across piece borders."""
     part = pieces(sequences, size, key)
     toks = F.regexp_extract_all("chunk", F.lit(f"[{letters}]+|[^{letters}]+"), F.lit(0))
-    flat = part.select(key, "piece", "offset", F.posexplode(toks).alias("i", "tok"))
+    flat = part.select(key, "piece", "offset", F.posexplode_outer(toks).alias("i", "tok"))
     # prefix lengths inside one piece: never more rows than the piece has letters
     w = W.partitionBy(key, "piece").orderBy("i").rowsBetween(W.unboundedPreceding, W.currentRow)
     n = F.length("tok").cast("long")
@@ -77,7 +78,7 @@ def name_contigs(parts: DataFrame) -> DataFrame:
 def subsequences(spans: DataFrame, sequences: DataFrame, size: int = PIECE, contig: str = "contig") -> DataFrame:
     """Adds ``sub`` to spans ``(span_id, contig, start, end)``: joins only the pieces a span touches."""
     part = pieces(sequences.withColumnRenamed("seq_id", contig) if contig != "seq_id" else sequences, size, contig)
-    need = spans.withColumn("piece", F.explode(F.sequence(F.floor((F.col("start") - 1) / size), F.floor((F.col("end") - 1) / size))))
+    need = spans.withColumn("piece", F.explode_outer(F.sequence(F.floor((F.col("start") - 1) / size), F.floor((F.col("end") - 1) / size))))
     joined = need.join(part, [contig, "piece"])
     lo = F.greatest(F.col("start") - F.col("offset"), F.lit(1).cast("long"))
     hi = F.least(F.col("end") - F.col("offset"), F.length("chunk").cast("long"))
@@ -92,10 +93,10 @@ def splice(tx: DataFrame, sequences: DataFrame, size: int = PIECE, exons: str =
 
     Groups are single transcripts, so the collected lists stay small.
     """
-    flat = tx.select("tx_id", "contig", F.explode(exons).alias("e")).select(
+    flat = tx.select("tx_id", "contig", F.explode_outer(exons).alias("e")).select(
         "tx_id", "contig", F.col("e.start").alias("start"), F.col("e.end").alias("end"))
     part = pieces(sequences.withColumnRenamed("seq_id", "contig"), size, "contig")
-    need = flat.withColumn("piece", F.explode(F.sequence(F.floor((F.col("start") - 1) / size), F.floor((F.col("end") - 1) / size))))
+    need = flat.withColumn("piece", F.explode_outer(F.sequence(F.floor((F.col("start") - 1) / size), F.floor((F.col("end") - 1) / size))))
     joined = need.join(part, ["contig", "piece"])
     lo = F.greatest(F.col("start") - F.col("offset"), F.lit(1).cast("long"))
     hi = F.least(F.col("end") - F.col("offset"), F.length("chunk").cast("long"))

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions import naming as N
 from ..operators import annotations as A
+from ..scale import spread
 from . import views as V
 from .registry import query
 
@@ -33,7 +34,7 @@ PRODUCTS = f"""lines as (select doc_id, unnest(string_split(text, chr(10))) as l
 
 def products(t):
     arr = F.array(*[F.lit(p) for p in PHRASES])
-    lines = t.documents.select("doc_id", F.posexplode(F.split("text", "\n")).alias("no", "line"))
+    lines = spread(t.documents.select("doc_id", "text")).select("doc_id", F.posexplode_outer(F.split("text", "\n")).alias("no", "line"))
     no = F.col("no") + 1
     return lines.select(F.concat_ws(".", "doc_id", no).alias("id"), F.concat(F.lit("Abc"), F.col("doc_id") % 50).alias("name"),
                         F.concat(F.get(arr, ((F.col("doc_id") + no) % len(PHRASES)).cast("int")), F.regexp_replace("line", "[^A-Za-z0-9 .,()-]", "")).alias("product"))
@@ -52,7 +53,7 @@ def clean_sql(src):
 
 @query("f18_clean_product", f"""with {PRODUCTS}, {clean_sql('prod')} select id, name, clean from t2""")
 def _(t):
-    return products(t).select("id", "name", N.clean_product(F.col("product"), F.col("name"), F.lit(False)).alias("clean"))
+    return N.add_clean_product(products(t)).select("id", "name", "clean")
 
 
 CAND = """cand as (select 'G' || l_orderkey as id, l_linenumber * 100000 + l_partkey as ord, case when l_suppkey % 3 = 0 then 'Nm' else 'nM' end || (l_partkey % 60) as name,

@@ -336,6 +336,6 @@ def _(t):
     cds = F.array(F.struct((F.col("exons")[0]["start"] + 130).alias("start"), (F.element_at("exons", -1)["end"] - 10).alias("end")))
     strand = F.when(F.col("gene_id") % 2 == 0, "+").otherwise("-")
     u = n.select("gene_id", "tx_id", S.utr_parts(F.col("exons"), cds, strand).alias("u"))
-    five = u.select("gene_id", "tx_id", F.lit("five").alias("part"), F.explode("u.five").alias("e"))
-    three = u.select("gene_id", "tx_id", F.lit("three").alias("part"), F.explode("u.three").alias("e"))
-    return five.unionByName(three).select("gene_id", "tx_id", "part", "e.start", "e.end")
+    five = u.select("gene_id", "tx_id", F.lit("five").alias("part"), F.explode_outer("u.five").alias("e"))
+    three = u.select("gene_id", "tx_id", F.lit("three").alias("part"), F.explode_outer("u.three").alias("e"))
+    return five.unionByName(three).where("e is not null").select("gene_id", "tx_id", "part", "e.start", "e.end")

@@ -83,7 +83,7 @@ def _(t):
 @query("p25_drop_reported", f"""with {GM}, bad as (select distinct tx_id from gm where g % 11 = 0) select contig, feature, "start", "end" from (select contig, 'exon' as feature, s as "start", e as "end", tx_id from gm union all select contig, 'CDS', cs, ce, tx_id from gm) where tx_id not in (select tx_id from bad)""")
 def _(t):
     f = L.parse_gff3(gff_text(t)).where("feature in ('exon', 'CDS')")
-    bad = t.lineitem.where("l_orderkey % 11 = 0").select(F.explode(F.array(F.concat(F.lit("G"), "l_orderkey", F.lit("-T1")), F.concat(F.lit("G"), "l_orderkey", F.lit("-T2")))).alias("id"))
+    bad = t.lineitem.where("l_orderkey % 11 = 0").select(F.explode_outer(F.array(F.concat(F.lit("G"), "l_orderkey", F.lit("-T1")), F.concat(F.lit("G"), "l_orderkey", F.lit("-T2")))).alias("id"))
     return L.drop_reported(f, bad).select("contig", "feature", "start", "end")
 
 
@@ -94,7 +94,7 @@ def _(t):
 
 @query("w8_cds_phase", f"""with {GM} select tx_id, cs as "start", ce as "end", cast(((0 - coalesce(sum(ce - cs + 1) over (partition by tx_id order by case when strand = '+' then s else -s end rows between unbounded preceding and 1 preceding), 0)) % 3 + 3) % 3 as int) as phase from gm""")
 def _(t):
-    p = gene_table(t).select("tx_id", F.explode(M.cds_phase(F.col("cds"), F.col("strand"), F.col("codon_start"))).alias("c"))
+    p = gene_table(t).select("tx_id", F.explode_outer(M.cds_phase(F.col("cds"), F.col("strand"), F.col("codon_start"))).alias("c"))
     return p.select("tx_id", "c.start", "c.end", "c.phase")
 
 

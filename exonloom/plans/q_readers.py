@@ -27,7 +27,7 @@ def saved_xml(df, root):
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = df.select(F.pmod(F.xxhash64("value"), F.lit(n)).alias("bucket"), F.lit(1).alias("ord"), "value")
-    ends = rows.select("bucket").distinct().select("bucket", F.explode(F.array(
+    ends = rows.select("bucket").distinct().select("bucket", F.explode_outer(F.array(
         F.struct(F.lit(0).alias("ord"), F.lit(f"<{root}>").alias("value")), F.struct(F.lit(2).alias("ord"), F.lit(f"</{root}>").alias("value")))).alias("x")).select("bucket", "x.*")
     path = scratch_path(spark, "xml")
     rows.unionByName(ends).repartition("bucket").sortWithinPartitions("bucket", "ord").select("bucket", "value").write.partitionBy("bucket").text(path)
@@ -65,7 +65,7 @@ def gtf_text(t):
     g = gene_table(t)
     at = F.concat(F.lit('gene_id "'), "gene_id", F.lit('"; transcript_id "'), "tx_id", F.lit('"; '))
     tx = g.select(tab(C("contig"), "StringTie", "transcript", C("gene_start"), C("gene_end"), "1000", C("strand"), ".", F.concat(at, F.lit('TPM "'), "tpm", F.lit('";'))).alias("value"))
-    ex = g.select("contig", "strand", at.alias("at"), F.explode("exons").alias("e")).select(
+    ex = g.select("contig", "strand", at.alias("at"), F.explode_outer("exons").alias("e")).select(
         tab(C("contig"), "StringTie", "exon", C("e.start"), C("e.end"), "1000", C("strand"), ".", C("at")).alias("value"))
     return tx.unionByName(ex)
 
@@ -243,7 +243,7 @@ def _(t):
 def _(t):
     v = F.concat_ws("   ", F.concat(F.lit("PF"), C("p_partkey") % 50), F.lit("PF0001.3"), F.lit("120"), F.concat(F.lit("g"), "p_partkey"), F.lit("-"), F.lit("300"), F.lit("3e-20"), F.lit("80.1"), F.lit("0.0"), F.lit("1"), F.lit("1"), F.lit("1e-22"), F.lit("3e-20"), F.lit("80.0"), F.lit("0.0"),
                     (C("p_size") + 1).cast("string"), (C("p_size") + 40).cast("string"), F.lit("5"), F.lit("90"), F.lit("4"), F.lit("91"), F.lit("0.95"), F.lit("some text here"))
-    rows = t.part.select(F.explode(F.array(v, F.when(C("p_partkey") % 100 == 0, F.lit("# footer")))).alias("value")).where("value is not null")
+    rows = t.part.select(F.explode_outer(F.array(v, F.when(C("p_partkey") % 100 == 0, F.lit("# footer")))).alias("value")).where("value is not null")
     return L.read_domtblout(t.spark, saved(rows)).select("target", "query", "hmm_start", "hmm_end", "evalue")
 
 
@@ -258,21 +258,21 @@ def _(t):
 def _(t):
     head = "#query\tseed_ortholog\tevalue\tscore\teggNOG_OGs\tmax_annot_lvl\tCOG_category\tDescription\tPreferred_name\tGOs\tEC"
     v = tab(F.concat(F.lit("g"), "p_partkey"), "x", "1e-5", "50", F.concat(F.lit("A@1|root,B"), "p_size", F.lit("@2|Fungi")), "2|Fungi", "KL", "Descr. tail", F.concat(F.lit("SYM"), "p_size"), "-", F.concat(F.lit("1.1.1."), "p_size"))
-    rows = t.part.select(F.explode(F.array(F.when(C("p_partkey") == 0, F.lit("## emapper-2.1.9\n" + head)), v)).alias("value")).where("value is not null")
+    rows = t.part.select(F.explode_outer(F.array(F.when(C("p_partkey") == 0, F.lit("## emapper-2.1.9\n" + head)), v)).alias("value")).where("value is not null")
     return L.read_eggnog(t.spark, saved(rows))
 
 
 @query("s19_read_signalp", """select 'g' || p_partkey as id, cast(p_size as varchar) as "end", 'ASA' as cut, '0.9' as prob from part where p_size % 3 = 0""")
 def _(t):
     v = tab(F.concat(F.lit("g"), "p_partkey"), F.when(C("p_size") % 3 == 0, "SP(Sec/SPI)").otherwise("OTHER"), "0.9", "0.1", F.concat(F.lit("CS pos: "), "p_size", F.lit("-20. AS.A Pr: 0.9")))
-    rows = t.part.select(F.explode(F.array(F.when(C("p_partkey") == 0, F.lit("# SignalP-5.0\tOrganism: euk")), v)).alias("value")).where("value is not null")
+    rows = t.part.select(F.explode_outer(F.array(F.when(C("p_partkey") == 0, F.lit("# SignalP-5.0\tOrganism: euk")), v)).alias("value")).where("value is not null")
     return L.parse_signalp(rows.withColumn("value", F.replace("value", F.lit("AS.A"), F.lit("ASA."))), L.signalp_version(rows))
 
 
 @query("s20_read_phobius", """select 'g' || p_partkey as id, p_size % 5 as tm, case when p_size % 2 = 0 then 'Y' else '0' end as sp, 'i' || p_size || 'o' as prediction from part""")
 def _(t):
     v = F.concat_ws("   ", F.concat(F.lit("g"), "p_partkey"), (C("p_size") % 5).cast("string"), F.when(C("p_size") % 2 == 0, "Y").otherwise("0"), F.concat(F.lit("i"), "p_size", F.lit("o")))
-    rows = t.part.select(F.explode(F.array(F.when(C("p_partkey") == 0, F.lit("SEQENCE ID                     TM SP PREDICTION")), v)).alias("value")).where("value is not null")
+    rows = t.part.select(F.explode_outer(F.array(F.when(C("p_partkey") == 0, F.lit("SEQENCE ID                     TM SP PREDICTION")), v)).alias("value")).where("value is not null")
     return L.read_phobius(t.spark, saved(rows))
 
 
@@ -319,7 +319,7 @@ def _(t):
 @query("s27_zff_models", f"""with {GM} select gene_id || '-T' || t as gene_id, contig, strand, string_agg(s || '-' || e, ',' order by s) as exons from gm group by gene_id, t, contig, strand""")
 def _(t):
     g = gene_table(t)
-    rows = g.select("contig", "tx_id", "strand", F.explode("exons").alias("e")).select(
+    rows = g.select("contig", "tx_id", "strand", F.explode_outer("exons").alias("e")).select(
         "contig", tab("Exon", C("e.start"), C("e.end"), C("strand"), "1.5", "0", "0", "1", C("tx_id")).alias("l"), "tx_id")
     b = rows.groupBy("contig", "tx_id").agg(F.array_join(F.sort_array(F.collect_list("l")), "\n").alias("l"))
     m = P.zff_models(B.read_zff(t.spark, saved(b.select(F.concat(F.lit(">"), "contig", F.lit("\n"), "l").alias("value")))))
@@ -329,7 +329,7 @@ def _(t):
 def predictor_text(t, anchor):
     g = gene_table(t).where("tx_ord = 1")
     top = g.select(tab(C("contig"), "P", anchor, C("gene_start"), C("gene_end"), ".", C("strand"), ".", F.concat(F.lit("ID="), "gene_id", F.lit(" x;Name=y"))).alias("value"))
-    cds = g.select("contig", "strand", "gene_id", F.explode("cds").alias("c")).select(tab(C("contig"), "P", "CDS", C("c.start"), C("c.end"), ".", C("strand"), "0", F.concat(F.lit("ID=z;Parent="), "gene_id")).alias("value"))
+    cds = g.select("contig", "strand", "gene_id", F.explode_outer("cds").alias("c")).select(tab(C("contig"), "P", "CDS", C("c.start"), C("c.end"), ".", C("strand"), "0", F.concat(F.lit("ID=z;Parent="), "gene_id")).alias("value"))
     return top.unionByName(cds)
 
 
@@ -380,7 +380,7 @@ def _(t):
 def _(t):
     a, b = C("p_partkey"), C("p_partkey") + 45 + C("p_size")
     v = tab(F.concat(F.lit("c"), C("p_partkey") % 7, F.lit(" ")), "1", F.when(C("p_size") % 2 == 0, a).otherwise(b), F.when(C("p_size") % 2 == 0, b).otherwise(a), "Ala", "AGC", "0", "0", "70.1")
-    rows = t.part.select(F.explode(F.array(F.when(C("p_partkey") == 0, F.lit("Sequence\ttRNA\nName\ttRNA\n--------\t------")), v)).alias("value")).where("value is not null")
+    rows = t.part.select(F.explode_outer(F.array(F.when(C("p_partkey") == 0, F.lit("Sequence\ttRNA\nName\ttRNA\n--------\t------")), v)).alias("value")).where("value is not null")
     return L.read_trnascan(t.spark, saved(rows)).select("contig", "start", "end", "strand", "kind")
 
 

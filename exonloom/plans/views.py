@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..scale import spread
 from .registry import Tables
 
 IV = """iv as (select 'ctg' || l_suppkey as contig, l_partkey as "start",
@@ -105,13 +106,13 @@ def orth(t: Tables) -> DataFrame:
 
 
 def seqs(t: Tables) -> DataFrame:
-    return t.documents.select(
+    return spread(t.documents.select("doc_id", "lang", "source", "text")).select(
         F.concat(F.lit("seq"), "doc_id").alias("seq_id"), F.col("lang").alias("genome"),
         F.col("source").alias("description"), F.regexp_replace("text", "[^ACGTNacgtn]", "").alias("seq"))
 
 
 def dna(t: Tables) -> DataFrame:
-    return t.documents.select(
+    return spread(t.documents.select("doc_id", "text")).select(
         F.concat(F.lit("seq"), "doc_id").alias("seq_id"), "doc_id",
         F.translate(F.regexp_replace(F.lower("text"), "[^a-z]", ""), "abcdefghijklmnopqrstuvwxyz",
                     "ACGTACGTACGTACGTACGTACGTAC").alias("seq"))

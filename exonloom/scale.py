@@ -58,11 +58,22 @@ def broadcast_if_small(df: DataFrame, limit: int = 64 * 1024 * 1024) -> DataFram
     return F.broadcast(df) if plan_bytes(df) <= limit else df
 
 
-def null_safe(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
-    cond = F.lit(True)
-    for lc, rc in pairs:
-        cond = cond & left[lc].eqNullSafe(right[rc])
-    return cond
+def spread(scan: DataFrame) -> DataFrame:
+    """Rows of a plain scan over all cores when it has fewer splits than cores.
+
+    Large inputs already have far more splits than cores and stay as they are.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
+def computed_once(df: DataFrame, name: str, expr: Column) -> DataFrame:
+    """Adds an expensive column behind a one-element generator.
+
+    Catalyst neither merges projections nor pushes filters through a generator, so
+    the expression is evaluated once per row however often ``name`` is used later.
+    """
+    return df.select("*", F.explode_outer(F.array(expr)).alias(name))
 
 
 class Slabs:
@@ -99,53 +110,53 @@ class Slabs:
         excl = base.rowsBetween(W.unboundedPreceding, -1)
         df = self.df
         for i, (_, _, expr, _) in enumerate(specs):
-            df = df.withColumn(f"_v{i}", F.lit(expr) if not isinstance(expr, Column) else expr)
+            df = df.withColumn(f"__v{i}", F.lit(expr) if not isinstance(expr, Column) else expr)
         src = df
         for i, (out, kind, _, inclusive) in enumerate(specs):
             win = incl if inclusive else excl
-            v = F.col(f"_v{i}")
+            v = F.col(f"__v{i}")
             agg = {"sum": F.sum(v), "max": F.max(v), "last": F.last(v, ignorenulls=True)}[kind]
             df = df.withColumn(out, agg.over(win))
         if self.single:
             for i, (out, kind, _, _) in enumerate(specs):
                 if kind == "sum":
                     df = df.withColumn(out, F.coalesce(out, F.lit(0)))
-            self.df = df.drop(*[f"_v{i}" for i in range(len(specs))])
+            self.df = df.drop(*[f"__v{i}" for i in range(len(specs))])
             return self
         aggs = []
         if any(kind == "last" for _, kind, _, _ in specs):
-            src = src.withColumn("_rn", F.row_number().over(base))
+            src = src.withColumn("__rn", F.row_number().over(base))
         for i, (_, kind, _, _) in enumerate(specs):
-            v = F.col(f"_v{i}")
+            v = F.col(f"__v{i}")
             if kind == "last":
-                aggs.append(F.max_by(v, F.when(v.isNotNull(), F.col("_rn"))).alias(f"_c{i}"))
+                aggs.append(F.max_by(v, F.when(v.isNotNull(), F.col("__rn"))).alias(f"__c{i}"))
             else:
-                aggs.append((F.sum(v) if kind == "sum" else F.max(v)).alias(f"_c{i}"))
+                aggs.append((F.sum(v) if kind == "sum" else F.max(v)).alias(f"__c{i}"))
         totals = src.groupBy(*part).agg(*aggs)
         before = (W.partitionBy(*(self.keys or [F.lit(1)])).orderBy("_slab")
                   .rowsBetween(W.unboundedPreceding, -1))
         carry = totals.select(
-            F.col("_slab").alias("_cs"),
-            *[F.col(k).alias(f"_ck_{k}") for k in self.keys],
-            F.count(F.lit(1)).over(before).alias("_prev"),
+            F.col("_slab").alias("__cs"),
+            *[F.col(k).alias(f"__ck_{k}") for k in self.keys],
+            F.count(F.lit(1)).over(before).alias("__seen"),
             *[{"sum": F.sum, "max": F.max,
-               "last": lambda c: F.last(c, ignorenulls=True)}[kind](F.col(f"_c{i}")).over(before)
-              .alias(f"_p{i}") for i, (_, kind, _, _) in enumerate(specs)],
-        ).where("_prev > 0")
-        cond = df["_slab"] == carry["_cs"]
+               "last": lambda c: F.last(c, ignorenulls=True)}[kind](F.col(f"__c{i}")).over(before)
+              .alias(f"__p{i}") for i, (_, kind, _, _) in enumerate(specs)],
+        ).where("__seen > 0")
+        cond = df["_slab"] == carry["__cs"]
         for k in self.keys:
-            cond = cond & df[k].eqNullSafe(carry[f"_ck_{k}"])
+            cond = cond & df[k].eqNullSafe(carry[f"__ck_{k}"])
         df = df.join(F.broadcast(carry), cond, "left")
         for i, (out, kind, _, _) in enumerate(specs):
-            p = F.col(f"_p{i}")
+            p = F.col(f"__p{i}")
             if kind == "sum":
                 df = df.withColumn(out, F.coalesce(F.col(out), F.lit(0)) + F.coalesce(p, F.lit(0)))
             elif kind == "max":
                 df = df.withColumn(out, F.greatest(F.col(out), p))
             else:
                 df = df.withColumn(out, F.coalesce(F.col(out), p))
-        drop = ["_cs", "_prev"] + [f"_ck_{k}" for k in self.keys]
-        drop += [f"_v{i}" for i in range(len(specs))] + [f"_p{i}" for i in range(len(specs))]
+        drop = ["__cs", "__seen"] + [f"__ck_{k}" for k in self.keys]
+        drop += [f"__v{i}" for i in range(len(specs))] + [f"__p{i}" for i in range(len(specs))]
         self.df = df.drop(*drop)
         return self
 

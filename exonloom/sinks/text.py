@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import naming as N
 from ..functions import sequence as S
 from ..operators.models import cds_phase, valid_models
+from ..scale import computed_once
 
 # Feature order inside one start position of a sorted GFF3 file.
 FEATURE_RANK = ["gene", "mRNA", "transcript", "tRNA", "ncRNA", "rRNA", "pseudogene", "five_prime_UTR", "five_prime_utr", "exon", "three_prime_UTR",
@@ -60,7 +61,7 @@ def _maybe(key: str, values: Column) -> Column:
 
 def gff3_lines(models: DataFrame, utrs: bool = True, tpm: bool = False) -> DataFrame:
     """K1/K3: gene, transcript, UTR, exon and CDS lines with running phase."""
-    ok = valid_models(models)
+    ok = computed_once(valid_models(models), "_u", S.utr_parts(F.col("exons"), F.col("cds"), F.col("strand")))
     ctg, src, st = F.col("contig"), F.col("source"), F.col("strand")
     none = F.array().cast("array<string>")
     syn = F.coalesce("synonyms", none)
@@ -75,7 +76,7 @@ def gff3_lines(models: DataFrame, utrs: bool = True, tpm: bool = False) -> DataF
     head = F.array(_row(ctg, src, F.col("type"), F.col("gene_start"), F.col("gene_end"), st, F.lit("."), tattr))
     turn = lambda a: F.when(st == "-", F.reverse(F.array_sort(a))).otherwise(F.array_sort(a))
     sub = lambda arr, feat, suffix: F.transform(arr, lambda e, i: _row(ctg, src, F.lit(feat), e["start"], e["end"], st, F.lit("."), F.concat(F.lit("ID="), "tx_id", F.lit(suffix), i + 1, F.lit(";Parent="), "tx_id", F.lit(";"))))
-    u = S.utr_parts(F.col("exons"), F.col("cds"), st)
+    u = F.col("_u")
     has = (F.size("cds") > 0) & F.lit(utrs)
     empty = F.array().cast("array<string>")
     five = F.when(has, sub(turn(u["five"]), "five_prime_UTR", ".utr5p")).otherwise(empty)
@@ -84,7 +85,7 @@ def gff3_lines(models: DataFrame, utrs: bool = True, tpm: bool = False) -> DataF
     cds = F.transform(cds_phase(F.col("cds"), st, F.coalesce("codon_start", F.lit(1))),
                       lambda c: _row(ctg, src, F.lit("CDS"), c["start"], c["end"], st, c["phase"].cast("string"), F.concat(F.lit("ID="), "tx_id", F.lit(".cds;Parent="), "tx_id", F.lit(";"))))
     cds = F.when(F.col("type") == "mRNA", cds).otherwise(empty)
-    body = ok.select("contig", "gene_start", "gene_id", "tx_id", F.posexplode(F.concat(head, five, exon, three, cds)).alias("ord", "line"))
+    body = ok.select("contig", "gene_start", "gene_id", "tx_id", F.posexplode_outer(F.concat(head, five, exon, three, cds)).alias("ord", "line"))
     return genes.unionByName(body)
 
 
@@ -114,7 +115,7 @@ def gtf_lines(models: DataFrame) -> DataFrame:
     exon = F.transform(turn, lambda e: _row(ctg, src, F.lit("exon"), e["start"], e["end"], st, F.lit("."), at, zero))
     none = F.array().cast("array<string>")
     rows = F.concat(F.coalesce(start, none), cds, F.coalesce(stop, none), exon)
-    return ok.select("contig", "gene_start", "gene_id", "tx_id", F.posexplode(rows).alias("ord", "line"))
+    return ok.select("contig", "gene_start", "gene_id", "tx_id", F.posexplode_outer(rows).alias("ord", "line"))
 
 
 def write_gtf(models: DataFrame, path: str) -> None:
@@ -224,7 +225,7 @@ def write_hints(hints: DataFrame, path: str) -> None:
 
 def alignment_lines(expanded: DataFrame) -> DataFrame:
     """K8: one line per aligned exon with its target range."""
-    rows = expanded.select("target", "query", "strand", "pident", F.explode("exons").alias("e"))
+    rows = expanded.select("target", "query", "strand", "pident", F.explode_outer("exons").alias("e"))
     at = F.concat(F.lit("ID="), "query", F.lit(";Target="), "query", F.lit(" "), F.col("e.qstart"), F.lit(" "), F.col("e.qend"))
     return rows.select(F.col("target").alias("contig"), F.col("e.start").alias("start"), "query", F.concat_ws(
         "\t", "target", F.lit("genome"), F.lit("cDNA_match"), "e.start", "e.end", F.format_string("%.2f", "pident"), "strand", F.lit("."), at).alias("line"))
@@ -294,12 +295,12 @@ def splice_sites(models: DataFrame) -> DataFrame:
     """0-based donor/acceptor pairs of multi-exon transcripts."""
     n = F.size("exons")
     pair = F.zip_with(F.slice("exons", 1, n - 1), F.slice("exons", 2, n - 1), lambda l, r: F.struct((l["end"] - 1).alias("left"), (r["start"] - 1).alias("right")))
-    return models.where(n > 1).select("tx_id", "contig", "strand", F.explode(pair).alias("p")).select("tx_id", "contig", "p.left", "p.right", "strand").distinct()
+    return models.where(n > 1).select("tx_id", "contig", "strand", F.explode_outer(pair).alias("p")).select("tx_id", "contig", "p.left", "p.right", "strand").distinct()
 
 
 def exon_rows(models: DataFrame) -> DataFrame:
     """0-based exon ends."""
-    return models.where(F.size("exons") > 1).select("tx_id", "contig", "strand", F.explode("exons").alias("e")).select(
+    return models.where(F.size("exons") > 1).select("tx_id", "contig", "strand", F.explode_outer("exons").alias("e")).select(
         "tx_id", "contig", (F.col("e.start") - 1).alias("left"), (F.col("e.end") - 1).alias("right"), "strand")
 
 
@@ -319,7 +320,7 @@ def training_rows(models: DataFrame) -> DataFrame:
     plus = F.col("strand") == "+"
     ordered = F.when(plus, F.array_sort("cds")).otherwise(F.reverse(F.array_sort("cds")))
     n = F.size("cds")
-    rows = models.where("type = 'mRNA'").select("contig", "tx_id", "strand", n.alias("n"), F.posexplode(ordered).alias("i", "c"))
+    rows = models.where("type = 'mRNA'").select("contig", "tx_id", "strand", n.alias("n"), F.posexplode_outer(ordered).alias("i", "c")).where("c is not null")
     label = F.when(F.col("i") == 0, "Einit").when(F.col("i") == F.col("n") - 1, "Eterm").otherwise("Exon")
     return rows.select("contig", "tx_id", (F.col("i") + 1).alias("no"), label.alias("label"), F.when(F.col("strand") == "+", F.col("c.start")).otherwise(F.col("c.end")).alias("from_pos"),
                        F.when(F.col("strand") == "+", F.col("c.end")).otherwise(F.col("c.start")).alias("to_pos"))

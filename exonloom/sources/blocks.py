@@ -73,9 +73,9 @@ def read_tbl(spark: SparkSession, path) -> DataFrame:
     blocks = read_blocks(spark, path, "\n>Feature ")
     text = F.regexp_replace("value", "^>Feature ", "")
     contig = F.trim(F.regexp_replace(F.substring_index(text, "\n", 1), r"\s.*$", ""))
-    genes = blocks.select(contig.alias("contig"), F.posexplode(F.split(text, r"\n(?=[<>]?\d+\t[<>]?\d+\tgene\s)")).alias("gene_no", "g")).where("gene_no > 0")
+    genes = blocks.select(contig.alias("contig"), F.posexplode_outer(F.split(text, r"\n(?=[<>]?\d+\t[<>]?\d+\tgene\s)")).alias("gene_no", "g")).where("gene_no > 0")
     locus = F.regexp_extract("g", r"(?m)^\t\t\tlocus_tag\t(.*)$", 1)
-    feats = genes.select("contig", "gene_no", locus.alias("gene_id"), F.posexplode(F.split("g", r"\n(?=[<>]?\d+\t[<>]?\d+\t\w)")).alias("feat_no", "f"))
+    feats = genes.select("contig", "gene_no", locus.alias("gene_id"), F.posexplode_outer(F.split("g", r"\n(?=[<>]?\d+\t[<>]?\d+\t\w)")).alias("feat_no", "f"))
     kind = F.regexp_extract("f", r"^[<>]?\d+\t[<>]?\d+\t(\w+)", 1)
     first = F.regexp_extract("f", r"^[<>]?(\d+)\t[<>]?(\d+)", 1).cast("long")
     second = F.regexp_extract("f", r"^[<>]?(\d+)\t[<>]?(\d+)", 2).cast("long")
@@ -107,7 +107,7 @@ def read_genbank(spark: SparkSession, path) -> DataFrame:
 
 def genbank_features(records: DataFrame) -> DataFrame:
     """Features with parts, strand, and qualifiers; ids by the usual fallback chain."""
-    feats = records.select("record", F.posexplode(F.split(F.regexp_replace("table", "^ {5}", ""), r"\n {5}(?=\S)")).alias("feat_no", "f"))
+    feats = records.select("record", F.posexplode_outer(F.split(F.regexp_replace("table", "^ {5}", ""), r"\n {5}(?=\S)")).alias("feat_no", "f"))
     kind = F.regexp_extract("f", r"^(\S+)", 1)
     loc = F.regexp_replace(F.regexp_extract("f", r"(?s)^\S+\s+(.*?)(?=\n {21}/|$)", 1), r"\s", "")
     body = F.regexp_extract("f", r"(?s)\n {21}(/.*)$", 1)
@@ -177,7 +177,7 @@ def read_zff(spark: SparkSession, path) -> DataFrame:
     """Exon parts per predicted model; ids in order of the model number."""
     b = read_blocks(spark, path, "\n>").withColumn("value", F.regexp_replace("value", "^>", ""))
     contig = F.trim(F.substring_index("value", "\n", 1))
-    rows = b.select(contig.alias("contig"), F.explode(F.split("value", "\n")).alias("l"))
+    rows = b.select(contig.alias("contig"), F.explode_outer(F.split("value", "\n")).alias("l"))
     p = F.split(F.trim("l"), r"\s+")
     c = F.col("p")
     return rows.select("contig", p.alias("p")).where(F.size("p") >= 9).select(
@@ -196,7 +196,7 @@ def read_exonerate(spark: SparkSession, path, mode: str = "prot") -> DataFrame:
     target = F.regexp_extract("value", r"(?m)\sgene\s.*sequence (\S+)", 1)
     pid = F.regexp_extract("value", r"AveragePercentIdentity:\s*(\S+)", 1)
     rows = b.select(target.alias("target"), pid.alias("per_id"), pos.alias("pos"), ln.alias("len"), grab(1).alias("ctg"), grab(4).alias("st"),
-                    F.posexplode(F.arrays_zip(grab(2).alias("a"), grab(3).alias("b"))).alias("i", "e"))
+                    F.posexplode_outer(F.arrays_zip(grab(2).alias("a"), grab(3).alias("b"))).alias("i", "e")).where("e is not null")
     rel = F.coalesce(F.get("pos", F.col("i")).cast("long"), F.lit(0).cast("long"))
     rlen = F.coalesce(F.get("len", F.col("i")).cast("long"), F.lit(0).cast("long"))
     step = F.floor(rlen / 3) if mode == "prot" else rlen
@@ -223,5 +223,5 @@ def read_discrepancies(spark: SparkSession, path) -> DataFrame:
     b = read_blocks(spark, path, "\nDiscRep_").withColumn("value", F.regexp_replace("value", "^DiscRep_", ""))
     sec = F.regexp_extract("value", r"^(\w+:\w+)::", 1)
     reason = F.regexp_extract("value", r"^\w+:\w+::(.*)", 1)
-    rows = b.where(sec != "").select(sec.alias("section"), F.trim(reason).alias("reason"), F.explode(F.regexp_extract_all("value", F.lit(r"(?m)^genome:(.*)$"), F.lit(1))).alias("item"))
+    rows = b.where(sec != "").select(sec.alias("section"), F.trim(reason).alias("reason"), F.explode_outer(F.regexp_extract_all("value", F.lit(r"(?m)^genome:(.*)$"), F.lit(1))).alias("item")).where("item is not null")
     return rows.select("section", "reason", F.col("item").startswith("tRNA").alias("is_trna"), F.trim(F.substring_index("item", "\t", -1)).alias("gene_id"))

@@ -24,7 +24,7 @@ def renumber_predictions(features: DataFrame, anchor: str, gene_base: str, tx_ba
     mrna = top.select("contig", F.lit("mRNA").alias("feature"), "start", "end", "strand", F.lit(None).cast("int").alias("phase"), F.col("tx_id").alias("id"), F.col("gene_id").alias("parent"), F.col("old_id").alias("alias"))
     cds = clean.where("feature = 'CDS'").select(F.col("parent").alias("old_id"), "start", "end", "phase").join(top.select("old_id", "tx_id", "contig", "strand"), "old_id")
     ranked = Slabs(cds, ["tx_id"], ["start", "end"]).scan(("_i", "sum", F.lit(1).cast("long"), True)).result()
-    both = F.explode(F.array(
+    both = F.explode_outer(F.array(
         F.struct(F.lit("exon").alias("feature"), F.lit(None).cast("int").alias("phase"), F.concat("tx_id", F.lit(".exon"), "_i").alias("id")),
         F.struct(F.lit("CDS").alias("feature"), F.col("phase").cast("int").alias("phase"), F.concat("tx_id", F.lit(".cds")).alias("id"))))
     kids = ranked.select("contig", "start", "end", "strand", "tx_id", both.alias("x")).select(

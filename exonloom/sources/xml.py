@@ -36,9 +36,9 @@ def read_interproscan_xml(spark: SparkSession, path) -> DataFrame:
     empty = F.array().cast("array<" + _ENTRY + ">")
     sigs = F.concat(*[F.coalesce(F.transform(F.col(f"matches.`{k}`"), lambda m: m["signature"]), empty) for k in MATCH_KINDS])
     rows = p.select(F.transform("xref", lambda x: x["_id"]).alias("ids"), F.transform(sigs, lambda s: s["entry"]).alias("entries"))
-    ents = rows.select(F.explode("ids").alias("id"), F.explode("entries").alias("e")).where("e is not null")
+    ents = rows.select(F.explode_outer("ids").alias("id"), F.explode_outer("entries").alias("e")).where("e is not null and id is not null")
     ipr = ents.where("e._ac is not null").select("id", F.lit("InterPro").alias("kind"), F.col("e._ac").alias("term"), F.lit(None).cast("string").alias("category"), F.lit(None).cast("string").alias("name"))
-    go = ents.select("id", F.explode("e.`go-xref`").alias("g")).select("id", F.lit("GO").alias("kind"), F.col("g._id").alias("term"), F.lower(F.replace(F.col("g._category"), F.lit("_"), F.lit(" "))).alias("category"), F.col("g._name").alias("name"))
+    go = ents.select("id", F.explode_outer("e.`go-xref`").alias("g")).where("g is not null").select("id", F.lit("GO").alias("kind"), F.col("g._id").alias("term"), F.lower(F.replace(F.col("g._category"), F.lit("_"), F.lit(" "))).alias("category"), F.col("g._name").alias("name"))
     return ipr.unionByName(go).distinct()
 
 
