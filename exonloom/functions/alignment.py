@@ -19,45 +19,36 @@ def is_canonical_splice(intron: Column, strand: Column) -> Column:
 def expand_cs(alignments: DataFrame) -> DataFrame:
     """exon blocks with query spans, identity and splice flag of every alignment.
 
-    Matches advance both sides, insertions the query, introns the target; the
-    splice flag is that of the last intron, true without introns.
+    The string is cut at its introns; matches of a segment advance both sides and
+    insertions the query. The splice flag is that of the last intron, true without one.
     """
-    tok = r"([:*+~-])([0-9A-Za-z]+)"
-    ops, args = (F.regexp_extract_all("cs", F.lit(tok), F.lit(i)) for i in (1, 2))
-    strand = F.when(F.col("flag") == 0, "+").otherwise("-")
-    base = alignments.withColumn("strand", strand).withColumn("_t", F.zip_with(ops, args, lambda o, a: F.struct(o.alias("o"), a.alias("a"))))
-    longs = F.array().cast("array<bigint>")
+    total = lambda xs: F.aggregate(xs, F.lit(0).cast("bigint"), lambda acc, x: acc + x.cast("bigint"))
+    intron = r"~([a-z]{2}\d+[a-z]{2})"
+    segs = F.split("cs", "~[a-z]{2}[0-9]+[a-z]{2}", -1)
+    base = alignments.withColumn("strand", F.when(F.col("flag") == 0, "+").otherwise("-"))
+    cut = computed_once(base, "_c", F.struct(
+        F.transform(segs, lambda g: F.struct(total(F.regexp_extract_all(g, F.lit(r":(\d+)"), F.lit(1))).alias("m"),
+                                             F.length(F.array_join(F.regexp_extract_all(g, F.lit(r"\+([a-z]+)"), F.lit(1)), "")).cast("bigint").alias("i"))).alias("seg"),
+        F.transform(F.regexp_extract_all("cs", F.lit(r"~[a-z]{2}(\d+)[a-z]{2}"), F.lit(1)), lambda x: x.cast("bigint")).alias("gap"),
+        F.get(F.reverse(F.regexp_extract_all("cs", F.lit(intron), F.lit(1))), F.lit(0)).alias("last")))
+    seg, gap, n = F.col("_c.seg"), F.col("_c.gap"), F.col("seq_len")
     zero = F.lit(0).cast("bigint")
-    init = F.struct(F.col("pos").cast("bigint").alias("p"), zero.alias("q"), zero.alias("m"), zero.alias("g"), F.lit(True).alias("ok"), longs.alias("ex"), longs.alias("qx"))
-
-    def step(s, t):
-        o, a = t["o"], t["a"]
-        n = F.when(o == ":", a.try_cast("bigint")).otherwise(zero)
-        intron = F.when(o == "~", F.regexp_extract(a, r"(\d+)", 1).try_cast("bigint")).otherwise(zero)
-        p = s["p"] + n
-        q = s["q"] + n + F.when(o == "+", F.length(a)).otherwise(0)
-        cut = o == "~"
-        return F.struct(
-            (p + intron).alias("p"), q.cast("bigint").alias("q"), (s["m"] + n).alias("m"), (s["g"] + F.when(o.isin("-", "+"), 1).otherwise(0)).cast("bigint").alias("g"),
-            F.when(cut, is_canonical_splice(a, F.col("strand"))).otherwise(s["ok"]).alias("ok"),
-            F.when(cut, F.concat(s["ex"], F.array(p, p + intron))).otherwise(s["ex"]).alias("ex"),
-            F.when(cut, F.concat(s["qx"], F.array(q, q + 1).cast("array<bigint>"))).otherwise(s["qx"]).alias("qx"))
-
-    done = computed_once(base, "_s", F.aggregate("_t", init, step))
-    ex = F.concat(F.array(F.col("pos").cast("bigint")), F.col("_s.ex"), F.array(F.col("_s.p")))
-    qx = F.concat(F.array(F.lit(1).cast("bigint")), F.col("_s.qx"), F.array(F.col("seq_len").cast("bigint")))
-    n = F.col("seq_len")
-    def block(i):
-        a, b = F.get(F.col("_ex"), (i * 2).cast("int")), F.get(F.col("_ex"), (i * 2 + 1).cast("int")) - 1
-        qa, qb = F.get(F.col("_qx"), (i * 2).cast("int")), F.get(F.col("_qx"), (i * 2 + 1).cast("int"))
+    def block(x, i):
+        before = F.slice(seg, 1, i)
+        m0 = F.aggregate(before, zero, lambda acc, y: acc + y["m"])
+        q0 = F.aggregate(before, zero, lambda acc, y: acc + y["m"] + y["i"])
+        start = F.col("pos") + m0 + F.aggregate(F.slice(gap, 1, i), zero, lambda acc, y: acc + y)
+        qa = q0 + 1
+        qb = F.when(i == F.size(seg) - 1, n).otherwise(q0 + x["m"] + x["i"])
         plus = F.col("strand") == "+"
-        return F.struct(a.alias("start"), b.alias("end"), F.when(plus, qa).otherwise(n - qb + 1).alias("qstart"), F.when(plus, qb).otherwise(n - qa + 1).alias("qend"))
-    idx = F.sequence(F.lit(0), (F.size("_ex") / 2).cast("int") - 1)
-    wide = done.withColumn("_ex", ex).withColumn("_qx", qx)
-    m, g = F.col("_s.m"), F.col("_s.g")
-    keep = [c for c in alignments.columns]
-    return wide.select(*keep, "strand", F.transform(idx, block).alias("exons"), m.alias("matches"), g.alias("gaps"), F.col("_s.ok").alias("proper_splice"),
-                       (F.lit(100.0) * m / (m + F.col("nm") - g)).alias("pident"))
+        return F.struct(start.alias("start"), (start + x["m"] - 1).alias("end"), F.when(plus, qa).otherwise(n - qb + 1).alias("qstart"),
+                        F.when(plus, qb).otherwise(n - qa + 1).alias("qend"))
+    matches = F.aggregate(seg, zero, lambda acc, y: acc + y["m"])
+    gaps = (F.length("cs") - F.length(F.translate("cs", "+-", ""))).cast("bigint")
+    wide = computed_once(cut, "_m", matches).withColumn("_g", gaps)
+    return wide.select(*alignments.columns, "strand", F.transform(seg, block).alias("exons"), F.col("_m").alias("matches"), F.col("_g").alias("gaps"),
+                       F.coalesce(is_canonical_splice(F.col("_c.last"), F.col("strand")), F.lit(True)).alias("proper_splice"),
+                       (F.lit(100.0) * F.col("_m") / (F.col("_m") + F.col("nm") - F.col("_g"))).alias("pident"))
 
 
 def filter_spliced(expanded: DataFrame, min_pident: float = 80.0, relabel_at: float = 95.0) -> DataFrame:

@@ -252,16 +252,19 @@ def best_overlap_join(new: DataFrame, old: DataFrame, keys=("contig",), layout:
 def drop_contained(models: DataFrame, keys=("contig", "strand"), score: str = "score", name: str = "name") -> DataFrame:
     """Drop models inside another of the same strand; equal spans keep the best score.
 
-    In (start, longest first) order a span is contained exactly when an earlier
-    one reaches its end, so one running maximum replaces the self-join.
+    A span survives exactly when it is the longest of its start and no earlier start
+    reaches its end, so one running maximum replaces the self-join. Scores are looked
+    at only for the spans that are left.
     """
     keys = list(keys)
-    best = models.groupBy(*keys, "start", "end").agg(
-        F.max(F.struct(F.col(score), F.col(name))).alias("_m"))
-    scanned = Slabs(best, keys, ["start", F.col("end").desc()]).scan(("_reach", "max", F.col("end"), False)).result()
-    keep = scanned.where("_reach is null or _reach < `end`").select(
-        *keys, "start", "end", F.col(f"_m.{name}").alias(name))
-    return models.join(keep, keys + ["start", "end", name], "left_semi")
+    longest = models.groupBy(*keys, "start").agg(F.max("end").alias("end"))
+    scanned = Slabs(longest, keys, ["start"]).scan(("_reach", "max", F.col("end"), False)).result()
+    keep = scanned.where("_reach is null or _reach < `end`").select(*keys, "start", "end")
+    spans = keys + ["start", "end"]
+    rest = [c for c in models.columns if c not in spans]
+    best = (models.join(keep, spans, "left_semi").groupBy(*spans)
+            .agg(F.max_by(F.struct(*rest), F.struct(score, name)).alias("_m")))
+    return best.select(*[F.col(c) if c in spans else F.col(f"_m.{c}").alias(c) for c in models.columns])
 
 
 def assign_clusters(genes: DataFrame, clusters: DataFrame, keys=("contig",), layout: Layout | None = None,

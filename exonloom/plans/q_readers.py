@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions import alignment as AL
 from ..operators import models as M
-from ..scale import scratch_path
+from ..scale import scratch_path, spread
 from ..sinks import text as K
 from ..sources import blocks as B
 from ..sources import lines as L
@@ -165,7 +165,8 @@ def sam_text(t):
     cs = F.concat(F.lit("cs:Z::"), C("l_linenumber") * 10, F.repeat(F.lit("*ac"), mm), ends, F.lit(":20+gg-t:5"))
     n = C("l_linenumber") * 10 + 27 + mm
     v = tab(F.concat_ws(".", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), flag, F.concat(F.lit("ctg"), "l_suppkey"), C("l_partkey") + 1, "60", "*", "*", "0", "0", F.repeat(F.lit("A"), n), "*", F.concat(F.lit("NM:i:"), mm + 2), cs)
-    return t.lineitem.select(v.alias("value"))
+    li = spread(t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_linestatus", "l_quantity", "l_tax"))
+    return li.select(v.alias("value"))
 
 
 @query("s11_read_sam", f"with {CS} select query, flag, target, pos, n as seq_len, cast(mm + 2 as int) as nm from ok")

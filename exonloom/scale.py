@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-SMALL_BYTES = 32 * 1024 * 1024
+SMALL_BYTES = 128 * 1024 * 1024
 SMALL_CONF = "spark.exonloom.smallBytes"
 
 

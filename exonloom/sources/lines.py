@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scale import computed_once
+
 # Feature kinds that gene models are built from.
 MODEL_FEATURES = ["gene", "mRNA", "exon", "CDS", "tRNA", "ncRNA", "rRNA", "pseudogene", "five_prime_UTR", "five_prime_utr",
                   "three_prime_UTR", "three_prime_utr", "transcript"]
@@ -29,6 +31,11 @@ def _data(df: DataFrame, comment: str = "#") -> DataFrame:
     return df.where((F.trim("value") != "") & ~F.col("value").startswith(comment))
 
 
+def _cells(df: DataFrame, cells: Column) -> DataFrame:
+    """The split line as column ``p``, split exactly once per line."""
+    return computed_once(df.select("value"), "p", cells).select("p")
+
+
 def _col(parts: Column, i: int, kind: str | None = None) -> Column:
     c = F.get(parts, F.lit(i))
     return c.try_cast(kind) if kind else c
@@ -53,7 +60,7 @@ def _list(c: Column) -> Column:
 def parse_gff3(df: DataFrame) -> DataFrame:
     """S3: nine columns with typed attributes; comments and short lines dropped."""
     p = F.split("value", "\t")
-    base = _data(df).select(p.alias("p")).where(F.size("p") == 9)
+    base = _cells(_data(df), p).where(F.size("p") == 9)
     info = F.transform(F.split(_col(F.col("p"), 8), ";"), lambda x: F.trim(x))
     c = F.col("p")
     rows = base.select(
@@ -76,7 +83,7 @@ def read_gff3(spark: SparkSession, path) -> DataFrame:
 def parse_gtf(df: DataFrame) -> DataFrame:
     """Gene and transcript ids and TPM from quoted attributes."""
     p = F.split("value", "\t")
-    base = _data(df).select(p.alias("p")).where(F.size("p") == 9)
+    base = _cells(_data(df), p).where(F.size("p") == 9)
     c = F.col("p")
     a = _col(c, 8)
     get = lambda k: F.nullif(F.regexp_extract(a, rf'(?:^|;)\s*{k} "?([^";]*)"?', 1), F.lit(""))
@@ -98,7 +105,7 @@ def parse_bed(df: DataFrame) -> DataFrame:
     """Three or four columns; 0-based starts become 1-based closed spans."""
     p = F.split("value", "\t")
     c = F.col("p")
-    return _data(df).select(p.alias("p")).where(F.size("p") >= 3).select(
+    return _cells(_data(df), p).where(F.size("p") >= 3).select(
         _col(c, 0).alias("contig"), (_col(c, 1, "long") + 1).alias("start"), _col(c, 2, "long").alias("end"), _col(c, 3).alias("name"))
 
 
@@ -112,7 +119,7 @@ def parse_sam(df: DataFrame) -> DataFrame:
     c = F.col("p")
     tags = F.slice(c, 12, F.greatest(F.size(c) - 11, F.lit(0)))
     tag = lambda k: F.get(F.reverse(F.filter(tags, lambda x: x.startswith(k))), F.lit(0))
-    rows = df.where(~F.col("value").startswith("@")).select(p.alias("p")).where(F.size("p") > 11)
+    rows = _cells(df.where(~F.col("value").startswith("@")), p).where(F.size("p") > 11)
     out = rows.select(_col(c, 0).alias("query"), _col(c, 1, "int").alias("flag"), _col(c, 2).alias("target"), _col(c, 3, "long").alias("pos"),
                       F.length(_col(c, 9)).cast("long").alias("seq_len"), F.regexp_replace(tag("cs:"), "^cs:Z:", "").alias("cs"),
                       F.substring_index(tag("NM:"), ":", -1).try_cast("int").alias("nm"))
@@ -140,7 +147,7 @@ def parse_paf(df: DataFrame) -> DataFrame:
     c = F.col("p")
     ints = {"qlen", "qstart", "qend", "tlen", "tstart", "tend", "matches", "alnlen", "mapq"}
     de = F.get(F.filter(c, lambda x: x.startswith("de:f:")), F.lit(0))
-    return df.select(p.alias("p")).where(F.size("p") >= 12).select(
+    return _cells(df, p).where(F.size("p") >= 12).select(
         *[_col(c, i, "long" if n in ints else None).alias(n) for i, n in enumerate(PAF_COLUMNS)], F.substring_index(de, ":", -1).try_cast("double").alias("de"))
 
 
@@ -153,7 +160,7 @@ def parse_blast_tab(df: DataFrame, columns: list[str] = BLAST_TAB_14) -> DataFra
     p = F.split("value", "\t")
     c = F.col("p")
     kind = lambda n: None if n.endswith("seqid") else ("double" if n in ("pident", "evalue", "score", "qcovhsp") else "long")
-    return _data(df).select(p.alias("p")).where(F.size("p") >= len(columns)).select(*[_col(c, i, kind(n)).alias(n) for i, n in enumerate(columns)])
+    return _cells(_data(df), p).where(F.size("p") >= len(columns)).select(*[_col(c, i, kind(n)).alias(n) for i, n in enumerate(columns)])
 
 
 def read_blast_tab(spark: SparkSession, path, columns: list[str] = BLAST_TAB_14) -> DataFrame:
@@ -164,7 +171,7 @@ def parse_domtblout(df: DataFrame) -> DataFrame:
     """One row per domain hit; many files with headers and footers are just many lines."""
     p = F.split(F.trim("value"), r"\s+", 23)
     c = F.col("p")
-    return _data(df).select(p.alias("p")).where(F.size("p") >= 22).select(
+    return _cells(_data(df), p).where(F.size("p") >= 22).select(
         _col(c, 0).alias("target"), _col(c, 1).alias("target_acc"), _col(c, 2, "int").alias("target_len"), _col(c, 3).alias("query"), _col(c, 4).alias("query_acc"),
         _col(c, 5, "int").alias("query_len"), _col(c, 6, "double").alias("evalue"), _col(c, 7, "double").alias("score"), _col(c, 9, "int").alias("domain_no"),
         (_col(c, 15, "int") - 1).alias("hmm_start"), _col(c, 16, "int").alias("hmm_end"), (_col(c, 17, "int") - 1).alias("ali_start"), _col(c, 18, "int").alias("ali_end"))
@@ -191,7 +198,7 @@ def parse_eggnog(df: DataFrame, header: str | None) -> DataFrame:
             where[key] = found[-1] if found else None
     c = F.col("p")
     cell = lambda k: _col(c, where[k]) if where.get(k) is not None else F.lit("")
-    return _data(df).select(F.split("value", "\t").alias("p")).select(*[F.coalesce(cell(k), F.lit("")).alias(k) for k in ("query", "ogs", "tax", "symbol", "cogs", "ec", "description")])
+    return _cells(_data(df), F.split("value", "\t")).select(*[F.coalesce(cell(k), F.lit("")).alias(k) for k in ("query", "ogs", "tax", "symbol", "cogs", "ec", "description")])
 
 
 def read_eggnog(spark: SparkSession, path) -> DataFrame:
@@ -214,10 +221,10 @@ def parse_signalp(df: DataFrame, version: int) -> DataFrame:
     data = _data(df)
     if version < 5:
         c = F.col("p")
-        return data.select(F.split(F.trim("value"), r"\s+").alias("p")).where(_col(c, 9) == "Y").select(
+        return _cells(data, F.split(F.trim("value"), r"\s+")).where(_col(c, 9) == "Y").select(
             _col(c, 0).alias("id"), (_col(c, 2, "int") - 1).cast("string").alias("end"), F.lit("").alias("cut"), F.lit("").alias("prob"))
     c, k = F.col("p"), F.col("k")
-    rows = data.select(F.split("value", "\t").alias("p")).where((F.size("p") >= 5) & (_col(c, 1) != "OTHER"))
+    rows = _cells(data, F.split("value", "\t")).where((F.size("p") >= 5) & (_col(c, 1) != "OTHER"))
     parts = rows.select(_col(c, 0).alias("id"), F.split(F.trim(_col(c, 4)), r"\s+").alias("k"))
     cut = F.replace(_col(k, 3), F.lit("."), F.lit("")) if version == 5 else F.lit("")
     pid = F.substring_index("id", " ", 1) if version >= 6 else F.col("id")
@@ -238,7 +245,7 @@ def parse_phobius(df: DataFrame) -> DataFrame:
     """Tab or blank separated short format."""
     c = F.col("p")
     keep = ~F.col("value").startswith("ID") & ~F.col("value").startswith("SEQ") & (F.trim("value") != "")
-    return df.where(keep).select(F.split(F.trim("value"), r"\s+").alias("p")).where(F.size("p") >= 4).select(
+    return _cells(df.where(keep), F.split(F.trim("value"), r"\s+")).where(F.size("p") >= 4).select(
         _col(c, 0).alias("id"), _col(c, 1, "int").alias("tm"), _col(c, 2).alias("sp"), _col(c, 3).alias("prediction"))
 
 
@@ -249,7 +256,7 @@ def read_phobius(spark: SparkSession, path) -> DataFrame:
 def parse_busco(df: DataFrame, mode: str = "genome") -> DataFrame:
     """Seven genome columns or five protein columns; missing ones stay as null cells."""
     c = F.col("p")
-    base = _data(df).select(F.split("value", "\t").alias("p"))
+    base = _cells(_data(df), F.split("value", "\t"))
     if mode == "genome":
         return base.select(_col(c, 0).alias("busco"), _col(c, 1).alias("status"), _col(c, 2).alias("contig"), _col(c, 3, "long").alias("start"),
                            _col(c, 4, "long").alias("end"), _col(c, 5, "double").alias("score"), _col(c, 6, "long").alias("length"))
@@ -267,7 +274,7 @@ def parse_lookup(df: DataFrame, kind: str) -> DataFrame:
         head = df.where(F.col("value").startswith(">")).select(F.regexp_replace("value", "^>", "").alias("v"))
         return head.select(F.trim(F.substring_index("v", " ", 1)).alias("term"), F.trim(F.substring_index("v", "#", -1)).alias("description"))
     sep, at = {"interpro": ("\t", 2), "pfam": ("\t", 4), "curated": ("\t", 1), "factors": (",", 1), "eggnog": ("\t", 1)}[kind]
-    out = _data(df).select(F.split("value", sep).alias("p")).where(F.size("p") > at).select(_col(c, 0).alias("term"), F.trim(_col(c, at)).alias("description"))
+    out = _cells(_data(df), F.split("value", sep)).where(F.size("p") > at).select(_col(c, 0).alias("term"), F.trim(_col(c, at)).alias("description"))
     return out
 
 
@@ -278,7 +285,7 @@ def read_lookup(spark: SparkSession, kind: str, path) -> DataFrame:
 def parse_custom_annotations(df: DataFrame) -> DataFrame:
     """Exactly three columns, others are skipped."""
     c = F.col("p")
-    return df.select(F.split(F.rtrim("value"), "\t").alias("p")).where(F.size("p") == 3).select(
+    return _cells(df, F.split(F.rtrim("value"), "\t")).where(F.size("p") == 3).select(
         _col(c, 0).alias("id"), _col(c, 1).alias("ref_db"), _col(c, 2).alias("value")).where("value != ''")
 
 
@@ -290,7 +297,7 @@ def parse_abundance(df: DataFrame) -> DataFrame:
     """S34."""
     c = F.col("p")
     data = _data(df).where(~F.col("value").startswith("target_id"))
-    return data.select(F.split("value", "\t").alias("p")).where(F.size("p") == 4).select(
+    return _cells(data, F.split("value", "\t")).where(F.size("p") == 4).select(
         _col(c, 0).alias("tx_id"), _col(c, 1).alias("gene_id"), _col(c, 2).alias("location"), _col(c, 3, "double").alias("tpm"))
 
 
@@ -302,7 +309,7 @@ def parse_trnascan(df: DataFrame, lo: int = 50, hi: int = 150) -> DataFrame:
     """Table rows of acceptable length; a minus strand is told by swapped ends."""
     c = F.col("p")
     skip = F.col("value").startswith("Sequence") | F.col("value").startswith("Name") | F.col("value").startswith("--------")
-    rows = _data(df).where(~skip).select(F.split("value", "\t").alias("p")).where(F.size("p") >= 5).select(
+    rows = _cells(_data(df).where(~skip), F.split("value", "\t")).where(F.size("p") >= 5).select(
         F.trim(_col(c, 0)).alias("contig"), F.trim(_col(c, 1)).alias("number"), F.trim(_col(c, 2)).cast("long").alias("a"), F.trim(_col(c, 3)).cast("long").alias("b"), F.trim(_col(c, 4)).alias("kind"))
     return rows.where(F.abs(F.col("b") - F.col("a")).between(lo, hi)).select(
         "contig", "number", F.least("a", "b").alias("start"), F.greatest("a", "b").alias("end"), F.when(F.col("a") < F.col("b"), "+").otherwise("-").alias("strand"), "kind")
