@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import sequence as S
+from ..scale import attach_row
 from .intervals import Layout, best_overlap_join, overlap_anti, overlap_semi
 
 
@@ -120,7 +121,7 @@ def compare_summary(diff: DataFrame, old: DataFrame, new: DataFrame) -> DataFram
         m, t = F.col("biotype") == "mRNA", F.col("biotype") == "tRNA"
         c = df.agg(F.count(F.lit(1)).alias("loci"), F.count_if(m).alias("mrna_loci"), F.coalesce(F.sum(F.when(m, F.col("n_tx"))), F.lit(0)).alias("mrna_tx"),
                    F.count_if(t).alias("trna_loci"), F.coalesce(F.sum(F.when(t, F.col("n_tx"))), F.lit(0)).alias("trna_tx"))
-        return c.join(d).select(F.lit(tag).alias("side"), "loci", "mrna_loci", "mrna_tx", "trna_loci", "trna_tx", F.col(unique).alias("unique"), "unchanged", "same_cds",
+        return attach_row(c, d).select(F.lit(tag).alias("side"), "loci", "mrna_loci", "mrna_tx", "trna_loci", "trna_tx", F.col(unique).alias("unique"), "unchanged", "same_cds",
                                 F.when(F.lit(is_ref), 0.0).otherwise(F.col("avg_mrna_aed")).alias("avg_mrna_aed"),
                                 F.when(F.lit(is_ref), 0.0).otherwise(F.col("avg_cds_aed")).alias("avg_cds_aed"))
     return side(old, "reference", "ref_unique", True).unionByName(side(new, "query", "query_unique", False))

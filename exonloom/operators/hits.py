@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions import naming as N
-from ..scale import Slabs, materialize
+from ..scale import Slabs, attach_row, materialize
 from .intervals import Layout, assign_islands, covered_length
 
 
@@ -227,7 +227,7 @@ def evidence_support(exons: DataFrame, evidence: DataFrame, frac: float = 0.9, l
     from .intervals import overlap_fraction
     n_all = exons.agg(F.count(F.lit(1)).alias("n_exons"))
     n_ok = overlap_fraction(exons, evidence, frac, layout=layout).agg(F.count(F.lit(1)).alias("n_supported"))
-    return n_all.join(n_ok).withColumn("pct", F.round(F.col("n_supported") * 100.0 / F.col("n_exons"), 2))
+    return attach_row(n_all, n_ok).withColumn("pct", F.round(F.col("n_supported") * 100.0 / F.col("n_exons"), 2))
 
 
 def name_by_region(models: DataFrame, hits: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import sequence as S
-from ..scale import broadcast_if_small, materialize, number_rows
+from ..scale import attach_row, broadcast_if_small, materialize, number_rows
 from ..sources.lines import MODEL_FEATURES
 from .intervals import Layout, assign_islands, flag_overlap, overlap_anti, overlap_fraction, overlap_join
 from .sequences import splice
@@ -208,7 +208,7 @@ def select_training(models: DataFrame, keep: DataFrame, gate: int = 200, layout:
     k = models.join(keep.select("gene_id").distinct().withColumn("_k", F.lit(True)), "gene_id", "left").withColumn("_k", F.coalesce("_k", F.lit(False)))
     multi = F.col("n_cds") > 1
     n = k.agg(F.count_if(F.col("_k")).alias("listed"), F.count_if(F.col("_k") & multi).alias("listed_multi"), F.count_if(multi).alias("multi"))
-    gated = k.join(n).withColumn("_need_k", F.col("listed") >= gate)
+    gated = attach_row(k, n).withColumn("_need_k", F.col("listed") >= gate)
     gated = gated.withColumn("_need_m", F.when(F.col("_need_k"), F.col("listed_multi") >= gate).otherwise(F.col("multi") >= gate))
     pool = gated.where((~F.col("_need_k") | F.col("_k")) & (~F.col("_need_m") | multi)).select("gene_id", "contig", "start", "end", "n_cds")
     spans = pool.groupBy("contig", "start", "end").agg(F.min(F.struct((-F.col("n_cds")).alias("k"), "gene_id")).alias("r"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import sequence as S
-from ..scale import Slabs
+from ..scale import Slabs, attach_row
 
 
 def assembly_stats(sequences: DataFrame) -> DataFrame:
@@ -65,7 +65,7 @@ def genome_summary(sequences: DataFrame, genes: DataFrame) -> DataFrame:
     """One row of assembly statistics joined with gene counts by biotype."""
     g = genes.agg(F.count(F.lit(1)).alias("genes"), F.count_if(F.col("biotype") == "mRNA").alias("proteins"),
                   F.count_if(F.col("biotype") == "tRNA").alias("trnas"))
-    return assembly_stats(sequences).join(n50_weighted(sequences)).join(g)
+    return attach_row(attach_row(assembly_stats(sequences), n50_weighted(sequences)), g)
 
 
 def reads_per_transcript(alignments: DataFrame, transcripts: DataFrame) -> DataFrame:

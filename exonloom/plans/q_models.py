@@ -75,6 +75,28 @@ def _(t):
     return m.select("gene_id", "tx_id", "contig", "strand", "name", "product", "gene_start", "gene_end", text("exons").alias("exons"), text("cds").alias("cds"), "codon_start")
 
 
+@query("k5_export_all", f"""with {GM} select kind, count(*) as n from (select 'gene' as kind, gene_id as id from gm union select 'mRNA', tx_id from gm) group by 1 union all select 'exon', count(*) from gm union all select 'CDS', count(*) from gm
+ union all select 'protein', count(distinct tx_id) from gm union all select 'tbl_CDS', count(distinct tx_id) from gm""")
+def _(t):
+    from ..scale import scratch_path
+    from ..sources import blocks as B
+    m = M.order_transcripts(gene_table(t))
+    seqs = m.groupBy(F.col("contig").alias("seq_id")).agg(F.repeat(F.lit("ACGT"), (F.max("gene_end") / 4 + 1).cast("int")).alias("seq"))
+    folder = scratch_path(t.spark, "export")
+    K.export_all(M.add_sequences(m, seqs), seqs, folder)
+    gff = L.read_gff3(t.spark, folder + "/gff3").where("feature in ('gene', 'mRNA', 'exon', 'CDS')").groupBy(F.col("feature").alias("kind"))
+    prot = B.read_fasta(t.spark, folder + "/proteins").select(F.lit("protein").alias("kind")).groupBy("kind")
+    tbl = B.read_tbl(t.spark, folder + "/tbl").where("kind = 'CDS'").select(F.lit("tbl_CDS").alias("kind")).groupBy("kind")
+    n = F.count(F.lit(1)).alias("n")
+    return gff.agg(n).unionByName(prot.agg(n)).unionByName(tbl.agg(n))
+
+
+@query("p13_filter_trna", """select p_partkey as number, p_partkey as "start", p_partkey + p_size * 4 as "end" from part where p_size * 4 between 50 and 150""")
+def _(t):
+    v = F.concat_ws("\t", F.lit("c1"), F.col("p_partkey").cast("string"), F.col("p_partkey").cast("string"), (F.col("p_partkey") + F.col("p_size") * 4).cast("string"), F.lit("Ala"))
+    return L.parse_trnascan(t.part.select(v.alias("value"))).select(F.col("number").cast("long").alias("number"), "start", "end")
+
+
 @query("p3_relabel_source", f"with {V.IV} select name, 'pasa' as source, contig from iv")
 def _(t):
     return L.relabel_source(V.iv(t), "pasa").select("name", "source", "contig")

@@ -58,6 +58,12 @@ def broadcast_if_small(df: DataFrame, limit: int = 64 * 1024 * 1024) -> DataFram
     return F.broadcast(df) if plan_bytes(df) <= limit else df
 
 
+def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Adds the columns of a one-row table through one scalar subquery, not a join."""
+    packed = df.withColumn("_row", one_row.select(F.struct(*one_row.columns)).scalar())
+    return packed.select(*df.columns, *[F.col(f"_row.{c}").alias(c) for c in one_row.columns])
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """Rows of a plain scan over all cores when it has fewer splits than cores.
 

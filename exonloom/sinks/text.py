@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import naming as N
 from ..functions import sequence as S
 from ..operators.models import cds_phase, valid_models
-from ..scale import computed_once
+from ..scale import computed_once, materialize
 
 # Feature order inside one start position of a sorted GFF3 file.
 FEATURE_RANK = ["gene", "mRNA", "transcript", "tRNA", "ncRNA", "rRNA", "pseudogene", "five_prime_UTR", "five_prime_utr", "exon", "three_prime_UTR",
@@ -201,7 +201,11 @@ def write_fasta(df: DataFrame, path: str, order: list | None = None, **kw) -> No
 
 
 def export_all(models: DataFrame, sequences: DataFrame, folder: str, transl_table: int = 1) -> None:
-    """K5: submission table, GFF3, GTF, protein, transcript, CDS and scaffold files."""
+    """K5: submission table, GFF3, GTF, protein, transcript, CDS and scaffold files.
+
+    Seven outputs share the models, so they are computed and written once first.
+    """
+    models = materialize(models, "models")
     write_tbl(models, sequences, f"{folder}/tbl", transl_table=transl_table)
     write_gff3(models, f"{folder}/gff3")
     write_gtf(models, f"{folder}/gtf")
