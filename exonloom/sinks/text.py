@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import naming as N
 from ..functions import sequence as S
+from ..operators.annotations import go_category
 from ..operators.models import cds_phase, valid_models
 from ..scale import computed_once, materialize
 
@@ -133,10 +134,18 @@ def _coord_lines(parts: Column, plus: Column, kind: Column, left: Column, right:
     return F.transform(ordered, one)
 
 
+def with_go_lines(models: DataFrame, terms: DataFrame) -> DataFrame:
+    """K4: adds ``go_lines``, the formatted GO qualifiers of every transcript."""
+    flat = models.select("tx_id", F.explode_outer("go").alias("go_id")).where("go_id is not null")
+    lines = go_category(flat, terms).groupBy("tx_id").agg(F.array_sort(F.collect_set("line")).alias("go_lines"))
+    return models.join(lines, "tx_id", "left")
+
+
 def tbl_blocks(models: DataFrame, transl_table: int = 1) -> DataFrame:
     """K4: one text block per gene: gene, mRNA and CDS features of its ranked transcripts.
 
-    Needs ``rank`` (see ``order_transcripts``), ``new_tx_id`` and the partial flags.
+    Needs ``rank`` (see ``order_transcripts``), ``new_tx_id`` and the partial flags;
+    ``go_lines`` (see ``with_go_lines``) are written when present.
     """
     ok = valid_models(models)
     st = F.col("strand") == "+"
@@ -146,20 +155,21 @@ def tbl_blocks(models: DataFrame, transl_table: int = 1) -> DataFrame:
     product = F.array(q("product", F.coalesce("product", F.lit("hypothetical protein"))))
     none = F.array().cast("array<string>")
     rep = lambda k, c: F.transform(F.coalesce(c, none), lambda x: F.concat(F.lit(f"\t\t\t{k}\t"), x))
-    func = F.concat(rep("EC_number", F.filter(F.coalesce("ec", none), lambda x: N.valid_ec(x))), rep("db_xref", F.col("dbxrefs")), rep("note", F.col("notes")))
+    go = F.transform(F.coalesce("go_lines", none), lambda x: F.concat(F.lit("\t\t\t"), x)) if "go_lines" in models.columns else none
+    func = F.concat(rep("EC_number", F.filter(F.coalesce("ec", none), lambda x: N.valid_ec(x))), rep("db_xref", F.col("dbxrefs")), go, rep("note", F.col("notes")))
     table = F.array(q("transl_table", F.lit(str(transl_table)))) if transl_table != 1 else none
     codon = F.array(q("codon_start", F.coalesce("codon_start", F.lit(1)).cast("string")))
     coding = F.concat(_coord_lines(F.col("exons"), st, F.lit("mRNA"), lt, gt), product, ids, _coord_lines(F.col("cds"), st, F.lit("CDS"), lt, gt), codon, table, func, product, ids)
     other = F.concat(_coord_lines(F.col("exons"), st, F.col("type"), F.lit(""), F.lit("")), product, F.when(F.col("product") == "tRNA-Xxx", F.array(F.lit("\t\t\tpseudo"))).otherwise(none))
     tx = ok.withColumn("_l", F.when(F.col("type") == "mRNA", coding).otherwise(other))
     g = tx.groupBy("gene_id").agg(
-        *[F.min(c).alias(c) for c in ("contig", "strand", "gene_start", "gene_end", "name")], F.bool_or("partial_start").alias("ps"), F.bool_or("partial_stop").alias("pe"),
+        *[F.min(c).alias(c) for c in ("contig", "strand", "gene_start", "gene_end", "name", "synonyms")], F.bool_or("partial_start").alias("ps"), F.bool_or("partial_stop").alias("pe"),
         F.sort_array(F.collect_list(F.struct("rank", "_l"))).alias("tx"))
     a = F.when(st, F.col("gene_start")).otherwise(F.col("gene_end")).cast("string")
     b = F.when(st, F.col("gene_end")).otherwise(F.col("gene_start")).cast("string")
     head = F.array(F.concat(F.when(F.col("ps"), "<").otherwise(""), a, F.lit("\t"), F.when(F.col("pe"), ">").otherwise(""), b, F.lit("\tgene")))
     named = F.when(F.col("name").isNotNull(), F.array(q("gene", F.col("name")))).otherwise(none)
-    lines = F.concat(head, named, F.array(q("locus_tag", F.col("gene_id"))), F.flatten(F.transform("tx", lambda t: t["_l"])))
+    lines = F.concat(head, named, rep("gene_synonym", F.col("synonyms")), F.array(q("locus_tag", F.col("gene_id"))), F.flatten(F.transform("tx", lambda t: t["_l"])))
     return g.select("contig", "gene_start", "gene_id", F.array_join(lines, "\n").alias("line"))
 
 

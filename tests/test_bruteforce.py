@@ -112,7 +112,7 @@ def test_documented_interval_rules(spark):
     assert sorted((r["b_start"], r["distance"]) for r in near.collect()) == [(2, 8), (20, 8)]
 
 
-def test_components(spark, path):
+def test_components(spark):
     rnd = random.Random(11)
     edges = [(f"v{rnd.randrange(120):03d}", f"v{rnd.randrange(120):03d}") for _ in range(90)] + [("v000", f"w{i:03d}") for i in range(60)]
     parent = {}

@@ -126,6 +126,9 @@ def test_gene_models_from_gff(spark, tmpdir_spark):
     out = os.path.join(tmpdir_spark, "out")
     ranked = M.order_transcripts(m.withColumn("tpm", F.lit(1.0)).withColumn("tx_ord", F.lit(1)))
     K.export_all(ranked, seqs, out)
+    terms = spark.createDataFrame([("GO:0006508", "proteolysis", "biological_process", ["GO:1"])], "go_id string, name string, namespace string, alt_ids array<string>")
+    block = K.tbl_blocks(K.with_go_lines(ranked.withColumn("go", F.array(F.lit("GO:0006508"))), terms)).first()["line"]
+    assert "\t\t\tgo_process\tproteolysis|0006508||IEA\n" in block and "\t\t\tgene_synonym\ta\n" in block and block.startswith("1\t30\tgene\n\t\t\tgene\tN1\n")
     tbl = B.read_tbl(spark, out + "/tbl").where("kind = 'CDS'").first()
     assert [tuple(p) for p in tbl["parts"]] == [(1, 12), (16, 24)] and tbl["tx_id"] == "g1-T1"
     again = M.gene_models(L.read_gff3(spark, out + "/gff3")).first()
