@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-import xxhash
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -74,33 +75,100 @@ def running_sums(slabs: DataFrame, order: list[str], keys: list[str], values: di
     return joined.withColumns({n: F.col(n) + F.coalesce(f"_b_{n}", F.lit(0)) for n in values}).drop("_cs", *[f"_ck_{k}" for k in keys], *[f"_b_{n}" for n in values])
 
 
-class WordHashes(dict):
-    """Word (bytes) to 64-bit hash; forgets when it has grown large."""
+SPACE = np.zeros(256, bool)
+SPACE[[0x20, *range(0x09, 0x0E)]] = True
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+_BYTE = np.random.default_rng(20240229).integers(1, 2**63, 256, np.uint64) | np.uint64(1)
+_P = 0x9E3779B97F4A7C15
+_SPAN = 1 << 18
 
-    LIMIT = 400_000
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    with np.errstate(over="ignore"):
+        return np.multiply.accumulate(out)
+
+
+_POW, _INV = _powers(_P, _SPAN), _powers(pow(_P, -1, 2**64), _SPAN)
 
 
-def word_arrays(texts, cache: WordHashes) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of the texts on end, and the first word of each text (n + 1 places).
+class Texts:
+    """UTF-8 bytes of consecutive texts with the places and 64-bit hashes of their words.
+
+    ``data``: bytes on end; ``bounds``: first byte of each text (n + 1); ``starts``, ``ends``:
+    bytes of each word; ``first``: first word of each text (n + 1); ``hashes``: by content only.
+    """
 
-    bytes.split() cuts at exactly the six characters of the word rule.
+    def __init__(self, data: np.ndarray, bounds: np.ndarray):
+        self.data, self.bounds = data, bounds
+        word = ~SPACE[data]
+        edge = np.zeros(len(data) + 1, bool)
+        edge[bounds] = True
+        opens, closes = word.copy(), word.copy()
+        opens[1:] &= ~word[:-1] | edge[1:-1]
+        closes[:-1] &= ~word[1:] | edge[1:-1]
+        self.starts, self.ends = np.flatnonzero(opens), np.flatnonzero(closes) + 1
+        self.first = np.searchsorted(self.starts, bounds)
+        self.hashes = self._hash()
+
+    def _hash(self) -> np.ndarray:
+        out = np.empty(len(self.starts), np.uint64)
+        i = 0
+        with np.errstate(over="ignore"):
+            while i < len(out):
+                at = self.starts[i]
+                j = max(i + 1, int(np.searchsorted(self.ends, at + _SPAN, "right")))
+                part = _BYTE[self.data[at:self.ends[j - 1]]]
+                pow_, inv = (_POW, _INV) if len(part) <= _SPAN else (_powers(_P, len(part)), _INV)
+                sums = np.zeros(len(part) + 1, np.uint64)
+                np.cumsum(part * pow_[:len(part)], out=sums[1:])
+                s = self.starts[i:j] - at
+                out[i:j] = (sums[self.ends[i:j] - at] - sums[s]) * inv[s]
+                i = j
+        return mix(out)
+
+    def __len__(self) -> int:
+        return len(self.bounds) - 1
+
+    def words_per_text(self) -> np.ndarray:
+        return np.diff(self.first)
+
+    def windows(self, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of all windows of ``width`` words inside one text, and the word each starts at."""
+        if len(self.hashes) < width:
+            return np.empty(0, np.uint64), np.empty(0, np.int64)
+        inside = np.ones(len(self.hashes) + 1, bool)
+        for k in range(1, width):  # the last width - 1 words of each text start none
+            inside[np.maximum(self.first[1:] - k, 0)] = False
+        at = np.flatnonzero(inside[:len(self.hashes) - width + 1])
+        short = np.flatnonzero(np.diff(self.first) < width)
+        if len(short):
+            owner = np.searchsorted(self.first, at, "right") - 1
+            at = at[at + width <= self.first[owner + 1]]
+        return windows(self.hashes, width)[at], at
+
+    def word(self, i: int) -> bytes:
+        return self.data[self.starts[i]:self.ends[i]].tobytes()
+
+
+def texts_of(column, most: int = 4 << 20, lower: bool = False):
+    """(first row, Texts) for runs of rows of an Arrow string column; null counts as empty.
+
+    A run ends before it would exceed ``most`` bytes; a longer text is a run of its own.
     """
-    lists = [b"" if t is None else t.encode("utf-8", "surrogatepass") for t in texts]
-    lists = [t.split() if t else [] for t in lists]
-    starts = np.zeros(len(lists) + 1, np.int64)
-    np.cumsum([len(x) for x in lists], out=starts[1:])
-    out = np.empty(starts[-1], np.uint64)
-    at = 0
-    for x in lists:
-        out[at:at + len(x)] = list(map(cache.__getitem__, x))
-        at += len(x)
-    return out, starts
+    if len(column) == 0:
+        return
+    column = pc.fill_null(column, "")
+    offsets = np.frombuffer(column.buffers()[1], np.int64 if pa.types.is_large_string(column.type) else np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+    i = 0
+    while i < len(column):
+        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + most, "right")) - 1)
+        part = data[offsets[i]:offsets[j]]
+        yield i, Texts(LOWER[part] if lower else part, offsets[i:j + 1] - offsets[i])
+        i = j
 
 
 def windows(hashes: np.ndarray, width: int, salt: int = 0x9E3779B97F4A7C15) -> np.ndarray:

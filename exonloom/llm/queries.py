@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import os
+import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from exonloom.scale import materialize
 
-from . import mixing, sharding, tokens
+from . import mixing, packing, quality, sharding, tokens
 from .common import WORD, count_words, query, table
 
 TOKENIZER_FOLDER = os.environ.get("TOKENIZER_FOLDER", "")
@@ -30,6 +31,28 @@ def token_lengths(spark: SparkSession, folder: str) -> DataFrame:
 
 
 
+def crc_of_ids(ids) -> int:
+    return zlib.crc32(ids.tobytes())
+
+
+def packed(docs: DataFrame, capacity: int = 2048) -> DataFrame:
+    """Pieces of ``docs`` with the digest of their ids and their place in a sequence."""
+    made = packing.pieces(docs, tokenizer_path(), capacity, describe=("ids_crc32", "long", crc_of_ids))
+    return packing.pack(materialize(made.withColumn("row", F.monotonically_increasing_id()), "pieces"), capacity).drop("row")
+
+
+@query("op2_island_packing")
+def island_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packed(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op5_quality_trees")
+def quality_trees(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    forest = quality.train(docs, table(spark, folder, "labels"))
+    return quality.judge(docs, forest).drop("text")
+
+
 @query("op6_bounded_ring")
 def bounded_ring(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
