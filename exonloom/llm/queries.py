@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from exonloom.scale import materialize
 
-from . import mixing, packing, quality, sharding, tokens
+from . import mixing, near, packing, pages, quality, sharding, tokens, vectors
 from .common import WORD, count_words, query, table
 
 TOKENIZER_FOLDER = os.environ.get("TOKENIZER_FOLDER", "")
@@ -46,6 +46,14 @@ def island_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+@query("op3_weighted_minhash")
+def weighted_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per document: its class and whether it stays."""
+    found = near.classes(table(spark, folder, "documents").select("doc_id", "text"))
+    repeated = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
+    return found.select("doc_id", "class_id", "kept", repeated.alias("copy")).select("doc_id", "class_id", (F.col("kept") & (F.col("copy") == 1)).alias("kept"))
+
+
 @query("op5_quality_trees")
 def quality_trees(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -78,8 +86,19 @@ select doc_id, size, source_size, target, ((floor(n * rate + u) - floor((n - 1)
 """
 
 
+@query("op7_line_blocks")
+def line_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    found = pages.extract(table(spark, folder, "pages").select("page_id", "url", "html"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 @query("op8_source_mix", MIXED)
 def source_mix(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     lean = materialize(docs.select("doc_id", "source", count_words(F.col("text")).alias("size")), "sizes")
     return mixing.copies(lean).select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+@query("op9_int8_tiles")
+def int8_tiles(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, folder, "embeddings"))
