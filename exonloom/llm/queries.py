@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from exonloom.scale import materialize
 
-from . import mixing, near, packing, pages, quality, sharding, tokens, vectors
+from . import lattice, mixing, near, packing, pages, quality, sharding, spans, tokens, vectors
 from .common import WORD, count_words, query, table
 
 TOKENIZER_FOLDER = os.environ.get("TOKENIZER_FOLDER", "")
@@ -54,6 +54,11 @@ def weighted_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "class_id", "kept", repeated.alias("copy")).select("doc_id", "class_id", (F.col("kept") & (F.col("copy") == 1)).alias("kept"))
 
 
+@query("op4_subword_lattice")
+def subword_lattice(spark: SparkSession, folder: str) -> DataFrame:
+    return lattice.score(table(spark, folder, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 @query("op5_quality_trees")
 def quality_trees(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -102,3 +107,9 @@ def source_mix(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_int8_tiles")
 def int8_tiles(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_vectors(table(spark, folder, "embeddings"))
+
+
+@query("op10_block_anchors")
+def block_anchors(spark: SparkSession, folder: str) -> DataFrame:
+    found = spans.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
