@@ -1,21 +1,51 @@
-"""Corpus pipeline over ``documents``: each stage's table is written and read by the next."""
+"""Corpus pipeline over ``documents``: each stage's table is written and read by the next.
+
+Documents of bad quality go, one document of each group of near copies stays, passages that an
+earlier document holds are cut out, sources are mixed to their target weights, and what is left
+is packed into sequences. All stages but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from exonloom.llm import mixing
+from exonloom.llm import mixing, near, quality, spans
 from exonloom.llm.common import count_words
+from exonloom.llm.queries import packed
 from exonloom.scale import materialize
 
 
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that neither the base rule nor the trees reject (operator 5), trained on ``labels``."""
+    forest = quality.train(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet"))
+    return quality.judge(docs, forest).where("kept").select(*docs.columns)
+
+
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The least ``doc_id`` of each class of near copies (operator 3)."""
+    return near.one_of_each(docs)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages of earlier documents (operator 10); a text that was all repeat goes."""
+    cut = spans.remove_repeats(docs, tidy=False)
+    left = cut.where("n_removed = 0 or n_removed < n_words")
+    return left.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources by weight wants them (operator 8)."""
     sized = docs.withColumn("_size", count_words(docs["text"]))
     return mixing.mix(sized, size="_size", text="text").select(*docs.columns)
 
 
-STAGES = [("mix_sources", mix_sources)]
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of at most 2048 ids with their place in a sequence (operator 2)."""
+    return packed(docs)
+
+
+STAGES = [("quality_rules", keep_good), ("near_copies", one_of_near_copies), ("repeated_passages", cut_repeats), ("source_mix", mix_sources), ("packing", pack_sequences)]
 ORACLE_SQL = None
 
 
