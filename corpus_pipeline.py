@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from exonloom.llm import mixing, near, quality, spans
-from exonloom.llm.common import count_words
+from exonloom.llm.common import count_words, seal
 from exonloom.llm.queries import packed
 from exonloom.scale import materialize
 
@@ -19,7 +19,8 @@ from exonloom.scale import materialize
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base rule nor the trees reject (operator 5), trained on ``labels``."""
     forest = quality.train(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet"))
-    return quality.judge(docs, forest).where("kept").select(*docs.columns)
+    own, restore = seal(docs, "text")
+    return restore(quality.judge(own, forest).where("kept"))
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,20 +30,22 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages of earlier documents (operator 10); a text that was all repeat goes."""
-    cut = spans.remove_repeats(docs, tidy=False)
+    own, restore = seal(docs, "doc_id", "text", "n_chars")
+    cut = spans.remove_repeats(own, tidy=False)
     left = cut.where("n_removed = 0 or n_removed < n_words")
-    return left.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    left = left.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
+    return restore(left)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources by weight wants them (operator 8)."""
-    sized = docs.withColumn("_size", count_words(docs["text"]))
-    return mixing.mix(sized, size="_size", text="text").select(*docs.columns)
+    own, restore = seal(docs, "doc_id", "text", "source")
+    return restore(mixing.mix(own.withColumn("_size", count_words(own["text"])), size="_size", text="text"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 2048 ids with their place in a sequence (operator 2)."""
-    return packed(docs)
+    return packed(docs.select("doc_id", "text"))
 
 
 STAGES = [("quality_rules", keep_good), ("near_copies", one_of_near_copies), ("repeated_passages", cut_repeats), ("source_mix", mix_sources), ("packing", pack_sequences)]

@@ -37,6 +37,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def seal(df: DataFrame, *kept: str):
+    """``df`` with all columns but ``kept`` under private names, and a function that gives a result
+    its own names back, followed by added columns (which replace columns of the same name)."""
+    hidden = {c: f"_x{i}" for i, c in enumerate(df.columns) if c not in kept}
+
+    def restore(result: DataFrame, *added: str) -> DataFrame:
+        return result.select(*[F.col(hidden.get(c, c)).alias(c) for c in df.columns if c not in added], *added)
+
+    return df.toDF(*[hidden.get(c, c) for c in df.columns]), restore
+
+
 def count_words(text: Column) -> Column:
     """Number of words of a text; null counts none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import ordered_slabs, running_sums
+from .common import ordered_slabs, running_sums, seal
 
 WEIGHTS = (1, 2, 3)
 
@@ -54,6 +54,7 @@ def copies(docs: DataFrame, source: str = "source", size: str = "size", key: str
     The order within a source is (size, key, text): equal rows are told apart only to count them.
     A source of any number of rows is cut into slabs and counted slab by slab.
     """
+    docs, restore = seal(docs, source, size, key, *([text] if text else []))
     tie = F.xxhash64(*([text] if text else [key]))
     lean = docs.select(F.col(source).alias("_source"), F.col(size).alias("_size"))
     goal = targets(lean, "_source", "_size", weights, most).withColumnRenamed("source", "_goal")
@@ -64,9 +65,11 @@ def copies(docs: DataFrame, source: str = "source", size: str = "size", key: str
     joined = placed.join(goal, F.col(source).eqNullSafe(F.col("_goal")), "left")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     upto = lambda n: F.floor(n * rate + offset(F.col(source), seed))
-    return joined.withColumn("copies", (upto(F.col("_nth")) - upto(F.col("_nth") - 1)).cast("int")).drop("_goal", "_tie", "_row", "_nth", "_slab")
+    return restore(joined.withColumn("copies", (upto(F.col("_nth")) - upto(F.col("_nth") - 1)).cast("int")), "source_size", "target", "copies")
 
 
-def mix(docs: DataFrame, **how) -> DataFrame:
+def mix(docs: DataFrame, source: str = "source", size: str = "size", key: str = "doc_id", text: str | None = None, **how) -> DataFrame:
     """The mix itself: every document as many times as it is to be seen, columns of ``docs`` only."""
-    return copies(docs, **how).where("copies > 0").select(*docs.columns, F.explode(F.sequence(F.lit(1), "copies")).alias("_copy")).drop("_copy")
+    own, restore = seal(docs, source, size, key, *([text] if text else []))
+    counted = copies(own, source, size, key, text, **how).where("copies > 0")
+    return restore(counted.select("*", F.explode(F.sequence(F.lit(1), "copies")).alias("_copy")))

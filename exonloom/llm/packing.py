@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import seal
 from .tokens import END_ID, Encoder
 
 
@@ -144,6 +145,7 @@ STATE = "region long, island int, row long, length long, bin long"
 def pack(items: DataFrame, capacity: int = 2048, row: str = "row", length: str = "length", islands: int = 3, epochs: int = 2, population: int = 4,
          generations: int = 8, region: int = 2000, seed: int = 11) -> DataFrame:
     """``items`` with ``sequence_id`` and ``offset``; ``row`` must tell the rows apart and ``items`` be a written table."""
+    items, restore = seal(items, row, length)
     short = items.where(F.col(length) < capacity).select(F.col(row).alias("row"), F.col(length).cast("long").alias("length"))
     regions = max(1, -(-short.count() // region))
 
@@ -175,4 +177,4 @@ def pack(items: DataFrame, capacity: int = 2048, row: str = "row", length: str =
     chosen = state.groupBy("region").applyInPandas(choose, "row long, sequence_id long, offset long")
     whole = items.where(F.col(length) >= capacity).select(F.col(row).alias("row"), (-1 - F.col(row)).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     placed = chosen.unionByName(whole).withColumnRenamed("row", "_row")
-    return items.join(placed, F.col(row) == F.col("_row")).drop("_row")
+    return restore(items.join(placed, F.col(row) == F.col("_row")), "sequence_id", "offset")

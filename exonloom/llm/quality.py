@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, Texts, texts_of
+from .common import SPACE, Texts, seal, texts_of
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: Statistics the trees see, and those in which more must not mean better.
@@ -199,6 +199,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str =
 
 def judge(docs: DataFrame, forest: Forest | None, text: str = "text", bar: float = 0.0) -> DataFrame:
     """``docs`` with the base counts, ``base_failed``, ``score`` (log odds) and ``kept``."""
+    docs, restore = seal(docs, text)
     names = [f"c{i}" for i in range(len(docs.columns))]
     at = docs.columns.index(text)
     kept_schema = docs.toDF(*names).schema
@@ -212,7 +213,8 @@ def judge(docs: DataFrame, forest: Forest | None, text: str = "text", bar: float
                 base, stats = measure(t)
                 failed = (base[:, 0] < 10) | (100 * base[:, 4] > 20 * base[:, 0])
                 score = forest.score(stats) if forest else np.where(failed, -1.0, 1.0)
-                added = [*map(pa.array, base.T), pa.array(failed), pa.array(score), pa.array(~failed & (score > bar))]
-                yield pa.RecordBatch.from_arrays([*(c.slice(i, len(t)) for c in batch.columns), *added], names=kept_schema.names)
+                found = [*map(pa.array, base.T), pa.array(failed), pa.array(score), pa.array(~failed & (score > bar))]
+                yield pa.RecordBatch.from_arrays([*(c.slice(i, len(t)) for c in batch.columns), *found], names=kept_schema.names)
 
-    return docs.toDF(*names).mapInArrow(run, kept_schema).toDF(*docs.columns, *BASE, "base_failed", "score", "kept")
+    added = (*BASE, "base_failed", "score", "kept")
+    return restore(docs.toDF(*names).mapInArrow(run, kept_schema).toDF(*docs.columns, *added), *added)

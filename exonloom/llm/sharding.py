@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import ordered_slabs, running_sums
+from .common import ordered_slabs, running_sums, seal
 
 CELLS = 1 << 14
 
@@ -68,6 +68,7 @@ def assign(docs: DataFrame, key: tuple[str, ...] = ("doc_id",), load: str | None
     ``load``: column of what a row weighs (long, at least 1), or None where each weighs 1.
     """
     spark = docs.sparkSession
+    docs, restore = seal(docs, *key, *([load] if load else []))
     place = F.xxhash64(F.lit("row"), *key)
     placed = docs.withColumns({"_place": place, "_cell": F.pmod(F.shiftrightunsigned(place, 20), F.lit(CELLS)), "_row": F.monotonically_increasing_id(),
                                "_load": F.lit(1).cast("long") if load is None else F.col(load).cast("long")})
@@ -100,4 +101,4 @@ def assign(docs: DataFrame, key: tuple[str, ...] = ("doc_id",), load: str | None
     earlier = W.partitionBy("_rs").orderBy("_rl", "_rn").rowsBetween(W.unboundedPreceding, -1)
     runs = runs.select("_rl", "_rn", (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"))
     out = at.join(runs, (F.col("_lap") == F.col("_rl")) & (F.col("node") == F.col("_rn"))).withColumn("slot", F.col("_nth") + F.col("_shift"))
-    return out.select(*docs.columns, "shard", "slot")
+    return restore(out, "shard", "slot")
