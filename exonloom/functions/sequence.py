@@ -102,10 +102,10 @@ def partial_stop(protein: Column) -> Column:
     return ~protein.endswith("*")
 
 
-def natural_key(name: Column, width: int = 12) -> Column:
-    """sorts embedded numbers by value (digits are zero-padded)."""
+def natural_key(name: Column) -> Column:
+    """sorts embedded numbers by value, whatever their length: each is led by its number of digits."""
     parts = F.regexp_extract_all(name, F.lit(r"\d+|\D+"), F.lit(0))
-    return F.array_join(F.transform(parts, lambda p: F.when(p.rlike(r"^\d+$"), F.lpad(p, width, "0")).otherwise(p)), "")
+    return F.array_join(F.transform(parts, lambda p: F.when(p.rlike(r"^\d+$"), F.concat(F.format_string("%09d", F.length(F.regexp_replace(p, "^0+(?=.)", ""))), F.regexp_replace(p, "^0+(?=.)", ""))).otherwise(p)), "")
 
 
 def wrap(seq: Column, width: int = 80) -> Column:

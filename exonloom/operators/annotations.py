@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import naming as N
-from ..scale import Slabs, broadcast_if_small, number_rows
+from ..functions.sequence import natural_key
+from ..scale import Slabs, number_rows
 
 # Kinds that belong to the gene instead of the transcript.
 GENE_KINDS = ["name", "product"]
@@ -37,7 +38,7 @@ def key_annotations(annotations: DataFrame, tx2gene: DataFrame | None = None, ki
     df = annotations.where(F.col("value") != "")
     if tx2gene is None:
         return df.withColumn("id", gene_key(F.col("id"), F.col("ref_db"), kinds))
-    look = broadcast_if_small(tx2gene.select(F.col("tx_id").alias("_t"), F.col("gene_id").alias("_g")))
+    look = (tx2gene.select(F.col("tx_id").alias("_t"), F.col("gene_id").alias("_g")))
     j = df.join(look, (F.col("id") == F.col("_t")) & F.col("ref_db").isin(*kinds), "left")
     return j.withColumn("id", F.coalesce("_g", "id")).drop("_t", "_g")
 
@@ -95,28 +96,34 @@ def apply_fixes(annotations: DataFrame, fixes: DataFrame, removes: DataFrame) ->
 
 
 def suffix_duplicates(names: DataFrame, order: str = "id") -> DataFrame:
-    """A name shared by several genes becomes ``name_1 .. name_n`` in id order."""
+    """A name shared by several genes becomes ``name_1 .. name_n`` in natural order of the id."""
     gene = F.when(F.col("id").contains("-T"), F.substring_index("id", "-T", 1)).otherwise(F.col("id"))
     shared = names.groupBy("name").agg(F.count_distinct(gene).alias("_g"))
-    numbered = Slabs(names, ["name"], [order]).scan(("_i", "sum", F.lit(1).cast("long"), True)).result()
+    keyed = names.withColumn("_key", natural_key(F.col(order)))
+    numbered = Slabs(keyed, ["name"], ["_key", order]).scan(("_i", "sum", F.lit(1).cast("long"), True)).result().drop("_key")
     return numbered.join(shared, "name").withColumn(
         "final_name", F.when(F.col("_g") > 1, F.concat("name", F.lit("_"), "_i")).otherwise(F.col("name"))).drop("_i", "_g")
 
 
 def lookup_curated(names: DataFrame, curated: DataFrame, name: str = "name") -> DataFrame:
-    """Curated product by exact name, else by lower-case name."""
-    exact = broadcast_if_small(curated.select(F.col("name").alias("_n1"), F.col("product").alias("_p1")))
-    lower = broadcast_if_small(curated.select(F.col("name").alias("_n2"), F.col("product").alias("_p2")))
+    """Curated product by exact name, else by lower-case name; ``curated_exact`` tells which."""
+    exact = (curated.select(F.col("name").alias("_n1"), F.col("product").alias("_p1")))
+    lower = (curated.select(F.col("name").alias("_n2"), F.col("product").alias("_p2")))
     j = names.join(exact, F.col(name) == F.col("_n1"), "left").join(lower, F.lower(name) == F.col("_n2"), "left")
-    return j.withColumn("curated_product", F.coalesce("_p1", "_p2")).drop("_n1", "_p1", "_n2", "_p2")
+    j = j.withColumns({"curated_product": F.coalesce("_p1", "_p2"), "curated_exact": F.col("_p1").isNotNull()})
+    return j.drop("_n1", "_p1", "_n2", "_p2")
 
 
 def choose_product(candidates: DataFrame, curated: DataFrame) -> DataFrame:
-    """The last curated candidate wins, else the first source; one aggregate per id."""
+    """The last curated candidate wins, else the first source; one aggregate per id.
+
+    ``curated`` is set for exact names only: one found in lower case may still be a sentence.
+    """
     c = lookup_curated(candidates, curated)
     is_cur = F.col("curated_product").isNotNull()
+    exact = F.col("curated_exact")
     rank = F.struct(F.when(is_cur, 0).otherwise(1).alias("a"), F.when(is_cur, -F.col("ord")).otherwise(F.col("ord")).alias("b"), "name")
-    pick = F.min_by(F.struct("name", F.coalesce("curated_product", "product").alias("product"), is_cur.alias("curated")), rank)
+    pick = F.min_by(F.struct("name", F.coalesce("curated_product", "product").alias("product"), exact.alias("curated")), rank)
     return c.groupBy("id").agg(pick.alias("m")).select("id", "m.*")
 
 
@@ -170,7 +177,7 @@ def flip_first(df: DataFrame, key: str, value: str) -> DataFrame:
 
 def with_descriptions(df: DataFrame, lookup: DataFrame, term: str = "term", default: str = "No description") -> DataFrame:
     """Left join on a lookup table; hints a broadcast only below a size limit."""
-    look = broadcast_if_small(lookup.select(F.col("term").alias("_t"), F.col("description").alias("_d")))
+    look = (lookup.select(F.col("term").alias("_t"), F.col("description").alias("_d")))
     return df.join(look, F.col(term) == F.col("_t"), "left").withColumn("description", F.coalesce("_d", F.lit(default))).drop("_t", "_d")
 
 
@@ -178,7 +185,7 @@ def go_category(df: DataFrame, terms: DataFrame) -> DataFrame:
     """Qualifier line per GO id; alternative ids resolve to their main term; unknown ids drop."""
     main = terms.select(F.col("go_id").alias("_id"), "name", "namespace")
     alts = terms.select(F.explode_outer("alt_ids").alias("_id"), "name", "namespace").where("_id is not null")
-    look = broadcast_if_small(main.unionByName(alts))
+    look = (main.unionByName(alts))
     kind = F.create_map(*[F.lit(x) for kv in N.GO_QUALIFIERS.items() for x in kv])
     return (df.join(look, F.col("go_id") == F.col("_id")).withColumn("qualifier", kind[F.col("namespace")])
             .withColumn("line", F.concat("qualifier", F.lit("\t"), "name", F.lit("|"), F.replace("go_id", F.lit("GO:"), F.lit("")), F.lit("||IEA")))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..scale import broadcast_if_small
 
 # Class letters of proteases and carbohydrate-active enzymes.
 MEROPS_CLASSES = ["A", "C", "G", "M", "N", "P", "S", "T", "U", "I"]
@@ -48,24 +47,23 @@ def drop_empty(counts: DataFrame, by: str) -> DataFrame:
     return counts.join(some, by, "left_semi")
 
 
-def variable_families(counts: DataFrame, min_std: float = 1.0, gate: int = 25) -> DataFrame:
+def variable_families(counts: DataFrame, min_std: float | None = None) -> DataFrame:
     """Sample standard deviation over all species, missing ones as zero.
 
-    Sums and squares of the present counts are enough, so no grid is built. The
-    cut-off applies only when there are more than ``gate`` families.
+    Sums and squares of the present counts are enough, so no grid is built. With
+    ``min_std`` only families that vary as much stay.
     """
     n_species = counts.agg(F.count_distinct("species")).scalar()
-    n_families = counts.agg(F.count_distinct("family")).scalar()
     sums = counts.groupBy("family").agg(F.sum("n").alias("s"), F.sum(F.col("n") * F.col("n")).alias("q"))
-    sums = sums.withColumn("k", n_species).withColumn("m", n_families)
+    sums = sums.withColumn("k", n_species)
     var = (F.col("q") - F.col("s") * F.col("s") / F.col("k")) / (F.col("k") - 1)
     out = sums.withColumn("stdev", F.sqrt(F.greatest(var, F.lit(0.0))))
-    return out.where((F.col("m") <= gate) | (F.col("stdev") >= min_std)).select("family", "stdev")
+    return (out if min_std is None else out.where(F.col("stdev") >= min_std)).select("family", "stdev")
 
 
 def braycurtis(counts: DataFrame) -> DataFrame:
     """sum|a-b| / sum(a+b) = 1 - 2 * sum(min) / (A + B); only shared families meet."""
-    total = broadcast_if_small(counts.groupBy("species").agg(F.sum("n").alias("t")))
+    total = (counts.groupBy("species").agg(F.sum("n").alias("t")))
     a = counts.select(F.col("species").alias("sp_a"), "family", F.col("n").alias("na"))
     b = counts.select(F.col("species").alias("sp_b"), "family", F.col("n").alias("nb"))
     shared = a.join(b, "family").where("sp_a < sp_b").groupBy("sp_a", "sp_b").agg(F.sum(F.least("na", "nb")).alias("m"))

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from ..functions import sequence as S
 from ..scale import attach_row
-from .intervals import Layout, best_overlap_join, overlap_anti, overlap_semi
+from .intervals import best_overlap_join, overlap_anti, overlap_semi
 
 
 def gene_aed(pairs: DataFrame, new_tx: DataFrame, old_tx: DataFrame, col: str = "exons", out: str = "aed") -> DataFrame:
@@ -59,7 +59,7 @@ def add_identity(df: DataFrame, a: str, b: str, out: str = "pident") -> DataFram
     return same.unionByName(rest)
 
 
-def diff_models(old: DataFrame, new: DataFrame, key: str = "overlap", keys=("contig",), layout: Layout | None = None,
+def diff_models(old: DataFrame, new: DataFrame, key: str = "overlap", keys=("contig",),
                 name: str = "name") -> DataFrame:
     """``status`` removed / new / matched with old and new names and spans.
 
@@ -74,7 +74,7 @@ def diff_models(old: DataFrame, new: DataFrame, key: str = "overlap", keys=("con
     base = new.select(*keys, "start", "end", name)
     if key == "overlap":
         touched = overlap_semi(base, old, keys)
-        best = best_overlap_join(touched, old, keys, layout, name)
+        best = best_overlap_join(touched, old, keys, name)
         matched = best.select(*keys, F.lit("matched").alias("status"), f"old_{name}", "old_start", "old_end",
                               F.col(name).alias(f"new_{name}"), F.col("start").alias("new_start"), F.col("end").alias("new_end"))
         added = side(overlap_anti(base, old, keys), "new").withColumn("status", F.lit("new"))

@@ -69,7 +69,7 @@ def group_loci(transcripts: DataFrame, frac: float = 0.3, keys=("contig",)) -> D
     from .intervals import overlap_join
     keys = list(keys)
     spans = transcripts.select(*keys, "start", "end").distinct()
-    named = spans.withColumn("span", F.concat_ws(":", *keys, F.lpad(F.col("start").cast("string"), 12, "0"), F.lpad(F.col("end").cast("string"), 12, "0")))
+    named = spans.withColumn("span", F.concat_ws(":", *keys, F.format_string("%019d", F.col("start")), F.format_string("%019d", F.col("end"))))
     shared = F.greatest(F.least("end", "b_end") - F.greatest("start", "b_start"), F.lit(0))
     near = (shared >= (F.col("end") - F.col("start")) * frac) | (shared >= (F.col("b_end") - F.col("b_start")) * frac)
     edges = overlap_join(named, named, keys, extra=near & (F.col("span") <= F.col("b_span")))

@@ -8,7 +8,7 @@ from pyspark.sql import Window as W
 
 from ..functions import naming as N
 from ..scale import Slabs, attach_row, materialize
-from .intervals import Layout, assign_islands, covered_length
+from .intervals import assign_islands, covered_length
 
 
 HEADS = 8   # holders of a k-mer tried first when contigs are de-duplicated
@@ -142,7 +142,7 @@ def busco_regions(table: DataFrame, sizes: DataFrame, ploidy: int = 1, flank: in
     ok = table.where("status = 'Complete'" if ploidy == 1 else "status in ('Complete', 'Duplicated')")
     best = ok.groupBy("busco").agg(F.max_by(F.struct("contig", "start", "end", "score"), F.struct("score", "contig", "start", "end")).alias("h")).select("busco", "h.*")
     return (best.join(sizes.select("contig", "length"), "contig")
-            .withColumn("start", F.greatest(F.col("start") - flank, F.lit(0)))
+            .withColumn("start", F.greatest(F.col("start") - flank, F.lit(1)))
             .withColumn("end", F.least(F.col("end") + flank, F.col("length"))).drop("length"))
 
 
@@ -156,7 +156,7 @@ def candidate_regions(hits: DataFrame, limit: int = 3, flank: int = 5000, max_ga
     top = full.groupBy("query").agg(F.max("covered").alias("_top"))
     good = full.join(top, "query").where(F.col("covered") >= F.col("_top") * ratio).drop("_top")
     ranked = top_hits(good, limit, "query", [F.col("covered").desc(), "evalue", "contig", "start"])
-    return ranked.withColumn("start", F.greatest(F.col("start") - flank, F.lit(0))).withColumn("end", F.col("end") + flank).drop("island")
+    return ranked.withColumn("start", F.greatest(F.col("start") - flank, F.lit(1))).withColumn("end", F.col("end") + flank).drop("island")
 
 
 def drop_redundant(models: DataFrame, hits: DataFrame, min_ident: float = 80.0) -> DataFrame:
@@ -222,11 +222,11 @@ def intron_support(introns: DataFrame, hints: DataFrame) -> DataFrame:
                                   F.bool_and(F.col("_h").isNotNull()).alias("good"))
 
 
-def evidence_support(exons: DataFrame, evidence: DataFrame, frac: float = 0.9, layout: Layout | None = None) -> DataFrame:
+def evidence_support(exons: DataFrame, evidence: DataFrame, frac: float = 0.9) -> DataFrame:
     """A5: share of exons of which one evidence span covers at least ``frac``."""
     from .intervals import overlap_fraction
     n_all = exons.agg(F.count(F.lit(1)).alias("n_exons"))
-    n_ok = overlap_fraction(exons, evidence, frac, layout=layout).agg(F.count(F.lit(1)).alias("n_supported"))
+    n_ok = overlap_fraction(exons, evidence, frac).agg(F.count(F.lit(1)).alias("n_supported"))
     return attach_row(n_all, n_ok).withColumn("pct", F.round(F.col("n_supported") * 100.0 / F.col("n_exons"), 2))
 
 

@@ -6,93 +6,49 @@ nearest neighbours need no pairs at all: they are running maxima over positions.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..scale import Slabs, is_small
-
-MAX_BINS = 64          # an interval touching more bins goes to the coarse tier
-HOT_ROWS = 200_000     # rows of one bin above which the bin is salted
-
-
-@dataclass(frozen=True)
-class Layout:
-    """Bin width, and a coarse width for intervals far longer than most."""
-
-    width: int
-    coarse: int | None = None
-
-
-def choose_layout(*frames: DataFrame) -> Layout:
-    """Bin width from the 95th percentile length of all inputs."""
-    spans = [f.select((F.col("end") - F.col("start") + 1).alias("n")) for f in frames]
-    both = spans[0]
-    for s in spans[1:]:
-        both = both.unionByName(s)
-    p95, longest = both.agg(F.percentile_approx("n", 0.95, 1000), F.max("n")).first()
-    width = max(16, int(p95 or 1))
-    return Layout(width, None if (longest or 0) <= MAX_BINS * width else int(longest) // 8 + 1)
+from ..scale import Slabs
 
+#: Bins of level ``l`` are ``16 * 8 ** l`` wide.
+LEVEL = "cast(greatest(0, ceil(log(8, ({end} - {start} + 1) / 16))) as int)"
 
-def _binned(df: DataFrame, width: int, start: str, end: str) -> DataFrame:
-    bins = F.sequence(F.floor(F.col(start) / width), F.floor(F.col(end) / width))
-    return df.withColumn("_bin", F.explode_outer(bins))
 
-
-def _pairs(a: DataFrame, b: DataFrame, keys: list[str], width: int, extra: Column | None) -> DataFrame:
-    left = _binned(a, width, "start", "end")
-    right = _binned(b, width, "b_start", "b_end")
-    on = [F.col(k) == F.col(f"b_{k}") for k in keys]
-    on.append(F.col("_bin") == F.col("_bbin"))
-    right = right.withColumnRenamed("_bin", "_bbin")
-    if not is_small(a) and not is_small(b):
-        left, right = _salt_hot_bins(left, right, keys)
-        on.append(F.col("_salt") == F.col("_bsalt"))
-    cond = on[0]
-    for c in on[1:]:
-        cond = cond & c
-    cond = cond & (F.col("start") <= F.col("b_end")) & (F.col("end") >= F.col("b_start"))
-    # a pair meets in every shared bin: keep it only in the first one
-    first = F.greatest(F.floor(F.col("start") / width), F.floor(F.col("b_start") / width))
-    cond = cond & (F.col("_bin") == first)
-    if extra is not None:
-        cond = cond & extra
-    return left.join(right, cond).drop("_bin", "_bbin", "_salt", "_bsalt", *[f"b_{k}" for k in keys])
+def _levels(df: DataFrame, start: str, end: str) -> Column:
+    """Array of the levels that occur; a few dozen numbers at most."""
+    return df.select(F.expr(LEVEL.format(start=start, end=end)).alias("l")).agg(F.collect_set("l")).scalar()
 
 
-def _salt_hot_bins(left: DataFrame, right: DataFrame, keys: list[str]):
-    """Spread the left rows of a crowded bin over salts and repeat its right rows."""
-    hot = (left.groupBy(*keys, "_bin").count().where(F.col("count") > HOT_ROWS)
-           .select(*keys, "_bin", F.ceil(F.col("count") / HOT_ROWS).cast("int").alias("_n")))
-    left = left.join(hot, keys + ["_bin"], "left").withColumn(
-        "_salt", F.coalesce(F.pmod(F.xxhash64("start", "end", *[c for c in left.columns if c not in keys][:6]),
-                                   F.col("_n").cast("long")), F.lit(0).cast("long"))).drop("_n")
-    rhot = hot.select(*[F.col(k).alias(f"b_{k}") for k in keys], F.col("_bin").alias("_bbin"), "_n")
-    right = right.join(rhot, [f"b_{k}" for k in keys] + ["_bbin"], "left").withColumn(
-        "_bsalt", F.explode_outer(F.sequence(F.lit(0).cast("long"),
-                                       F.coalesce(F.col("_n"), F.lit(1)).cast("long") - 1))).drop("_n")
-    return left, right
+def _on_ladder(df: DataFrame, start: str, end: str, others: Column, p: str) -> DataFrame:
+    """Each interval in the one or two bins of its own level, and of every higher level of the other side."""
+    own = df.withColumn(f"{p}own", F.expr(LEVEL.format(start=start, end=end))).withColumn(f"{p}others", others)
+    up = own.withColumn(f"{p}level", F.explode(F.expr(f"array_union(array({p}own), filter({p}others, l -> l > {p}own))"))).drop(f"{p}others")
+    width = f"shiftleft(16L, 3 * {p}level)"
+    return up.withColumn(f"{p}bin", F.explode(F.expr(f"sequence(floor({start} / {width}), floor({end} / {width}))")))
 
 
-def overlap_join(a: DataFrame, b: DataFrame, keys=("contig",), layout: Layout | None = None,
-                 extra: Column | None = None) -> DataFrame:
+def overlap_join(a: DataFrame, b: DataFrame, keys=("contig",), extra: Column | None = None) -> DataFrame:
     """Every overlapping (closed) pair; columns of ``b`` come back as ``b_*``.
 
+    A ladder of bin widths keeps a few long intervals from meeting everything: a pair meets on
+    the level of its longer member, where that one fills an eighth of a bin at least. Bins crowded
+    on either side are split by adaptive execution, from measured partition sizes.
     ``extra`` is a further condition over the joined columns (``start``, ``b_start`` ...).
     """
     keys = list(keys)
-    layout = layout or choose_layout(a, b)
     b = b.select([F.col(c).alias(f"b_{c}") for c in b.columns])
-    if layout.coarse is None:
-        return _pairs(a, b, keys, layout.width, extra)
-    cut = MAX_BINS * layout.width
-    a_long = (F.col("end") - F.col("start") + 1) > cut
-    b_long = (F.col("b_end") - F.col("b_start") + 1) > cut
-    return (_pairs(a.where(~a_long), b.where(~b_long), keys, layout.width, extra)
-            .unionByName(_pairs(a.where(a_long), b, keys, layout.coarse, extra))
-            .unionByName(_pairs(a.where(~a_long), b.where(b_long), keys, layout.coarse, extra)))
+    left = _on_ladder(a, "start", "end", _levels(b, "b_start", "b_end"), "_a")
+    right = _on_ladder(b, "b_start", "b_end", _levels(a, "start", "end"), "_b")
+    cond = (F.col("_alevel") == F.col("_blevel")) & (F.col("_abin") == F.col("_bbin"))
+    for k in keys:
+        cond = cond & (F.col(k) == F.col(f"b_{k}"))
+    cond = cond & (F.col("start") <= F.col("b_end")) & (F.col("end") >= F.col("b_start")) & (F.col("_alevel") == F.greatest("_aown", "_bown"))
+    # a pair meets in every shared bin: keep it only in the first one
+    cond = cond & (F.col("_abin") == F.expr("floor(greatest(start, b_start) / shiftleft(16L, 3 * _alevel))"))
+    if extra is not None:
+        cond = cond & extra
+    return left.join(right, cond).drop(*[f"_{s}{c}" for s in "ab" for c in ("own", "level", "bin")], *[f"b_{k}" for k in keys])
 
 
 def _with_reach(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
@@ -123,7 +79,7 @@ def flag_overlap(a: DataFrame, b: DataFrame, name: str, keys=("contig",)) -> Dat
 
 
 def overlap_fraction(a: DataFrame, b: DataFrame, frac: float = 0.9, keys=("contig",),
-                     layout: Layout | None = None, merge_first: bool = False) -> DataFrame:
+                     merge_first: bool = False) -> DataFrame:
     """Rows of ``a`` of which a single ``b`` covers at least ``frac``.
 
     Both sides shrink to distinct spans first (of equal starts only the longest
@@ -136,7 +92,7 @@ def overlap_fraction(a: DataFrame, b: DataFrame, frac: float = 0.9, keys=("conti
     spans = a.select(*keys, "start", "end").distinct()
     covered = (F.least("end", "b_end") - F.greatest("start", "b_start") + 1)
     enough = covered >= F.lit(frac) * (F.col("end") - F.col("start") + 1)
-    hit = overlap_join(spans, reduced.select(*keys, "start", "end"), keys, layout, enough)
+    hit = overlap_join(spans, reduced.select(*keys, "start", "end"), keys, enough)
     hit = hit.select(*keys, "start", "end").distinct()
     return a.join(hit, keys + ["start", "end"], "left_semi")
 
@@ -200,10 +156,10 @@ def shared_length(a: DataFrame, b: DataFrame, keys=("contig",)) -> DataFrame:
     return out.groupBy(*keys).agg((total("a") + total("b") - total("u")).alias("shared"))
 
 
-def closest_join(a: DataFrame, b: DataFrame, keys=("contig",), layout: Layout | None = None) -> DataFrame:
+def closest_join(a: DataFrame, b: DataFrame, keys=("contig",)) -> DataFrame:
     """The overlapping ``b`` rows, or else every ``b`` row at the least distance."""
     keys = list(keys)
-    hits = overlap_join(a, b, keys, layout).withColumn("distance", F.lit(0).cast("long"))
+    hits = overlap_join(a, b, keys).withColumn("distance", F.lit(0).cast("long"))
     lonely = overlap_anti(a, b, keys)
     spans = lonely.select(*keys, "start", "end").distinct()
     ends = b.select(*keys, F.col("end").alias("_pos"), F.col("end").alias("_m")).distinct()
@@ -231,7 +187,7 @@ def closest_join(a: DataFrame, b: DataFrame, keys=("contig",), layout: Layout |
     return hits.unionByName(lonely.join(found, keys + ["start", "end"]))
 
 
-def best_overlap_join(new: DataFrame, old: DataFrame, keys=("contig",), layout: Layout | None = None,
+def best_overlap_join(new: DataFrame, old: DataFrame, keys=("contig",),
                       name: str = "name") -> DataFrame:
     """For each new row the overlapping old row with the closest ends (ties: least id).
 
@@ -241,7 +197,7 @@ def best_overlap_join(new: DataFrame, old: DataFrame, keys=("contig",), layout:
     spans = new.select(*keys, "start", "end").distinct()
     olds = old.groupBy(*keys, "start", "end").agg(F.min(name).alias(name))
     d = F.abs(F.col("start") - F.col("b_start")) + F.abs(F.col("end") - F.col("b_end"))
-    best = (overlap_join(spans, olds, keys, layout)
+    best = (overlap_join(spans, olds, keys)
             .groupBy(*keys, "start", "end").agg(F.min(F.struct(d.alias("d"), F.col(f"b_{name}").alias("id"),
                                                                F.col("b_start").alias("s"), F.col("b_end").alias("e"))).alias("m"))
             .select(*keys, "start", "end", F.col("m.id").alias(f"old_{name}"), F.col("m.d").alias("shift"),
@@ -267,12 +223,12 @@ def drop_contained(models: DataFrame, keys=("contig", "strand"), score: str = "s
     return best.select(*[F.col(c) if c in spans else F.col(f"_m.{c}").alias(c) for c in models.columns])
 
 
-def assign_clusters(genes: DataFrame, clusters: DataFrame, keys=("contig",), layout: Layout | None = None,
+def assign_clusters(genes: DataFrame, clusters: DataFrame, keys=("contig",),
                     name: str = "name") -> DataFrame:
     """Each gene's first overlapping cluster."""
     keys = list(keys)
     spans = genes.select(*keys, "start", "end").distinct()
-    first = (overlap_join(spans, clusters.select(*keys, "start", "end", name), keys, layout)
+    first = (overlap_join(spans, clusters.select(*keys, "start", "end", name), keys)
              .groupBy(*keys, "start", "end")
              .agg(F.min(F.struct("b_start", "b_end", f"b_{name}")).alias("m"))
              .select(*keys, "start", "end", F.col(f"m.b_{name}").alias("cluster")))
@@ -326,10 +282,10 @@ def partition_spans(loci: DataFrame, lengths: DataFrame, per_part: int = 35, min
     return spans.where(keep & F.col("start").isNotNull()).select(*keys, "part", "start", "end", "_n").withColumnRenamed("_n", "n_loci")
 
 
-def slice_partition(features: DataFrame, parts: DataFrame, keys=("contig",), layout: Layout | None = None) -> DataFrame:
+def slice_partition(features: DataFrame, parts: DataFrame, keys=("contig",)) -> DataFrame:
     """Features lying fully inside a part, with coordinates starting at 1 there."""
     inside = (F.col("start") >= F.col("b_start")) & (F.col("end") <= F.col("b_end"))
-    joined = overlap_join(features, parts.select(*keys, "start", "end", "part"), keys, layout, inside)
+    joined = overlap_join(features, parts.select(*keys, "start", "end", "part"), keys, inside)
     return (joined.withColumn("start", F.col("start") - F.col("b_start") + 1)
             .withColumn("end", F.col("end") - F.col("b_start") + 1)
             .withColumnRenamed("b_part", "part").drop("b_start", "b_end"))

@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import sequence as S
-from ..scale import attach_row, broadcast_if_small, materialize, number_rows
+from ..scale import attach_row, materialize, number_rows
 from ..sources.lines import MODEL_FEATURES
-from .intervals import Layout, assign_islands, flag_overlap, overlap_anti, overlap_fraction, overlap_join
+from .intervals import assign_islands, flag_overlap, overlap_anti, overlap_fraction, overlap_join
 from .sequences import splice
 
 RNA_KINDS = ["mRNA", "transcript", "tRNA", "ncRNA", "rRNA"]
@@ -185,7 +185,7 @@ def combine_alignments(first: DataFrame, second: DataFrame, order: list) -> Data
 def join_abundance(abundance: DataFrame, tx2gene: DataFrame, ignore: DataFrame | None = None) -> DataFrame:
     """Expression with gene and location; listed ids are left out."""
     a = abundance if ignore is None else abundance.join(ignore.select("tx_id").distinct(), "tx_id", "left_anti")
-    return a.join(broadcast_if_small(tx2gene.select("tx_id", "gene_id", "location")), "tx_id")
+    return a.join((tx2gene.select("tx_id", "gene_id", "location")), "tx_id")
 
 
 def select_expressed(tx: DataFrame, frac: float, locus: str = "location") -> DataFrame:
@@ -199,20 +199,16 @@ def best_expressed(tx: DataFrame, locus: str = "location") -> DataFrame:
     return tx.groupBy(locus).agg(F.max_by("tx_id", F.struct("tpm", "tx_id")).alias("tx_id"), F.max("tpm").alias("tpm"))
 
 
-def select_training(models: DataFrame, keep: DataFrame, gate: int = 200, layout: Layout | None = None) -> DataFrame:
-    """Prefer listed and multi-part models once there are ``gate`` of them; of
-    overlapping models the ones that a better one (more parts, then least id) touches go.
+def select_training(models: DataFrame, keep: DataFrame, listed_only: bool = False, multi_only: bool = False) -> DataFrame:
+    """Of overlapping models those that a better one (more parts, then least id) touches go.
 
-    ``models(gene_id, contig, start, end, n_cds)``.
+    ``models(gene_id, contig, start, end, n_cds)``; ``listed_only`` takes models named in ``keep``,
+    ``multi_only`` models of several parts.
     """
-    k = models.join(keep.select("gene_id").distinct().withColumn("_k", F.lit(True)), "gene_id", "left").withColumn("_k", F.coalesce("_k", F.lit(False)))
-    multi = F.col("n_cds") > 1
-    n = k.agg(F.count_if(F.col("_k")).alias("listed"), F.count_if(F.col("_k") & multi).alias("listed_multi"), F.count_if(multi).alias("multi"))
-    gated = attach_row(k, n).withColumn("_need_k", F.col("listed") >= gate)
-    gated = gated.withColumn("_need_m", F.when(F.col("_need_k"), F.col("listed_multi") >= gate).otherwise(F.col("multi") >= gate))
-    pool = gated.where((~F.col("_need_k") | F.col("_k")) & (~F.col("_need_m") | multi)).select("gene_id", "contig", "start", "end", "n_cds")
+    pool = models.join(keep.select("gene_id").distinct(), "gene_id", "left_semi") if listed_only else models
+    pool = (pool.where("n_cds > 1") if multi_only else pool).select("gene_id", "contig", "start", "end", "n_cds")
     spans = pool.groupBy("contig", "start", "end").agg(F.min(F.struct((-F.col("n_cds")).alias("k"), "gene_id")).alias("r"))
-    beaten = overlap_join(spans, spans, layout=layout, extra=F.col("b_r") < F.col("r")).select("contig", "start", "end").distinct()
+    beaten = overlap_join(spans, spans, extra=F.col("b_r") < F.col("r")).select("contig", "start", "end").distinct()
     win = spans.join(beaten, ["contig", "start", "end"], "left_anti").select(F.col("r.gene_id").alias("gene_id"))
     return pool.join(win, "gene_id", "left_semi")
 

@@ -194,7 +194,7 @@ def sort_by_length(sequences: DataFrame, base: str = "scaffold_", min_len: int =
 
 def rename_ids(df: DataFrame, order: list, base: str, width: int = 6, out: str = "new_id") -> DataFrame:
     """``base_000001`` style names in sorted order."""
-    return number_rows(df, order, "_rn").withColumn(out, F.concat(F.lit(base), F.lpad(F.col("_rn").cast("string"), width, "0"))).drop("_rn")
+    return number_rows(df, order, "_rn").withColumn(out, F.concat(F.lit(base), F.format_string(f"%0{width}d", F.col("_rn")))).drop("_rn")
 
 
 def longest(sequences: DataFrame, n: int = 10) -> DataFrame:

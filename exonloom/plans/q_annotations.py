@@ -76,9 +76,9 @@ def _(t):
     return A.lookup_curated(c, cur).select("id", "ord", "name", "curated_product")
 
 
-@query("o15_choose_product", f"""with {CAND}, j as (select o.*, coalesce(a.product, b.product) as cp from one o left join cur a on o.name = a.name left join cur b on lower(o.name) = b.name),
+@query("o15_choose_product", f"""with {CAND}, j as (select o.*, coalesce(a.product, b.product) as cp, a.product is not null as ex from one o left join cur a on o.name = a.name left join cur b on lower(o.name) = b.name),
  k as (select *, row_number() over (partition by id order by case when cp is null then 1 else 0 end, case when cp is null then ord else -ord end) as r from j)
- select id, name, coalesce(cp, product) as product, cp is not null as curated from k where r = 1""")
+ select id, name, coalesce(cp, product) as product, ex as curated from k where r = 1""")
 def _(t):
     return A.choose_product(*candidates(t))
 
@@ -94,11 +94,12 @@ def _(t):
     return rep.select("id", "name", "product", "report")
 
 
-@query("w7_suffix_duplicates", f"""with {V.ANNOTS}, n as (select id, min(value) as name from annots where ref_db = 'name' group by id),
+@query("w7_suffix_duplicates", f"""with {V.ANNOTS}, n as (select 'G' || cast(split_part(substr(id, 6), '-T', 1) as bigint) || '-T' || split_part(id, '-T', 2) as id, cast(split_part(substr(id, 6), '-T', 1) as bigint) as k, min(value) as name from annots where ref_db = 'name' group by all),
  g as (select name, count(distinct split_part(id, '-T', 1)) as g from n group by 1)
- select id, n.name, case when g > 1 then n.name || '_' || row_number() over (partition by n.name order by id) else n.name end as final_name from n join g on n.name = g.name""")
+ select id, n.name, case when g > 1 then n.name || '_' || row_number() over (partition by n.name order by k, id) else n.name end as final_name from n join g on n.name = g.name""")
 def _(t):
-    n = V.annots(t).where("ref_db = 'name'").groupBy("id").agg(F.min("value").alias("name"))
+    unpadded = F.expr("concat('G', cast(substring_index(substr(id, 6), '-T', 1) as bigint), '-T', substring_index(id, '-T', -1))")
+    n = V.annots(t).where("ref_db = 'name'").groupBy(unpadded.alias("id")).agg(F.min("value").alias("name"))
     return A.suffix_duplicates(n)
 
 
@@ -153,14 +154,14 @@ def _(t):
     return A.apply_custom(base, gene.unionByName(rest))
 
 
-@query("u7_apply_fixes", f"""with {V.ANNOTS}, b as (select distinct id, ref_db, value from annots), fx as (select 'GENE_' || lpad(cast(n_nationkey * 3 as varchar), 5, '0') || '-T1' as id, n_name as name, 'P' || n_nationkey as product from nation),
+@query("u7_apply_fixes", f"""with {V.ANNOTS}, b as (select distinct id, ref_db, value from annots), fx as (select 'GENE_' || printf('%05d', n_nationkey * 3) || '-T1' as id, n_name as name, 'P' || n_nationkey as product from nation),
  kf as (select * from fx where id in (select id from b)), f as (select id, 'name' as ref_db, name as value from kf union all select id, 'product', product from kf),
- rm as (select 'GENE_' || lpad(cast(n_nationkey * 5 as varchar), 5, '0') || '-T1' as id from nation),
+ rm as (select 'GENE_' || printf('%05d', n_nationkey * 5) || '-T1' as id from nation),
  m as (select * from b where (id, ref_db) not in (select id, ref_db from f) union all select * from f)
  select * from m where id not in (select id from rm) or ref_db not in ('name', 'product')""")
 def _(t):
     b = V.annots(t).select("id", "ref_db", "value").distinct()
-    gid = lambda k: F.concat(F.lit("GENE_"), F.lpad((F.col("n_nationkey") * k).cast("string"), 5, "0"), F.lit("-T1")).alias("id")
+    gid = lambda k: F.concat(F.lit("GENE_"), F.format_string("%05d", F.col("n_nationkey") * k), F.lit("-T1")).alias("id")
     fx = t.nation.select(gid(3), F.col("n_name").alias("name"), F.concat(F.lit("P"), "n_nationkey").alias("product"))
     return A.apply_fixes(b, fx, t.nation.select(gid(5)))
 

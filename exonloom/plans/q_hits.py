@@ -185,7 +185,7 @@ def _(t):
 
 @query("o9_busco_regions", """with b as (select 'B' || (l_partkey % 300) as busco, 'c' || l_suppkey as contig, l_partkey as s, l_partkey + cast(l_quantity as bigint) as e, l_extendedprice as score from lineitem where l_returnflag = 'A'),
  k as (select *, row_number() over (partition by busco order by score desc, contig desc, s desc, e desc) as r from b)
- select busco, contig, greatest(s - 100, 0) as "start", least(e + 100, 1990 + s_suppkey % 10) as "end", score from k join supplier on contig = 'c' || s_suppkey where r = 1""")
+ select busco, contig, greatest(s - 100, 1) as "start", least(e + 100, 1990 + s_suppkey % 10) as "end", score from k join supplier on contig = 'c' || s_suppkey where r = 1""")
 def _(t):
     b = t.lineitem.where("l_returnflag = 'A'").select(
         F.concat(F.lit("B"), F.col("l_partkey") % 300).alias("busco"), F.concat(F.lit("c"), "l_suppkey").alias("contig"), F.col("l_partkey").alias("start"),
@@ -203,7 +203,7 @@ def _(t):
  c as (select query, contig, isl, count(distinct p) as covered from (select query, contig, isl, unnest(range(qs, qe + 1)) as p from m) group by 1, 2, 3),
  t as (select *, max(covered) over (partition by query) as top from g join c using (query, contig, isl)),
  r as (select *, row_number() over (partition by query order by covered desc, evalue, contig, s) as k from t where covered >= top * 0.7)
- select query, contig, greatest(s - 50, 0) as "start", e + 50 as "end", covered, cast(k as int) as rank from r where k <= 3""")
+ select query, contig, greatest(s - 50, 1) as "start", e + 50 as "end", covered, cast(k as int) as rank from r where k <= 3""")
 def _(t):
     h = t.lineitem.select(
         F.concat(F.lit("q"), F.col("l_orderkey") % 200).alias("query"), F.concat(F.lit("c"), F.col("l_suppkey") % 20).alias("contig"), (F.col("l_partkey") * 40).alias("start"),

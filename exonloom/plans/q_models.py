@@ -217,9 +217,9 @@ def _(t):
     return K.training_rows(gene_table(t))
 
 
-@query("k15_smurf_rows", f"""with {GM} select distinct gene_id, cast(g % 50 as varchar) as contig_no, case when strand = '+' then g0 else g1 end as from_pos, case when strand = '+' then g1 else g0 end as to_pos, 'prod ' || (g % 9) as product from gm where g % 50 > 0""")
+@query("k15_smurf_rows", f"""with {GM} select distinct gene_id, case when g % 50 = 0 then '' else cast(g % 50 as varchar) end as contig_no, case when strand = '+' then g0 else g1 end as from_pos, case when strand = '+' then g1 else g0 end as to_pos, 'prod ' || (g % 9) as product from gm""")
 def _(t):
-    g = gene_table(t).where("contig != 'ctg0'").select("gene_id", "contig", "strand", F.col("gene_start").alias("start"), F.col("gene_end").alias("end"), "product").distinct()
+    g = gene_table(t).select("gene_id", "contig", "strand", F.col("gene_start").alias("start"), F.col("gene_end").alias("end"), "product").distinct()
     return K.smurf_rows(g)
 
 
@@ -367,13 +367,13 @@ def _(t):
 
 
 @query("o11_select_training", """with m as (select 'g' || l_orderkey as gene_id, 'c' || (l_orderkey % 20) as contig, min(l_partkey) * 30 as s, min(l_partkey) * 30 + 100 as e, count(*) as n from lineitem group by l_orderkey),
- k as (select *, n >= 4 as l from m), c as (select count(*) filter (l) as a, count(*) filter (l and n > 1) as b, count(*) filter (n > 1) as d from k),
- p as (select gene_id, contig, s, e, n from k, c where (a < 200 or l) and (case when a >= 200 then b >= 200 else d >= 200 end = false or n > 1))
+ k as (select *, n >= 4 as l from m),
+ p as (select gene_id, contig, s, e, n from k where l and n > 1)
  select gene_id, contig, s as "start", e as "end", n as n_cds from p where not exists (select 1 from p q where q.contig = p.contig and q.s <= p.e and q.e >= p.s and (q.n > p.n or (q.n = p.n and q.gene_id < p.gene_id)))""")
 def _(t):
     m = t.lineitem.groupBy("l_orderkey").agg((F.min("l_partkey") * 30).alias("start"), F.count(F.lit(1)).alias("n_cds")).select(
         F.concat(F.lit("g"), "l_orderkey").alias("gene_id"), F.concat(F.lit("c"), F.col("l_orderkey") % 20).alias("contig"), "start", (F.col("start") + 100).alias("end"), "n_cds")
-    return M.select_training(m, m.where("n_cds >= 4").select("gene_id"))
+    return M.select_training(m, m.where("n_cds >= 4").select("gene_id"), listed_only=True, multi_only=True)
 
 
 @query("u4_combine_alignments", """with a as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, row_number() over (order by l_orderkey, l_linenumber, l_partkey, l_suppkey) as number from (select distinct l_orderkey, l_linenumber, l_partkey, l_suppkey from lineitem where l_returnflag = 'A')),

@@ -242,7 +242,7 @@ def _(t):
     return Q.sort_by_length(s, min_len=200).select("doc_id", "rank", "new_id")
 
 
-@query("w6_rename_loci", """select name, 'GENE_' || lpad(cast(row_number() over (order by contig, "start", name) as varchar), 6, '0') as new_id from (select 'ctg' || (p_partkey % 10) as contig,
+@query("w6_rename_loci", """select name, 'GENE_' || printf('%06d', row_number() over (order by contig, "start", name)) as new_id from (select 'ctg' || (p_partkey % 10) as contig,
  p_size as "start", p_name || p_partkey as name from part)""")
 def _(t):
     p = t.part.select(F.concat(F.lit("ctg"), F.col("p_partkey") % 10).alias("contig"), F.col("p_size").alias("start"),

@@ -25,7 +25,7 @@ HITS = """hits as (select l_partkey as query, l_suppkey as subject, l_discount a
   l_extendedprice as bitscore, l_quantity as pident, l_orderkey as hit_id, l_linenumber as hit_no,
   l_tax as tax, l_returnflag as flag from lineitem)"""
 
-ANNOTS = """annots as (select 'GENE_' || lpad(cast(user_id as varchar), 5, '0') || '-T' || (event_id % 2 + 1) as id,
+ANNOTS = """annots as (select 'GENE_' || printf('%05d', user_id) || '-T' || (event_id % 2 + 1) as id,
   case event_type when 'signup' then 'name' when 'purchase' then 'product' when 'click' then 'db_xref'
     when 'view' then 'note' else 'EC_number' end as ref_db,
   regexp_extract(props, '([0-9]+)', 1) as value, event_id from events)"""
@@ -83,7 +83,7 @@ def annots(t: Tables) -> DataFrame:
     kinds = F.create_map(*[F.lit(x) for x in (
         "signup", "name", "purchase", "product", "click", "db_xref", "view", "note", "error", "EC_number")])
     return t.events.select(
-        F.concat(F.lit("GENE_"), F.lpad(F.col("user_id").cast("string"), 5, "0"), F.lit("-T"),
+        F.concat(F.lit("GENE_"), F.format_string("%05d", F.col("user_id")), F.lit("-T"),
                  F.col("event_id") % 2 + 1).alias("id"),
         kinds[F.col("event_type")].alias("ref_db"),
         F.regexp_extract("props", "([0-9]+)", 1).alias("value"), "event_id")

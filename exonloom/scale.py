@@ -3,11 +3,11 @@
 * ``materialize`` cuts lineage by writing a table to the shared folder.
 * ``Slabs`` evaluates running sums / maxima / last values over one huge key (or
   over no key at all) without ever sending that key to a single task.
-* ``if_small`` decides between a plain window and ``Slabs`` by the plan's size.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,16 +15,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-SMALL_BYTES = 128 * 1024 * 1024
-SMALL_CONF = "spark.exonloom.smallBytes"
+SMALL_ROWS = 1_000_000
+SMALL_CONF = "spark.exonloom.smallRows"
 
 
 def work_dir(spark: SparkSession) -> str:
-    """Shared scratch folder: the cluster's checkpoint folder, or one of our own."""
+    """Shared scratch folder: the cluster's checkpoint folder; one of our own in local mode only."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.conf.get("spark.exonloom.localDir", None)
     if not base:
+        master = spark.conf.get("spark.master", "local")
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all machines of {master} share")
         base = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.exonloom.localDir", base)
     return base.rstrip("/")
@@ -42,20 +45,14 @@ def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's own size estimate of the optimized plan."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))
-
-
-def is_small(df: DataFrame) -> bool:
-    limit = int(df.sparkSession.conf.get(SMALL_CONF, str(SMALL_BYTES)))
-    return plan_bytes(df) <= limit
-
-
-def broadcast_if_small(df: DataFrame, limit: int = 64 * 1024 * 1024) -> DataFrame:
-    """Hint a broadcast only when the estimated size is proven below ``limit``."""
-    return F.broadcast(df) if plan_bytes(df) <= limit else df
+def drop_scratch(df: DataFrame) -> None:
+    """Deletes the scratch tables that ``df`` reads, once its result is stored elsewhere."""
+    spark = df.sparkSession
+    base = work_dir(spark).split(":", 1)[-1].lstrip("/")
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if base in folder and "/exonloom-" in folder:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
@@ -85,18 +82,20 @@ def computed_once(df: DataFrame, name: str, expr: Column) -> DataFrame:
 class Slabs:
     """Running aggregates over ``keys`` in ``order`` for keys of any size.
 
-    Small inputs use an ordinary window. Larger ones are range-partitioned by
-    (keys, order) and written once with their slab number, so that a hot key is
-    cut into many slabs; every slab is scanned on its own and then shifted by the
-    carry of the slabs before it. At most one key of a slab started in an earlier
-    slab, so the carry table never has more rows than there are slabs.
+    The input is written once and its rows are counted there. Up to a million rows
+    an ordinary window does; more are range-partitioned by (keys, order) and written
+    with their slab number, so that a hot key is cut into many slabs; every slab is
+    scanned on its own and then shifted by the carry of the slabs before it. At most
+    one key of a slab started in an earlier slab, so the carry table never has more
+    rows than there are slabs.
     ``order`` must be a total order within ``keys``.
     """
 
     def __init__(self, df: DataFrame, keys: list[str], order: list):
         self.keys = list(keys)
         self.order = [F.col(o) if isinstance(o, str) else o for o in order]
-        self.single = is_small(df)
+        df = materialize(df, "scan")
+        self.single = df.count() <= int(df.sparkSession.conf.get(SMALL_CONF, str(SMALL_ROWS)))
         if self.single:
             self.df = df.withColumn("_slab", F.lit(0))
         else:

@@ -293,7 +293,7 @@ def cluster_report(genes: DataFrame, clusters: DataFrame, mibig: DataFrame, flan
 def smurf_rows(genes: DataFrame) -> DataFrame:
     """Locus, contig number, ends in reading order, product."""
     plus = F.col("strand") == "+"
-    num = F.regexp_replace(F.regexp_extract("contig", r"(\d+)$", 1), "^0+", "")
+    num = F.regexp_replace(F.regexp_replace("contig", r"\D", ""), "^0+", "")
     return genes.select("gene_id", num.alias("contig_no"), F.when(plus, F.col("start")).otherwise(F.col("end")).alias("from_pos"),
                         F.when(plus, F.col("end")).otherwise(F.col("start")).alias("to_pos"), F.coalesce("product", F.lit("No Description")).alias("product"))
 

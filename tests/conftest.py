@@ -21,9 +21,9 @@ def spark():
 def path(request, spark):
     """Runs a test once with plain windows and once with the slab path."""
     if request.param == "large":
-        spark.conf.set("spark.exonloom.smallBytes", "0")
+        spark.conf.set("spark.exonloom.smallRows", "0")
     yield request.param
-    spark.conf.unset("spark.exonloom.smallBytes")
+    spark.conf.unset("spark.exonloom.smallRows")
 
 
 @pytest.fixture

@@ -18,8 +18,8 @@ sf, prefixes = sys.argv[1], sys.argv[2:]
 folder = f"/root/testdata/sf{sf}"
 spark = local_session()
 spark.sparkContext.setLogLevel("ERROR")
-if os.environ.get("SMALL_BYTES"):
-    spark.conf.set("spark.exonloom.smallBytes", os.environ["SMALL_BYTES"])
+if os.environ.get("SMALL_ROWS"):
+    spark.conf.set("spark.exonloom.smallRows", os.environ["SMALL_ROWS"])
 con = duck(folder)
 ora, bad = E.oracle_sql(), []
 for name, fn in E.queries().items():

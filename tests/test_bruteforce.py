@@ -27,22 +27,20 @@ def test_overlap_join_with_long_intervals(spark, path):
     ra, a = make(spark, 1, 300, 0.03)
     rb, b = make(spark, 2, 250, 0.03)
     want = sorted((x[3], y[3]) for x in ra for y in rb if x[0] == y[0] and x[1] <= y[2] and x[2] >= y[1])
-    got = I.overlap_join(a, b, layout=I.Layout(16, 9000)).select("name", "b_name").collect()
-    assert sorted(map(tuple, got)) == want
     got = I.overlap_join(a, b).select("name", "b_name").collect()
     assert sorted(map(tuple, got)) == want
 
 
 def test_salted_bins(spark, monkeypatch):
     monkeypatch.setattr(I, "HOT_ROWS", 20)
-    spark.conf.set("spark.exonloom.smallBytes", "0")
+    spark.conf.set("spark.exonloom.smallRows", "0")
     try:
         ra, a = make(spark, 3, 400, span=120)
         rb, b = make(spark, 4, 60, span=120)
         want = sorted((x[3], y[3]) for x in ra for y in rb if x[0] == y[0] and x[1] <= y[2] and x[2] >= y[1])
         assert sorted(map(tuple, I.overlap_join(a, b).select("name", "b_name").collect())) == want
     finally:
-        spark.conf.unset("spark.exonloom.smallBytes")
+        spark.conf.unset("spark.exonloom.smallRows")
 
 
 def test_exists_and_fraction(spark, path):
