@@ -10,7 +10,7 @@ much, and TF-IDF alone would let such a group fall apart. Classes are the connec
 
 Equal texts are folded first. In a band bucket of any size every member meets the least one
 first; only buckets whose members then lie in several classes are opened, and there pairs of
-different classes are compared by their samples in blocks before they are verified.
+different classes are compared in blocks, by their samples and then in full.
 
 Null text counts as empty. Texts of fewer than five words are one shingle; texts without words
 link only with equal texts. Ties and repeated rows: the class id is the least key, and of
@@ -26,10 +26,11 @@ from pyspark.sql import functions as F
 
 from exonloom.scale import materialize
 
-from .common import Texts, mix, splits, texts_of, windows
+from .common import Texts, mix, seal, splits, texts_of, windows
 from .components import components
 
 WIDTH, BANDS, ROWS, FEATURES = 5, 16, 3, 1 << 18
+HASH_BITS = 44
 _POOL = 1 << 16
 _rng = np.random.default_rng(77)
 _R = _rng.gamma(2.0, 1.0, _POOL).astype(np.float32) + np.float32(1e-6)
@@ -47,16 +48,16 @@ def shingles(t: Texts, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.n
         n = words[i]
         h = np.append(h, windows(t.hashes[t.first[i]:t.first[i] + n], int(n)) ^ np.uint64(n))
         owner = np.append(owner, i)
-    order = np.lexsort((h, owner))
-    h, owner = h[order], owner[order]
-    new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
-    at = np.flatnonzero(new)
-    return h[at], owner[at], np.diff(np.append(at, len(h)))
+    # text and 44 bits of the hash in one number, so one plain sort groups them
+    both = np.sort((owner.astype(np.uint64) << np.uint64(HASH_BITS)) | (h >> np.uint64(64 - HASH_BITS)))
+    at = np.flatnonzero(np.append(True, both[1:] != both[:-1])) if len(both) else np.zeros(0, np.int64)
+    times = np.diff(np.append(at, len(both)))
+    both = both[at]
+    return both & np.uint64((1 << HASH_BITS) - 1), (both >> np.uint64(HASH_BITS)).astype(np.int64), times
 
 
 def feature(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(64 - FEATURES.bit_length() + 1)).astype(np.int64)
+    return (h >> np.uint64(HASH_BITS - FEATURES.bit_length() + 1)).astype(np.int64)
 
 
 def document_frequencies(docs: DataFrame, text: str = "text") -> np.ndarray:
@@ -67,8 +68,9 @@ def document_frequencies(docs: DataFrame, text: str = "text") -> np.ndarray:
         for batch in batches:
             for _, t in texts_of(batch.column(0)):
                 h, owner, _ = shingles(t)
-                pair = np.unique(owner * FEATURES + feature(h))
-                counts[:FEATURES] += np.bincount(pair % FEATURES, minlength=FEATURES)
+                f = feature(h)  # ascends within each text
+                new = np.append(True, (f[1:] != f[:-1]) | (owner[1:] != owner[:-1])) if len(f) else np.zeros(0, bool)
+                counts[:FEATURES] += np.bincount(f[new], minlength=FEATURES)
                 counts[FEATURES] += len(t)
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["feature", "docs"])
@@ -85,8 +87,9 @@ def sample(h: np.ndarray, weight: np.ndarray, starts: np.ndarray) -> np.ndarray:
     The draws of a (shingle, sample) pair come from a pool by double hashing. The least ln(a)
     and the code of its (shingle, level) share one 64-bit number, so one minimum finds both.
     """
-    low, step = h.astype(np.uint32), (h >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-    code, log_w = (mix(h) >> np.uint64(32)).astype(np.uint32), np.log(weight).astype(np.float32)
+    mixed = mix(h)
+    low, step, code = mixed.astype(np.uint32), (mixed >> np.uint64(32)).astype(np.uint32) | np.uint32(1), (mix(~h) >> np.uint64(32)).astype(np.uint32)
+    log_w = np.log(weight).astype(np.float32)
     out = np.empty((len(starts), BANDS * ROWS), np.uint32)
     with np.errstate(over="ignore"):
         for k in range(BANDS * ROWS):
@@ -108,7 +111,7 @@ def signatures(docs: DataFrame, idf, key: str, text: str) -> DataFrame:
     def run(batches):
         table = idf.value
         for batch in batches:
-            for i, t in texts_of(batch.column(3), 1 << 20):
+            for i, t in texts_of(batch.column(3), 1 << 18):
                 h, owner, times = shingles(t)
                 starts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(h) else np.zeros(0, np.int64)
                 bands, samples = [None] * len(t), [None] * len(t)
@@ -175,37 +178,74 @@ def verify(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFra
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "u long, v long")
 
 
-def open_pairs(members: DataFrame, least: float) -> DataFrame:
-    """Pairs ``a, b`` of different classes in one bucket that share at least this part of their samples.
+def open_links(members: DataFrame, idf, threshold: float, least: float = 0.5) -> DataFrame:
+    """Links ``u, v`` between members of different classes in one bucket.
 
-    ``members``: ``bucket, size, node, part, samples``. A bucket is dealt into blocks of a few
-    hundred and the blocks meet pairwise, so no task gets a whole bucket; small ones share a group.
+    ``members``: ``bucket, band, size, node, part, samples, text``. A bucket is dealt into blocks of
+    a few hundred and the blocks meet pairwise, so no task gets a whole bucket; small ones share a
+    group. A pair is looked at in the first band it shares, if it shares at least this part of its
+    samples, and verified on the spot: only links leave the task, one for each node and class.
     """
     n = members.withColumn("blocks", F.ceil(F.col("size") / BLOCK)).withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
     met = n.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     groups = max(64, 4 * splits(members))
     met = met.withColumn("group", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("bucket"), F.lit(groups))).otherwise(F.col("bucket")))
-    met = met.select("group", "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "part", "samples")
+    met = met.select("group", "bucket", "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "part", "samples", "text")
 
     def run(keys, rows):
         got = []
         one = keys[1].as_py() == keys[2].as_py()
-        bucket, own, node, part = (rows.column(c).to_numpy() for c in ("bucket", "own", "node", "part"))
-        drawn = np.frombuffer(b"".join(rows.column("samples").to_pylist()), np.uint32).reshape(len(node), -1)
+        bucket = rows.column("bucket").to_numpy()
         order = np.argsort(bucket, kind="stable")
-        edges = np.flatnonzero(np.append(True, bucket[order][1:] != bucket[order][:-1]))
-        for own_rows in np.split(order, edges[1:]):
-            low = own[own_rows] == keys[1].as_py()
-            a, b = own_rows[low], own_rows if one else own_rows[~low]
-            for x in a:
-                alike = (drawn[b] == drawn[x]).mean(1) >= least
-                y = b[alike & (part[b] != part[x])]
-                y = y[node[y] > node[x]] if one else y
-                got.append(np.stack([np.minimum(node[x], node[y]), np.maximum(node[x], node[y])]))
-        got = np.concatenate(got, 1) if got else np.zeros((2, 0), np.int64)
-        return pa.table({"a": pa.array(got[0]), "b": pa.array(got[1])})
-
-    return met.groupBy("group", "i", "j").applyInArrow(run, "a long, b long").distinct()
+        for own_rows in np.split(order, np.flatnonzero(bucket[order][1:] != bucket[order][:-1]) + 1):
+            part = rows.take(own_rows)
+            low = part.column("own").to_numpy() == keys[1].as_py()
+            got += links_in(part, low, low if one else ~low, one, idf.value, threshold, least)
+        got = np.array(got, np.int64).reshape(-1, 2)
+        return pa.table({"u": pa.array(got[:, 0]), "v": pa.array(got[:, 1])})
+
+    return met.groupBy("group", "i", "j").applyInArrow(run, "u long, v long").distinct()
+
+
+def links_in(rows: pa.Table, low: np.ndarray, high: np.ndarray, one: bool, idf: np.ndarray, threshold: float, least: float) -> list[tuple[int, int]]:
+    """Verified links between the rows ``low`` and ``high`` of one bucket."""
+    node, part = rows.column("node").to_numpy(), rows.column("part").to_numpy()
+    if part.min() == part.max():
+        return []
+    drawn = np.frombuffer(b"".join(rows.column("samples").to_pylist()), np.uint32).reshape(len(node), -1)
+    band = rows.column("band")[0].as_py()
+    (_, t), = texts_of(rows.column("text").combine_chunks(), 1 << 62)
+    h, owner, times = shingles(t)
+    ids = np.unique(h, return_inverse=True)[1]
+    first = np.searchsorted(owner, np.arange(len(node) + 1))
+    heavy = times * idf[feature(h)].astype(np.float64)
+    size, weight = np.diff(first), np.bincount(owner, heavy, len(node))
+    mine, own = np.zeros(ids.max() + 1), np.zeros(ids.max() + 1)
+    out = []
+    others = np.flatnonzero(high)
+    for x in np.flatnonzero(low):
+        y = others[(part[others] != part[x]) & ((node[others] > node[x]) if one else True)]
+        same = drawn[y] == drawn[x]
+        shared = same.reshape(len(y), BANDS, ROWS).all(2)
+        y = y[(same.mean(1) >= least) & (shared.argmax(1) == band) & shared.any(1)]
+        # no similarity exceeds the ratio of the sizes
+        y = y[np.maximum(np.minimum(size[y], size[x]) / np.maximum(size[y], size[x]), np.minimum(weight[y], weight[x]) / np.maximum(weight[y], weight[x])) >= threshold]
+        if not len(y):
+            continue
+        s = slice(first[x], first[x + 1])
+        mine[ids[s]], own[ids[s]] = heavy[s], 1.0
+        at = np.concatenate([np.arange(first[k], first[k + 1]) for k in y])
+        starts = np.cumsum(size[y]) - size[y]
+        common = np.add.reduceat(own[ids[at]], starts)
+        heavy_common = np.add.reduceat(np.minimum(mine[ids[at]], heavy[at]), starts)
+        mine[ids[s]], own[ids[s]] = 0.0, 0.0
+        alike = np.maximum(common / (size[y] + size[x] - common), heavy_common / (weight[y] + weight[x] - heavy_common)) >= threshold
+        met = set()
+        for k in y[alike]:
+            if part[k] not in met:
+                met.add(part[k])
+                out.append((int(node[x]), int(node[k])))
+    return out
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.8) -> DataFrame:
@@ -217,7 +257,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold:
     nodes = drawn.join(groups.select("node"), F.col("row") == F.col("node"), "left_semi").select(F.col("row").alias("node"), "key", "k1", "k2", "bands", "samples")
     nodes = materialize(nodes.where("bands is not null"), "nodes")
 
-    banded = nodes.select("node", F.explode("bands").alias("bucket"))
+    banded = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
     full = banded.groupBy("bucket").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1")
     full = materialize(full, "buckets")
     members = banded.join(full, "bucket")
@@ -228,11 +268,10 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold:
     links = materialize(verify(stars, texts, idf, threshold), "links")
     parts = components(links)
 
-    placed = members.where("size > 2").join(parts, "node", "left").select("bucket", "size", "node", F.coalesce("component", "node").alias("part"))
+    placed = members.where("size > 2").join(parts, "node", "left").select("bucket", "band", "size", "node", F.coalesce("component", "node").alias("part"))
     several = placed.groupBy("bucket").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("bucket")
-    opened = placed.join(several, "bucket").join(nodes.select("node", "samples"), "node")
-    more = open_pairs(materialize(opened, "open"), 0.5).join(stars, ["a", "b"], "left_anti")
-    late = materialize(verify(more, texts, idf, threshold), "late")
+    opened = placed.join(several, "bucket").join(nodes.select("node", "samples"), "node").join(texts, "node")
+    late = materialize(open_links(opened, idf, threshold), "late")
     parts = components(links.unionByName(late))
 
     known = groups.join(parts, "node", "left").select("k1", "k2", "least", F.coalesce("component", "node").alias("part"))
@@ -248,9 +287,10 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold:
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.8) -> DataFrame:
     """``docs`` with one document of each class, columns unchanged."""
     kept = materialize(classes(docs, key, text, threshold), "classes").where("kept").select(F.col(key).alias("_key"), "k1", "k2", "copies")
+    docs, restore = seal(docs, key, text)
     words = F.coalesce(F.col(text), F.lit(""))
     marked = docs.withColumns({"_k1": F.xxhash64(words), "_k2": F.xxhash64(F.lit("2"), words)})
     chosen = marked.join(kept, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_k1") == F.col("k1")) & (F.col("_k2") == F.col("k2")))
-    once = chosen.where("copies = 1").select(*docs.columns)
-    again = chosen.where("copies > 1").dropDuplicates(["_key", "k1", "k2"]).select(*docs.columns)
+    once = restore(chosen.where("copies = 1"))
+    again = restore(chosen.where("copies > 1").dropDuplicates(["_key", "k1", "k2"]))
     return once.unionByName(again)
