@@ -130,10 +130,12 @@ def add_clean_product(df: DataFrame, product: str = "product", symbol: str = "na
     """rules, symbol in lower case, fallback to ``Symbolp`` for sentences, tidying.
 
     Also adds ``need_curating``: the fallback was taken. Done in steps, so that the
-    long rule chain runs once per row.
+    long rule chain runs once per distinct product text; the symbol comes in after it.
     """
     known = F.col(curated) if curated else F.lit(False)
-    step = computed_once(df, "_r", lower_symbol(apply_rules(F.col(product)), F.col(symbol)))
+    texts = df.select(F.col(product).alias("_p")).distinct()
+    ruled = df.join(computed_once(texts, "_q", apply_rules(F.col("_p"))), F.col(product) == F.col("_p"), "left").drop("_p")
+    step = computed_once(ruled, "_r", lower_symbol(F.col("_q"), F.col(symbol))).drop("_q")
     step = step.withColumn("need_curating", ~known & is_sentence(F.col("_r"), F.col(symbol)))
     text = F.when(F.col("need_curating"), symbol_product(F.col(symbol))).otherwise(F.col("_r"))
     return computed_once(step, "_t", squeeze(text)).withColumn(out, close_parens(F.col("_t"))).drop("_r", "_t")

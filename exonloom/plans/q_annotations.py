@@ -227,10 +227,10 @@ def _(t):
     return A.go_category(h, terms).select("go_id", "qualifier", "line")
 
 
-@query("a17_go_associations", """with g as (select distinct 'g' || l_suppkey as id, 'GO:' || lpad(cast(l_partkey % 40 as varchar), 7, '0') as v from lineitem where l_quantity > 30)
+@query("a17_go_associations", """with g as (select distinct 'g' || l_suppkey as id, 'GO:' || lpad(cast(l_partkey % 40 as varchar), 7, '0') as v from lineitem)
  select id, string_agg(v, ';' order by v) as terms, count(*) as n_terms from g group by 1""")
 def _(t):
-    a = t.lineitem.where("l_quantity > 30").select(F.concat(F.lit("g"), "l_suppkey").alias("id"),
+    a = t.lineitem.select(F.concat(F.lit("g"), "l_suppkey").alias("id"),
                                                    F.concat(F.lit("GO:"), F.lpad((F.col("l_partkey") % 40).cast("string"), 7, "0")).alias("value"))
     return A.go_associations(a)
 
@@ -324,10 +324,10 @@ def _(t):
     return t.lineitem.select("l_orderkey", "l_linenumber", N.variant_product(F.lit("kinase"), F.col("l_linenumber")).alias("product")).distinct()
 
 
-@query("f33_render_missing", """select l_orderkey, p_partkey, coalesce(p_name, '*') as cell from (select distinct l_orderkey, l_partkey from lineitem) left join (select * from part where p_size > 25) on l_partkey = p_partkey""")
+@query("f33_render_missing", """select l_orderkey, p_partkey, coalesce(case when p_size > 25 then p_name end, '*') as cell from (select distinct l_orderkey, l_partkey from lineitem) left join part on l_partkey = p_partkey""")
 def _(t):
     li = t.lineitem.select("l_orderkey", "l_partkey").distinct()
-    return li.join(t.part.where("p_size > 25"), F.col("l_partkey") == F.col("p_partkey"), "left").select("l_orderkey", "p_partkey", N.render_missing(F.col("p_name"), "*").alias("cell"))
+    return li.join(t.part, F.col("l_partkey") == F.col("p_partkey"), "left").select("l_orderkey", "p_partkey", N.render_missing(F.when(F.col("p_size") > 25, F.col("p_name")), "*").alias("cell"))
 
 
 @query("p16_drop_models", """select o_orderkey as gene_id from orders where o_orderkey not in (select l_orderkey from lineitem where l_quantity = 50)""")

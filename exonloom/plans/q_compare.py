@@ -9,11 +9,11 @@ from ..operators import graph as G
 from . import views as V
 from .registry import query
 
-CNT = "cnt as (select species, family, count(*) as n from fam where qty > 49 group by 1, 2)"
+CNT = "cnt as (select species, family, count(*) as n from fam group by 1, 2)"
 
 
 def cnt(t):
-    return C.family_counts(V.fam(t).where("qty > 49"))
+    return C.family_counts(V.fam(t))
 
 
 @query("a8_family_counts", f"with {V.FAM} select species, family, count(*) as n from fam group by 1, 2")
@@ -40,10 +40,10 @@ def _(t):
     return C.percent_of_species(cnt(t)).withColumn("pct", F.round("pct", 6))
 
 
-@query("a11_drop_empty", f"""with {V.FAM}, z as (select species, family, sum(case when qty > 49 then 1 else 0 end) as n from fam where species < 'NATION_14' or qty < 10 group by 1, 2)
+@query("a11_drop_empty", f"""with {V.FAM}, z as (select species, family, sum(case when qty > 49 and species < 'NATION_14' then 1 else 0 end) as n from fam group by 1, 2)
  select species, family, cast(n as bigint) as n from z where species in (select species from z group by 1 having sum(n) > 0)""")
 def _(t):
-    z = V.fam(t).where("species < 'NATION_14' or qty < 10").groupBy("species", "family").agg(F.sum(F.when(F.col("qty") > 49, 1).otherwise(0)).alias("n"))
+    z = V.fam(t).groupBy("species", "family").agg(F.sum(F.when(F.expr("qty > 49 and species < 'NATION_14'"), 1).otherwise(0)).alias("n"))
     return C.drop_empty(z, "species")
 
 
@@ -66,11 +66,11 @@ def _(t):
     return C.backbone_counts(p.where("l_quantity = 50"), p)
 
 
-@query("a14_braycurtis", f"""with {V.FAM}, c as (select species, family, count(*) as n from fam where qty > 40 group by 1, 2), s as (select distinct species from c), f as (select distinct family from c),
+@query("a14_braycurtis", f"""with {V.FAM}, c as (select species, family, count(*) as n from fam group by 1, 2), s as (select distinct species from c), f as (select distinct family from c),
  g as (select s.species, f.family, coalesce(n, 0) as n from s cross join f left join c using (species, family))
  select a.species as sp_a, b.species as sp_b, round(sum(abs(a.n - b.n)) / sum(a.n + b.n), 6) as distance from g a join g b on a.family = b.family and a.species < b.species group by 1, 2""")
 def _(t):
-    return C.braycurtis(C.family_counts(V.fam(t).where("qty > 40"))).withColumn("distance", F.round("distance", 6))
+    return C.braycurtis(C.family_counts(V.fam(t))).withColumn("distance", F.round("distance", 6))
 
 
 @query("j13_factor_counts", f"""with {V.FAM}, {CNT}, tf as (select 'Brand#' || n_nationkey as family, n_name as description from nation where n_nationkey < 12)
@@ -143,9 +143,9 @@ def _(t):
     return C.supermatrix(g, g.select("species", "gene_id").join(p, "gene_id"))
 
 
-@query("a35_duplicate_tags", """select p_brand as tag, count(distinct p_type) as n_genomes from part where p_size < 4 group by 1 having count(distinct p_type) > 1""")
+@query("a35_duplicate_tags", """select p_brand as tag, count(distinct p_type) as n_genomes from part group by 1 having count(distinct p_type) > 1""")
 def _(t):
-    return C.duplicate_tags(t.part.where("p_size < 4").select(F.col("p_brand").alias("tag"), F.col("p_type").alias("genome")))
+    return C.duplicate_tags(t.part.select(F.col("p_brand").alias("tag"), F.col("p_type").alias("genome")))
 
 
 @query("a36_next_locus", """select 'GEN' || (o_orderkey % 3) || '_' as prefix, max(o_orderkey) + 1 as next_number, 7 as width from orders group by 1""")
@@ -162,12 +162,12 @@ def _(t):
     return C.poff_to_long(w, ["spA.faa", "spN.faa"])
 
 
-@query("k11_gene_report", """with g as (select 'g' || p_partkey as gene_id, p_name as product from part), h as (select distinct 'g' || l_partkey as gene_id, case when l_suppkey % 2 = 0 then 'PFAM' else 'CAZy' end as ch, cast(l_suppkey as varchar) as hit from lineitem where l_quantity > 30),
+@query("k11_gene_report", """with g as (select 'g' || p_partkey as gene_id, p_name as product from part), h as (select distinct 'g' || l_partkey as gene_id, case when l_suppkey % 2 = 0 then 'PFAM' else 'CAZy' end as ch, cast(l_suppkey as varchar) as hit from lineitem),
  w as (select gene_id, string_agg(hit, ';' order by hit) filter (ch = 'PFAM') as p, string_agg(hit, ';' order by hit) filter (ch = 'CAZy') as c from h group by 1)
  select g.gene_id, product, coalesce(p, '') as "PFAM", coalesce(c, '') as "CAZy", case when p_size > 25 then 'orth' || p_size else '' end as group_id from g join part on gene_id = 'g' || p_partkey left join w using (gene_id)""")
 def _(t):
     genes = t.part.select(F.concat(F.lit("g"), "p_partkey").alias("gene_id"), F.col("p_name").alias("product"))
-    ch = t.lineitem.where("l_quantity > 30").select(F.concat(F.lit("g"), "l_partkey").alias("gene_id"), F.when(F.col("l_suppkey") % 2 == 0, "PFAM").otherwise("CAZy").alias("channel"),
+    ch = t.lineitem.select(F.concat(F.lit("g"), "l_partkey").alias("gene_id"), F.when(F.col("l_suppkey") % 2 == 0, "PFAM").otherwise("CAZy").alias("channel"),
                                                     F.col("l_suppkey").cast("string").alias("hit"))
     orth = t.part.where("p_size > 25").select(F.concat(F.lit("g"), "p_partkey").alias("gene_id"), F.concat(F.lit("orth"), "p_size").alias("group_id"))
     return C.gene_report(genes, ch, orth, ["PFAM", "CAZy"])
@@ -213,12 +213,12 @@ def _(t):
     return G.go_enrichment(st, aso, 0.9).withColumn("p", F.round("p", 6)).withColumn("fdr", F.round("fdr", 6))
 
 
-OLDNEW = f"""{V.IV}, od as (select * from iv where source = 'R' and score > 30000), nw as (select * from iv where source = 'N' and score > 60000)"""
+OLDNEW = f"""{V.IV}, od as (select * from iv where source = 'R'), nw as (select * from iv where source = 'N')"""
 
 
 def old_new(t):
     f = V.iv(t)
-    return f.where("source = 'R' and score > 30000"), f.where("source = 'N' and score > 60000")
+    return f.where("source = 'R'"), f.where("source = 'N'")
 
 
 @query("j9_diff_by_overlap", f"""with {OLDNEW}, m as (select n.contig, o.name as old_name, o."start" as old_start, o."end" as old_end, n.name as new_name, n."start" as new_start, n."end" as new_end,

@@ -108,11 +108,11 @@ def _(t):
     return H.expand_hits(h).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "qframe", "start", "end")
 
 
-PAF = """paf as (select 'r' || l_partkey as query, case when l_suppkey % 40 = 0 then '*' else 'c' || l_suppkey end as target, cast(l_discount * 2.5 as double) as de, l_linenumber as mapq from lineitem where l_quantity > 40)"""
+PAF = """paf as (select 'r' || l_partkey as query, case when l_suppkey % 40 = 0 then '*' else 'c' || l_suppkey end as target, cast(l_discount * 2.5 as double) as de, l_linenumber as mapq from lineitem)"""
 
 
 def paf(t):
-    return t.lineitem.where("l_quantity > 40").select(
+    return t.lineitem.select(
         F.concat(F.lit("r"), "l_partkey").alias("query"), F.when(F.col("l_suppkey") % 40 == 0, "*").otherwise(F.concat(F.lit("c"), "l_suppkey")).alias("target"),
         (F.col("l_discount") * 2.5).alias("de"), F.col("l_linenumber").alias("mapq"))
 
@@ -146,7 +146,7 @@ def _(t):
     return H.reciprocal_best_hits(h)
 
 
-BUS = """bh as (select 'B' || l_suppkey as busco, 'g' || l_partkey as gene, l_linenumber * 10 as hs, l_linenumber * 10 + cast(l_quantity as bigint) as he, l_extendedprice as score from lineitem where l_tax > 0.02),
+BUS = """bh as (select 'B' || l_suppkey as busco, 'g' || l_partkey as gene, l_linenumber * 10 as hs, l_linenumber * 10 + cast(l_quantity as bigint) as he, l_extendedprice as score from lineitem),
  ok as (select * from bh where score >= 20000),
  cov as (select busco, gene, count(distinct p) as covered from (select busco, gene, unnest(range(hs, he + 1)) as p from ok) group by 1, 2),
  m as (select c.*, o.score, (40.0 + cast(substr(c.busco, 2) as bigint) % 7 - covered) / 6.0 as sigma from cov c join (select busco, gene, max(score) as score from ok group by 1, 2) o using (busco, gene)),
@@ -154,7 +154,7 @@ BUS = """bh as (select 'B' || l_suppkey as busco, 'g' || l_partkey as gene, l_li
 
 
 def busco_classed(t):
-    bh = t.lineitem.where("l_tax > 0.02").select(
+    bh = t.lineitem.select(
         F.concat(F.lit("B"), "l_suppkey").alias("busco"), F.concat(F.lit("g"), "l_partkey").alias("gene"), (F.col("l_linenumber") * 10).cast("long").alias("hmm_start"),
         (F.col("l_linenumber") * 10 + F.col("l_quantity").cast("long")).alias("hmm_end"), F.col("l_extendedprice").alias("score"))
     cut = t.supplier.select(F.concat(F.lit("B"), "s_suppkey").alias("busco"), F.lit(20000.0).alias("min_score"),
@@ -187,9 +187,9 @@ def _(t):
  k as (select *, row_number() over (partition by busco order by score desc, contig desc, s desc, e desc) as r from b)
  select busco, contig, greatest(s - 100, 1) as "start", least(e + 100, 1990 + s_suppkey % 10) as "end", score from k join supplier on contig = 'c' || s_suppkey where r = 1""")
 def _(t):
-    b = t.lineitem.where("l_returnflag = 'A'").select(
+    b = t.lineitem.select(
         F.concat(F.lit("B"), F.col("l_partkey") % 300).alias("busco"), F.concat(F.lit("c"), "l_suppkey").alias("contig"), F.col("l_partkey").alias("start"),
-        (F.col("l_partkey") + F.col("l_quantity").cast("long")).alias("end"), F.col("l_extendedprice").alias("score"), F.lit("Complete").alias("status"))
+        (F.col("l_partkey") + F.col("l_quantity").cast("long")).alias("end"), F.col("l_extendedprice").alias("score"), F.expr("case l_returnflag when 'A' then 'Complete' when 'R' then 'Duplicated' else 'Missing' end").alias("status"))
     sizes = t.supplier.select(F.concat(F.lit("c"), "s_suppkey").alias("contig"), (F.col("s_suppkey") % 10 + 1990).alias("length"))
     return H.busco_regions(b, sizes).select("busco", "contig", "start", "end", "score")
 

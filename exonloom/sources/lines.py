@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,10 +49,9 @@ def _unquote(c: Column) -> Column:
 
 
 def _attr(info: Column, *keys: str) -> Column:
-    """Value of the last attribute with one of the keys."""
-    hits = F.filter(info, lambda x: F.substring_index(x, "=", 1).isin(*keys) & x.contains("="))
-    last = F.get(F.reverse(hits), F.lit(0))
-    return F.substring(last, F.instr(last, "=") + 1, F.length(last))
+    """Value of the last attribute with one of the keys; one walk over the attributes."""
+    hits = F.filter(info, lambda x: reduce(lambda a, b: a | b, [x.startswith(f"{k}=") for k in keys]))
+    return F.get(F.transform(F.slice(F.reverse(hits), 1, 1), lambda x: F.substring(x, F.instr(x, "=") + 1, F.length(x))), F.lit(0))
 
 
 def _list(c: Column) -> Column:
@@ -61,8 +62,8 @@ def parse_gff3(df: DataFrame) -> DataFrame:
     """S3: nine columns with typed attributes; comments and short lines dropped."""
     p = F.split("value", "\t")
     base = _cells(_data(df), p).where(F.size("p") == 9)
-    info = F.transform(F.split(_col(F.col("p"), 8), ";"), lambda x: F.trim(x))
-    c = F.col("p")
+    base = computed_once(base, "_info", F.transform(F.split(_col(F.col("p"), 8), ";"), lambda x: F.trim(x)))
+    info, c = F.col("_info"), F.col("p")
     rows = base.select(
         _col(c, 0).alias("contig"), _col(c, 1).alias("source"), _col(c, 2).alias("feature"), _col(c, 3, "long").alias("start"), _col(c, 4, "long").alias("end"),
         _col(c, 5, "double").alias("score"), _col(c, 6).alias("strand"), _col(c, 7, "int").alias("phase"), info.alias("info"), _col(c, 8).alias("attributes"))
