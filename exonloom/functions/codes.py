@@ -42,6 +42,47 @@ REASSIGNED = {
 }
 
 
+# Start codons per NCBI table id.
+STARTS = {
+    1: "TTG CTG ATG",
+    2: "ATT ATC ATA ATG GTG",
+    3: "ATA ATG GTG",
+    4: "TTA TTG CTG ATT ATC ATA ATG GTG",
+    5: "TTG ATT ATC ATA ATG GTG",
+    6: "ATG",
+    9: "ATG GTG",
+    10: "ATG",
+    11: "TTG CTG ATT ATC ATA ATG GTG",
+    12: "CTG ATG",
+    13: "TTG ATA ATG GTG",
+    14: "ATG",
+    15: "ATG",
+    16: "ATG",
+    21: "ATG GTG",
+    22: "ATG",
+    23: "ATT ATG GTG",
+    24: "TTG CTG ATG GTG",
+    25: "TTG ATG GTG",
+    26: "CTG ATG",
+    27: "ATG",
+    28: "ATG",
+    29: "ATG",
+    30: "ATG",
+    31: "ATG",
+    32: "TTG CTG ATT ATC ATA ATG GTG",
+    33: "TTG CTG ATG GTG",
+}
+
+
+def stop_codons(transl_table: int = 1) -> set[str]:
+    return {codon for codon, amino in codon_table(transl_table).items() if amino == "*"}
+
+
+def start_codons(transl_table: int = 1) -> set[str]:
+    codon_table(transl_table)  # an unknown table raises
+    return set(STARTS[transl_table].split())
+
+
 def valid_tables() -> list[int]:
     return sorted(REASSIGNED)
 

@@ -279,6 +279,29 @@ def pair_cds_exons(cds: DataFrame, exons: DataFrame) -> DataFrame:
     return ordered.unionByName(pairs.groupBy("gene_id").applyInPandas(_assign, schema))
 
 
+def parse_weights(entries: list[str], known: dict[str, int] | None = None) -> tuple[dict[str, int], list[str]]:
+    """``source:n`` entries (``n`` is 1 when left out) as weights, and the sources nobody knows."""
+    table = known if known is not None else {k.lower(): v for k, v in DEFAULT_WEIGHTS.items()}
+    weights, unknown = dict(table), []
+    for entry in entries:
+        source, _, n = entry.partition(":")
+        if source.lower() in table:
+            weights[source.lower()] = int(n) if n else 1
+        else:
+            unknown.append(source)
+    return weights, unknown
+
+
+def parse_model_files(entries: list[str], default: int = 1) -> list[tuple[str, str, int]]:
+    """``file.gff3:5`` entries as (path, source name, weight); a colon inside the path stays."""
+    out = []
+    for i, entry in enumerate(entries):
+        path, colon, n = entry.rpartition(":")
+        path, weight = (path, int(n)) if colon and n.isdigit() else (entry, default)
+        out.append((path, f"other_pred{i + 1}", weight))
+    return out
+
+
 def consensus_models(predictions: DataFrame, evidence: DataFrame, weights: dict[str, int] | None = None) -> DataFrame:
     """One model per stranded locus, the structure with the highest weighted support.
 

@@ -355,6 +355,20 @@ def split_maker(features: DataFrame) -> DataFrame:
     return out.withColumn("feature", name).withColumn("score", score).withColumn("source", F.replace("source", F.lit("pred_gff:"), F.lit("")))
 
 
+def relabel_lines(df: DataFrame, name: str) -> DataFrame:
+    """Text lines of a GFF file under another source; sequence lines and rows without nine columns go."""
+    p = F.split("value", "\t")
+    row = F.array_join(F.concat(F.slice(p, 1, 1), F.array(F.lit(name)), F.slice(p, 3, 7)), "\t")
+    return df.where(~F.col("value").startswith(">") & (F.col("value").startswith("#") | (F.size(p) == 9))).select(
+        F.when(F.col("value").startswith("#"), F.col("value")).otherwise(row).alias("value"))
+
+
+def contigs_of_lines(df: DataFrame) -> DataFrame:
+    """Contigs that valid rows name."""
+    p = F.split("value", "\t")
+    return df.where(~F.col("value").rlike("^[>#]") & (F.size(p) == 9)).select(F.get(p, F.lit(0)).alias("contig")).distinct()
+
+
 def relabel_source(features: DataFrame, name: str) -> DataFrame:
     """P3."""
     return features.withColumn("source", F.lit(name))

@@ -3,6 +3,7 @@
 import gzip
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from exonloom.functions import codes
@@ -159,3 +160,18 @@ def test_flows(spark):
     assert sorted((r["ref_db"], r["value"]) for r in ann["annotations"].collect()) == [
         ("EC_number", "1.1.1.1"), ("gene_synonym", "ABC1"), ("name", "XYZ1"), ("note", "COG:K,L")]
     assert sorted(r["hit"] for r in ann["channels"].where("channel = 'COG'").collect()) == ["K", "L"]
+
+
+def test_start_and_stop_codons():
+    assert codes.stop_codons(1) == {"TAA", "TAG", "TGA"} and codes.start_codons(1) == {"TTG", "CTG", "ATG"}
+    assert codes.stop_codons(6) == {"TGA"} and codes.stop_codons(12) == {"TAA", "TAG", "TGA"} and codes.stop_codons(2) == {"TAA", "TAG", "AGA", "AGG"}
+    assert codes.start_codons(12) == {"CTG", "ATG"} and set(codes.STARTS) == set(codes.valid_tables())
+    for bad in (codes.stop_codons, codes.start_codons):
+        with pytest.raises(ValueError):
+            bad(7)
+
+
+def test_weights_and_model_files():
+    weights, unknown = M.parse_weights(["Augustus:3", "nobody:2", "snap"])
+    assert weights["augustus"] == 3 and weights["snap"] == 1 and unknown == ["nobody"]
+    assert M.parse_model_files(["a.gff3:5", "s3://x/b.gff3"]) == [("a.gff3", "other_pred1", 5), ("s3://x/b.gff3", "other_pred2", 1)]
