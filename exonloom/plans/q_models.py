@@ -434,3 +434,36 @@ def _(t):
 @query("p3_contigs", f"""with {P3_LINES} select distinct split_part(value, chr(9), 1) as contig from pl where value like 'c%'""")
 def _(t):
     return L.contigs_of_lines(gff_text(t))
+
+
+def with_texts(t):
+    return gene_table(t).withColumns({"protein": F.concat(F.lit("MK"), F.repeat("tx_id", 20), F.lit("**")), "cds_seq": F.concat(F.lit("atg"), "tx_id"), "codon_start": F.lit(1)})
+
+
+@query("k16_ortholog_proteins", f"""with {GM} select distinct tx_id, '>' || tx_id || ' ' || gene_id || chr(10) || 'MK' || repeat(tx_id, 20) || '**' as line from gm""")
+def _(t):
+    return K.ortholog_proteins(with_texts(t))
+
+
+@query("k16_ortholog_transcripts", f"""with {GM} select distinct tx_id, '>' || tx_id || ' ' || gene_id || ' codon_start=1 strand=' || strand || chr(10) || 'atg' || tx_id as line from gm""")
+def _(t):
+    return K.ortholog_transcripts(with_texts(t))
+
+
+@query("k15_smurf_proteins", f"""with {GM} select distinct gene_id, tx_id, '>' || gene_id || chr(10) || regexp_replace(regexp_replace('MK' || repeat(tx_id, 20), '(.{{80}})', '\\1' || chr(10), 'g'), chr(10) || '$', '') as line from gm""")
+def _(t):
+    return K.smurf_proteins(with_texts(t))
+
+
+TRAIN = """o as (select *, row_number() over (partition by tx_id order by case when strand = '+' then s else -s end) as i from gm),
+ tr as (select contig, gene_id, tx_id, cast(i as int) as no, case when i = 1 then 'Einit' when i = k then 'Eterm' else 'Exon' end as label, case when strand = '+' then cs else ce end as f, case when strand = '+' then ce else cs end as l from o)"""
+
+
+@query("k21_zff_lines", f"""with {GM}, {TRAIN} select contig, tx_id, no, label || chr(9) || f || chr(9) || l || chr(9) || tx_id as line from tr union all select distinct contig, '', 0, '>' || contig from tr""")
+def _(t):
+    return K.zff_lines(gene_table(t))
+
+
+@query("k21_spaced_lines", f"""with {GM}, {TRAIN} select gene_id, string_agg(contig || ' ' || f || ' ' || l, chr(10) order by tx_id, no) || chr(10) as line from tr group by 1""")
+def _(t):
+    return K.spaced_lines(gene_table(t))

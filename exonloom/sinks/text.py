@@ -305,6 +305,25 @@ def ortholog_inputs(models: DataFrame) -> DataFrame:
     return m.select("tx_id", _row(F.col("contig"), F.col("source"), F.lit("CDS"), F.col("gene_start"), F.col("gene_end"), F.col("strand"), F.lit("."), at).alias("line"))
 
 
+def ortholog_proteins(models: DataFrame, protein: str = "protein") -> DataFrame:
+    """Protein records named by transcript and gene; the sequence stays on one line."""
+    m = models.where("type = 'mRNA'")
+    return m.select("tx_id", F.concat(F.lit(">"), "tx_id", F.lit(" "), "gene_id", F.lit("\n"), F.col(protein)).alias("line"))
+
+
+def ortholog_transcripts(models: DataFrame, cds: str = "cds_seq", codon_start: str = "codon_start") -> DataFrame:
+    """Coding sequences named by transcript and gene, with reading start and strand."""
+    m = models.where("type = 'mRNA'")
+    head = F.concat(F.lit(">"), "tx_id", F.lit(" "), "gene_id", F.lit(" codon_start="), F.col(codon_start), F.lit(" strand="), "strand")
+    return m.select("tx_id", F.concat(head, F.lit("\n"), F.col(cds)).alias("line"))
+
+
+def smurf_proteins(models: DataFrame, protein: str = "protein") -> DataFrame:
+    """Wrapped protein records named by gene, without trailing stops."""
+    text = S.wrap(F.regexp_replace(F.col(protein), r"\*+$", ""))
+    return models.where("type = 'mRNA'").select("gene_id", "tx_id", F.concat(F.lit(">"), "gene_id", F.lit("\n"), text).alias("line"))
+
+
 def splice_sites(models: DataFrame) -> DataFrame:
     """0-based donor/acceptor pairs of multi-exon transcripts."""
     n = F.size("exons")
@@ -338,3 +357,18 @@ def training_rows(models: DataFrame) -> DataFrame:
     label = F.when(F.col("i") == 0, "Einit").when(F.col("i") == F.col("n") - 1, "Eterm").otherwise("Exon")
     return rows.select("contig", "tx_id", (F.col("i") + 1).alias("no"), label.alias("label"), F.when(F.col("strand") == "+", F.col("c.start")).otherwise(F.col("c.end")).alias("from_pos"),
                        F.when(F.col("strand") == "+", F.col("c.end")).otherwise(F.col("c.start")).alias("to_pos"))
+
+
+def zff_lines(models: DataFrame) -> DataFrame:
+    """Training rows under a header line for each contig; order by contig, transcript and number."""
+    rows = training_rows(models)
+    heads = rows.select("contig").distinct().select("contig", F.lit("").alias("tx_id"), F.lit(0).alias("no"), F.concat(F.lit(">"), "contig").alias("line"))
+    return heads.unionByName(rows.select("contig", "tx_id", "no", F.concat_ws("\t", "label", "from_pos", "to_pos", "tx_id").alias("line")))
+
+
+def spaced_lines(models: DataFrame) -> DataFrame:
+    """Contig and ends of every CDS part in reading order, one text for each gene, closed by an empty line."""
+    parts = training_rows(models).join(models.select("tx_id", "gene_id").distinct(), "tx_id")
+    row = F.struct("tx_id", "no", F.concat_ws(" ", "contig", "from_pos", "to_pos").alias("line"))
+    lines = F.array_sort(F.collect_list(row))
+    return parts.groupBy("gene_id").agg(F.concat(F.array_join(F.transform(lines, lambda x: x["line"]), "\n"), F.lit("\n")).alias("line"))
