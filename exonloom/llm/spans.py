@@ -22,42 +22,30 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import splits, texts_of
+from .common import seal, splits, texts_of
 from .near import whole
 
 BLOCK, WINDOW = 7, 13
 BATCH = 6 << 20
-PACKED = "bucket int, batch long, sure boolean, hash binary, at binary, lone binary, key binary, text_key binary, start binary"
+#: A row holds the entries of one batch and bucket (``hash, at, lone, key``), or, once for each batch,
+#: its documents (``docs, text_keys, starts``) with the places ``at`` that need no answer.
+PACKED = "bucket int, batch long, hash binary, at binary, lone binary, key binary, docs binary, text_keys binary, starts binary"
+ANSWERS = "batch long, at binary, docs binary, text_keys binary, starts binary"
 
 
-def _put(bucket, batch, sure, hashes, at, lone, t, keys, text_keys):
-    """One packed row: words ``at`` of the batch (as steps), and the documents they lie in."""
-    owners = np.unique(np.searchsorted(t.first, at, "right") - 1)
-    return (int(bucket), batch, sure, hashes.tobytes(), np.diff(at, prepend=0).astype(np.uint32).tobytes(), lone.tobytes(), keys[owners].tobytes(), text_keys[owners].tobytes(),
-            t.first[owners].astype(np.uint32).tobytes())
+def planes(x: np.ndarray) -> bytes:
+    """Steps of an integer array by byte plane, so that planes of zeros compress away."""
+    steps = np.diff(x, prepend=x.dtype.type(0))
+    return steps.view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
 
 
-def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int32(), pa.int64(), pa.bool_(), *[pa.binary()] * 6)
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=[c.split()[0] for c in PACKED.split(", ")])
-
-
-def _runs(values: np.ndarray) -> np.ndarray:
-    """Starts of the runs of equal sorted values."""
-    return np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.zeros(0, np.int64)
+def from_planes(data: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel(), dtype=kind)
 
 
-def _deal(hashes, at, lone, batch, buckets, t, keys, text_keys):
-    """Packed rows of (hash, word) entries by the bucket of their hash; ``at`` ascends."""
-    bucket = ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
-    order = np.argsort(bucket, kind="stable")
-    edges = _runs(bucket[order])
-    for part in np.split(order, edges[1:]) if len(order) else ():
-        yield _put(bucket[part[0]], batch, False, hashes[part], at[part], lone[part], t, keys, text_keys)
-
-
-def _batches(batches, columns=("key", "text_key", "text")):
-    """(number, keys, text keys, Texts, rows of the record batch) of consecutive texts."""
+def _batches(batches, columns):
+    """(number, keys, text keys, Texts, record batch, first row) of consecutive texts."""
     from pyspark import TaskContext
 
     number = TaskContext.get().partitionId() << 24
@@ -66,15 +54,31 @@ def _batches(batches, columns=("key", "text_key", "text")):
         for i, t in texts_of(batch.column(columns[2]), BATCH):
             number += 1
             s = slice(i, i + len(t))
-            yield number, key[s], text_key[s], t, (batch, i)
+            yield number, key[s], text_key[s], t, batch, i
+
+
+def _runs(values: np.ndarray) -> np.ndarray:
+    """Starts of the runs of equal sorted values."""
+    return np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.zeros(0, np.int64)
 
 
-def probes(docs: DataFrame, buckets: int) -> DataFrame:
+def _packed(number, buckets, hashes, at, lone, keys, kind, t, docs, text_keys, settled):
+    """Record batch of one batch of texts: its entries by bucket (``at`` ascends) and its documents."""
+    bucket = ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    rows = [(number % buckets, number, b"", planes(settled.astype(np.uint32)), b"", b"", docs.tobytes(), text_keys.tobytes(), t.first[:-1].astype(np.uint32).tobytes())]
+    for part in np.split(order, _runs(bucket[order])[1:]) if len(order) else ():
+        rows.append((int(bucket[part[0]]), number, hashes[part].astype(kind).tobytes(), planes(at[part].astype(np.uint32)), lone[part].tobytes() if len(lone) else b"", b"" if keys is None else planes(keys[part]), None, None, None))
+    kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 7)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=[c.split()[0] for c in PACKED.split(", ")])
+
+
+def probes(docs: DataFrame, columns: tuple[str, str, str], buckets: int) -> DataFrame:
     """Rolling block hashes of all texts, packed. ``lone`` bit 0: hash of one document of the batch
     only, to be answered; bit 1: some place of it is a reference block."""
 
     def run(batches):
-        for number, keys, text_keys, t, _ in _batches(batches):
+        for number, keys, text_keys, t, _, _ in _batches(batches, columns):
             h, at = t.windows(BLOCK)
             if not len(h):
                 continue
@@ -83,76 +87,80 @@ def probes(docs: DataFrame, buckets: int) -> DataFrame:
             order = np.argsort(h, kind="stable")
             edges = _runs(h[order])
             size = np.diff(np.append(edges, len(order)))
-            own = keys[owner][order]
-            several = np.repeat(np.minimum.reduceat(own, edges) != np.maximum.reduceat(own, edges), size)
+            own = owner[order]
+            several = np.repeat(own[edges] != own[edges + size - 1], size)  # equal hashes stand in order of texts
             indexed = np.repeat(np.maximum.reduceat(block[order], edges), size)
             first = np.zeros(len(order), bool)
             first[edges] = True
-            shared = order[several]
-            rows = []
-            if len(shared):
-                # batch-mates share these; answered here, dealt by batch only to travel along
-                rows.append(_put(number % buckets, number, True, np.empty(0, np.uint32), np.sort(at[shared]), np.empty(0, np.uint8), t, keys, text_keys))
             send = first | ~several
             sent = order[send]
             lone = (~several[send]).astype(np.uint8) | (np.where(several[send], indexed[send], block[sent]).astype(np.uint8) << 1)
             back = np.argsort(sent)
-            for row in _deal(h[sent][back], at[sent][back], lone[back], number, buckets, t, keys, text_keys):
-                rows.append((*row[:3], np.frombuffer(row[3], np.uint64).astype(np.uint32).tobytes(), *row[4:]))
-            yield _rows(rows)
+            # what batch-mates share needs no answer
+            yield _packed(number, buckets, h[sent][back], at[sent][back], lone[back], None, np.uint32, t, keys, text_keys, np.sort(at[order[several]]))
 
     return docs.mapInArrow(run, PACKED)
 
 
-def _unpack(rows: pa.Table, kind):
-    """Entries of all packed rows on end: hash, lone, batch, key, text key, place in the text."""
-    parts = []
-    for r in rows.to_pylist():
-        at = np.cumsum(np.frombuffer(r["at"], np.uint32).astype(np.int64))
-        start = np.frombuffer(r["start"], np.uint32).astype(np.int64)
-        doc = np.searchsorted(start, at, "right") - 1
-        parts.append((np.frombuffer(r["hash"], kind), np.frombuffer(r["lone"], np.uint8), np.full(len(at), r["batch"]), np.frombuffer(r["key"], np.int64)[doc],
-                      np.frombuffer(r["text_key"], np.int64)[doc], at - start[doc]))
-    return [np.concatenate(x) for x in zip(*parts)] if parts else [np.zeros(0, kind), np.zeros(0, np.uint8), *[np.zeros(0, np.int64)] * 4]
-
-
-def _places(keys, text_keys, at) -> pa.Table:
-    return pa.table({"key": pa.array(keys, pa.int64()), "text_key": pa.array(text_keys, pa.int64()), "at": pa.array(at, pa.int32())})
+def _answer(packed: DataFrame, kind, hits) -> DataFrame:
+    """Looks at all entries of a bucket at once; ``hits(hash, batch, lone, key)`` gives the entries to report."""
 
-
-PLACES = "key long, text_key long, at int"
+    def run(keys, rows):
+        out, parts, batches = [], [], rows.column("batch").to_pylist()
+        columns = [rows.column(c).to_pylist() for c in ("hash", "at", "lone", "key", "docs", "text_keys", "starts")]
+        for number, h, at, lone, key, docs, text_keys, starts in zip(batches, *columns):
+            if docs is not None:
+                out.append((number, at, docs, text_keys, starts))
+            else:
+                h = np.frombuffer(h, kind)
+                parts.append((h, np.full(len(h), number), np.frombuffer(lone, np.uint8), from_planes(key, np.int64) if key else np.zeros(len(h), np.int64), from_planes(at, np.uint32)))
+        if parts:
+            h, batch, lone, key, at = (np.concatenate(x) for x in zip(*parts))
+            good = np.sort(hits(h, batch, lone, key))
+            for part in np.split(good, _runs(batch[good])[1:]) if len(good) else ():
+                out.append((int(batch[part[0]]), planes(at[part]), None, None, None))
+        fields = [pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), *[pa.binary()] * 4))] if out else [pa.array([], k) for k in (pa.int64(), *[pa.binary()] * 4)]
+        return pa.Table.from_arrays(fields, names=[c.split()[0] for c in ANSWERS.split(", ")])
+
+    def resolve(keys, rows):
+        columns = [rows.column(c).to_pylist() for c in ("at", "docs", "text_keys", "starts")]
+        places, table = [], None
+        for at, docs, text_keys, starts in zip(*columns):
+            places.append(from_planes(at, np.uint32))
+            if docs is not None:
+                table = np.frombuffer(docs, np.int64), np.frombuffer(text_keys, np.int64), np.frombuffer(starts, np.uint32).astype(np.int64)
+        at = np.sort(np.concatenate(places)).astype(np.int64)
+        doc = np.searchsorted(table[2], at, "right") - 1
+        edges = _runs(doc)
+        lists = pa.ListArray.from_arrays(pa.array(np.append(edges, len(at)), pa.int32()), pa.array(at - table[2][doc], pa.int32()))
+        return pa.table({"key": pa.array(table[0][doc[edges]]), "text_key": pa.array(table[1][doc[edges]]), "at": lists})
+
+    answers = packed.groupBy("bucket").applyInArrow(run, ANSWERS)
+    return answers.groupBy("batch").applyInArrow(resolve, "key long, text_key long, at array<int>")
 
 
 def anchors(packed: DataFrame) -> DataFrame:
-    """Places where a probe meets a block of another document."""
+    """``key, text_key, at``: places where a probe meets a block of another document."""
 
-    def run(keys, rows):
-        sure = rows.column("sure")
-        known = _unpack(rows.filter(sure), np.uint32)
-        h, lone, batch, key, text_key, at = _unpack(rows.filter(pa.compute.invert(sure)), np.uint32)
+    def hits(h, batch, lone, key):
         order = np.argsort(h, kind="stable")
         edges = _runs(h[order])
-        if len(edges):
-            size = np.diff(np.append(edges, len(order)))
-            b = batch[order]
-            hit = (np.minimum.reduceat(b, edges) != np.maximum.reduceat(b, edges)) & (np.maximum.reduceat(lone[order] & 2, edges) > 0)
-            good = order[np.repeat(hit, size)]
-            good = good[(lone[good] & 1) > 0]
-        else:
-            good = order
-        return _places(np.append(known[3], key[good]), np.append(known[4], text_key[good]), np.append(known[5], at[good]))
+        size, b = np.diff(np.append(edges, len(order))), batch[order]
+        hit = (np.minimum.reduceat(b, edges) != np.maximum.reduceat(b, edges)) & (np.maximum.reduceat(lone[order] & 2, edges) > 0)
+        good = order[np.repeat(hit, size)]
+        return good[(lone[good] & 1) > 0]
 
-    return packed.groupBy("bucket").applyInArrow(run, PLACES)
+    return _answer(packed, np.uint32, hits)
 
 
-def candidates(found: DataFrame, buckets: int) -> DataFrame:
-    """Hashes of the windows around the anchors, packed. ``found``: ``key, text_key, text, hits``.
+def candidates(found: DataFrame, columns: tuple[str, str, str], buckets: int) -> DataFrame:
+    """Hashes of the windows around the anchors, packed. ``found``: ``columns`` and ``hits``.
 
     In a batch, documents above the least key of a window are settled; that one asks the others.
     """
 
     def run(batches):
-        for number, keys, text_keys, t, (batch, i) in _batches(batches):
+        for number, keys, text_keys, t, batch, i in _batches(batches, columns):
             near = np.zeros(len(t.hashes) + 1, np.int32)
             for k, hits in enumerate(batch.column("hits").slice(i, len(t))):
                 if hits.is_valid:
@@ -160,8 +168,6 @@ def candidates(found: DataFrame, buckets: int) -> DataFrame:
                     np.add.at(near, np.maximum(p - (WINDOW - BLOCK), t.first[k]), 1)
                     np.add.at(near, p + 1, -1)
             near = np.cumsum(near[:-1]) > 0
-            if not near.any():
-                continue
             h, at = t.windows(WINDOW)
             h, at = h[near[at]], at[near[at]]
             if not len(h):
@@ -171,31 +177,22 @@ def candidates(found: DataFrame, buckets: int) -> DataFrame:
             edges = _runs(h[order])
             least = np.repeat(np.minimum.reduceat(own[order], edges), np.diff(np.append(edges, len(order))))
             later = own[order] > least
-            rows = []
-            if later.any():
-                rows.append(_put(number % buckets, number, True, np.empty(0, np.uint64), np.sort(at[order[later]]), np.empty(0, np.uint8), t, keys, text_keys))
             ask = np.sort(order[~later])
-            rows.extend(_deal(h[ask], at[ask], np.ones(len(ask), np.uint8), number, buckets, t, keys, text_keys))
-            yield _rows(rows)
+            yield _packed(number, buckets, h[ask], at[ask], np.empty(0, np.uint8), own[ask], np.uint64, t, keys, text_keys, np.sort(at[order[later]]))
 
     return found.mapInArrow(run, PACKED)
 
 
 def repeats(packed: DataFrame) -> DataFrame:
-    """Starts of windows that also start in a document with a smaller key."""
+    """``key, text_key, at``: starts of windows that also start in a document with a smaller key."""
 
-    def run(keys, rows):
-        sure = rows.column("sure")
-        known = _unpack(rows.filter(sure), np.uint64)
-        h, _, _, key, text_key, at = _unpack(rows.filter(pa.compute.invert(sure)), np.uint64)
+    def hits(h, batch, lone, key):
         order = np.argsort(h, kind="stable")
         edges = _runs(h[order])
-        if len(edges):
-            least = np.repeat(np.minimum.reduceat(key[order], edges), np.diff(np.append(edges, len(order))))
-            order = order[key[order] > least]
-        return _places(np.append(known[3], key[order]), np.append(known[4], text_key[order]), np.append(known[5], at[order]))
+        least = np.repeat(np.minimum.reduceat(key[order], edges), np.diff(np.append(edges, len(order))))
+        return order[key[order] > least]
 
-    return packed.groupBy("bucket").applyInArrow(run, PLACES)
+    return _answer(packed, np.uint64, hits)
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", tidy: bool = True) -> DataFrame:
@@ -205,21 +202,22 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", tid
     word goes with the white space after it.
     """
     spark = docs.sparkSession
+    docs, restore = seal(docs, key, text)
     buckets = max(64, 4 * splits(docs), 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     names = [f"c{i}" for i in range(len(docs.columns))]
     body = names[docs.columns.index(text)]
     own = docs.toDF(*names)
     own = own.withColumns({"_key": whole(names[docs.columns.index(key)]), "_text_key": F.xxhash64(F.coalesce(F.col(body), F.lit("")))})
-    lean = own.select(F.col("_key").alias("key"), F.col("_text_key").alias("text_key"), F.col(body).alias("text"))
-
-    gathered = lambda places: places.groupBy("key", "text_key").agg(F.collect_set("at").alias("hits")).select(F.col("key").alias("k"), F.col("text_key").alias("tk"), "hits")
+    columns = ("_key", "_text_key", body)
 
     def joined(places: DataFrame) -> DataFrame:
-        return own.join(gathered(places), (F.col("_key") == F.col("k")) & (F.col("_text_key") == F.col("tk")), "left")
+        # rows equal in key and text may have got different places; all of them hold for each
+        each = places.groupBy("key", "text_key").agg(F.array_distinct(F.flatten(F.collect_set("at"))).alias("hits"))
+        return own.join(each, (F.col("_key") == F.col("key")) & (F.col("_text_key") == F.col("text_key")), "left").drop("key", "text_key")
 
-    hits = anchors(probes(lean, buckets))
-    found = joined(hits).select(F.col("_key").alias("key"), F.col("_text_key").alias("text_key"), F.col(body).alias("text"), "hits")
-    marked = joined(repeats(candidates(found, buckets)))
+    # both joins read the same columns of the documents, so one shuffle of the texts serves them
+    found = joined(anchors(probes(own.select(*columns), columns, buckets)))
+    marked = joined(repeats(candidates(found, columns, buckets)))
     schema = own.select(*names).schema.add("n_words", "long").add("n_removed", "long")
 
     def run(batches):
@@ -250,4 +248,5 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", tid
                 columns[at_text] = pa.array(texts, pa.string())
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(t.words_per_text().astype(np.int64)), pa.array(removed)], names=schema.names)
 
-    return marked.select(*names, "hits").mapInArrow(run, schema).toDF(*docs.columns, "n_words", "n_removed")
+    cut = marked.mapInArrow(run, schema).toDF(*docs.columns, "n_words", "n_removed")
+    return restore(cut, "n_words", "n_removed")
