@@ -74,9 +74,25 @@ def reads_per_transcript(alignments: DataFrame, transcripts: DataFrame) -> DataF
     return transcripts.join(n, "tx_id", "left").withColumn("n_reads", F.coalesce("n_reads", F.lit(0).cast("long")))
 
 
+# Functional channels and the note or cross reference that marks each.
+FUNCTIONAL_XREFS = {"pfam": "PFAM:", "interproscan": "InterPro:"}
+FUNCTIONAL_NOTES = {"eggnog": "EggNog:", "cazyme": "CAZy:", "merops": "MEROPS:", "busco": "BUSCO:", "secretion": "SECRETED:"}
+
+
+def functional_counts(models: DataFrame) -> DataFrame:
+    """A4: coding transcripts with each kind of functional annotation, and the mean protein length.
+
+    ``models(biotype, go, dbxrefs, notes, protein_length)`` with lists of texts.
+    """
+    own = models.where("biotype = 'mRNA'")
+    marked = lambda c, p: F.count_if(F.coalesce(F.exists(c, lambda x: x.startswith(p)), F.lit(False)))
+    return own.agg(F.count_if(F.coalesce(F.size("go") > 0, F.lit(False))).alias("go_terms"), *[marked("dbxrefs", p).alias(k) for k, p in FUNCTIONAL_XREFS.items()],
+                   *[marked("notes", p).alias(k) for k, p in FUNCTIONAL_NOTES.items()], F.round(F.avg("protein_length"), 2).alias("avg_protein_length"))
+
+
 def annotation_summary(models: DataFrame) -> DataFrame:
     """A4: one pass over transcripts ``(gene_id, biotype, name, length, protein_length,
-    exons, five_utr, three_utr, partial_start, partial_stop, functional...)``.
+    exons, five_utr, three_utr, partial_start, partial_stop)``.
     """
     mrna = F.col("biotype") == "mRNA"
     ps, pe = F.col("partial_start"), F.col("partial_stop")

@@ -326,3 +326,29 @@ def _(t):
 def _(t):
     m = t.lineitem.groupBy(F.col("l_orderkey").alias("tx_id")).agg(F.count(F.lit(1)).alias("n_cds"))
     return A.count_multi_cds(m, t.orders.where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("tx_id")))
+
+
+FUNC = """fm as (select case when l_quantity > 40 then 'tRNA' else 'mRNA' end as biotype, l_suppkey % 4 = 0 as go, case when l_partkey % 3 = 0 then 'PFAM:' else 'InterPro:' end as x,
+  (['EggNog:', 'CAZy:', 'MEROPS:', 'BUSCO:', 'SECRETED:', 'COG:', 'none'])[l_linenumber] as n, cast(l_quantity as bigint) as p from lineitem),
+ fc as (select count(*) filter (go) as go_terms, count(*) filter (x = 'PFAM:') as pfam, count(*) filter (x = 'InterPro:') as interproscan, count(*) filter (n = 'EggNog:') as eggnog, count(*) filter (n = 'CAZy:') as cazyme,
+  count(*) filter (n = 'MEROPS:') as merops, count(*) filter (n = 'BUSCO:') as busco, count(*) filter (n = 'SECRETED:') as secretion, round(avg(p), 2) as avg_protein_length from fm where biotype = 'mRNA')"""
+
+
+def functional_models(t):
+    notes = F.array(*[F.lit(x) for x in ("EggNog:", "CAZy:", "MEROPS:", "BUSCO:", "SECRETED:", "COG:", "none")])
+    return t.lineitem.select(F.when(F.col("l_quantity") > 40, "tRNA").otherwise("mRNA").alias("biotype"), F.when(F.col("l_suppkey") % 4 == 0, F.array(F.lit("GO:1"))).alias("go"),
+                             F.array(F.when(F.col("l_partkey") % 3 == 0, "PFAM:1").otherwise("InterPro:1")).alias("dbxrefs"),
+                             F.array(F.lit("x"), F.element_at(notes, F.col("l_linenumber").cast("int"))).alias("notes"), F.col("l_quantity").cast("long").alias("protein_length"))
+
+
+@query("a4_functional_counts", f"""with {FUNC} select * from fc""")
+def _(t):
+    return A.functional_counts(functional_models(t))
+
+
+@query("k12_stats_document", f"""with {FUNC}, o as (select count(*) as rows, count(distinct l_suppkey) as contigs from lineitem)
+ select cast(to_json({{'format': {{'rows': rows, 'contigs': contigs}}, 'annotation': {{'functional': {{'go_terms': go_terms, 'pfam': pfam, 'busco': busco}}}}}}) as varchar) as json from fc, o""")
+def _(t):
+    from ..sinks import text as K
+    counts = t.lineitem.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("l_suppkey").alias("contigs"))
+    return K.stats_document(format=counts, annotation={"functional": A.functional_counts(functional_models(t)).select("go_terms", "pfam", "busco")})

@@ -270,6 +270,16 @@ def stats_json(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct(*df.columns)).alias("json"))
 
 
+def stats_document(**sections: DataFrame) -> DataFrame:
+    """One JSON document with a nested section for each one-row table; a dictionary of
+    tables nests further."""
+    def struct(parts: dict):
+        return F.struct(*[(struct(v) if isinstance(v, dict) else v.select(F.struct(*v.columns)).scalar()).alias(k) for k, v in parts.items()])
+
+    first = next(v for v in sections.values() if not isinstance(v, dict))
+    return first.sparkSession.range(1).select(F.to_json(struct(sections)).alias("json"))
+
+
 def agp_lines(parts: DataFrame) -> DataFrame:
     """AGP rows of scaffold parts; ``contig`` names the sequence parts."""
     n = F.col("end") - F.col("start") + 1
