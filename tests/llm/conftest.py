@@ -1,6 +1,12 @@
+import os
+import sys
+
 import pytest
 from pyspark.sql import types as T
 
+sys.path.insert(0, os.path.dirname(__file__))
+from brute import prose  # noqa: E402
+
 DOC_SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()),
                            T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType())])
 
@@ -19,10 +25,6 @@ def make_docs(spark):
     return make
 
 
-def prose(rng, n, words=400):
-    return " ".join(f"w{rng.integers(words)}" for _ in range(n))
-
-
 @pytest.fixture(scope="session")
 def odd_rows():
     """Nulls, empty, blank and very long texts, ties and repeated rows."""

@@ -1,7 +1,5 @@
 import math
-import os
 import struct
-import sys
 import zlib
 from collections import Counter
 
@@ -10,16 +8,15 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-sys.path.insert(0, os.path.dirname(__file__))
-import brute  # noqa: E402
-from conftest import DOC_SCHEMA, prose  # noqa: E402
-from harness import duck, rows_of_duck, rows_of_spark  # noqa: E402
+import brute
+from brute import prose
+from harness import duck, rows_of_duck, rows_of_spark
 
-import __spark_entry__ as E  # noqa: E402
-from exonloom.llm import lattice, mixing, near, packing, pages, quality, sharding, spans, tokens, vectors  # noqa: E402
-from exonloom.llm.common import texts_of  # noqa: E402
-from exonloom.llm.components import components  # noqa: E402
-from exonloom.llm.queries import crc_of_ids, packed, tokenizer_path  # noqa: E402
+import __spark_entry__ as E
+from exonloom.llm import lattice, mixing, near, packing, pages, quality, sharding, spans, tokens, vectors
+from exonloom.llm.common import texts_of
+from exonloom.llm.components import components
+from exonloom.llm.queries import crc_of_ids, packed, tokenizer_path
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -173,7 +170,7 @@ def test_lattice(spark, make_docs, odd, odd_rows, none):
         into = [np.zeros(len(x)) for x in weights.logs] + [np.zeros(2)]
         weights.forward(row, np.ones(1), into)
         assert math.isclose(into[0].sum() + into[2][0], 1, rel_tol=1e-9)  # one opening unit per word
-        bytes_used = sum(n * len(s) for k in (0, 1) for n, s in zip(into[k], units.tables[k][3]))
+        bytes_used = sum(n * len(s) for k in (0, 1) for n, s in zip(into[k], units.tables[k][4]))
         assert math.isclose(bytes_used, len(word), rel_tol=1e-9)
 
     got = lattice.score(odd, tokenizer_path("piece_bpe_32k.model")).collect()

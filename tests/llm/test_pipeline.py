@@ -1,13 +1,11 @@
 import __spark_entry__ as E
 import corpus_pipeline
 import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
 from exonloom.scale import materialize
 
-from brute import quality_counts, shingles
-from conftest import prose
+from brute import prose, quality_counts, shingles
 
 FOLDER = "/root/testdata/sf0.001"
 
