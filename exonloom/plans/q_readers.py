@@ -423,3 +423,51 @@ def _(t):
     small = V.seqs(t).where("length(seq) between 20 and 60")
     K.write_partitioned(small, path)
     return B.read_fasta(t.spark, path).select("seq_id", F.length("seq").cast("long").alias("n"))
+
+
+@query("s14_read_tblastn_tab", """select 'p' || l_partkey as sseqid, 'c' || l_suppkey as qseqid, l_linenumber::bigint as sstart, l_quantity as pident, l_extendedprice as score from lineitem""")
+def _(t):
+    v = tab(F.concat(F.lit("p"), "l_partkey"), "100", C("l_linenumber"), "90", F.concat(F.lit("c"), "l_suppkey"), "5000", "10", "300", C("l_quantity"), "80", "1e-20", C("l_extendedprice"))
+    return L.read_blast_tab(t.spark, saved(t.lineitem.select(v.alias("value"))), L.BLAST_TAB_12).select("sseqid", "qseqid", "sstart", "pident", "score")
+
+
+@query("s19_read_signalp6", """select 'g' || p_partkey as id, cast(p_size as varchar) as "end", '' as cut, '0.97' as prob from part where p_size % 3 = 0""")
+def _(t):
+    v = tab(F.concat(F.lit("g"), "p_partkey", F.lit(" some text")), F.when(C("p_size") % 3 == 0, "SP").otherwise("OTHER"), "0.01", "0.99", F.concat(F.lit("CS pos: "), "p_size", F.lit("-20. Pr: 0.97")))
+    head = t.part.where("p_partkey = 1").select(F.lit("# SignalP-6.0\tOrganism: Eukarya").alias("value"))
+    return L.read_signalp(t.spark, saved(head.unionByName(t.part.select(v.alias("value")))))
+
+
+@query("s19_read_signalp4", """select 'g' || p_partkey as id, cast(p_size - 1 as varchar) as "end", '' as cut, '' as prob from part where p_size % 3 = 0""")
+def _(t):
+    v = F.concat_ws("  ", F.concat(F.lit("g"), "p_partkey"), F.lit("0.1"), C("p_size").cast("string"), F.lit("0.2  11  0.3  4  0.4  0.5"), F.when(C("p_size") % 3 == 0, "Y").otherwise("N"), F.lit("0.45  SignalP-noTM"))
+    head = t.part.where("p_partkey = 1").select(F.lit("# SignalP-4.1 euk predictions").alias("value"))
+    return L.read_signalp(t.spark, saved(head.unionByName(t.part.select(v.alias("value")))))
+
+
+@query("s21_read_busco_protein", """select 'B' || p_partkey as busco, case when p_size > 10 then 'Complete' else 'Missing' end as status, case when p_size > 10 then 'g' || p_size end as gene, case when p_size > 10 then p_retailprice end as score, case when p_size > 10 then p_partkey + 90 end as length from part""")
+def _(t):
+    full = tab(F.concat(F.lit("B"), "p_partkey"), "Complete", F.concat(F.lit("g"), "p_size"), C("p_retailprice"), C("p_partkey") + 90)
+    v = F.when(C("p_size") > 10, full).otherwise(tab(F.concat(F.lit("B"), "p_partkey"), "Missing"))
+    return L.read_busco(t.spark, saved(t.part.select(v.alias("value"))), "protein")
+
+
+@query("s24_pfam_lookup", """select 'PF' || p_partkey as term, p_name as description from part""")
+def _(t):
+    return L.read_lookup(t.spark, "pfam", saved(t.part.select(tab(F.concat(F.lit("PF"), "p_partkey"), "CL1", "clan", "short", C("p_name")).alias("value"))))
+
+
+@query("s24_curated_lookup", """select 'abc' || p_partkey as term, p_name as description from part""")
+def _(t):
+    head = t.part.where("p_partkey = 1").select(F.lit("#name\tproduct").alias("value"))
+    return L.read_lookup(t.spark, "curated", saved(head.unionByName(t.part.select(tab(F.concat(F.lit("abc"), "p_partkey"), C("p_name")).alias("value")))))
+
+
+@query("s24_factors_lookup", """select 'IPR' || p_partkey as term, p_name as description from part""")
+def _(t):
+    return L.read_lookup(t.spark, "factors", saved(t.part.select(F.concat(F.lit("IPR"), "p_partkey", F.lit(", "), "p_name").alias("value"))))
+
+
+@query("s24_eggnog_lookup", """select 'ENOG' || p_partkey as term, p_name as description from part""")
+def _(t):
+    return L.read_lookup(t.spark, "eggnog", saved(t.part.select(tab(F.concat(F.lit("ENOG"), "p_partkey"), C("p_name")).alias("value"))))
