@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..scale import Slabs
+from ..scale import Slabs, materialize
 
 #: Bins of level ``l`` are ``16 * 8 ** l`` wide.
 LEVEL = "cast(greatest(0, ceil(log(8, ({end} - {start} + 1) / 16))) as int)"
@@ -160,7 +160,7 @@ def closest_join(a: DataFrame, b: DataFrame, keys=("contig",)) -> DataFrame:
     """The overlapping ``b`` rows, or else every ``b`` row at the least distance."""
     keys = list(keys)
     hits = overlap_join(a, b, keys).withColumn("distance", F.lit(0).cast("long"))
-    lonely = overlap_anti(a, b, keys)
+    lonely = materialize(overlap_anti(a, b, keys), "lonely")
     spans = lonely.select(*keys, "start", "end").distinct()
     ends = b.select(*keys, F.col("end").alias("_pos"), F.col("end").alias("_m")).distinct()
     ask = spans.withColumn("_pos", F.col("start"))
@@ -175,6 +175,7 @@ def closest_join(a: DataFrame, b: DataFrame, keys=("contig",)) -> DataFrame:
             .withColumn("dl", F.col("start") - F.col("_left")).withColumn("dr", F.col("_right") - F.col("end"))
             .withColumn("distance", F.least("dl", "dr"))
             .select(*keys, "start", "end", "distance", "_left", "_right", "dl", "dr"))
+    near = materialize(near, "near")
     bb = b.select([F.col(c).alias(f"b_{c}") for c in b.columns])
     on_left = near.where("dl = distance")
     on_right = near.where("dr = distance")
