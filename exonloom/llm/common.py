@@ -164,10 +164,10 @@ class Texts:
         return self.data[self.starts[i]:self.ends[i]].tobytes()
 
 
-def texts_of(column, most: int = 4 << 20, lower: bool = False):
+def texts_of(column, most: int = 4 << 20, lower: bool = False, rows: int = 1 << 20):
     """(first row, Texts) for runs of rows of an Arrow string column; null counts as empty.
 
-    A run ends before it would exceed ``most`` bytes; a longer text is a run of its own.
+    A run ends before it would exceed ``most`` bytes or ``rows`` texts; a longer text is a run of its own.
     """
     if len(column) == 0:
         return
@@ -177,6 +177,7 @@ def texts_of(column, most: int = 4 << 20, lower: bool = False):
     i = 0
     while i < len(column):
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + most, "right")) - 1)
+        j = min(j, len(column), i + rows)
         part = data[offsets[i]:offsets[j]]
         yield i, Texts(LOWER[part] if lower else part, offsets[i:j + 1] - offsets[i])
         i = j

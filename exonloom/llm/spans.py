@@ -9,6 +9,7 @@ removed where a window covers it that also starts in a document with a smaller k
 Probes and windows travel as packed arrays, one row per batch of texts and hash bucket. Within a
 batch a hash is sent once: what batch-mates share is settled on the spot, so a passage that is in
 a third of all documents arrives at most once per batch. Buckets follow the size of the input.
+Batches are cut from scans and from joins sorted by key, so a task that runs again cuts the same.
 
 Null text has no words; a null key counts as the least; rows equal in key and text are handled
 alike and never make each other repeats; an empty table gives no rows; other columns stay.
