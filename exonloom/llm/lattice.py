@@ -28,9 +28,11 @@ from pyspark.sql import functions as F
 
 from exonloom.scale import materialize
 
-from .common import _BYTE, _INV, _POW, Texts, mix, splits, texts_of
+from .common import _BYTE, _INV, _POW, Texts, splits, texts_of
 
 SHORT = 64
+TOP_BITS = 20
+SPREAD = np.uint64(0xD6E8FEB86659FD93)
 MARK = "▁".encode()
 
 
@@ -62,11 +64,16 @@ class Units:
 
     @staticmethod
     def _table(index: dict[bytes, list[int]]):
-        """Sorted hashes of the distinct strings, their first unit, and the lengths that occur."""
+        """Distinct strings by hash: sorted hashes, their strings' numbers, first and number of hashes
+        for each value of the top bits, the lengths that occur, the strings."""
         strings = [s for s in index if s]
         h = np.array([string_hash(s) for s in strings], np.uint64)
         order = np.argsort(h)
-        return h[order], np.arange(len(strings))[order], sorted({len(s) for s in strings}), strings
+        h, top = h[order], (h[order] >> np.uint64(64 - TOP_BITS)).astype(np.int64)
+        count = np.bincount(top, minlength=1 << TOP_BITS).astype(np.int8)
+        first = np.full(1 << TOP_BITS, -1, np.int32)
+        first[top[::-1]] = np.arange(len(h))[::-1]
+        return h, order, (first, count), sorted({len(s) for s in strings}), strings
 
     def weights(self, p: np.ndarray) -> "Weights":
         return Weights(self, p)
@@ -75,7 +82,7 @@ class Units:
 def string_hash(s: bytes) -> int:
     part = _BYTE[np.frombuffer(s, np.uint8)]
     with np.errstate(over="ignore"):
-        return int(mix(np.array([(part * _POW[:len(part)]).sum()], np.uint64))[0])
+        return int(((part * _POW[:len(part)]).sum() * SPREAD))
 
 
 class Weights:
@@ -93,28 +100,36 @@ class Weights:
         p[-1] /= rest
         self.units, self.p, self.stop = units, p, math.log(p[-1])
         self.bare = math.log(sum(p[k] for k in units.index[0].get(b"", [])) or 1e-300)
-        self.logs = [np.array([math.log(sum(p[k] for k in ix[s])) for s in t[3]] or [0.0]) for ix, t in zip(units.index, units.tables)]
-        self.by_string = [dict(zip(t[3], lg)) for t, lg in zip(units.tables, self.logs)]
-
-    def _lookup(self, kind: int, h: np.ndarray) -> np.ndarray:
-        known, string, _, _ = self.units.tables[kind]
-        at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-        return np.where(known[at] == h, string[at], -1)
+        self.logs = [np.array([math.log(sum(p[k] for k in ix[s])) for s in t[4]] or [0.0]) for ix, t in zip(units.index, units.tables)]
+        self.by_string = [dict(zip(t[4], lg)) for t, lg in zip(units.tables, self.logs)]
+
+    def _lookup(self, kind: int, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rows, string numbers) of the hashes that are known."""
+        known, string, (first, count), _, _ = self.units.tables[kind]
+        top = (h >> np.uint64(64 - TOP_BITS)).astype(np.int64)
+        rows = np.flatnonzero(count[top])
+        top, h = top[rows], h[rows]
+        at, more, found = first[top], count[top], np.full(len(rows), -1, np.int64)
+        for k in range(int(more.max(initial=0))):
+            same = (more > k) & (known[np.minimum(at + k, len(known) - 1)] == h)
+            found[same] = string[at[same] + k]
+        hit = found >= 0
+        return rows[hit], found[hit]
 
     def _arcs(self, words: np.ndarray):
-        """(kind, from, to, string numbers) of all substrings of equally long words that are units somewhere."""
+        """(kind, from, to, rows, string numbers) of all substrings of equally long words that are units."""
         n, size = words.shape
-        sums = np.zeros((n, size + 1), np.uint64)
+        sums = np.zeros((size + 1, n), np.uint64)
         with np.errstate(over="ignore"):
-            np.cumsum(_BYTE[words] * _POW[:size], axis=1, out=sums[:, 1:])
+            np.cumsum(_BYTE[words.T] * _POW[:size, None], axis=0, out=sums[1:])
             for kind in (0, 1):
                 for i in range(1 if kind == 0 else size):
-                    for length in self.units.tables[kind][2]:
+                    for length in self.units.tables[kind][3]:
                         if i + length > size:
                             break
-                        found = self._lookup(kind, mix((sums[:, i + length] - sums[:, i]) * _INV[i]))
-                        if (found >= 0).any():
-                            yield kind, i, i + length, found
+                        rows, found = self._lookup(kind, (sums[i + length] - sums[i]) * (_INV[i] * SPREAD))
+                        if len(rows):
+                            yield kind, i, i + length, rows, found
 
     def forward(self, words: np.ndarray, counts: np.ndarray | None = None, into: list[np.ndarray] | None = None) -> np.ndarray:
         """Log probability of each of the equally long words (rows of bytes).
@@ -125,27 +140,28 @@ class Weights:
         a = np.full((size + 1, n), -np.inf)
         a[0] = self.bare
         arcs = []
-        for kind, i, j, found in sorted(self._arcs(words), key=lambda x: (x[0], x[1])):
-            score = np.where(found >= 0, self.logs[kind][found], -np.inf)
-            a[j] = np.logaddexp(a[j], score if kind == 0 else a[i] + score)
-            arcs.append((kind, i, j, found, score))
+        for kind, i, j, rows, found in self._arcs(words):  # opening ones first, the others from left to right
+            score = self.logs[kind][found]
+            a[j, rows] = np.logaddexp(a[j, rows], score if kind == 0 else a[i, rows] + score)
+            if counts is not None:
+                arcs.append((kind, i, j, rows, found, score))
         total = a[size] + self.stop
         if counts is not None:
             b = np.full((size + 1, n), -np.inf)
             b[size] = self.stop
-            for kind, i, j, found, score in reversed(arcs):
-                here = score + b[j] + (0 if kind == 0 else a[i]) - total
-                hit = found >= 0
-                into[kind] += np.bincount(found[hit], (np.exp(here) * counts)[hit], len(into[kind]))
+            for kind, i, j, rows, found, score in reversed(arcs):
+                onward = score + b[j, rows]
+                here = onward + (0 if kind == 0 else a[i, rows]) - total[rows]
+                into[kind] += np.bincount(found, np.exp(here) * counts[rows], len(into[kind]))
                 if kind:
-                    b[i] = np.logaddexp(b[i], score + b[j])
+                    b[i, rows] = np.logaddexp(b[i, rows], onward)
             into[2] += ((np.exp(self.bare + b[0] - total) * counts).sum(), counts.sum())
         return total
 
     def long_word(self, word: bytes) -> float:
         """Same for one word of any length, without tables of all its substrings."""
         first, rest = self.by_string
-        lengths = [t[2] for t in self.units.tables]
+        lengths = [t[3] for t in self.units.tables]
         a = [-math.inf] * (len(word) + 1)
         a[0] = self.bare
         for n in lengths[0]:
@@ -204,7 +220,7 @@ def count_words(docs: DataFrame, states: int) -> DataFrame:
 
 def as_texts(words) -> Texts:
     """One word per text."""
-    (_, t), = texts_of(words.cast(pa.large_binary()).view(pa.large_string()), 1 << 62)
+    (_, t), = texts_of(words.cast(pa.large_binary()).view(pa.large_string()), 1 << 62, rows=1 << 62)
     return t
 
 
@@ -227,7 +243,7 @@ def refine(types: DataFrame, units: Units, p: np.ndarray) -> np.ndarray:
     found = types.where("c > 0").select("word").mapInArrow(run, "kind long, at long, n double").groupBy("kind", "at").agg(F.sum("n").alias("n")).collect()
     old = shared.value.p
     new = old * 0.01
-    strings = [t[3] for t in units.tables]
+    strings = [t[4] for t in units.tables]
     for kind, at, n in found:
         if kind == 2:
             where = units.index[0].get(b"", []) if at == 0 else [len(old) - 1]
@@ -292,7 +308,7 @@ def score(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "te
     known = types.mapInArrow(look_up, "word binary, c long, lp array<float>")
 
     def ask(rows):
-        for _, t in texts_of(rows.column("text").combine_chunks(), 1 << 62, lower=True):
+        for _, t in texts_of(rows.column("text").combine_chunks(), 1 << 62, lower=True, rows=1 << 62):
             at, _ = distinct_words(t)
             return pa.table({"batch": pa.array(np.full(len(at), rows.column("batch")[0].as_py())), "word": pa.array([t.word(i) for i in at], pa.binary())})
 
