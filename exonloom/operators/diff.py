@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +31,14 @@ def gene_aed(pairs: DataFrame, new_tx: DataFrame, old_tx: DataFrame, col: str =
 
 
 def lcs_length(a: str, b: str) -> int:
-    """Bit-parallel longest common subsequence (the score of a match-only global alignment)."""
+    """Bit-parallel longest common subsequence (the score of a match-only global alignment).
+
+    What both texts begin and end with belongs to it and is taken off first.
+    """
+    head = len(os.path.commonprefix((a, b)))
+    a, b = a[head:], b[head:]
+    tail = len(os.path.commonprefix((a[::-1], b[::-1])))
+    a, b = a[:len(a) - tail], b[:len(b) - tail]
     masks: dict[str, int] = {}
     for i, ch in enumerate(a):
         masks[ch] = masks.get(ch, 0) | (1 << i)
@@ -38,7 +47,7 @@ def lcs_length(a: str, b: str) -> int:
     for ch in b:
         hit = row & masks.get(ch, 0)
         row = ((row + hit) | (row - hit)) & full
-    return len(a) - row.bit_count()
+    return head + tail + len(a) - row.bit_count()
 
 
 @F.pandas_udf(T.LongType())

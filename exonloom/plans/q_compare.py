@@ -316,6 +316,14 @@ def _(t):
     return D.add_identity(d.join(low, ["source", "lang"]), "text", "first_text").select("doc_id", F.round("pident", 4).alias("pident"))
 
 
+@query("f23_short_identity", """with recursive p as (select p_partkey as id, string_split(p_name, '') as a, string_split(p_type, '') as b from part),
+ r as (select id, a, b, 0 as i, list_transform(a, lambda x: 0) as row from p
+  union all select id, a, b, i + 1, list_transform(range(1, len(a) + 1), lambda k: list_max(list_transform(range(1, k + 1), lambda j: greatest(row[j], case when a[j] = b[i + 1] then coalesce(row[j - 1], 0) + 1 else 0 end)))) from r where i < len(b))
+ select id as p_partkey, round(100.0 * row[len(a)] / greatest(len(a), len(b)), 4) as pident from r where i = len(b)""")
+def _(t):
+    return D.add_identity(t.part.select("p_partkey", "p_name", "p_type"), "p_name", "p_type").select("p_partkey", F.round("pident", 4).alias("pident"))
+
+
 @query("f16_utr_flags", f"""with {EXT}, x as (select gene_id, tx, min(s) as a, max(e) as b from ex where f = 'N' group by 1, 2)
  select gene_id, tx as tx_id, case when gene_id % 2 = 0 then true else tx > 0 end as five, case when gene_id % 2 = 0 then tx > 0 else true end as three from x""")
 def _(t):
