@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from ..functions import codes
 from ..functions import sequence as S
 from ..operators import sequences as Q
 from ..operators import stats as A
@@ -10,11 +9,17 @@ from . import views as V
 from .registry import query
 
 RC = "translate(reverse(regexp_replace(upper({s}), '[^ACGTUMRWSYKVHDBXN]', '', 'g')), 'ACGTUMRWSYKVHDBXN', 'TGCAAKYWSRMBDHVXN')"
+# Complements of the nucleotide letters.
 COMP = "ACGTUMRWSYKVHDBXN", "TGCAAKYWSRMBDHVXN"
+# Published amino acid lines of NCBI tables in TCAG order, apart from the library's own tables.
+PUBLISHED = {
+    1: "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG",
+    12: "FFLLSSSSYY**CC*WLLLSPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG",
+}
 
 
 def aa_sql(seq: str, offset: str = "0", table: int = 1) -> str:
-    letters = "".join(codes.codon_table(table)[a + b + c] for a in "TCAG" for b in "TCAG" for c in "TCAG")
+    letters = PUBLISHED[table]
     idx = lambda i: f"(instr('TCAG', c[{i}]) - 1)"
     return (f"array_to_string(list_transform(regexp_extract_all(substr(upper({seq}), 1 + {offset}), '.{{3}}'), lambda c: "
             f"case when regexp_full_match(c, '[TCAG]{{3}}') then substr('{letters}', {idx(1)} * 16 + {idx(2)} * 4 + {idx(3)} + 1, 1) else 'X' end), '')")
