@@ -81,7 +81,7 @@ def length_histogram(docs: DataFrame, tokenizer: str, text: str = "text", end: i
     return encoded_lengths(docs, tokenizer, text, end).groupBy("length").agg(F.sum("docs").alias("docs"))
 
 
-def suffix_totals(histogram: DataFrame, width: int = 1024) -> DataFrame:
+def suffix_totals(histogram: DataFrame, width: int = 64) -> DataFrame:
     """For each length taken as context limit, what the histogram says about it.
 
     ``tokens``: ids in documents of this length; ``docs_from``, ``tokens_from``: documents at
@@ -105,17 +105,17 @@ def suffix_totals(histogram: DataFrame, width: int = 1024) -> DataFrame:
 def at_limits(totals: DataFrame, limits: list[int]) -> DataFrame:
     """Answers for any limits, also those that no document has: ``limit``, ``docs_over``, ``tokens_kept``.
 
-    The least length from a limit on carries its suffix sums; above all lengths nothing is cut.
+    The least length above a limit has the greatest suffix sums of those above it; beyond all
+    lengths nothing is cut. One aggregate answers all limits.
     """
-    spark = totals.sparkSession
-    wanted = spark.createDataFrame([(int(x),) for x in limits], "limit long")
-    every = totals.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("all"))
-    longer = wanted.join(totals, F.col("length") > F.col("limit"), "left").groupBy("limit").agg(
-        F.coalesce(F.max("docs_from"), F.lit(0)).alias("docs_over"), F.coalesce(F.max("tokens_from"), F.lit(0)).alias("t"))
-    return longer.select("limit", "docs_over", (F.lit(every.scalar()) - F.col("t") + F.col("limit") * F.col("docs_over")).alias("tokens_kept"))
+    above = lambda c, m: F.coalesce(F.max(F.when(F.col("length") > m, F.col(c))), F.lit(0))
+    every = F.coalesce(F.sum("tokens"), F.lit(0))
+    rows = [F.struct(F.lit(int(m)).cast("long").alias("limit"), above("docs_from", m).alias("docs_over"),
+                     (every - above("tokens_from", m) + int(m) * above("docs_from", m)).alias("tokens_kept")) for m in limits]
+    return totals.agg(F.array(*rows).alias("rows")).select(F.explode("rows").alias("r")).select("r.*")
 
 
 def quantiles(totals: DataFrame, shares: list[float]) -> DataFrame:
     """Least length that at least this share of the documents does not exceed: ``share``, ``length``."""
-    wanted = totals.sparkSession.createDataFrame([(float(x),) for x in shares], "share double")
-    return wanted.join(totals, F.col("quantile") >= F.col("share"), "left").groupBy("share").agg(F.min("length").alias("length"))
+    rows = [F.struct(F.lit(float(x)).alias("share"), F.min(F.when(F.col("quantile") >= x, F.col("length"))).alias("length")) for x in shares]
+    return totals.agg(F.array(*rows).alias("rows")).select(F.explode("rows").alias("r")).select("r.*")
