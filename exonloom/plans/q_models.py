@@ -467,3 +467,21 @@ def _(t):
 @query("k21_spaced_lines", f"""with {GM}, {TRAIN} select gene_id, string_agg(contig || ' ' || f || ' ' || l, chr(10) order by tx_id, no) || chr(10) as line from tr group by 1""")
 def _(t):
     return K.spaced_lines(gene_table(t))
+
+
+@query("k10_full_annotation_table", """with b as (select p.*, i.n_name as ipr, e.n_name as mer from part p left join nation i on i.n_nationkey = p_size left join nation e on e.n_nationkey = p_size - 5)
+ select 'g' || p_partkey as "GeneID", 't' || p_partkey as "TranscriptID", case when p_size % 4 = 0 then 'tRNA' else 'mRNA' end as "Feature", p_brand as "Contig", cast(p_partkey * 10 as varchar) as "Start", cast(p_partkey * 10 + 9 as varchar) as "Stop", '-' as "Strand",
+  case when p_size > 20 then p_name else '' end as "Name", p_type as "Product", case when p_size > 20 then 'a1;a2' else '' end as "Alias/Synonyms", '1.1.1.' || p_size as "EC_number", 'B' || p_size as "BUSCO", 'PF' || p_size || ';PF0' as "PFAM",
+  'IPR' || p_size || ' ' || coalesce(ipr, 'None') as "InterPro", 'E' || p_size as "EggNog", 'J:(J) Translation, ribosomal structure and biogenesis;K:(K) Transcription' as "COG", 'GO:' || p_size as "GO Terms", 'S' || p_size as "Secreted", '' as "Membrane", coalesce(mer, '') as "Protease",
+  'GH' || p_size as "CAZyme", 'x' || p_size as "SMCOG", 'free text;odd:' || p_size as "Notes", 'acgt' as "gDNA", 'ac' as "mRNA", case when p_size % 4 = 0 then '' else 'atg' end as "CDS-transcript", case when p_size % 4 = 0 then '' else 'M' end as "Translation" from b""")
+def _(t):
+    n = F.col("p_size")
+    on = lambda p: F.concat(F.lit(p), n)
+    m = t.part.select(
+        F.concat(F.lit("g"), "p_partkey").alias("gene_id"), F.concat(F.lit("t"), "p_partkey").alias("tx_id"), F.when(n % 4 == 0, "tRNA").otherwise("mRNA").alias("type"), F.col("p_brand").alias("contig"),
+        (F.col("p_partkey") * 10).alias("gene_start"), (F.col("p_partkey") * 10 + 9).alias("gene_end"), F.lit("-").alias("strand"), F.when(n > 20, F.col("p_name")).alias("name"), F.col("p_type").alias("product"),
+        F.when(n > 20, F.array(F.lit("a1"), F.lit("a2"))).alias("synonyms"), F.array(on("1.1.1.")).alias("ec"), F.array(on("GO:")).alias("go"), F.array(on("PFAM:PF"), F.lit("PFAM:PF0"), on("InterPro:IPR")).alias("dbxrefs"),
+        F.array(on("BUSCO:B"), F.lit("free text"), on("EggNog:E"), F.lit("COG:J,K"), on("SECRETED:S"), F.concat(F.lit("MEROPS:M"), n - 5), on("CAZy:GH"), on("odd:"), on("SMCOG:x")).alias("notes"),
+        F.lit("acgt").alias("gdna"), F.lit("ac").alias("transcript"), F.lit("atg").alias("cds_seq"), F.lit("M").alias("protein"))
+    look = lambda p: t.nation.select(F.concat(F.lit(p), "n_nationkey").alias("term"), F.col("n_name").alias("description"))
+    return K.full_annotation_table(m, look("IPR"), look("M"), ("SMCOG",))

@@ -6,6 +6,8 @@ whose concatenation is the whole sorted file.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -265,6 +267,54 @@ def annotation_table(models: DataFrame, channels: DataFrame, headers: list[str])
     return models.join(wide, "tx_id", "left").fillna("", headers)
 
 
+# Columns of the annotation table and category names.
+TABLE_COLUMNS = ["GeneID", "TranscriptID", "Feature", "Contig", "Start", "Stop", "Strand", "Name", "Product", "Alias/Synonyms", "EC_number", "BUSCO", "PFAM", "InterPro", "EggNog", "COG",
+                 "GO Terms", "Secreted", "Membrane", "Protease", "CAZyme"]
+TABLE_NOTES = {"BUSCO": "BUSCO", "EggNog": "EggNog", "Secreted": "SECRETED", "Membrane": "TransMembrane", "CAZyme": "CAZy"}
+COG_NAMES = {
+    "J": "(J) Translation, ribosomal structure and biogenesis", "A": "(A) RNA processing and modification", "K": "(K) Transcription",
+    "L": "(L) Replication, recombination and repair", "B": "(B) Chromatin structure and dynamics", "D": "(D) Cell cycle control, cell division, chromosome partitioning",
+    "Y": "(Y) Nuclear structure", "V": "(V) Defense mechanisms", "T": "(T) Signal transduction mechanisms", "M": "(M) Cell wall/membrane/envelope biogenesis", "N": "(N) Cell motility",
+    "Z": "(Z) Cytoskeleton", "W": "(W) Extracellular structures", "U": "(U) Intracellular trafficking, secretion, and vesicular transport",
+    "O": "(O) Posttranslational modification, protein turnover, chaperones", "C": "(C) Energy production and conversion", "G": "(G) Carbohydrate transport and metabolism",
+    "E": "(E) Amino acid transport and metabolism", "F": "(F) Nucleotide transport and metabolism", "H": "(H) Coenzyme transport and metabolism", "I": "(I) Lipid transport and metabolism",
+    "P": "(P) Inorganic ion transport and metabolism", "Q": "(Q) Secondary metabolites biosynthesis, transport and catabolism", "R": "(R) General function prediction only", "S": "(S) Function unknown",
+}
+
+
+def full_annotation_table(models: DataFrame, interpro: DataFrame, merops: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """One row per transcript with the fixed columns, one for each ``extra`` note header, the
+    other notes and four sequences.
+
+    ``models``: transcripts with ``notes, dbxrefs, go, ec, synonyms`` lists and the oriented
+    ``gdna, transcript, cds_seq, protein``; ``interpro`` and ``merops``: ``(term, description)``.
+    A cell lists what one transcript carries; peptidases without a family are left out.
+    """
+    of = lambda c, p: F.transform(F.filter(F.coalesce(F.col(c), F.array().cast("array<string>")), lambda x: x.startswith(f"{p}:")), lambda x: F.substring(x, F.lit(len(p) + 2), F.length(x)))
+    cell = lambda c: F.array_join(F.coalesce(c, F.array().cast("array<string>")), ";")
+
+    def looked_up(column: str, prefix: str, lookup: DataFrame, name: str) -> DataFrame:
+        hits = models.select("tx_id", F.posexplode(of(column, prefix)).alias("at", "hit"))
+        named = hits.join(lookup.select(F.col("term").alias("hit"), "description"), "hit", "left")
+        text = F.concat_ws(" ", "hit", F.coalesce("description", F.lit("None"))) if prefix == "InterPro" else F.col("description")
+        rows = F.array_sort(F.collect_list(F.when(text.isNotNull(), F.struct("at", text.alias("text")))))
+        return named.groupBy("tx_id").agg(F.array_join(F.transform(rows, lambda x: x["text"]), ";").alias(name))
+
+    m = models.join(looked_up("dbxrefs", "InterPro", interpro, "_ipr"), "tx_id", "left").join(looked_up("notes", "MEROPS", merops, "_mer"), "tx_id", "left")
+    cogs = F.create_map(*[F.lit(x) for pair in COG_NAMES.items() for x in pair])
+    cog = F.transform(F.flatten(F.transform(of("notes", "COG"), lambda x: F.split(x, ","))), lambda x: F.concat(x, F.lit(":"), cogs[x]))
+    known = [*TABLE_NOTES.values(), "MEROPS", "COG", *extra]
+    rest = F.filter(F.coalesce("notes", F.array().cast("array<string>")), lambda x: ~reduce(lambda a, b: a | b, [x.startswith(f"{k}:") for k in known]))
+    coding = lambda c: F.when(F.col("type") == "mRNA", F.col(c))
+    notes = {k: cell(of("notes", v)) for k, v in TABLE_NOTES.items()}
+    values = {
+        "GeneID": F.col("gene_id"), "TranscriptID": F.col("tx_id"), "Feature": F.col("type"), "Contig": F.col("contig"), "Start": F.col("gene_start").cast("string"),
+        "Stop": F.col("gene_end").cast("string"), "Strand": F.col("strand"), "Name": F.col("name"), "Product": F.col("product"), "Alias/Synonyms": cell(F.col("synonyms")),
+        "EC_number": cell(F.col("ec")), "PFAM": cell(of("dbxrefs", "PFAM")), "InterPro": F.col("_ipr"), "COG": cell(cog), "GO Terms": cell(F.col("go")), "Protease": F.col("_mer"), **notes}
+    tail = {**{k: cell(of("notes", k)) for k in extra}, "Notes": cell(rest), "gDNA": F.col("gdna"), "mRNA": F.col("transcript"), "CDS-transcript": coding("cds_seq"), "Translation": coding("protein")}
+    return m.select(*[F.coalesce(c, F.lit("")).alias(k) for k, c in [*((k, values[k]) for k in TABLE_COLUMNS), *tail.items()]])
+
+
 def stats_json(df: DataFrame) -> DataFrame:
     """The one-row statistics tables as a JSON document."""
     return df.select(F.to_json(F.struct(*df.columns)).alias("json"))
