@@ -173,5 +173,35 @@ def gene_report(genes: DataFrame, channels: DataFrame, orth: DataFrame, kinds: l
     return out.fillna("", kinds + ["group_id"])
 
 
+# Columns of the per-gene comparison report.
+REPORT_COLUMNS = ["GeneID", "scaffold:start-end", "strand", "length", "description", "Ortho Group", "EggNog", "BUSCO", "Secreted", "TransMembrane", "Protease family", "CAZyme family",
+                  "Transcription factor", "InterPro Domains", "PFAM Domains", "GO terms", "SecMet Cluster", "SMCOG"]
+REPORT_LISTS = {"Protease family": "MEROPS", "CAZyme family": "CAZy", "InterPro Domains": "InterPro", "PFAM Domains": "PFAM", "GO terms": "GO"}
+REPORT_FIRST = {"BUSCO": "BUSCO", "Secreted": "Secreted", "TransMembrane": "TransMembrane"}
+
+
+def full_gene_report(genes: DataFrame, hits: DataFrame, orth: DataFrame, factors: DataFrame) -> DataFrame:
+    """One row per gene with the fixed columns.
+
+    ``genes(gene_id, contig, start, end, strand, protein_length, product, notes)``, ``hits(gene_id,
+    channel, ord, hit)``, ``orth(gene_id, group_id)``, ``factors(term, description)``. Lists hold what one
+    gene carries, in order; the last domain known as a factor names the factor. Starts are 0-based.
+    """
+    f = hits.join(factors.select(F.col("term").alias("_term"), F.col("description").alias("_factor")),
+                  (F.col("channel") == "InterPro") & (F.substring_index("hit", ":", 1) == F.col("_term")), "left")
+    of = lambda k: F.when(F.col("channel") == k, F.struct("ord", "hit"))
+    wide = f.groupBy("gene_id").agg(
+        *[F.array_join(F.transform(F.array_sort(F.collect_list(of(k))), lambda x: x["hit"]), "; ").alias(c) for c, k in REPORT_LISTS.items()],
+        *[F.min(of(k))["hit"].alias(c) for c, k in REPORT_FIRST.items()],
+        F.max(F.when(F.col("_factor").isNotNull(), F.struct("ord", "_factor")))["_factor"].alias("Transcription factor"))
+    g = genes.withColumns({"_egg": F.try_element_at(F.filter("notes", lambda x: x.startswith("EggNog:")), F.lit(-1)),
+                           "_sm": F.try_element_at(F.filter("notes", lambda x: x.startswith("antiSMASH:")), F.lit(-1)),
+                           "SMCOG": F.try_element_at(F.filter("notes", lambda x: x.startswith("SMCOG:")), F.lit(-1))})
+    out = g.join(wide, "gene_id", "left").join(orth.select("gene_id", F.col("group_id").alias("Ortho Group")), "gene_id", "left")
+    cells = {"GeneID": F.col("gene_id"), "scaffold:start-end": F.concat("contig", F.lit(":"), F.col("start") - 1, F.lit("-"), "end"), "length": F.col("protein_length").cast("string"),
+             "description": F.col("product"), "EggNog": F.replace("_egg", F.lit("EggNog:"), F.lit("")), "SecMet Cluster": F.replace("_sm", F.lit("antiSMASH:"), F.lit(""))}
+    return out.select(*[F.coalesce(cells.get(c, F.col(f"`{c}`")), F.lit("")).alias(c) for c in REPORT_COLUMNS])
+
+
 def any_annotation(counts: DataFrame) -> Column:
     return counts.agg(F.coalesce(F.sum("n"), F.lit(0)) > 0).scalar()

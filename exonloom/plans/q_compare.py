@@ -347,3 +347,20 @@ def _(t):
     five = u.select("gene_id", "tx_id", F.lit("five").alias("part"), F.explode_outer("u.five").alias("e"))
     three = u.select("gene_id", "tx_id", F.lit("three").alias("part"), F.explode_outer("u.three").alias("e"))
     return five.unionByName(three).where("e is not null").select("gene_id", "tx_id", "part", "e.start", "e.end")
+
+
+@query("k11_full_gene_report", """with h as (select 'g' || l_partkey as gene_id, (['InterPro', 'PFAM', 'MEROPS', 'CAZy', 'GO', 'BUSCO', 'Secreted'])[l_linenumber] as ch, l_orderkey as ord, (['InterPro', 'PFAM', 'MEROPS', 'CAZy', 'GO', 'BUSCO', 'Secreted'])[l_linenumber] || l_suppkey || ': d' as hit, l_suppkey as k from lineitem),
+ w as (select gene_id, string_agg(hit, '; ' order by ord, hit) filter (ch = 'InterPro') as ip, string_agg(hit, '; ' order by ord, hit) filter (ch = 'PFAM') as pf, string_agg(hit, '; ' order by ord, hit) filter (ch = 'MEROPS') as me, string_agg(hit, '; ' order by ord, hit) filter (ch = 'CAZy') as ca,
+  string_agg(hit, '; ' order by ord, hit) filter (ch = 'GO') as go, substr(min(printf('%012d', ord) || hit) filter (ch = 'BUSCO'), 13) as bu, substr(min(printf('%012d', ord) || hit) filter (ch = 'Secreted'), 13) as se, substr(max(printf('%012d', ord) || n_name) filter (ch = 'InterPro' and n_name is not null), 13) as tf from h left join nation on n_nationkey = k group by 1)
+ select 'g' || p_partkey as "GeneID", p_brand || ':' || (p_size - 1) || '-' || (p_size + 90) as "scaffold:start-end", '+' as strand, cast(p_size as varchar) as length, p_name as description, case when p_size > 25 then 'orth' || p_size else '' end as "Ortho Group",
+  'E' || p_size as "EggNog", coalesce(bu, '') as "BUSCO", coalesce(se, '') as "Secreted", '' as "TransMembrane", coalesce(me, '') as "Protease family", coalesce(ca, '') as "CAZyme family", coalesce(tf, '') as "Transcription factor",
+  coalesce(ip, '') as "InterPro Domains", coalesce(pf, '') as "PFAM Domains", coalesce(go, '') as "GO terms", case when p_size % 2 = 0 then 'C' || p_size else '' end as "SecMet Cluster", 'SMCOG:x' as "SMCOG" from part left join w on gene_id = 'g' || p_partkey""")
+def _(t):
+    n = F.col("p_size")
+    genes = t.part.select(F.concat(F.lit("g"), "p_partkey").alias("gene_id"), F.col("p_brand").alias("contig"), n.alias("start"), (n + 90).alias("end"), F.lit("+").alias("strand"), n.alias("protein_length"),
+                          F.col("p_name").alias("product"), F.array_compact(F.array(F.lit("EggNog:old"), F.concat(F.lit("EggNog:E"), n), F.when(n % 2 == 0, F.concat(F.lit("antiSMASH:C"), n)), F.lit("SMCOG:x"))).alias("notes"))
+    kind = F.element_at(F.array(*[F.lit(k) for k in ("InterPro", "PFAM", "MEROPS", "CAZy", "GO", "BUSCO", "Secreted")]), F.col("l_linenumber").cast("int"))
+    hits = t.lineitem.select(F.concat(F.lit("g"), "l_partkey").alias("gene_id"), kind.alias("channel"), F.col("l_orderkey").alias("ord"), F.concat(kind, "l_suppkey", F.lit(": d")).alias("hit"))
+    orth = t.part.where("p_size > 25").select(F.concat(F.lit("g"), "p_partkey").alias("gene_id"), F.concat(F.lit("orth"), "p_size").alias("group_id"))
+    factors = t.nation.select(F.concat(F.lit("InterPro"), "n_nationkey").alias("term"), F.col("n_name").alias("description"))
+    return C.full_gene_report(genes, hits, orth, factors)
