@@ -31,16 +31,20 @@ def test_overlap_join_with_long_intervals(spark, path):
     assert sorted(map(tuple, got)) == want
 
 
-def test_salted_bins(spark, monkeypatch):
-    monkeypatch.setattr(I, "HOT_ROWS", 20)
-    spark.conf.set("spark.exonloom.smallRows", "0")
+def test_crowded_bins_are_split(spark):
+    small = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k"}
+    before = {k: spark.conf.get(k) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
     try:
         ra, a = make(spark, 3, 400, span=120)
         rb, b = make(spark, 4, 60, span=120)
         want = sorted((x[3], y[3]) for x in ra for y in rb if x[0] == y[0] and x[1] <= y[2] and x[2] >= y[1])
         assert sorted(map(tuple, I.overlap_join(a, b).select("name", "b_name").collect())) == want
     finally:
-        spark.conf.unset("spark.exonloom.smallRows")
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_exists_and_fraction(spark, path):
