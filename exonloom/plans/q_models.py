@@ -419,7 +419,7 @@ P3_LINES = """pl as (select case when l_linenumber = 1 then '##' || l_orderkey w
   else 'c' || l_suppkey || chr(9) || 'old' || chr(9) || 'gene' || chr(9) || l_partkey || chr(9) || (l_partkey + 9) || chr(9) || '.' || chr(9) || '+' || chr(9) || '.' || chr(9) || 'ID=g' || l_orderkey end as value from lineitem)"""
 
 
-def gff_text(t):
+def numbered_lines(t):
     nine = F.concat_ws("\t", F.concat(F.lit("c"), "l_suppkey"), F.lit("old"), F.lit("gene"), "l_partkey", F.col("l_partkey") + 9, F.lit("."), F.lit("+"), F.lit("."), F.concat(F.lit("ID=g"), "l_orderkey"))
     n = F.col("l_linenumber")
     return t.lineitem.select(F.when(n == 1, F.concat(F.lit("##"), "l_orderkey")).when(n == 2, F.concat(F.lit(">s"), "l_orderkey"))
@@ -428,12 +428,12 @@ def gff_text(t):
 
 @query("p3_relabel_lines", f"""with {P3_LINES} select replace(value, chr(9) || 'old' || chr(9), chr(9) || 'mine' || chr(9)) as value from pl where value not like '>%' and value not like 'bad%'""")
 def _(t):
-    return L.relabel_lines(gff_text(t), "mine")
+    return L.relabel_lines(numbered_lines(t), "mine")
 
 
 @query("p3_contigs", f"""with {P3_LINES} select distinct split_part(value, chr(9), 1) as contig from pl where value like 'c%'""")
 def _(t):
-    return L.contigs_of_lines(gff_text(t))
+    return L.contigs_of_lines(numbered_lines(t))
 
 
 def with_texts(t):
