@@ -268,7 +268,7 @@ def score(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "te
     number = F.lit(len(labels))
     for z, label in enumerate(labels):
         number = F.when(F.col("label") == label, z).otherwise(number)
-    per_split = -(-_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")) // (4 << 20))
+    per_split = -(-_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")) // (8 << 20))
     batches = max(64, per_split * splits(docs))
     own = own.withColumns({"state": number.cast("int"), "batch": F.pmod(F.xxhash64("key", "text"), F.lit(batches))})
 
