@@ -6,11 +6,12 @@ weight table has one size at any scale. Consistent weighted sampling draws ``BAN
 document; documents that share a band are candidates, and a pair is linked if its weighted
 Jaccard similarity reaches the threshold. The plain similarity (all weights equal) counts too:
 in a large group of near copies the common shingles weigh little and each copy's few own ones
-much, and TF-IDF alone would let such a group fall apart. Classes are the connected components.
+much, and TF-IDF alone would let such a group fall apart. It has as many samples and bands of its
+own, as such a pair may agree in few of the weighted ones. Classes are the connected components.
 
 Equal texts are folded first. In a band bucket of any size every member meets the least one
 first; only buckets whose members then lie in several classes are opened, and there pairs of
-different classes are compared in blocks, by their samples and then in full.
+different classes that share a band are compared in blocks, all of them in full.
 
 Null text counts as empty. Texts of fewer than five words are one shingle; texts without words
 link only with equal texts. Ties and repeated rows: the class id is the least key, and of
@@ -36,6 +37,7 @@ _rng = np.random.default_rng(77)
 _R = _rng.gamma(2.0, 1.0, _POOL).astype(np.float32) + np.float32(1e-6)
 _LOG_C = np.log(_rng.gamma(2.0, 1.0, _POOL) + 1e-12).astype(np.float32)
 _BETA = _rng.random(_POOL).astype(np.float32)
+_XOR, _ODD = _rng.integers(0, 2**64, (2, BANDS * ROWS), np.uint64) | np.uint64(1)
 BLOCK = 512
 
 
@@ -104,9 +106,19 @@ def sample(h: np.ndarray, weight: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out
 
 
+def plain_sample(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Samples of each run of shingles with all weights equal: [run, BANDS * ROWS] of 32-bit codes."""
+    mixed = mix(h)
+    out = np.empty((len(starts), BANDS * ROWS), np.uint32)
+    with np.errstate(over="ignore"):
+        for k in range(BANDS * ROWS):
+            out[:, k] = np.minimum.reduceat((mixed ^ _XOR[k]) * _ODD[k], starts).astype(np.uint32)
+    return out
+
+
 def signatures(docs: DataFrame, idf, key: str, text: str) -> DataFrame:
-    """``key, k1, k2, bands, samples``: two digests of the text, band keys, raw samples."""
-    salt = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    """``key, k1, k2, bands, samples``: two digests of the text, band keys (weighted, then plain), raw samples."""
+    salt = np.arange(1, 2 * BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 
     def run(batches):
         table = idf.value
@@ -116,8 +128,8 @@ def signatures(docs: DataFrame, idf, key: str, text: str) -> DataFrame:
                 starts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(h) else np.zeros(0, np.int64)
                 bands, samples = [None] * len(t), [None] * len(t)
                 if len(h):
-                    drawn = sample(h, times * table[feature(h)], starts)
-                    parts = drawn.astype(np.uint64).reshape(len(starts), BANDS, ROWS)
+                    drawn = np.concatenate([sample(h, times * table[feature(h)], starts), plain_sample(h, starts)], 1)
+                    parts = drawn.astype(np.uint64).reshape(len(starts), 2 * BANDS, ROWS)
                     keys = np.broadcast_to(salt, parts.shape[:2])
                     for r in range(ROWS):
                         keys = mix(keys ^ parts[:, :, r])
@@ -178,13 +190,13 @@ def verify(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFra
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "u long, v long")
 
 
-def open_links(members: DataFrame, idf, threshold: float, least: float = 0.5) -> DataFrame:
+def open_links(members: DataFrame, idf, threshold: float) -> DataFrame:
     """Links ``u, v`` between members of different classes in one bucket.
 
     ``members``: ``bucket, band, size, node, part, samples, text``. A bucket is dealt into blocks of
     a few hundred and the blocks meet pairwise, so no task gets a whole bucket; small ones share a
-    group. A pair is looked at in the first band it shares, if it shares at least this part of its
-    samples, and verified on the spot: only links leave the task, one for each node and class.
+    group. A pair is looked at in the first band it shares and verified on the spot: only links
+    leave the task. Classes that a link has joined count as one for the rest of the block.
     """
     n = members.withColumn("blocks", F.ceil(F.col("size") / BLOCK)).withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
     met = n.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
@@ -200,19 +212,19 @@ def open_links(members: DataFrame, idf, threshold: float, least: float = 0.5) ->
         for own_rows in np.split(order, np.flatnonzero(bucket[order][1:] != bucket[order][:-1]) + 1):
             part = rows.take(own_rows)
             low = part.column("own").to_numpy() == keys[1].as_py()
-            got += links_in(part, low, low if one else ~low, one, idf.value, threshold, least)
+            got += links_in(part, low, low if one else ~low, one, idf.value, threshold)
         got = np.array(got, np.int64).reshape(-1, 2)
         return pa.table({"u": pa.array(got[:, 0]), "v": pa.array(got[:, 1])})
 
     return met.groupBy("group", "i", "j").applyInArrow(run, "u long, v long").distinct()
 
 
-def links_in(rows: pa.Table, low: np.ndarray, high: np.ndarray, one: bool, idf: np.ndarray, threshold: float, least: float) -> list[tuple[int, int]]:
+def links_in(rows: pa.Table, low: np.ndarray, high: np.ndarray, one: bool, idf: np.ndarray, threshold: float) -> list[tuple[int, int]]:
     """Verified links between the rows ``low`` and ``high`` of one bucket."""
-    node, part = rows.column("node").to_numpy(), rows.column("part").to_numpy()
+    node, part = rows.column("node").to_numpy(), rows.column("part").to_numpy().copy()
     if part.min() == part.max():
         return []
-    drawn = np.frombuffer(b"".join(rows.column("samples").to_pylist()), np.uint32).reshape(len(node), -1)
+    drawn = np.frombuffer(b"".join(rows.column("samples").to_pylist()), np.uint32).reshape(len(node), -1, ROWS)
     band = rows.column("band")[0].as_py()
     (_, t), = texts_of(rows.column("text").combine_chunks(), 1 << 62)
     h, owner, times = shingles(t)
@@ -225,25 +237,23 @@ def links_in(rows: pa.Table, low: np.ndarray, high: np.ndarray, one: bool, idf:
     others = np.flatnonzero(high)
     for x in np.flatnonzero(low):
         y = others[(part[others] != part[x]) & ((node[others] > node[x]) if one else True)]
-        same = drawn[y] == drawn[x]
-        shared = same.reshape(len(y), BANDS, ROWS).all(2)
-        y = y[(same.mean(1) >= least) & (shared.argmax(1) == band) & shared.any(1)]
+        shared = (drawn[y] == drawn[x]).all(2)
+        y = y[(shared.argmax(1) == band) & shared.any(1)]
         # no similarity exceeds the ratio of the sizes
         y = y[np.maximum(np.minimum(size[y], size[x]) / np.maximum(size[y], size[x]), np.minimum(weight[y], weight[x]) / np.maximum(weight[y], weight[x])) >= threshold]
         if not len(y):
             continue
         s = slice(first[x], first[x + 1])
         mine[ids[s]], own[ids[s]] = heavy[s], 1.0
-        at = np.concatenate([np.arange(first[k], first[k + 1]) for k in y])
         starts = np.cumsum(size[y]) - size[y]
+        at = np.repeat(first[y] - starts, size[y]) + np.arange(size[y].sum())
         common = np.add.reduceat(own[ids[at]], starts)
         heavy_common = np.add.reduceat(np.minimum(mine[ids[at]], heavy[at]), starts)
         mine[ids[s]], own[ids[s]] = 0.0, 0.0
         alike = np.maximum(common / (size[y] + size[x] - common), heavy_common / (weight[y] + weight[x] - heavy_common)) >= threshold
-        met = set()
         for k in y[alike]:
-            if part[k] not in met:
-                met.add(part[k])
+            if part[k] != part[x]:
+                part[part == part[k]] = part[x]
                 out.append((int(node[x]), int(node[k])))
     return out
 

@@ -124,6 +124,25 @@ def test_near_duplicates(spark, make_docs, none):
     assert near.classes(none).count() == 0 and near.one_of_each(none).count() == 0
 
 
+def test_hot_group_that_hangs_on_its_original(make_docs):
+    rng = np.random.default_rng(12)
+    w = [f"o{i}" for i in range(154)]
+    texts = []
+    for c in range(300):
+        x = list(w)
+        for k in rng.permutation(30)[:3] * 5 + 4:
+            x[k] = f"c{c}k{k}"
+        texts.append(" ".join(x))
+    texts.insert(150, " ".join(w))
+    sets = [brute.shingles(t) for t in texts]
+    alike = [(i, j, len(sets[i] & sets[j]) / len(sets[i] | sets[j])) for j in range(len(texts)) for i in range(j)]
+    assert all(0.8 <= s < 0.85 for i, j, s in alike if 150 in (i, j)) and sum(s >= 0.8 for *_, s in alike) < 600
+    part = brute.components(len(texts), [(i, j) for i, j, s in alike if s >= 0.8])
+    texts += [prose(rng, 150, 10**6) for _ in range(600)]
+    got = near.classes(make_docs([(i, t, "s") for i, t in enumerate(texts)])).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == dict(enumerate([*part, *range(301, 901)]))
+
+
 def test_open_buckets_are_compared_in_blocks(spark):
     rng = np.random.default_rng(0)
     texts = []
