@@ -2,7 +2,8 @@
 
 Markup is stripped into lines, one for each block. A line weighs the characters of its text
 without twice those of its links; lines of menus, forms, adverts, notices, comments and the like
-weigh nothing. The weights are summed over sliding windows of lines. Where the sums rise from
+weigh nothing. Whole class names tell them, and an article or main element in a wrapper so named
+still counts, unless that holds replies or related pages. The weights are summed over sliding windows of lines. Where the sums rise from
 nothing the text surges, where they fall to nothing it dives; the heaviest stretch between is the
 main text. If that stretch lies in an article or main element, the whole element is taken, so an
 advert inside it does not cut it.
@@ -35,6 +36,10 @@ SIDE_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising",
               "commentlist", "disqus", "reply", "replies", "respond", "discussion", "sidebar", "aside", "rail", "widget", "widgets", "related", "recommended", "recommendations", "share",
               "sharing", "social", "follow", "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "pagination", "pager", "toolbar", "topbar", "footer", "masthead", "copyright",
               "legal", "search", "form", "hidden"}
+#: An article inside these is no main text; inside other marked wrappers it may be.
+FIRM_WORDS = {"comment", "comments", "commentlist", "disqus", "reply", "replies", "respond", "discussion", "related", "recommended", "recommendations"}
+#: May stand beside a side word in a class name.
+NEUTRAL_WORDS = {"site", "list", "box", "bar", "area", "link", "links", "icons", "button", "buttons", "posts", "item", "items", "block"}
 SIDE_ARTICLES = {"ad", "ads", "advert", "comment", "comments", "reply", "replies", "related", "promo", "sponsored", "teaser"}
 SIDE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu", "menubar", "toolbar"}
 
@@ -43,30 +48,42 @@ TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>|<(?P<raw>" + "|".join(RAW) + r
 ATTR = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 
 
-def is_side(name: str, attrs: str) -> bool:
-    """Whether an element stands beside the text."""
+def names_any(value: str, words: set[str]) -> bool:
+    """Whether a whole class name is made of these words: ``cookie-notice``, but not ``has-sidebar``."""
+    for name in value.split():
+        parts = {x for x in re.split(r"[^a-z0-9]+", name) if x and not x.isdigit()}
+        if not parts.isdisjoint(words) and parts <= words | NEUTRAL_WORDS:
+            return True
+    return False
+
+
+def side_mark(name: str, attrs: str) -> int:
+    """Whether an element stands beside the text: 0 no, 1 unless in an article or main element of its own, 2 yes."""
     if name in ASIDE:
-        return True
+        return 1 if name in ("form", "fieldset") else 2
     if not attrs or name in ("body", "html", "main"):
-        return False
+        return 0
     if re.search(r"(?:^|\s)hidden(?:\s|$|/)", attrs):
-        return True
+        return 2
+    found = 0
     for m in ATTR.finditer(attrs):
         key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if key in ("class", "id") and not (SIDE_ARTICLES if name == "article" else SIDE_WORDS).isdisjoint(re.split(r"[^a-z0-9]+", value)):
-            return True
-        if key == "role" and value.strip() in SIDE_ROLES or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-    return False
+        if key in ("class", "id") and names_any(value, SIDE_ARTICLES if name == "article" else SIDE_WORDS):
+            found = max(found, 2 if name == "article" or any(names_any(x, SIDE_WORDS) and not FIRM_WORDS.isdisjoint(re.split(r"[^a-z0-9]+", x)) for x in value.split()) else 1)
+        if key == "role" and value.strip() in SIDE_ROLES:
+            found = max(found, 1 if value.strip() in ("form", "search") else 2)
+        if key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
+            return 2
+    return found
 
 
 def lines_of(page: str) -> list[tuple[str, float, int]]:
     """(text, weight, number of the article or main element or 0) of each block in page order."""
     out: list[tuple[str, float, int]] = []
-    stack: list[tuple[str, bool, int, bool]] = []  # name, side, zone, in a header
+    stack: list[tuple[str, int, int, bool]] = []  # name, side mark, zone, in a header
     text: list[str] = []
     linked = zones = links = 0
-    side, zone, header = False, 0, False
+    side, zone, header = 0, 0, False
     heading = False
 
     def end_line():
@@ -106,17 +123,19 @@ def lines_of(page: str) -> list[tuple[str, float, int]]:
                     end_line() if stack[k][1] != side else None
                     del stack[k:]
                     break
-        elif not m["attrs"].endswith("/") and (name in BLOCK and name != "hr" or m["attrs"] and is_side(name, m["attrs"])):
+        elif not m["attrs"].endswith("/") and (name in BLOCK and name != "hr" or m["attrs"] and side_mark(name, m["attrs"])):
             if name in ("p", "li", "tr", "td", "th", "dt", "dd", *HEADINGS):  # these end one another
                 while stack and stack[-1][0] == name:
                     stack.pop()
             if name in ZONES:
                 zones += 1
-            now_side = bool(stack and stack[-1][1]) or is_side(name, m["attrs"])
+            above, now_side = stack[-1][1] if stack else 0, side_mark(name, m["attrs"])
+            if name not in ZONES or above == 2:  # an article or main element in a wrapper that only looks like a side block is text
+                now_side = max(above, now_side)
             if now_side and not side:
                 end_line()
             stack.append((name, now_side, (stack[-1][2] if stack and stack[-1][2] else zones) if name in ZONES else stack[-1][2] if stack else 0, name == "header" or bool(stack and stack[-1][3])))
-        top = stack[-1] if stack else ("", False, 0, False)
+        top = stack[-1] if stack else ("", 0, 0, False)
         side, zone, header = top[1], top[2], top[3]
         heading = top[0] in HEADINGS
     add(page[at:])

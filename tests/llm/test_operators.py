@@ -293,6 +293,21 @@ def test_pages(spark):
     assert got.count() == 8 and pages.extract(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("attrs", ['class="has-sidebar"', 'class="no-sidebar"', 'class="content-sidebar-wrap"', "class=search-page", 'id="with-menu"'])
+def test_pages_in_a_layout_wrapper(attrs):
+    text = "<h1>Title</h1>" + "<p>word word word word</p>" * 4
+    for inner in (f"<article>{text}</article>", f"<main>{text}</main>", f"<div>{text}</div>"):
+        assert pages.main_text(f"<body><div {attrs}>{inner}</div><footer>no</footer></body>") == "Title" + " word" * 16
+
+
+def test_article_in_a_side_wrapper():
+    article = "<article><p>word word word</p><div class='ad'>no</div></article>"
+    for wrapper in ("div class='page search'", "form id=all", "div role=search", "div class='sidebar-box'"):
+        assert pages.main_text(f"<{wrapper}>{article}<p>no</p></{wrapper.split()[0]}>") == "word word word"
+    for wrapper in ("div class='related-posts'", "section id=comments", "aside", "div hidden", "nav"):
+        assert pages.main_text(f"<p>one two</p><{wrapper}>{article * 9}</{wrapper.split()[0]}>") == "one two"
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(4)
     base = rng.normal(size=(30, 16))
