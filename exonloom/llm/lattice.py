@@ -20,6 +20,7 @@ score alike; an empty table gives no rows; other columns have no part in it.
 from __future__ import annotations
 
 import math
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -85,6 +86,12 @@ def string_hash(s: bytes) -> int:
         return int(((part * _POW[:len(part)]).sum() * SPREAD))
 
 
+def _add(x: float, y: float) -> float:
+    """log(exp(x) + exp(y))."""
+    hi, lo = max(x, y), min(x, y)
+    return hi + (math.log1p(math.exp(lo - hi)) if lo > -math.inf else 0.0)
+
+
 class Weights:
     """Log probabilities of all strings that units spell. ``p``: one number per unit, then the stop.
 
@@ -158,7 +165,11 @@ class Weights:
             into[2] += ((np.exp(self.bare + b[0] - total) * counts).sum(), counts.sum())
         return total
 
-    def long_word(self, word: bytes) -> float:
+    @cached_property
+    def numbers(self) -> list[dict[bytes, int]]:
+        return [{s: k for k, s in enumerate(t[4])} for t in self.units.tables]
+
+    def long_word(self, word: bytes, count: float | None = None, into: list[np.ndarray] | None = None) -> float:
         """Same for one word of any length, without tables of all its substrings."""
         first, rest = self.by_string
         lengths = [t[3] for t in self.units.tables]
@@ -167,15 +178,30 @@ class Weights:
         for n in lengths[0]:
             s = first.get(word[:n]) if n <= len(word) else None
             if s is not None:
-                a[n] = float(np.logaddexp(a[n], s))
+                a[n] = _add(a[n], s)
         for i in range(len(word)):
             if a[i] > -math.inf:
                 for n in lengths[1]:
                     s = rest.get(word[i:i + n]) if i + n <= len(word) else None
                     if s is not None:
-                        hi, lo = max(a[i + n], a[i] + s), min(a[i + n], a[i] + s)
-                        a[i + n] = hi + (math.log1p(math.exp(lo - hi)) if lo > -math.inf else 0.0)
-        return a[-1] + self.stop
+                        a[i + n] = _add(a[i + n], a[i] + s)
+        total = a[-1] + self.stop
+        if count is None or total == -math.inf:
+            return total
+        b = [-math.inf] * len(word) + [self.stop]
+        for i in range(len(word) - 1, -1, -1):
+            if a[i] > -math.inf:
+                for n in lengths[1]:
+                    s = rest.get(word[i:i + n]) if i + n <= len(word) else None
+                    if s is not None and b[i + n] > -math.inf:
+                        b[i] = _add(b[i], s + b[i + n])
+                        into[1][self.numbers[1][word[i:i + n]]] += count * math.exp(a[i] + s + b[i + n] - total)
+        for n in lengths[0]:
+            s = first.get(word[:n]) if n <= len(word) else None
+            if s is not None:
+                into[0][self.numbers[0][word[:n]]] += count * math.exp(s + b[n] - total)
+        into[2] += (math.exp(self.bare + b[0] - total) * count, count)
+        return total
 
     def words(self, t: Texts, counts: np.ndarray | None = None, into: list[np.ndarray] | None = None) -> np.ndarray:
         """Log probability of every word of the batch."""
@@ -183,7 +209,7 @@ class Weights:
         for size in np.unique(sizes):
             rows = np.flatnonzero(sizes == size)
             if size > SHORT:
-                out[rows] = [self.long_word(t.word(r)) for r in rows]
+                out[rows] = [self.long_word(t.word(r), None if counts is None else counts[r], into) for r in rows]
                 continue
             for k in range(0, len(rows), 20000):
                 r = rows[k:k + 20000]

@@ -207,6 +207,23 @@ def test_lattice(spark, make_docs, odd, odd_rows, none):
     assert lattice.score(none, tokenizer_path("piece_bpe_32k.model")).count() == 0
 
 
+def test_long_words_count_in_refining(spark, monkeypatch):
+    units = lattice.Units(tokenizer_path("piece_bpe_32k.model"))
+    p = np.append(units.start, units.start[~units.opens].sum())
+    words = ["thaten" * 11, "the" * 21, "the" * 21 + "x", "the" * 21 + "xy", "漢字" * 10 + "漢", "漢字" * 11, "https://example.org/" + "a/long-path/" * 9]
+    assert {len(w.encode()) for w in words} >= {63, 64, 65, 66}
+    weights, found = units.weights(p), []
+    for short in (lattice.SHORT, 10**4):
+        monkeypatch.setattr(lattice, "SHORT", short)
+        found.append([np.zeros(len(x)) for x in weights.logs] + [np.zeros(2)])
+        weights.words(lattice.as_texts(pa.array([w.encode() for w in words])), np.arange(1.0, 8.0), found[-1])
+    for x, y in zip(*found):
+        assert np.allclose(x, y, rtol=1e-9, atol=1e-12)
+    types = spark.createDataFrame([(w.encode(), 1) for w in words], "word binary, c long")
+    gain = lattice.refine(types, units, p) - 0.01 * weights.p
+    assert math.isclose(gain[-1], len(words), rel_tol=1e-9) and math.isclose(gain[:-1][units.opens].sum(), len(words), rel_tol=1e-9)
+
+
 def test_lattice_beats_base_on_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     held = lattice.score(docs, tokenizer_path("piece_bpe_32k.model")).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
