@@ -2,11 +2,13 @@
 
 Markup is stripped into lines, one for each block. A line weighs the characters of its text
 without twice those of its links; lines of menus, forms, adverts, notices, comments and the like
-weigh nothing. Whole class names tell them, and an article or main element in a wrapper so named
-still counts, unless that holds replies or related pages. The weights are summed over sliding windows of lines. Where the sums rise from
-nothing the text surges, where they fall to nothing it dives; the heaviest stretch between is the
-main text. If that stretch lies in an article or main element, the whole element is taken, so an
-advert inside it does not cut it.
+are left out. Whole class names tell them, and an article or main element in a wrapper so named
+still counts, unless that holds replies or related pages. The weights are summed over sliding
+windows of lines. Where the sums rise from nothing the text surges, where they fall to nothing it
+dives; the heaviest stretch between is the main text. If it lies in an article or main element, the
+whole element is taken with the articles beside it. Otherwise the least div or section around the
+stretch is its container: all between the first surge and the last dive in there is taken, and lists
+that stand in it directly. Around a stretch without container every stretch of the page is taken.
 
 Null or empty html gives an empty text, as does a page without any weight; equal rows give equal
 texts; pages are independent of each other; other columns are carried along.
@@ -15,6 +17,7 @@ texts; pages are independent of each other; other columns are carried along.
 from __future__ import annotations
 
 import html as entities
+import os
 import re
 
 import pyarrow as pa
@@ -31,6 +34,7 @@ BLOCK = {"p", "div", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "dl",
 VOID = {"br", "hr", "img", "input", "meta", "link", "wbr", "area", "base", "col", "embed", "source", "track", "param"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 ZONES = {"article", "main"}
+CONTAINERS = {"div", "section", "center"} | ZONES
 SIDE_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "adsense", "adbox", "banner", "promo", "promotion", "promoted", "sponsor", "sponsored", "cookie", "cookies",
               "consent", "gdpr", "notice", "notices", "notification", "alert", "popup", "modal", "overlay", "newsletter", "subscribe", "subscription", "signup", "login", "comment", "comments",
               "commentlist", "disqus", "reply", "replies", "respond", "discussion", "sidebar", "aside", "rail", "widget", "widgets", "related", "recommended", "recommendations", "share",
@@ -77,22 +81,25 @@ def side_mark(name: str, attrs: str) -> int:
     return found
 
 
-def lines_of(page: str) -> list[tuple[str, float, int]]:
-    """(text, weight, number of the article or main element or 0) of each block in page order."""
-    out: list[tuple[str, float, int]] = []
-    stack: list[tuple[str, int, int, bool]] = []  # name, side mark, zone, in a header
+def lines_of(page: str) -> list[tuple[str, float, int, tuple[int, ...]]]:
+    """(text, weight, zone, containers from outside in) of each block that is no side block, in page order.
+
+    The zone is the number of the article or main element, or 0; articles of the same parent share one.
+    """
+    out: list[tuple[str, float, int, tuple[int, ...]]] = []
+    stack: list[tuple[str, int, int, bool, tuple[int, ...]]] = []  # name, side mark, zone, in a header, containers
+    beside: dict[tuple[str, tuple[int, ...]], int] = {}
     text: list[str] = []
-    linked = zones = links = 0
-    side, zone, header = 0, 0, False
+    linked = links = places = 0
+    side, zone, header, place = 0, 0, False, ()
     heading = False
 
     def end_line():
         nonlocal linked
         line = " ".join(entities.unescape("".join(text)).split())
         text.clear()
-        if line:
-            dropped = side or header and not (zone and heading)
-            out.append((line, 0.0 if dropped else len(line) if zone else max(0.0, len(line) - 2.0 * linked), -1 if dropped else zone))
+        if line and not (side or header and not (zone and heading)):
+            out.append((line, len(line) if zone else max(0.0, len(line) - 2.0 * linked), zone, place))
         linked = 0
 
     def add(part: str):
@@ -127,16 +134,20 @@ def lines_of(page: str) -> list[tuple[str, float, int]]:
             if name in ("p", "li", "tr", "td", "th", "dt", "dd", *HEADINGS):  # these end one another
                 while stack and stack[-1][0] == name:
                     stack.pop()
-            if name in ZONES:
-                zones += 1
+            inside, own_zone = (stack[-1][4], stack[-1][2]) if stack else ((), 0)
+            if name in ZONES and not own_zone:
+                own_zone = beside.setdefault((name, inside), len(beside) + 1)
+            if name in CONTAINERS:
+                places += 1
+                inside += (places,)
             above, now_side = stack[-1][1] if stack else 0, side_mark(name, m["attrs"])
             if name not in ZONES or above == 2:  # an article or main element in a wrapper that only looks like a side block is text
                 now_side = max(above, now_side)
             if now_side and not side:
                 end_line()
-            stack.append((name, now_side, (stack[-1][2] if stack and stack[-1][2] else zones) if name in ZONES else stack[-1][2] if stack else 0, name == "header" or bool(stack and stack[-1][3])))
-        top = stack[-1] if stack else ("", 0, 0, False)
-        side, zone, header = top[1], top[2], top[3]
+            stack.append((name, now_side, own_zone, name == "header" or bool(stack and stack[-1][3]), inside))
+        top = stack[-1] if stack else ("", 0, 0, False, ())
+        side, zone, header, place = top[1:]
         heading = top[0] in HEADINGS
     add(page[at:])
     end_line()
@@ -144,26 +155,27 @@ def lines_of(page: str) -> list[tuple[str, float, int]]:
 
 
 def main_text(page: str | None) -> str:
-    """Text between the surge and the dive around the heaviest stretch of lines."""
+    """Text between the surge and the dive around the heaviest stretch of lines, and what shares its container."""
     lines = lines_of(page or "")
-    weights = [w for _, w, _ in lines]
-    sums = [sum(weights[max(0, i - WINDOW + 1):i + WINDOW]) for i in range(len(lines))]
-    best, start = (0.0, 0, 0), None
-    for i in range(len(lines) + 1):
-        if i < len(lines) and sums[i] > 0:  # surge
-            start = i if start is None else start
-        elif start is not None:  # dive
-            best, start = max(best, (sum(weights[start:i]), -start, i), key=lambda x: x[:2]), None
-    weight, first, last = best[0], -best[1], best[2]
-    if not weight:
+    weights = [line[1] for line in lines]
+    heavy = [i for i, w in enumerate(weights) if w > 0]
+    if not heavy:
         return ""
+    # the sums fall to nothing where more than twice the reach of a window lies between weights
+    cuts = [0, *[k for k in range(1, len(heavy)) if heavy[k] - heavy[k - 1] > 2 * WINDOW - 1], len(heavy)]
+    stretches = [heavy[a:b] for a, b in zip(cuts, cuts[1:])]
+    best = max(stretches, key=lambda s: (sum(weights[i] for i in s), -s[0]))
     by_zone: dict[int, float] = {}
-    for _, w, z in lines[first:last]:
-        by_zone[z] = by_zone.get(z, 0.0) + w
+    for i in best:
+        by_zone[lines[i][2]] = by_zone.get(lines[i][2], 0.0) + weights[i]
     zone = max(by_zone, key=lambda z: (by_zone[z], -z))
     if zone > 0:
-        return " ".join(t for t, _, z in lines if z == zone)
-    return " ".join(t for t, w, z in lines[first:last] if w > 0 and z >= 0)
+        return " ".join(line[0] for line in lines if line[2] == zone)
+    around = os.path.commonprefix([lines[i][3] for i in best])
+    if not around:
+        return " ".join(lines[i][0] for s in stretches for i in range(s[0], s[-1] + 1))
+    inside = [i for i in heavy if lines[i][3][:len(around)] == around]
+    return " ".join(line[0] for i, line in enumerate(lines) if line[3] == around or line[3][:len(around)] == around and inside[0] <= i <= inside[-1])
 
 
 def extract(pages: DataFrame, html: str = "html", text: str = "text") -> DataFrame:

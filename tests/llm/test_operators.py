@@ -325,6 +325,20 @@ def test_article_in_a_side_wrapper():
         assert pages.main_text(f"<p>one two</p><{wrapper}>{article * 9}</{wrapper.split()[0]}>") == "one two"
 
 
+def test_pages_without_article_keep_all_of_their_container():
+    half = "<p>one two three four</p>" * 3
+    toc = "<ul>" + "".join(f"<li><a href=#{k}>part {k}</a></li>" for k in range(8)) + "</ul>"
+    side = "<div class=share>" + "<p>no</p>" * 8 + "</div>"
+    words, parts = " ".join(["one two three four"] * 3), " ".join(f"part {k}" for k in range(8))
+    menu = "<div>" + "".join(f"<p><a href=/{k}>no</a></p>" for k in range(8)) + "</div>"
+    assert pages.main_text(f"{menu}<div>{half}{side}{half}x</div>{menu}") == f"{words} {words} x"
+    assert pages.main_text(f"{menu}<div>{half}{toc}{half}<p>x</p></div>{menu}") == f"{words} {parts} {words} x"
+    assert pages.main_text(f"{menu}<div>{half}{toc}</div>{menu}") == f"{words} {parts}"
+    assert pages.main_text(f"<p>one two three<p><a href=/>linked</a> x<p>four") == "one two three linked x four"
+    assert pages.main_text(f"{half}{menu}{half}<p>x") == f"{words} {words} x"
+    assert pages.main_text("<div><article>one</article><p>-<article>two three</article></div><div><article>no</article></div>") == "one two three"
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(4)
     base = rng.normal(size=(30, 16))
