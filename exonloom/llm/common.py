@@ -183,6 +183,17 @@ def texts_of(column, most: int = 4 << 20, lower: bool = False, rows: int = 1 <<
         i = j
 
 
+def row_spans(column, most: int):
+    """(first row, end) of runs of rows of an Arrow string column of up to ``most`` bytes; a longer
+    text is a run of its own."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)) if len(column) else []
+    i = 0
+    while i < len(column):
+        j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + most, "right")))
+        yield i, j
+        i = j
+
+
 def windows(hashes: np.ndarray, width: int, salt: int = 0x9E3779B97F4A7C15) -> np.ndarray:
     """Hash of the ``width`` words from each place on; shorter by ``width - 1``."""
     n = len(hashes) - width + 1

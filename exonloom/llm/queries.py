@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from exonloom.scale import materialize
+from exonloom.scale import computed_once, materialize
 
-from . import lattice, mixing, near, packing, pages, quality, sharding, spans, tokens, vectors
+from . import align, language, lattice, mixing, near, packing, pages, quality, runs, sharding, spans, tokens, vectors
 from .common import WORD, count_words, query, table
 
 TOKENIZER_FOLDER = os.environ.get("TOKENIZER_FOLDER", "")
@@ -113,3 +114,45 @@ def int8_tiles(spark: SparkSession, folder: str) -> DataFrame:
 def block_anchors(spark: SparkSession, folder: str) -> DataFrame:
     found = spans.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``, where every tenth document (by crc32 of its id) repeats a stretch of its
+    words to its end. A null id changes nothing."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10).cast("long")
+    rows = computed_once(docs.select("doc_id", "text", h.alias("h"), g.alias("g")), "w", F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(f"({WORD})"), 1)))
+    rows = rows.withColumn("n", F.size("w").cast("long")).withColumn("a", (F.col("g") % F.col("n")).cast("int"))
+    rows = rows.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    turns = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    words = F.concat(F.slice("w", F.lit(1), F.col("a")), F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), turns)))
+    return rows.select("doc_id", F.when(F.col("n") > 0, F.array_join(F.slice(words, F.lit(1), F.col("n").cast("int")), " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query("op11_factor_runs")
+def factor_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = runs.collapse(with_periods(table(spark, folder, "documents")))
+    best, lines = runs.strongest(F.col("runs")), F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    shown = F.concat(F.array_join(lines, "\n"), F.when(F.size(lines) > 0, "\n").otherwise(""))
+    own = found.select("doc_id", "n_words", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), F.sha2(shown, 256).alias("runs_sha256"), F.sha2("text", 256).alias("collapsed_sha256"))
+    return own.select("doc_id", "n_runs", "best.start", "best.length", "best.period", F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+                      "runs_sha256", "collapsed_sha256", "n_words")
+
+
+@query("op12_output_codes")
+def output_codes(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    model = language.train(docs.where(~held))
+    return language.identify(docs.select("doc_id", "text", held.alias("held_out")), model).select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
+
+
+def hex_of(groups: str) -> str:
+    """Digest of a document's groups; '' without tokens."""
+    return hashlib.sha256(groups.encode()).hexdigest() if groups else ""
+
+
+@query("op13_anchor_windows")
+def anchor_windows(spark: SparkSession, folder: str) -> DataFrame:
+    found = align.align(table(spark, folder, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"), describe=("groups_sha256", "string", hex_of))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")

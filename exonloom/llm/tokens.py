@@ -21,8 +21,14 @@ from pyspark.sql import Window as W
 END_ID = 0
 
 
+def shown_bytes() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(sorted(set(range(256)) - set(printable)))}
+
+
 class Encoder:
-    """Ids of a tokenizer file for whole texts; the strings of special tokens are ordinary text.
+    """Ids of a tokenizer file for whole texts.
 
     A byte-level BPE whose merges stand in the order of their ids is run by rank, which
     gives the same ids faster; any other file is run by its own library.
@@ -31,9 +37,12 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.plain.encode_special_tokens = True
         self.ranked = self._by_rank(path)
+        with open(path, encoding="utf-8") as f:
+            self.spec = json.load(f)
+        self.added = [t["content"] for t in self.spec.get("added_tokens", [])]
 
     @staticmethod
     def _by_rank(path: str):
@@ -49,17 +58,29 @@ class Encoder:
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         if any(vocab.get(a + b) != 256 + i for i, (a, b) in enumerate(merges)):
             return None
-        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        shown = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(sorted(set(range(256)) - set(printable)))}
+        shown = shown_bytes()
         special = {t["content"] for t in spec.get("added_tokens", [])}
         ranks = {bytes(shown[c] for c in piece): i for piece, i in vocab.items() if piece not in special}
         return tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def ids(self, text: str | None) -> list[int]:
-        """All ids of a text; none for null."""
+        """All ids of a text, none for null; a text that holds an added token's string goes to the library."""
         if not text:
             return []
-        return self.ranked.encode_ordinary(text) if self.ranked else self.tokenizer.encode(text, add_special_tokens=False).ids
+        if self.ranked and not any(t in text for t in self.added):
+            return self.ranked.encode_ordinary(text)
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def plain_ids(self, text: str) -> list[int]:
+        """Ids where the strings of special tokens are ordinary text."""
+        return self.ranked.encode_ordinary(text) if self.ranked else self.plain.encode(text, add_special_tokens=False).ids
+
+    def id_bytes(self) -> dict[int, bytes]:
+        """Bytes of each id of a byte-level vocabulary."""
+        if (self.spec.get("pre_tokenizer") or {}).get("type") != "ByteLevel":
+            raise ValueError("the tokens of this file do not stand for bytes")
+        shown = shown_bytes()
+        return {i: bytes(map(shown.__getitem__, piece)) for piece, i in self.spec["model"]["vocab"].items() if piece not in self.added}
 
 
 def encoded_lengths(docs: DataFrame, tokenizer: str, text: str = "text", end: int = 1) -> DataFrame:

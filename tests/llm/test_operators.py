@@ -51,8 +51,11 @@ def test_encoder_equals_library():
 
     library, own = Tokenizer.from_file(tokenizer_path()), tokens.Encoder(tokenizer_path())
     for text in ["a\n\nb", "  x", "it's John's 'll x", " a b", "a\0b", "", "日本 語 😀 😀a", "x\r\ny 3.5 a1b2", "a\x85b a　b"]:
+        assert own.ids(text) == own.plain_ids(text) == library.encode(text, add_special_tokens=False).ids
+    for text in ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n", "<|endoftext|", "é<|endoftext|> é"]:
         assert own.ids(text) == library.encode(text, add_special_tokens=False).ids
-    assert own.ids(None) == []
+        assert (own.ids(text) == own.plain_ids(text)) == ("<|endoftext|>" not in text)
+    assert len(own.ids("a <|endoftext|> b")) == 4 and own.ids(None) == []
 
 
 def test_length_histogram(odd, odd_rows, none):
