@@ -32,7 +32,8 @@ from .spans import from_planes, planes
 from .tokens import Encoder
 
 #: Buckets of A ids, batches that ask together, bytes of text in a batch, bytes of remembered windows in a task.
-BUCKETS, TOGETHER, BATCH, REMEMBERED = 64, 4096, 4 << 20, 64 << 20
+BUCKETS, TOGETHER, BATCH, REMEMBERED = 64, 4096, 2 << 20, 64 << 20
+_OF_B = 1 << 31
 
 
 class Tokenizers:
@@ -47,13 +48,14 @@ class Tokenizers:
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=b)
         piece = [self.pieces.id_to_piece(i) for i in range(self.pieces.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:-1], 16)]) if self.pieces.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(piece)]
+        self.shown = [f"{i}{mark}" for size, marks in ((len(self.a_bytes), ",|"), (len(piece), ",;")) for i in range(size) for mark in marks]
         self.a_size, self.b_size = (np.array([len(x) for x in t]) for t in (self.a_bytes, self.b_bytes))
         self.forget()
 
     def forget(self) -> None:
-        self.number: dict[tuple[bytes, bytes], int] = {}
+        self.number: dict[bytes, int] = {}
         self.groups: list[str] = []
-        self.links: list[np.ndarray] = []
+        self.links, self.first_link = np.zeros(0, np.int64), np.zeros(1, np.int64)
         self.held = 0
 
     def ids(self, texts: list[str | None]) -> list[tuple[list[int], list[int]]]:
@@ -66,43 +68,54 @@ class Tokenizers:
             out.append((a, b) if fits and t else ([], []))
         return out
 
-    def window(self, a: tuple[int, ...], b: tuple[int, ...]) -> tuple[str, np.ndarray]:
-        """(groups, links) of one window by walking the ends of both sides."""
-        groups, links = [], []
-        i = j = s = u = 0
-        at_a, at_b = self.a_size[a[0]], self.b_size[b[0]]
-        while True:
-            links.append(a[i] << 32 | b[j])
-            here_a, here_b = at_a, at_b
-            if here_a <= here_b:
-                i += 1
-                at_a = at_a + self.a_size[a[i]] if i < len(a) else at_a
-            if here_b <= here_a:
-                j += 1
-                at_b = at_b + self.b_size[b[j]] if j < len(b) else at_b
-            if here_a == here_b:
-                groups.append(f"{','.join(map(str, a[s:i]))}|{','.join(map(str, b[u:j]))}")
-                s, u = i, j
-                if i == len(a):
-                    return ";".join(groups), np.array(links)
-
     def windows(self, a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> np.ndarray:
-        """Number of each window ``a[cut_a[k]:cut_a[k + 1]]``, ``b[cut_b[k]:cut_b[k + 1]]``."""
+        """Number of each window ``a[cut_a[k]:cut_a[k + 1]]``, ``b[cut_b[k]:cut_b[k + 1]]``.
+
+        A window's key is its tuple of ids, those of B marked by their highest bit.
+        """
         if self.held > REMEMBERED:
             self.forget()
-        in_a, in_b = a.astype("<u4").tobytes(), b.astype("<u4").tobytes()
-        pa_, pb = (4 * cut_a).tolist(), (4 * cut_b).tolist()
-        out = []
-        for key in zip([in_a[s:e] for s, e in zip(pa_, pa_[1:])], [in_b[s:e] for s, e in zip(pb, pb[1:])]):
-            k = self.number.get(key)
-            if k is None:
-                k = self.number[key] = len(self.groups)
-                groups, links = self.window(*(tuple(np.frombuffer(x, "<u4").tolist()) for x in key))
-                self.groups.append(groups)
-                self.links.append(links)
-                self.held += 400 + len(key[0]) + len(key[1]) + len(groups) + links.nbytes
-            out.append(k)
-        return np.array(out, np.int64)
+        in_a, in_b = (np.repeat(np.arange(len(cut) - 1), np.diff(cut)) for cut in (cut_a, cut_b))
+        ids = np.empty(len(a) + len(b), "<u4")
+        ids[np.arange(len(a)) + cut_b[in_a]] = a
+        ids[np.arange(len(b)) + cut_a[in_b + 1]] = b | _OF_B
+        packed, cut = ids.tobytes(), (4 * (cut_a + cut_b)).tolist()
+        keys = [packed[s:e] for s, e in zip(cut, cut[1:])]
+        known = self.number
+        numbers = [known.setdefault(k, len(known)) for k in keys]
+        out = np.array(numbers, np.int64)
+        if len(known) > len(self.groups):
+            fresh = np.flatnonzero(out >= len(self.groups))
+            _, one = np.unique(out[fresh], return_index=True)
+            self.learn(fresh[one], a, b, cut_a, cut_b)
+        return out
+
+    def learn(self, at: np.ndarray, a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> None:
+        """Aligns the windows ``at``, all at once: every stretch between two ends of any side is a link,
+        and every end of both sides closes a group."""
+        a, of_a = _stretches(a, cut_a, at)
+        b, of_b = _stretches(b, cut_b, at)
+        stop_a, stop_b = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        end_a, end_b = ends_of(self.a_size[a], stop_a[-1]), ends_of(self.b_size[b], stop_a[-1])
+        stops, shared = np.flatnonzero(end_a | end_b), np.flatnonzero(end_a & end_b)
+        i, j = np.searchsorted(stop_a, stops), np.searchsorted(stop_b, stops)
+        size = np.bincount(of_a[i], minlength=len(at))
+        self.links = np.concatenate([self.links, a[i] << 32 | b[j]])
+        self.first_link = np.concatenate([self.first_link, self.first_link[-1] + np.cumsum(size)])
+        last_a, last_b = end_b[stop_a], end_a[stop_b]
+        turn = np.concatenate([2 * np.searchsorted(shared, stop_a), 2 * np.searchsorted(shared, stop_b) + 1])
+        word = np.concatenate([2 * a + last_a, 2 * (len(self.a_bytes) + b) + last_b])[np.argsort(turn, kind="stable")]
+        shown = list(map(self.shown.__getitem__, word.tolist()))
+        cut = np.concatenate([[0], np.cumsum(np.bincount(of_a, minlength=len(at)) + np.bincount(of_b, minlength=len(at)))]).tolist()
+        self.groups += ["".join(shown[s:e]) for s, e in zip(cut, cut[1:])]
+        self.held += 250 * len(at) + 20 * len(word) + 8 * len(i)
+
+
+def _stretches(ids: np.ndarray, cut: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the windows ``at`` on end, and whose each one is."""
+    size = cut[at + 1] - cut[at]
+    own = np.repeat(np.arange(len(at)), size)
+    return ids[np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + cut[at][own]], own
 
 
 def ends_of(sizes: np.ndarray, total: int) -> np.ndarray:
@@ -138,9 +151,9 @@ def bucket_of(a):
 def linked(known: Tokenizers, first: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(distinct pairs by bucket and pair, and of each text and pair in it: text, place among the pairs, links)."""
     used, mine = np.unique(numbers, return_inverse=True)
-    links = [known.links[k] for k in used]
-    size = np.array([len(x) for x in links], np.int64)
-    pairs, place = np.unique(np.concatenate(links) if links else np.zeros(0, np.int64), return_inverse=True)
+    links, _ = _stretches(known.links, known.first_link, used)
+    size = np.diff(known.first_link)[used]
+    pairs, place = np.unique(links, return_inverse=True)
     order = np.lexsort((pairs, bucket_of(pairs >> 32)))
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
@@ -172,7 +185,8 @@ def tokenise(docs: DataFrame, a: str, b: str, key: str, text: str, describe: tup
                 n_a, n_b, first, numbers = align_texts(known, batch.column(1).slice(i, j - i).to_pylist())
                 pairs, doc, at, times = linked(known, first, numbers)
                 cut = np.searchsorted(doc, np.arange(j - i + 1))
-                spelled = [digest(";".join([known.groups[w] for w in numbers[s:e]])) for s, e in zip(first, first[1:])]
+                shown, begin = list(map(known.groups.__getitem__, numbers.tolist())), first.tolist()
+                spelled = [digest("".join(shown[s:e])[:-1]) for s, e in zip(begin, begin[1:])]
                 per_doc = [range(s, e) for s, e in zip(cut, cut[1:])]
                 links = np.array([times[r.start:r.stop].sum() for r in per_doc])
                 none = pa.nulls(j - i, pa.binary())
