@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from ..functions import sequence as S
 from ..scale import attach_row, materialize, number_rows
 from ..sources.lines import MODEL_FEATURES
-from .intervals import assign_islands, flag_overlap, overlap_anti, overlap_fraction, overlap_join
+from .intervals import flag_overlap, overlap_anti, overlap_fraction, overlap_join
+from .schedule import schedule
 from .sequences import splice
 
 RNA_KINDS = ["mRNA", "transcript", "tRNA", "ncRNA", "rRNA"]
@@ -303,23 +304,20 @@ def parse_model_files(entries: list[str], default: int = 1) -> list[tuple[str, s
 
 
 def consensus_models(predictions: DataFrame, evidence: DataFrame, weights: dict[str, int] | None = None) -> DataFrame:
-    """One model per stranded locus, the structure with the highest weighted support.
+    """The non-overlapping models of greatest total support for each contig and strand.
 
-    Score = weights of the sources that predict the same structure + 1 for evidence
-    that covers 90 % of the model. ``predictions(name, contig, strand, start, end,
-    source, chain)`` where ``chain`` is the text of its exon borders.
+    Support = weights of the sources that predict the same structure + 1 for evidence
+    that covers 90 % of the model; sources without a weight count 1. ``predictions(name,
+    contig, strand, start, end, source, chain)`` where ``chain`` is the text of its exon
+    borders. A model that bridges two genes gives way to them when they have more support.
     """
     table = {**DEFAULT_WEIGHTS, **(weights or {})}
     weight = F.lit(1)
     for s, v in table.items():
         weight = F.when(F.lower("source") == s.lower(), v).otherwise(weight)
-    located = assign_islands(predictions, ["contig", "strand"], touching=True)
-    once = located.groupBy("contig", "strand", "island", "chain", "source").agg(
-        F.min(F.struct("name", "start", "end")).alias("m"), F.max(weight).alias("w"))
-    cand = once.groupBy("contig", "strand", "island", "chain").agg(F.sum("w").cast("long").alias("w"), F.min("m").alias("m"))
-    cand = cand.select("contig", "strand", "island", "chain", "w", "m.name", "m.start", "m.end")
+    once = predictions.groupBy("contig", "strand", "start", "end", "chain", "source").agg(F.min("name").alias("name"), F.max(weight).alias("w"))
+    cand = once.groupBy("contig", "strand", "start", "end", "chain").agg(F.sum("w").cast("long").alias("w"), F.min("name").alias("name"))
+    cand = materialize(cand, "models")
     seen = overlap_fraction(cand.select("contig", "start", "end").distinct(), evidence, 0.9).select("contig", "start", "end").withColumn("_e", F.lit(1))
     scored = cand.join(seen, ["contig", "start", "end"], "left").withColumn("score", F.col("w") + F.coalesce("_e", F.lit(0)))
-    best = scored.groupBy("contig", "strand", "island").agg(
-        F.max_by(F.struct("name", "start", "end", "score"), F.struct("score", -F.col("start"), F.col("end"), "name")).alias("b"))
-    return best.select("contig", "strand", "b.name", "b.start", "b.end", "b.score")
+    return schedule(scored.select("contig", "strand", "start", "end", "score", "name")).select("contig", "strand", "name", "start", "end", "score")

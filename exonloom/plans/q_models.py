@@ -386,18 +386,36 @@ def _(t):
     return M.combine_alignments(number_rows(side("A"), cols, "number"), side("R").withColumn("number", F.lit(0).cast("long")), cols)
 
 
-@query("u12_consensus_models", f"""with {V.IV}, {V.MASK}, p as (select name, contig, strand, "start" as s, "end" as e, case source when 'A' then 'pasa' when 'R' then 'HiQ' else 'snap' end as src, "start" || '-' || "end" as chain from iv where score > 80000),
- sp as (select contig, strand, s, max(e) as e from p group by 1, 2, 3), f as (select *, case when s <= max(e) over (partition by contig, strand order by s rows between unbounded preceding and 1 preceding) then 0 else 1 end as f from sp),
- i as (select contig, strand, s, sum(f) over (partition by contig, strand order by s rows unbounded preceding) as isl from f), l as (select p.*, isl from p join i using (contig, strand, s)),
- o as (select contig, strand, isl, chain, src, min(name) as name, min(s) as s, min(e) as e, max(case src when 'pasa' then 6 when 'HiQ' then 2 else 1 end) as w from l group by 1, 2, 3, 4, 5),
- c as (select contig, strand, isl, chain, sum(w) as w, min(name) as name, min(s) as s, min(e) as e from o group by 1, 2, 3, 4),
- d as (select c.*, w + case when exists (select 1 from mask m where m.contig = c.contig and c.s <= m."end" and c.e >= m."start" and least(c.e, m."end") - greatest(c.s, m."start") + 1 >= 0.9 * (c.e - c.s + 1)) then 1 else 0 end as score from c),
- r as (select *, row_number() over (partition by contig, strand, isl order by score desc, s, e desc, name desc) as k from d) select contig, strand, name, s as "start", e as "end", cast(score as bigint) as score from r where k = 1""")
-def _(t):
-    p = V.iv(t).where("score > 80000").withColumn("source", F.when(F.col("source") == "A", "pasa").when(F.col("source") == "R", "HiQ").otherwise("snap")).withColumn("chain", F.concat_ws("-", "start", "end"))
+def consensus_sql(sources: str, weights: str) -> str:
+    """Best choice of models by recursion over their ends, then back along what was taken."""
+    return f"""with recursive {V.IV}, {V.MASK}, p as (select name, contig, strand, "start" as s, "end" as e, {sources} as src from iv),
+ o as (select contig, strand, s, e, src, min(name) as name, max({weights}) as w from p group by 1, 2, 3, 4, 5),
+ c as (select contig, strand, s, e, sum(w) as w, min(name) as name from o group by 1, 2, 3, 4),
+ d as (select c.*, cast(w + case when exists (select 1 from mask m where m.contig = c.contig and c.s <= m."end" and c.e >= m."start" and least(c.e, m."end") - greatest(c.s, m."start") + 1 >= 0.9 * (c.e - c.s + 1)) then 1 else 0 end as bigint) as score from c),
+ r as (select *, row_number() over (partition by contig, strand order by e, s) as i, score::hugeint * 18446744073709551616 + ('0x' || substr(md5(name), 1, 8))::bigint as gain from d where score > 0),
+ q as (select r.*, (select count(*) from r x where x.contig = r.contig and x.strand = r.strand and x.e < r.s) as before from r),
+ t as (select contig, strand, 0::bigint as i, [0::hugeint] as best from (select distinct contig, strand from r)
+  union all select t.contig, t.strand, t.i + 1, list_append(best, greatest(best[t.i + 1], gain + best[before + 1])) from t join q on q.contig = t.contig and q.strand = t.strand and q.i = t.i + 1),
+ n as (select contig, strand, max(i) as i from t group by 1, 2), full_ as (select t.* from t join n using (contig, strand, i)),
+ b as (select contig, strand, i, false as took from full_
+  union all select b.contig, b.strand, case when best[b.i + 1] > best[b.i] then before else b.i - 1 end, false from b join full_ f on f.contig = b.contig and f.strand = b.strand join q on q.contig = b.contig and q.strand = b.strand and q.i = b.i where b.i > 0)
+ select b.contig, b.strand, name, s as "start", e as "end", score from b join full_ f on f.contig = b.contig and f.strand = b.strand join q on q.contig = b.contig and q.strand = b.strand and q.i = b.i where best[b.i + 1] > best[b.i]"""
+
+
+@query("u12_consensus_models", consensus_sql("case source when 'A' then 'pasa' when 'R' then 'HiQ' else 'snap' end", "case src when 'pasa' then 6 when 'HiQ' then 2 else 1 end"))
+def _(t):
+    p = V.iv(t).withColumn("source", F.when(F.col("source") == "A", "pasa").when(F.col("source") == "R", "HiQ").otherwise("snap")).withColumn("chain", F.concat_ws("-", "start", "end"))
     return M.consensus_models(p, V.mask(t))
 
 
+@query("x2_x3_weighted_consensus", consensus_sql("case source when 'A' then 'other_pred1' when 'R' then 'GeneMark' else 'snap' end", "case src when 'other_pred1' then 5 when 'GeneMark' then 3 else 2 end"))
+def _(t):
+    (_, own, weight), = M.parse_model_files(["mine.gff3:5"])
+    weights, _ = M.parse_weights(["genemark:3", "snap:2", "nobody:9"])
+    p = V.iv(t).withColumn("source", F.when(F.col("source") == "A", own).when(F.col("source") == "R", "GeneMark").otherwise("snap")).withColumn("chain", F.concat_ws("-", "start", "end"))
+    return M.consensus_models(p, V.mask(t), {**weights, own: weight})
+
+
 @query("j20_pair_cds_exons", """with x as (select l_orderkey as gene_id, l_linenumber as n, min(l_partkey) as p from lineitem where l_linenumber <= 3 group by 1, 2), y as (select gene_id, row_number() over (partition by gene_id order by n) as i, count(*) over (partition by gene_id) as k, n from x)
  select gene_id, cast(i as int) as cds_no, cast(case when gene_id % 3 = 0 then k - i + 1 else i end as int) as exon_no from y""")
 def _(t):
