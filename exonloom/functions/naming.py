@@ -94,9 +94,34 @@ BACKBONE_PRODUCTS = {"terpene": "terpene cyclase", "other": "putative secondary
 BACKBONE_CLUSTERS = ["alkaloid", "lignan", "saccharide", "polyketide"]
 
 
+# Texts in lower case, the first of which that stands in a rule's pattern stands in all its matches.
+RULE_WORDS = ["potential", "possible", "probable", "predicted", "uncharacterised", "homolog", "ortholog", "similar to", "yeast", "human", "murine", "mouse", "drosophila", "novel",
+              "fragment", "partial", "truncated", "dubious", "doubtful", "expressed", "secreted", "wgs", "orf", "conserved", "unknown function", "cell surface", "surface antigen",
+              "involved in", "implicated in", "also known as", "frame", "inactivated", "ec", "cog", "interrupt", "gene", "protein", "alpha", "beta", "gamma", "kappa", "sigma", "type i"]
+ORGANISM_WORDS = ["cerevisiae", "albicans", "nidulans", "fumigatus", "neoformans"]
+
+
+def may_match(text: Column, pattern: str) -> Column | None:
+    """A plain search that is false only where ``pattern`` cannot match; None without such a search."""
+    plain = pattern.lower()
+    if pattern.endswith(MODEL_ORGANISMS):
+        return reduce(lambda a, b: a | b, [F.lower(text).contains(w) for w in ORGANISM_WORDS])
+    word = next((w for w in RULE_WORDS if w in plain), {r"\bgo\b": "go", r"-\s*$": "-"}.get(plain))
+    return None if word is None else F.lower(text).contains(word)
+
+
+def replace_where(text: Column, pattern: str, by: str) -> Column:
+    """Regex replacement behind a plain search; the one-element array keeps ``text`` computed once."""
+    def step(v):
+        found = may_match(v, pattern)
+        return F.regexp_replace(v, pattern, by) if found is None else F.when(found, F.regexp_replace(v, pattern, by)).otherwise(v)
+
+    return F.get(F.transform(F.array(text), step), F.lit(0))
+
+
 def apply_rules(product: Column) -> Column:
     """The ordered rule list as one chain of JVM regex replacements."""
-    return reduce(lambda c, rule: F.regexp_replace(c, rule[0], rule[1]), PRODUCT_RULES, product)
+    return reduce(lambda c, rule: replace_where(c, *rule), PRODUCT_RULES, product)
 
 
 def cap_first(text: Column) -> Column:
@@ -130,11 +155,10 @@ def add_clean_product(df: DataFrame, product: str = "product", symbol: str = "na
     """rules, symbol in lower case, fallback to ``Symbolp`` for sentences, tidying.
 
     Also adds ``need_curating``: the fallback was taken. Done in steps, so that the
-    long rule chain runs once per distinct product text; the symbol comes in after it.
+    long rule chain runs once per row; the symbol comes in after it.
     """
     known = F.col(curated) if curated else F.lit(False)
-    texts = df.select(F.col(product).alias("_p")).distinct()
-    ruled = df.join(computed_once(texts, "_q", apply_rules(F.col("_p"))), F.col(product) == F.col("_p"), "left").drop("_p")
+    ruled = computed_once(df, "_q", apply_rules(F.col(product)))
     step = computed_once(ruled, "_r", lower_symbol(F.col("_q"), F.col(symbol))).drop("_q")
     step = step.withColumn("need_curating", ~known & is_sentence(F.col("_r"), F.col(symbol)))
     text = F.when(F.col("need_curating"), symbol_product(F.col(symbol))).otherwise(F.col("_r"))

@@ -51,31 +51,33 @@ def overlap_join(a: DataFrame, b: DataFrame, keys=("contig",), extra: Column | N
     return left.join(right, cond).drop(*[f"_{s}{c}" for s in "ab" for c in ("own", "level", "bin")], *[f"b_{k}" for k in keys])
 
 
-def _with_reach(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
-    """Adds ``_reach``: the furthest end of any ``b`` that starts at or before ``end``."""
-    marks = (b.groupBy(*keys, F.col("start").alias("_pos")).agg(F.max("end").alias("_bend"))
-             .withColumn("_kind", F.lit(0)))
-    # the hash only spreads equal positions over slabs; marks precede asks of the same position
-    tie = F.xxhash64(*[c for c in a.columns if a.schema[c].dataType.typeName() != "map"])
-    asks = a.withColumn("_pos", F.col("end")).withColumn("_kind", F.lit(1)).withColumn("_tie", tie)
-    both = asks.unionByName(marks.withColumn("_tie", F.lit(0).cast("long")), allowMissingColumns=True)
-    return (Slabs(both, keys, ["_pos", "_kind", "_tie"]).scan(("_reach", "max", F.col("_bend"), True))
-            .where("_kind = 1").result().drop("_pos", "_kind", "_bend", "_tie"))
+def _overlapped(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """Distinct spans of ``a`` that overlap some ``b``: the furthest end of any ``b`` that starts at or
+    before their end reaches their start. Only places go through the scan, never whole rows."""
+    cols = [*keys, "start", "end"]
+    marks = b.groupBy(*keys, F.col("start").alias("_pos")).agg(F.max("end").alias("_bend")).withColumn("_kind", F.lit(0))
+    asks = a.select(*cols).dropna().distinct().withColumn("_pos", F.col("end")).withColumn("_kind", F.lit(1))
+    # marks precede asks of the same position
+    reach = Slabs(asks.unionByName(marks, allowMissingColumns=True), keys, ["_pos", "_kind", "start"]).scan(("_reach", "max", F.col("_bend"), True))
+    return reach.where("_kind = 1 and _reach >= start").result().select(*cols)
 
 
 def overlap_semi(a: DataFrame, b: DataFrame, keys=("contig",)) -> DataFrame:
     """Rows of ``a`` that overlap at least one ``b``; no pairs are built."""
-    return _with_reach(a, b, list(keys)).where("_reach >= start").drop("_reach")
+    keys = list(keys)
+    return a.join(_overlapped(a, b, keys), keys + ["start", "end"], "left_semi")
 
 
 def overlap_anti(a: DataFrame, b: DataFrame, keys=("contig",)) -> DataFrame:
     """Rows of ``a`` that overlap no ``b``."""
-    return _with_reach(a, b, list(keys)).where("_reach is null or _reach < start").drop("_reach")
+    keys = list(keys)
+    return a.join(_overlapped(a, b, keys), keys + ["start", "end"], "left_anti")
 
 
 def flag_overlap(a: DataFrame, b: DataFrame, name: str, keys=("contig",)) -> DataFrame:
-    return (_with_reach(a, b, list(keys))
-            .withColumn(name, F.coalesce(F.col("_reach") >= F.col("start"), F.lit(False))).drop("_reach"))
+    keys = list(keys)
+    hit = _overlapped(a, b, keys).withColumn("_hit", F.lit(True))
+    return a.join(hit, keys + ["start", "end"], "left").select(*a.columns, F.coalesce("_hit", F.lit(False)).alias(name))
 
 
 def overlap_fraction(a: DataFrame, b: DataFrame, frac: float = 0.9, keys=("contig",),
