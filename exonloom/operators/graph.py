@@ -4,10 +4,8 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..scale import Slabs, materialize
 
@@ -78,20 +76,31 @@ def group_loci(transcripts: DataFrame, frac: float = 0.3, keys=("contig",)) -> D
     return transcripts.join(out, keys + ["start", "end"])
 
 
-def _two_tail(k: int, n: int, kk: int, nn: int) -> float:
-    """Exact two-sided hypergeometric p-value: k of n in study, kk of nn in population."""
-    lg = math.lgamma
-    base = lg(kk + 1) + lg(nn - kk + 1) + lg(n + 1) + lg(nn - n + 1) - lg(nn + 1)
-    def logp(i):
-        return base - lg(i + 1) - lg(kk - i + 1) - lg(n - i + 1) - lg(nn - kk - n + i + 1)
-    ref = logp(k) + 1e-7
-    lo, hi = max(0, n + kk - nn), min(n, kk)
-    return min(1.0, sum(math.exp(logp(i)) for i in range(lo, hi + 1) if logp(i) <= ref))
+def log_factorial(n: Column) -> Column:
+    """ln n! as an expression: exact sums up to 20, Stirling's series (error below 1e-15) beyond."""
+    exact = F.get(F.array(*[F.lit(math.lgamma(i + 1)) for i in range(21)]), F.least(n, F.lit(20)).cast("int"))
+    x = F.greatest(n, F.lit(20)) + F.lit(1.0)
+    inv = F.lit(1.0) / x
+    series = inv / 12 - F.pow(inv, 3) / 360 + F.pow(inv, 5) / 1260 - F.pow(inv, 7) / 1680
+    return F.when(n <= 20, exact).otherwise((x - 0.5) * F.log(x) - x + 0.5 * math.log(2 * math.pi) + series)
 
 
-@F.pandas_udf(T.DoubleType())
-def fisher_p(k: pd.Series, n: pd.Series, kk: pd.Series, nn: pd.Series) -> pd.Series:
-    return pd.Series([_two_tail(int(a), int(b), int(c), int(d)) for a, b, c, d in zip(k, n, kk, nn)])
+def fisher_p(k: Column, n: Column, kk: Column, nn: Column) -> Column:
+    """Exact two-sided hypergeometric p-value: k of n in study, kk of nn in population.
+
+    Sums the chances of all counts that are no likelier than ``k``, inside the JVM.
+    """
+    base = log_factorial(kk) + log_factorial(nn - kk) + log_factorial(n) + log_factorial(nn - n) - log_factorial(nn)
+    chance = lambda i, b: b - log_factorial(i) - log_factorial(kk - i) - log_factorial(n - i) - log_factorial(nn - kk - n + i)
+    counts = F.sequence(F.greatest(F.lit(0).cast("long"), n + kk - nn), F.least(n, kk))
+    # arrays of one element keep the figures that do not change along the sum computed once
+    known = F.transform(F.array(base), lambda b: F.struct(b.alias("b"), (chance(k, b) + 1e-7).alias("ref")))
+
+    def total(f):
+        logs = F.transform(counts, lambda i: chance(i, f["b"]))
+        return F.aggregate(logs, F.lit(0.0), lambda acc, v: acc + F.when(v <= f["ref"], F.exp(v)).otherwise(0.0))
+
+    return F.least(F.lit(1.0), F.get(F.transform(known, total), F.lit(0)))
 
 
 def go_enrichment(study: DataFrame, assoc: DataFrame, max_fdr: float = 0.05) -> DataFrame:
@@ -107,7 +116,7 @@ def go_enrichment(study: DataFrame, assoc: DataFrame, max_fdr: float = 0.05) ->
     size = s.groupBy("genome").agg(F.count(F.lit(1)).alias("study_n"))
     hit = s.join(a, "gene_id").groupBy("genome", "term").agg(F.count(F.lit(1)).alias("study_count"))
     t = hit.join(size, "genome").join(pop, "term").withColumn("pop_n", pop_n)
-    t = materialize(t.withColumn("p", fisher_p("study_count", "study_n", "pop_count", "pop_n")), "fisher")
+    t = materialize(t.withColumn("p", fisher_p(*[F.col(c) for c in ("study_count", "study_n", "pop_count", "pop_n")])), "fisher")
     tests = t.groupBy("genome").agg(F.count(F.lit(1)).alias("m"))
     ranked = Slabs(t.join(tests, "genome"), ["genome"], [F.col("p").desc(), "term"])
     ranked.scan(("_down", "sum", F.lit(1).cast("long"), True))

@@ -55,7 +55,7 @@ def _(t):
 
 @query("a13_backbone_counts", """with p as (select n_name as species, (['Nonribosomal Peptide Synthase (NRPS)', 'Polyketide synthase (PKS)', 'Hybrid x', 'other'])[l_partkey % 4 + 1] as product, 'C' || (l_partkey % 50) || l_returnflag as cluster, l_quantity as q
   from lineitem join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey),
- k as (select species, count(*) filter (contains(product, 'NRPS')) as nrps, count(*) filter (contains(product, '(PKS)')) as pks, count(*) filter (contains(product, 'Hybrid')) as hybrid from p where q = 50 group by 1),
+ k as (select species, count(*) filter (contains(product, 'NRPS')) as nrps, count(*) filter (contains(product, '(PKS)')) as pks, count(*) filter (contains(product, 'Hybrid')) as hybrid from p group by 1),
  c as (select species, count(distinct cluster) as n_clusters from p group by 1)
  select c.species, coalesce(nrps, 0) as nrps, coalesce(pks, 0) as pks, coalesce(hybrid, 0) as hybrid, n_clusters, n_clusters - coalesce(nrps, 0) - coalesce(pks, 0) - coalesce(hybrid, 0) as other from c left join k on c.species = k.species""")
 def _(t):
@@ -63,7 +63,7 @@ def _(t):
     p = (t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
          .select(F.col("n_name").alias("species"), F.get(kinds, (F.col("l_partkey") % 4).cast("int")).alias("product"),
                  F.concat(F.lit("C"), F.col("l_partkey") % 50, "l_returnflag").alias("cluster"), "l_quantity"))
-    return C.backbone_counts(p.where("l_quantity = 50"), p)
+    return C.backbone_counts(p, p)
 
 
 @query("a14_braycurtis", f"""with {V.FAM}, c as (select species, family, count(*) as n from fam group by 1, 2), s as (select distinct species from c), f as (select distinct family from c),
@@ -98,13 +98,11 @@ def _(t):
     return C.ortholog_groups(V.orth(t), *egg_busco(t))
 
 
-SC = """sco as (select distinct 'grp' || (l_partkey % 400) as group_id, n_name as species, 'g' || min(l_partkey) as gene_id from lineitem join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey
-  where n_nationkey < 4 and l_partkey % 400 < 300 or n_nationkey < 4 and l_quantity > 25 group by l_partkey % 400, n_name, case when l_partkey % 5 = 0 then l_partkey else 0 end)"""
+SC = """sco as (select distinct 'grp' || (l_partkey % 400) as group_id, n_name as species, 'g' || min(l_partkey) as gene_id from lineitem join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey group by l_partkey % 400, n_name, case when l_partkey % 5 = 0 then l_partkey else 0 end)"""
 
 
 def sco(t):
-    j = (t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
-         .where("n_nationkey < 4 and (l_partkey % 400 < 300 or l_quantity > 25)"))
+    j = (t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")))
     g = j.groupBy(F.concat(F.lit("grp"), F.col("l_partkey") % 400).alias("group_id"), F.col("n_name").alias("species"),
                   F.when(F.col("l_partkey") % 5 == 0, F.col("l_partkey")).otherwise(0).alias("k")).agg(F.min("l_partkey").alias("m"))
     return g.select("group_id", "species", F.concat(F.lit("g"), "m").alias("gene_id")).distinct()
@@ -178,10 +176,10 @@ def _(t):
     return G.go_closure(t.part.where("p_partkey > 0").select(F.col("p_partkey").alias("node"), F.expr("p_partkey div 2").alias("ancestor")))
 
 
-@query("a19_components", """with recursive e as (select distinct 'o' || l_orderkey as u, 'p' || l_partkey as v from lineitem where l_quantity = 50 and l_suppkey % 3 = 0), b as (select u, v from e union select v, u from e),
+@query("a19_components", """with recursive e as (select distinct 'o' || l_orderkey as u, 'p' || (l_orderkey // 60) || '.' || (l_partkey % 7) as v from lineitem), b as (select u, v from e union select v, u from e),
  r as (select u as node, u as seen from b union select r.node, b.v from r join b on r.seen = b.u) select node, min(seen) as component from r group by 1""")
 def _(t):
-    e = t.lineitem.where("l_quantity = 50 and l_suppkey % 3 = 0").select(F.concat(F.lit("o"), "l_orderkey").alias("u"), F.concat(F.lit("p"), "l_partkey").alias("v"))
+    e = t.lineitem.select(F.concat(F.lit("o"), "l_orderkey").alias("u"), F.concat(F.lit("p"), F.expr("l_orderkey div 60"), F.lit("."), F.col("l_partkey") % 7).alias("v"))
     return G.components(e)
 
 
@@ -196,7 +194,7 @@ def _(t):
     return G.group_loci(sp)
 
 
-GOE = """st as (select distinct 'gn' || (l_suppkey % 3) as genome, l_partkey as gene_id from lineitem where l_quantity > 48), aso as (select distinct l_partkey as gene_id, 'T' || (l_orderkey % 40) as term from lineitem where l_quantity < 5),
+GOE = """st as (select distinct 'gn' || (l_suppkey % 9) as genome, l_orderkey as gene_id from lineitem), aso as (select distinct l_orderkey as gene_id, 'T' || (l_partkey % 60) as term from lineitem),
  pn as (select count(distinct gene_id) as nn from aso), pc as (select term, count(*) as kk from aso group by 1), s2 as (select * from st where gene_id in (select gene_id from aso)), sn as (select genome, count(*) as n from s2 group by 1),
  h as (select genome, term, count(*) as k from s2 join aso using (gene_id) group by 1, 2), t as (select * from h join sn using (genome) join pc using (term), pn),
  lp as (select *, unnest(range(greatest(0, n + kk - nn), least(n, kk) + 1)) as i from t),
@@ -208,8 +206,8 @@ GOE = """st as (select distinct 'gn' || (l_suppkey % 3) as genome, l_partkey as
 
 @query("a18_go_enrichment", f"""with {GOE} select genome, term, k as study_count, n as study_n, kk as pop_count, nn as pop_n, round(p, 6) as p, round(fdr, 6) as fdr, case when k / n > kk / nn then 'over' else 'under' end as direction from f where fdr <= 0.9""")
 def _(t):
-    st = t.lineitem.where("l_quantity > 48").select(F.concat(F.lit("gn"), F.col("l_suppkey") % 3).alias("genome"), F.col("l_partkey").alias("gene_id"))
-    aso = t.lineitem.where("l_quantity < 5").select(F.col("l_partkey").alias("gene_id"), F.concat(F.lit("T"), F.col("l_orderkey") % 40).alias("term"))
+    st = t.lineitem.select(F.concat(F.lit("gn"), F.col("l_suppkey") % 9).alias("genome"), F.col("l_orderkey").alias("gene_id"))
+    aso = t.lineitem.select(F.col("l_orderkey").alias("gene_id"), F.concat(F.lit("T"), F.col("l_partkey") % 60).alias("term"))
     return G.go_enrichment(st, aso, 0.9).withColumn("p", F.round("p", 6)).withColumn("fdr", F.round("fdr", 6))
 
 
@@ -243,11 +241,16 @@ def _(t):
     return D.diff_models(mk(p.where("p_partkey % 3 > 0"), F.lit(0)), mk(p.where("p_partkey % 5 > 0"), shift), key="id")
 
 
-EXT = """ex as (select l_orderkey as gene_id, l_returnflag as f, l_suppkey % 3 as tx, l_linenumber * 100 as s, l_linenumber * 100 + cast(max(l_quantity) as bigint) + 1 as e from lineitem group by 1, 2, 3, 4)"""
+EXT = """ex as (select l_orderkey as gene_id, case when l_returnflag = 'R' then 'R' else 'N' end as f, l_suppkey % 3 as tx, l_linenumber * 100 as s, l_linenumber * 100 + cast(max(l_quantity) as bigint) + 1 as e from lineitem group by 1, 2, 3, 4)"""
 
 
-def exon_sets(t, flag):
-    e = t.lineitem.where(f"l_returnflag = '{flag}'").groupBy(F.col("l_orderkey").alias("gene_id"), (F.col("l_suppkey") % 3).alias("tx_id"), (F.col("l_linenumber") * 100).cast("long").alias("start")).agg(
+EXA = """ex as (select l_orderkey as gene_id, l_suppkey % 3 as tx, l_linenumber * 100 as s, l_linenumber * 100 + cast(max(l_quantity) as bigint) + 1 as e from lineitem group by 1, 2, 3)"""
+
+
+def exon_sets(t, side=None):
+    """Exons of the rows flagged R, of all others, or of all rows."""
+    rows = t.lineitem if side is None else t.lineitem.where((F.col("l_returnflag") == "R") == F.lit(side == "R"))
+    e = rows.groupBy(F.col("l_orderkey").alias("gene_id"), (F.col("l_suppkey") % 3).alias("tx_id"), (F.col("l_linenumber") * 100).cast("long").alias("start")).agg(
         (F.max(F.col("l_quantity").cast("long")) + F.col("start") + 1).alias("end"))
     return e.groupBy("gene_id", "tx_id").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("exons"))
 
@@ -324,10 +327,10 @@ def _(t):
     return D.add_identity(t.part.select("p_partkey", "p_name", "p_type"), "p_name", "p_type").select("p_partkey", F.round("pident", 4).alias("pident"))
 
 
-@query("f16_utr_flags", f"""with {EXT}, x as (select gene_id, tx, min(s) as a, max(e) as b from ex where f = 'N' group by 1, 2)
+@query("f16_utr_flags", f"""with {EXA}, x as (select gene_id, tx, min(s) as a, max(e) as b from ex group by 1, 2)
  select gene_id, tx as tx_id, case when gene_id % 2 = 0 then true else tx > 0 end as five, case when gene_id % 2 = 0 then tx > 0 else true end as three from x""")
 def _(t):
-    n = exon_sets(t, "N")
+    n = exon_sets(t)
     span = F.array(F.struct((F.col("exons")[0]["start"] + 5).alias("start"),
                             (F.element_at("exons", -1)["end"] - F.when(F.col("tx_id") > 0, 1).otherwise(0)).alias("end")))
     strand = F.when(F.col("gene_id") % 2 == 0, "+").otherwise("-")
@@ -335,12 +338,12 @@ def _(t):
     return f.select("gene_id", "tx_id", "u.five", "u.three")
 
 
-@query("f16_utr_parts", f"""with {EXT}, x as (select * from ex where f = 'N'), c as (select gene_id, tx, min(s) + 130 as lo, max(e) - 10 as hi from x group by 1, 2),
+@query("f16_utr_parts", f"""with {EXA}, x as (select * from ex), c as (select gene_id, tx, min(s) + 130 as lo, max(e) - 10 as hi from x group by 1, 2),
  l as (select x.gene_id, x.tx, x.s, least(x.e, lo - 1) as e, case when x.gene_id % 2 = 0 then 'five' else 'three' end as part from x join c using (gene_id, tx) where x.s < lo),
  r as (select x.gene_id, x.tx, greatest(x.s, hi + 1) as s, x.e, case when x.gene_id % 2 = 0 then 'three' else 'five' end as part from x join c using (gene_id, tx) where x.e > hi)
  select gene_id, tx as tx_id, part, s as "start", e as "end" from (select * from l union all select gene_id, tx, s, e, part from r)""")
 def _(t):
-    n = exon_sets(t, "N")
+    n = exon_sets(t)
     cds = F.array(F.struct((F.col("exons")[0]["start"] + 130).alias("start"), (F.element_at("exons", -1)["end"] - 10).alias("end")))
     strand = F.when(F.col("gene_id") % 2 == 0, "+").otherwise("-")
     u = n.select("gene_id", "tx_id", S.utr_parts(F.col("exons"), cds, strand).alias("u"))

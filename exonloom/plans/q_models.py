@@ -60,10 +60,10 @@ def gff_text(t):
     return K.gff3_lines(gene_table(t)).select(F.col("line").alias("value"))
 
 
-@query("s3_parse_gff3", f"""with {GM} select contig, 'mRNA' as feature, g0 as "start", g1 as "end", strand, tx_id as id, gene_id as parent, 'prod ' || (g % 9) as product, case when g % 4 = 0 then 'COG:K|COG:L' else '' end as notes from (select distinct contig, g0, g1, strand, tx_id, gene_id, g from gm)
- union all select contig, 'exon', s, e, strand, tx_id || '.exon' || (row_number() over (partition by tx_id order by case when strand = '+' then s else -s end)), tx_id, null, '' from gm""")
+@query("s3_parse_gff3", f"""with {GM}, {GFF} select contig, 'mRNA' as feature, g0 as "start", g1 as "end", strand, tx_id as id, gene_id as parent, 'prod ' || (g % 9) as product, case when g % 4 = 0 then 'COG:K|COG:L' else '' end as notes from (select distinct contig, g0, g1, strand, tx_id, gene_id, g from gm)
+ union all select contig, c[3], c[4]::bigint, c[5]::bigint, strand, regexp_extract(c[9], '^ID=([^;]+)', 1), nullif(regexp_extract(c[9], 'Parent=([^;]+)', 1), ''), null, '' from (select distinct line, string_split(line, chr(9)) as c, string_split(line, chr(9))[1] as contig, string_split(line, chr(9))[7] as strand from gff) where c[3] <> 'mRNA'""")
 def _(t):
-    f = L.parse_gff3(gff_text(t)).where("feature in ('mRNA', 'exon')")
+    f = L.parse_gff3(gff_text(t))
     return f.select("contig", "feature", "start", "end", "strand", "id", F.get("parents", F.lit(0)).alias("parent"), "product", F.array_join("notes", "|").alias("notes"))
 
 
@@ -256,24 +256,25 @@ def _(t):
     return K.agp_lines(w.unionByName(g)).select("line")
 
 
-@query("k14_cluster_report", f"""with {V.IV}, c as (select 'cl' || p_partkey as name, 'ctg' || (p_partkey % 90) as contig, p_partkey as s, p_partkey + p_size as e from part where p_partkey % 20 = 0), b as (select 'x' || l_orderkey as k, 1 from lineitem limit 0),
- mb as (select l_orderkey || '.' || l_linenumber || '.' || l_partkey || '.' || l_suppkey as gene_id, min_by('BGC' || l_suppkey, (l_discount, 'BGC' || l_suppkey)) as mibig from lineitem where l_quantity > 40 group by 1)
+@query("k14_cluster_report", f"""with {V.IV}, c as (select 'cl' || p_partkey as name, 'ctg' || (p_partkey % 90) as contig, p_partkey as s, p_partkey + p_size as e from part),
+ mb as (select l_orderkey || '.' || l_linenumber || '.' || l_partkey || '.' || l_suppkey as gene_id, min_by('BGC' || l_suppkey, (l_discount, 'BGC' || l_suppkey)) as mibig from lineitem group by 1)
  select i.name as gene_id, i.contig, i."start", i."end", c.name as cluster, case when i."start" <= c.e and i."end" >= c.s then 'cluster' else 'flanking' end as place, coalesce(mibig, '.') as mibig
  from iv i join c on i.contig = c.contig and i."start" <= c.e + 15 and i."end" >= greatest(c.s - 15, 1) left join mb on mb.gene_id = i.name""")
 def _(t):
-    cl = t.part.where("p_partkey % 20 = 0").select(F.concat(F.lit("cl"), "p_partkey").alias("name"), F.concat(F.lit("ctg"), F.col("p_partkey") % 90).alias("contig"), F.col("p_partkey").alias("start"), (F.col("p_partkey") + F.col("p_size")).alias("end"))
+    cl = t.part.select(F.concat(F.lit("cl"), "p_partkey").alias("name"), F.concat(F.lit("ctg"), F.col("p_partkey") % 90).alias("contig"), F.col("p_partkey").alias("start"), (F.col("p_partkey") + F.col("p_size")).alias("end"))
     genes = V.iv(t).select(F.col("name").alias("gene_id"), "contig", "start", "end")
-    mb = t.lineitem.where("l_quantity > 40").select(F.concat_ws(".", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("gene_id"), F.concat(F.lit("BGC"), "l_suppkey").alias("subject"), F.col("l_discount").alias("evalue"))
+    mb = t.lineitem.select(F.concat_ws(".", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("gene_id"), F.concat(F.lit("BGC"), "l_suppkey").alias("subject"), F.col("l_discount").alias("evalue"))
     return K.cluster_report(genes, cl, mb, 15)
 
 
-@query("o2_sort_gff", f"""with {GM}, f as (select contig, 'mRNA' as feature, g0 as a, g1 as b, tx_id as id, g % 50 as c, 2 as r from gm where s = lo union all select contig, 'exon', s, e, tx_id, g % 50, 10 from gm)
+@query("o2_sort_gff", f"""with {GM}, {GFF}, c9 as (select g, string_split(line, chr(9)) as c from gff), f as (select c[1] as contig, c[3] as feature, c[4]::bigint as a, c[5]::bigint as b, regexp_extract(c[9], '^ID=([^;]+)', 1) as id, g % 50 as c,
+  list_position([{', '.join(f"'{x}'" for x in K.FEATURE_RANK)}], c[3]) as r from c9)
  select contig, feature, a as "start", b as "end", id, row_number() over (order by c, a, r, b, id) as pos from f""")
 def _(t):
     from ..scale import number_rows
-    f = L.parse_gff3(gff_text(t)).where("feature in ('mRNA', 'exon')")
+    f = L.parse_gff3(gff_text(t))
     rank = F.array_position(F.array(*[F.lit(x) for x in K.FEATURE_RANK]), F.col("feature"))
-    f = f.select("contig", "feature", "start", "end", F.when(F.col("feature") == "mRNA", F.col("id")).otherwise(F.get("parents", F.lit(0))).alias("id"), S.natural_key(F.col("contig")).alias("ck"), rank.alias("r"))
+    f = f.select("contig", "feature", "start", "end", "id", S.natural_key(F.col("contig")).alias("ck"), rank.alias("r"))
     return number_rows(f, ["ck", "start", "r", "end", "id"], "pos").drop("ck", "r")
 
 
@@ -336,11 +337,13 @@ def _(t):
     return M.mark_pseudo_trna(m).select("p_partkey", "pseudo")
 
 
-@query("j2_validate_trna", f"""with {V.IV}, {V.MASK} select name from iv i where source = 'A' and not exists (select 1 from mask m where m.contig = i.contig and i."start" <= m."end" and i."end" >= m."start")
-  and not exists (select 1 from iv g where g.source = 'R' and g.score > 80000 and g.contig = i.contig and i."start" <= g."end" and i."end" >= g."start")""")
+@query("j2_validate_trna", f"""with {V.IV}, {V.MASK}, w as (select name, source, contig, "start" * 60 as s, "end" + "start" * 59 as e from iv) select name from w i where source = 'A' and not exists (select 1 from mask m where m.contig = i.contig and i.s <= m."end" * 60 and i.e >= m."start" * 60)
+  and not exists (select 1 from w g where g.source <> 'A' and g.contig = i.contig and i.s <= g.e and i.e >= g.s)""")
 def _(t):
-    f = V.iv(t)
-    return M.validate_trna(f.where("source = 'A'"), f.where("source = 'R' and score > 80000"), V.mask(t)).select("name")
+    # spread out, or genes and gaps cover every place
+    f = V.iv(t).withColumns({"start": F.col("start") * 60, "end": F.col("end") + F.col("start") * 59})
+    gaps = V.mask(t).withColumns({"start": F.col("start") * 60, "end": F.col("end") * 60})
+    return M.validate_trna(f.where("source = 'A'"), f.where("source <> 'A'"), gaps).select("name")
 
 
 @query("j2_busco_predictions", f"""with {V.IV}, {V.MASK} select name from iv i where exists (select 1 from mask m where m.contig = i.contig and i."start" <= m."end" and i."end" >= m."start")""")
@@ -377,13 +380,13 @@ def _(t):
 
 
 @query("u4_combine_alignments", """with a as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, row_number() over (order by l_orderkey, l_linenumber, l_partkey, l_suppkey) as number from (select distinct l_orderkey, l_linenumber, l_partkey, l_suppkey from lineitem where l_returnflag = 'A')),
- b as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, (select max(number) from a) + row_number() over (order by l_orderkey, l_linenumber, l_partkey, l_suppkey) as number from (select distinct l_orderkey, l_linenumber, l_partkey, l_suppkey from lineitem where l_returnflag = 'R'))
+ b as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, (select max(number) from a) + row_number() over (order by l_orderkey, l_linenumber, l_partkey, l_suppkey) as number from (select distinct l_orderkey, l_linenumber, l_partkey, l_suppkey from lineitem where l_returnflag <> 'A'))
  select * from a union all select * from b""")
 def _(t):
     from ..scale import number_rows
     cols = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    side = lambda f: t.lineitem.where(f"l_returnflag = '{f}'").select(*cols).distinct()
-    return M.combine_alignments(number_rows(side("A"), cols, "number"), side("R").withColumn("number", F.lit(0).cast("long")), cols)
+    side = lambda f: t.lineitem.where(f"l_returnflag {f} 'A'").select(*cols).distinct()
+    return M.combine_alignments(number_rows(side("="), cols, "number"), side("<>").withColumn("number", F.lit(0).cast("long")), cols)
 
 
 def consensus_sql(sources: str, weights: str) -> str:
@@ -416,20 +419,19 @@ def _(t):
     return M.consensus_models(p, V.mask(t), {**weights, own: weight})
 
 
-@query("j20_pair_cds_exons", """with x as (select l_orderkey as gene_id, l_linenumber as n, min(l_partkey) as p from lineitem where l_linenumber <= 3 group by 1, 2), y as (select gene_id, row_number() over (partition by gene_id order by n) as i, count(*) over (partition by gene_id) as k, n from x)
+@query("j20_pair_cds_exons", """with x as (select l_orderkey as gene_id, l_linenumber as n, min(l_partkey) as p from lineitem group by 1, 2), y as (select gene_id, row_number() over (partition by gene_id order by n) as i, count(*) over (partition by gene_id) as k, n from x)
  select gene_id, cast(i as int) as cds_no, cast(case when gene_id % 3 = 0 then k - i + 1 else i end as int) as exon_no from y""")
 def _(t):
     from pyspark.sql import Window as W
-    x = t.lineitem.where("l_linenumber <= 3").groupBy(F.col("l_orderkey").alias("gene_id"), F.col("l_linenumber").alias("n")).agg(F.min("l_partkey").alias("p"))
+    x = t.lineitem.groupBy(F.col("l_orderkey").alias("gene_id"), F.col("l_linenumber").alias("n")).agg(F.min("l_partkey").alias("p"))
     w = W.partitionBy("gene_id")
     y = x.withColumn("i", F.row_number().over(w.orderBy("n"))).withColumn("k", F.count(F.lit(1)).over(w).cast("int"))
     base = (F.col("n") * 100000).cast("long")
     cds = y.select("gene_id", F.col("i").alias("cds_no"), F.array(F.struct((base + 10).alias("start"), (base + 90).alias("end"))).alias("cds"))
     no = F.when(F.col("gene_id") % 3 == 0, F.col("k") - F.col("i") + 1).otherwise(F.col("i"))
-    ex = y.select("gene_id", no.alias("exon_no"), F.array(F.struct(base.alias("start"), (base + 100).alias("end")), F.struct((base + 100000 * 5).alias("start"), (base + 500100).alias("end"))).alias("exons"))
+    ex = y.select("gene_id", no.alias("exon_no"), F.array(F.struct(base.alias("start"), (base + 100).alias("end")), F.struct((base + 10_000_000).alias("start"), (base + 10_000_100).alias("end"))).alias("exons"))
     # exon lists of other transcripts lie elsewhere, so they fit only when nothing overlaps
-    far = F.concat("exons", F.array(F.struct(F.lit(100000).cast("long").alias("start"), F.lit(100050).cast("long").alias("end")), F.struct(F.lit(200000).cast("long").alias("start"), F.lit(200050).cast("long").alias("end")),
-                                    F.struct(F.lit(300000).cast("long").alias("start"), F.lit(300050).cast("long").alias("end"))))
+    far = F.concat("exons", F.array(*[F.struct(F.lit(i * 100000).cast("long").alias("start"), F.lit(i * 100000 + 50).cast("long").alias("end")) for i in range(1, 8)]))
     return M.pair_cds_exons(cds, ex.withColumn("exons", F.array_sort(far, lambda a, b: F.when((a["start"] < b["start"]) | ((a["start"] == b["start"]) & (a["end"] > b["end"])), -1).otherwise(1))))
 
 

@@ -95,7 +95,7 @@ def _(t):
 
 
 def genbank_text(t):
-    g = gene_table(t).where("tx_ord = 1")
+    g = gene_table(t)
     pad = F.lit(" " * 21)
     wrap = lambda c: F.when(C("strand") == "-", F.concat(F.lit("complement("), c, F.lit(")"))).otherwise(c)
     rng = lambda a: F.array_join(F.transform(a, lambda e: F.concat(e["start"], F.lit(".."), e["end"])), ",\n" + " " * 21)
@@ -103,7 +103,7 @@ def genbank_text(t):
     q = lambda k, v: F.concat(pad, F.lit(f'/{k}="'), v, F.lit('"'))
     feat = lambda kind, loc: F.concat(F.lit("     "), F.rpad(F.lit(kind), 16, " "), loc)
     lines = F.concat_ws("\n",
-        F.concat(F.lit("LOCUS       "), "gene_id", F.lit(" 100 bp DNA linear PLN")), F.concat(F.lit("ACCESSION   "), "gene_id"), F.concat(F.lit("VERSION     "), "gene_id", F.lit(".2")),
+        F.concat(F.lit("LOCUS       "), "tx_id", F.lit(" 100 bp DNA linear PLN")), F.concat(F.lit("ACCESSION   "), "tx_id"), F.concat(F.lit("VERSION     "), "tx_id", F.lit(".2")),
         F.lit("SOURCE      x\n  ORGANISM  Genus species"), F.lit("FEATURES             Location/Qualifiers"),
         feat("source", F.lit("1..100")), q("isolate", F.lit("iso1")),
         feat("gene", wrap(F.concat("gene_start", F.lit(".."), "gene_end"))), q("locus_tag", C("gene_id")),
@@ -114,27 +114,27 @@ def genbank_text(t):
     return saved(g.select(lines.alias("value")))
 
 
-GB1 = f"with {GM}, one as (select * from gm where t = 1)"
+GB1 = f"with {GM}, one as (select * from gm)"
 
 
-@query("s8_genbank_features", f"""{GB1} select gene_id || '.2' as record, 'CDS' as kind, gene_id as locus_tag, tx_id as id, strand, string_agg(cs || '-' || ce, ',' order by cs) as parts, 'long prod ' || (g % 9) as product, 1 as codon_start, 'MKVLLA' as translation from one group by gene_id, tx_id, strand, g
- union all select distinct gene_id || '.2', 'gene', gene_id, null, strand, g0 || '-' || g1, null, null, null from one""")
+@query("s8_genbank_features", f"""{GB1} select tx_id || '.2' as record, 'CDS' as kind, gene_id as locus_tag, tx_id as id, strand, string_agg(cs || '-' || ce, ',' order by cs) as parts, 'long prod ' || (g % 9) as product, 1 as codon_start, 'MKVLLA' as translation from one group by gene_id, tx_id, strand, g
+ union all select distinct tx_id || '.2', 'gene', gene_id, null, strand, g0 || '-' || g1, null, null, null from one""")
 def _(t):
     f = B.genbank_features(B.read_genbank(t.spark, genbank_text(t))).where("kind in ('CDS', 'gene')")
     return f.select("record", "kind", "locus_tag", "id", "strand", F.array_join(F.transform("parts", lambda e: F.concat(e["start"], F.lit("-"), e["end"])), ",").alias("parts"), "product", "codon_start", "translation")
 
 
-@query("s8_genbank_records", f"{GB1} select distinct gene_id || '.2' as record, 'Genus species' as organism, 2 as version, 'ACGTACGTACGTACGTACGTNNNN' as seq from one")
+@query("s8_genbank_records", f"{GB1} select distinct tx_id || '.2' as record, 'Genus species' as organism, 2 as version, 'ACGTACGTACGTACGTACGTNNNN' as seq from one")
 def _(t):
     return B.read_genbank(t.spark, genbank_text(t)).select("record", "organism", "version", "seq")
 
 
-@query("s9_genbank_metadata", f"{GB1} select 'Genus species' as organism, 'iso1' as isolate, min(gene_id) as accession, 2 as version from (select gene_id from one order by gene_id || '.2' limit 1)")
+@query("s9_genbank_metadata", f"{GB1} select 'Genus species' as organism, 'iso1' as isolate, min(tx_id) as accession, 2 as version from (select tx_id from one order by tx_id || '.2' limit 1)")
 def _(t):
     return B.genbank_metadata(B.read_genbank(t.spark, genbank_text(t))).select("organism", "isolate", "accession", "version")
 
 
-@query("s22_antismash_clusters", f"{GB1} select distinct gene_id || '.2' as contig, g0 as \"start\", g1 as \"end\", 'Cluster_1' as name from one")
+@query("s22_antismash_clusters", f"{GB1} select distinct tx_id || '.2' as contig, g0 as \"start\", g1 as \"end\", 'Cluster_1' as name from one")
 def _(t):
     r = B.read_genbank(t.spark, genbank_text(t)).withColumn("smash_version", F.lit(6))
     return B.antismash_clusters(r)
@@ -328,13 +328,13 @@ def _(t):
 
 
 def predictor_text(t, anchor):
-    g = gene_table(t).where("tx_ord = 1")
+    g = gene_table(t).withColumn("gene_id", F.col("tx_id"))
     top = g.select(tab(C("contig"), "P", anchor, C("gene_start"), C("gene_end"), ".", C("strand"), ".", F.concat(F.lit("ID="), "gene_id", F.lit(" x;Name=y"))).alias("value"))
     cds = g.select("contig", "strand", "gene_id", F.explode_outer("cds").alias("c")).select(tab(C("contig"), "P", "CDS", C("c.start"), C("c.end"), ".", C("strand"), "0", F.concat(F.lit("ID=z;Parent="), "gene_id")).alias("value"))
     return top.unionByName(cds)
 
 
-PRED = """one as (select * from gm where t = 1), nm as (select gene_id, row_number() over (order by contig, g0, gene_id) as n from (select distinct gene_id, contig, g0 from one)),
+PRED = """one as (select * exclude (gene_id), tx_id as gene_id from gm), nm as (select gene_id, row_number() over (order by contig, g0, gene_id) as n from (select distinct gene_id, contig, g0 from one)),
  j as (select one.* exclude (n), nm.n, row_number() over (partition by gene_id order by cs) as i from one join nm using (gene_id))"""
 
 
@@ -417,11 +417,10 @@ def _(t):
     return L.parse_intron_hints(t.lineitem.select(v.alias("value"))).select("contig", "start", "end", "mult")
 
 
-@query("k20_write_partitioned", f"with {V.SEQS} select seq_id, length(seq) as n from seqs where length(seq) between 20 and 60")
+@query("k20_write_partitioned", f"with {V.SEQS} select seq_id, length(seq) as n from seqs")
 def _(t):
     path = scratch_path(t.spark, "parts")
-    small = V.seqs(t).where("length(seq) between 20 and 60")
-    K.write_partitioned(small, path)
+    K.write_partitioned(V.seqs(t), path)
     return B.read_fasta(t.spark, path).select("seq_id", F.length("seq").cast("long").alias("n"))
 
 
