@@ -1,4 +1,8 @@
-"""Operators over ``sequences(seq_id, seq)``; long contigs are cut into pieces first."""
+"""Operators over ``sequences(seq_id, seq)``; long contigs are cut into pieces first.
+
+Those that work on pieces also take a piece table ``(seq_id, piece, offset, chunk)`` with
+``PIECE`` letters a piece, as read from FASTA, so that no row ever holds a whole contig.
+"""
 
 from __future__ import annotations
 
@@ -14,13 +18,22 @@ PIECE = 65_536
 
 
 def pieces(sequences: DataFrame, size: int = PIECE, key: str = "seq_id") -> DataFrame:
-    """Fixed-size pieces ``(key, piece, offset, chunk)``; one regex pass per contig."""
+    """Fixed-size pieces ``(key, piece, offset, chunk)``; one regex pass per contig, none for a piece table."""
+    if "chunk" in sequences.columns:
+        return sequences.select(key, "piece", "offset", "chunk").where("chunk <> ''")
     cut = F.regexp_extract_all("seq", F.lit("(?s).{1,%d}" % size), F.lit(0))
     return (sequences.select(key, F.posexplode_outer(cut).alias("piece", "chunk"))
             .where("chunk is not null")
             .select(key, F.col("piece").cast("long").alias("piece"), (F.col("piece").cast("long") * size).alias("offset"), "chunk"))
 
 
+def lengths(sequences: DataFrame, key: str = "seq_id") -> DataFrame:
+    """``key`` and ``length`` of sequences or of a piece table."""
+    if "chunk" in sequences.columns:
+        return sequences.groupBy(key).agg(F.sum(F.length("chunk").cast("long")).alias("length"))
+    return sequences.select(key, F.length("seq").cast("long").alias("length"))
+
+
 def runs(sequences: DataFrame, letters: str, min_len: int = 1, size: int = PIECE, key: str = "seq_id") -> DataFrame:
     """1-based closed runs of a character class, joined across piece borders."""
     part = pieces(sequences, size, key)
@@ -48,18 +61,19 @@ def gap_intervals(sequences: DataFrame, min_len: int = 1, size: int = PIECE) ->
 
 def mask_fraction(sequences: DataFrame, include_gaps: bool = False) -> DataFrame:
     """Masked bases, genome length and their ratio."""
-    low = F.sum(S.lower_count(F.col("seq")))
+    text = "chunk" if "chunk" in sequences.columns else "seq"
+    low = F.sum(S.lower_count(F.col(text)))
     if include_gaps:
-        low = low + F.sum(S.count_of(F.col("seq"), "N"))
-    return sequences.agg(low.alias("masked"), F.sum(F.length("seq")).alias("total")).withColumn(
+        low = low + F.sum(S.count_of(F.col(text), "N"))
+    return sequences.agg(low.alias("masked"), F.sum(F.length(text)).alias("total")).withColumn(
         "fraction", F.when(F.col("total") > 0, F.col("masked") / F.col("total")).otherwise(0.0))
 
 
 def split_at_gaps(sequences: DataFrame, min_n: int = 10, size: int = PIECE) -> DataFrame:
     """AGP-like parts: gaps of at least ``min_n`` N and the contigs between them."""
     gaps = gap_intervals(sequences, min_n, size).withColumn("kind", F.lit("N"))
-    lengths = sequences.select("seq_id", F.length("seq").cast("long").alias("length")).where("length > 0")
-    sentinel = lengths.select("seq_id", (F.col("length") + 1).alias("start"), (F.col("length") + 1).alias("end"), F.lit("E").alias("kind"))
+    sizes = lengths(sequences).where("length > 0")
+    sentinel = sizes.select("seq_id", (F.col("length") + 1).alias("start"), (F.col("length") + 1).alias("end"), F.lit("E").alias("kind"))
     marks = gaps.unionByName(sentinel)
     scan = Slabs(marks, ["seq_id"], ["start"]).scan(("_prev", "max", F.col("end"), False)).result()
     contigs = (scan.select("seq_id", (F.coalesce("_prev", F.lit(0).cast("long")) + 1).alias("start"),
@@ -113,7 +127,7 @@ def extend_to_stop(tx: DataFrame, sequences: DataFrame, max_codons: int = 20, tr
     returns ``extended`` and the new ``cds``.
     """
     reach = max_codons * 3
-    lens = sequences.select(F.col("seq_id").alias("contig"), F.length("seq").cast("long").alias("_len"))
+    lens = lengths(sequences).toDF("contig", "_len")
     n = F.size("cds")
     padded = F.transform("cds", lambda c, i: F.struct(
         F.when((F.col("strand") == "-") & (i == 0), F.greatest(c["start"] - reach, F.lit(1).cast("long"))).otherwise(c["start"]).alias("start"),

@@ -4,14 +4,17 @@ from pyspark.sql import functions as F
 
 from ..functions import alignment as AL
 from ..operators import models as M
+from ..operators import sequences as Q
 from ..scale import scratch_path, spread
 from ..sinks import text as K
 from ..sources import blocks as B
 from ..sources import lines as L
+from ..sources import pieces as FP
 from ..sources import predictors as P
 from ..sources import xml as X
 from . import views as V
 from .q_models import GM, gene_table
+from .q_sequence import run_sql
 from .registry import query
 
 
@@ -47,6 +50,34 @@ def _(t):
     return B.read_fasta(t.spark, saved(K.fasta_lines(s, header="h"), "line"))
 
 
+def fasta_pieces(t, size):
+    """The sequences written as wrapped FASTA, read back in pieces."""
+    path = scratch_path(t.spark, "fasta")
+    K.write_fasta_blocks(V.seqs(t), path)
+    return FP.read_fasta_pieces(t.spark, path, size)
+
+
+@query("s1_fasta_pieces", f"""with {V.SEQS} select seq_id, i as piece, i * 1000 as "offset", substr(seq, i * 1000 + 1, 1000) as chunk from (select *, unnest(range(0, greatest(1, (length(seq) + 999) // 1000))) as i from seqs)""")
+def _(t):
+    return fasta_pieces(t, 1000).select("seq_id", "piece", "offset", "chunk")
+
+
+@query("f9_split_pieces_at_gaps", f"""with {V.SEQS}, {run_sql('seqs', 'Nn', 2)}, lens as (select seq_id, length(seq) as n from seqs where length(seq) > 0),
+ mk as (select seq_id, "start", "end" from r union all select seq_id, n + 1, n + 1 from lens),
+ ct as (select seq_id, coalesce(lag("end") over (partition by seq_id order by "start"), 0) + 1 as "start", "start" - 1 as "end" from mk),
+ parts as (select seq_id, "start", "end", 'N' as kind from r union all select seq_id, "start", "end", 'W' from ct where "start" <= "end")
+ select seq_id, "start", "end", kind, row_number() over (partition by seq_id order by "start") as part from parts""")
+def _(t):
+    return Q.split_at_gaps(fasta_pieces(t, Q.PIECE), min_n=2)
+
+
+@query("k20_piece_files", f"with {V.SEQS} select seq_id, length(seq) as n, md5(seq) as digest from seqs")
+def _(t):
+    path = scratch_path(t.spark, "contigs")
+    K.write_partitioned(fasta_pieces(t, Q.PIECE), path, size=4000)
+    return B.read_fasta(t.spark, path).select("seq_id", F.length("seq").cast("long").alias("n"), F.md5(F.col("seq").cast("binary")).alias("digest"))
+
+
 @query("s2_read_fastq", """select 'r' || l_orderkey || '.' || l_linenumber || '.' || l_partkey || '.' || l_suppkey || '/1' as title, repeat('ACG', cast(l_quantity as int)) as seq, '@' || repeat('I', cast(l_quantity as int) * 3 - 1) as qual from lineitem""")
 def _(t):
     q = C("l_quantity").cast("int")

@@ -16,6 +16,7 @@ from ..functions import sequence as S
 from ..operators.annotations import go_category
 from ..operators.models import cds_phase, valid_models
 from ..scale import computed_once, materialize
+from ..sources.pieces import cut
 
 # Feature order inside one start position of a sorted GFF3 file.
 FEATURE_RANK = ["gene", "mRNA", "transcript", "tRNA", "ncRNA", "rRNA", "pseudogene", "five_prime_UTR", "five_prime_utr", "exon", "three_prime_UTR",
@@ -403,9 +404,28 @@ def product_table(models: DataFrame) -> DataFrame:
     return m.groupBy("gene_id").agg(F.min_by("product", "tx_id").alias("product"))
 
 
-def write_partitioned(sequences: DataFrame, path: str) -> None:
-    """One folder per contig."""
-    fasta_lines(sequences).select("seq_id", F.col("line").alias("value")).repartition("seq_id").write.partitionBy("seq_id").text(path)
+def fasta_blocks(sequences: DataFrame, width: int = 80, size: int = 65_600) -> DataFrame:
+    """``seq_id``, ``piece`` and ``value``: wrapped FASTA text of sequences or of a piece table, one row
+    for each ``size`` letters (a multiple of ``width``), so that lines run on across rows."""
+    step = size // width * width
+    if "chunk" in sequences.columns:
+        parts = cut(sequences.select("seq_id", F.col("offset").alias("from"), F.col("chunk").alias("t")), ["seq_id"], step)
+    else:
+        parts = sequences.select("seq_id", F.posexplode(F.when(F.length("seq") == 0, F.array(F.lit(""))).otherwise(F.regexp_extract_all("seq", F.lit("(?s).{1,%d}" % step), F.lit(0)))).alias("piece", "chunk"))
+    text = S.wrap(F.col("chunk"), width)
+    return parts.select("seq_id", F.col("piece").cast("long").alias("piece"), F.when(F.col("piece") == 0, F.concat(F.lit(">"), "seq_id", F.lit("\n"), text)).otherwise(text).alias("value"))
+
+
+def write_fasta_blocks(sequences: DataFrame, path: str, width: int = 80, size: int = 65_600) -> None:
+    """K6 for contigs of any length: part files in natural order of the ids, a long contig over many of them."""
+    rows = fasta_blocks(sequences, width, size).withColumn("key", S.natural_key(F.col("seq_id")))
+    rows.repartitionByRange("key", "seq_id", "piece").sortWithinPartitions("key", "seq_id", "piece").select("value").write.text(path)
+
+
+def write_partitioned(sequences: DataFrame, path: str, width: int = 80, size: int = 65_600) -> None:
+    """One folder per contig; a long contig is dealt over several tasks and part files in order."""
+    rows = fasta_blocks(sequences, width, size)
+    rows.repartitionByRange("seq_id", "piece").sortWithinPartitions("seq_id", "piece").select("seq_id", "value").write.partitionBy("seq_id").text(path)
 
 
 def training_rows(models: DataFrame) -> DataFrame:
