@@ -31,8 +31,8 @@ from exonloom.scale import materialize
 
 from .common import _BYTE, _INV, _POW, Texts, splits, texts_of
 
-SHORT = 64
-TOP_BITS = 20
+SHORT, PLAIN = 64, 24
+TOP_BITS, CODE_BITS = 20, 18
 SPREAD = np.uint64(0xD6E8FEB86659FD93)
 MARK = "▁".encode()
 
@@ -62,6 +62,17 @@ class Units:
         for k, (o, p) in enumerate(self.pieces):
             self.index[not o].setdefault(p, []).append(k)
         self.tables = [self._table(ix) for ix in self.index]
+        self.reach = [self._reach(t[4]) for t in self.tables]
+
+    @staticmethod
+    def _reach(strings: list[bytes]) -> np.ndarray:
+        """Length of the longest string that starts with three bytes of each code (0: none does)."""
+        out = np.zeros(1 << CODE_BITS, np.uint8)
+        for s in strings:
+            if len(s) > 2:
+                k = prefix_code(*(np.array([x], np.uint32) for x in s[:3]))[0]
+                out[k] = max(out[k], min(len(s), 255))
+        return out
 
     @staticmethod
     def _table(index: dict[bytes, list[int]]):
@@ -80,6 +91,11 @@ class Units:
         return Weights(self, p)
 
 
+def prefix_code(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Code of three bytes, ``CODE_BITS`` wide."""
+    return ((a << 16 | b << 8 | c) * np.uint32(0x9E3779B1)) >> np.uint32(32 - CODE_BITS)
+
+
 def string_hash(s: bytes) -> int:
     part = _BYTE[np.frombuffer(s, np.uint8)]
     with np.errstate(over="ignore"):
@@ -129,12 +145,19 @@ class Weights:
         sums = np.zeros((size + 1, n), np.uint64)
         with np.errstate(over="ignore"):
             np.cumsum(_BYTE[words.T] * _POW[:size, None], axis=0, out=sums[1:])
+            wide = words.T.astype(np.uint32)
             for kind in (0, 1):
                 for i in range(1 if kind == 0 else size):
+                    reach = self.units.reach[kind][prefix_code(*wide[i:i + 3])] if i + 3 <= size else None
                     for length in self.units.tables[kind][3]:
                         if i + length > size:
                             break
-                        rows, found = self._lookup(kind, (sums[i + length] - sums[i]) * (_INV[i] * SPREAD))
+                        if length < 3:
+                            rows, found = self._lookup(kind, (sums[i + length] - sums[i]) * (_INV[i] * SPREAD))
+                        else:
+                            some = np.flatnonzero(reach >= min(length, 255))
+                            rows, found = self._lookup(kind, (sums[i + length][some] - sums[i][some]) * (_INV[i] * SPREAD))
+                            rows = some[rows]
                         if len(rows):
                             yield kind, i, i + length, rows, found
 
@@ -144,6 +167,8 @@ class Weights:
         With ``counts`` adds the expected uses of each string to ``into`` (opening, other, [bare, stop]).
         """
         n, size = words.shape
+        if counts is not None and size <= PLAIN:
+            return self._expected(words, counts, into)
         a = np.full((size + 1, n), -np.inf)
         a[0] = self.bare
         arcs = []
@@ -165,6 +190,33 @@ class Weights:
             into[2] += ((np.exp(self.bare + b[0] - total) * counts).sum(), counts.sum())
         return total
 
+    def _expected(self, words: np.ndarray, counts: np.ndarray, into: list[np.ndarray]) -> np.ndarray:
+        """``forward`` with counts for words so short that products of probabilities stay far from
+        underflow: the same sums without logarithms at every arc."""
+        n, size = words.shape
+        bare, stop, plain = math.exp(self.bare), math.exp(self.stop), self.plain
+        a, b, arcs = np.zeros((size + 1, n)), np.zeros((size + 1, n)), []
+        a[0], b[size] = bare, stop
+        for arc in self._arcs(words):
+            kind, i, j, rows, found = arc
+            score = plain[kind][found]
+            a[j, rows] += score if kind == 0 else a[i, rows] * score
+            arcs.append((*arc, score))
+        total = a[size] * stop
+        share = np.divide(counts, total, out=np.zeros(n), where=total > 0)
+        for kind, i, j, rows, found, score in reversed(arcs):
+            onward = score * b[j, rows]
+            into[kind] += np.bincount(found, (onward * a[i, rows] if kind else onward) * share[rows], len(into[kind]))
+            if kind:
+                b[i, rows] += onward
+        into[2] += ((bare * b[0] * share).sum(), counts.sum())
+        with np.errstate(divide="ignore"):
+            return np.log(total)
+
+    @cached_property
+    def plain(self) -> list[np.ndarray]:
+        return [np.exp(x) for x in self.logs]
+
     @cached_property
     def numbers(self) -> list[dict[bytes, int]]:
         return [{s: k for k, s in enumerate(t[4])} for t in self.units.tables]
@@ -250,6 +302,19 @@ def as_texts(words) -> Texts:
     return t
 
 
+def gathered(batches, rows: int = 300_000):
+    """Record batches of about ``rows`` rows: words of one length are worked on together, so few make much ado."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += len(batch)
+        if n >= rows:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def refine(types: DataFrame, units: Units, p: np.ndarray) -> np.ndarray:
     """One round of expected counts over the training words; a little of the old scores stays."""
     spark = types.sparkSession
@@ -258,10 +323,8 @@ def refine(types: DataFrame, units: Units, p: np.ndarray) -> np.ndarray:
     def run(batches):
         weights = shared.value
         into = [np.zeros(len(lg)) for lg in weights.logs] + [np.zeros(2)]
-        for batch in batches:
-            for k in range(0, len(batch), 50000):
-                part = batch.slice(k, 50000)
-                weights.words(as_texts(part.column(0)), np.ones(len(part)), into)
+        for part in gathered(batches):
+            weights.words(as_texts(part.column(0)), np.ones(len(part)), into)
         for kind, x in enumerate(into):
             at = np.flatnonzero(x)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), kind)), pa.array(at), pa.array(x[at])], names=["kind", "at", "n"])
@@ -322,14 +385,14 @@ def score(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "te
         return (1 - spelled) * (own_share + shared * c.sum(1, keepdims=True) / max(n, 1))
 
     def look_up(parts):
-        for part in parts:
-            for i in range(0, len(part), 50000):
-                rows = part.slice(i, 50000)
-                c = np.stack([rows.column(f"c{z}").to_numpy() for z in range(k)], 1)
-                lattice = weights.value.words(as_texts(rows.column("word"))) + math.log(spelled)
-                with np.errstate(divide="ignore"):
-                    lp = np.logaddexp(lattice[:, None], np.log(whole_words(c))) / log10
-                yield pa.RecordBatch.from_arrays([rows.column("word"), rows.column("c"), pa.array(list(lp.astype(np.float32)), pa.list_(pa.float32()))], names=["word", "c", "lp"])
+        for rows in gathered(parts):
+            c = np.stack([rows.column(f"c{z}").to_numpy() for z in range(k)], 1)
+            lattice = weights.value.words(as_texts(rows.column("word"))) + math.log(spelled)
+            with np.errstate(divide="ignore"):
+                lp = (np.logaddexp(lattice[:, None], np.log(whole_words(c))) / log10).astype(np.float32)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * k), pa.array(lp.ravel()))
+            made = pa.RecordBatch.from_arrays([rows.column("word"), rows.column("c"), lists], names=["word", "c", "lp"])
+            yield from (made.slice(i, 50_000) for i in range(0, len(made), 50_000))
 
     known = types.mapInArrow(look_up, "word binary, c long, lp array<float>")
 
