@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from exonloom.scale import materialize
+
 END_ID = 0
 
 
@@ -98,8 +100,8 @@ def encoded_lengths(docs: DataFrame, tokenizer: str, text: str = "text", end: in
 
 
 def length_histogram(docs: DataFrame, tokenizer: str, text: str = "text", end: int = 1) -> DataFrame:
-    """Exact histogram: ``length``, ``docs``."""
-    return encoded_lengths(docs, tokenizer, text, end).groupBy("length").agg(F.sum("docs").alias("docs"))
+    """Exact histogram: ``length``, ``docs``; written once, as its readers use it more than once."""
+    return materialize(encoded_lengths(docs, tokenizer, text, end).groupBy("length").agg(F.sum("docs").alias("docs")), "lengths")
 
 
 def suffix_totals(histogram: DataFrame, width: int = 64) -> DataFrame:
