@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import sequence as S
 from ..scale import attach_row, materialize, number_rows
 from ..sources.lines import MODEL_FEATURES
-from .intervals import flag_overlap, overlap_anti, overlap_fraction, overlap_join
+from .intervals import flag_overlap, overlap_anti, overlap_fraction, overlap_semi
 from .schedule import schedule
 from .sequences import splice
 
@@ -204,16 +204,32 @@ def select_training(models: DataFrame, keep: DataFrame, listed_only: bool = Fals
     """Of overlapping models those that a better one (more parts, then least id) touches go.
 
     ``models(gene_id, contig, start, end, n_cds)``; ``listed_only`` takes models named in ``keep``,
-    ``multi_only`` models of several parts.
+    ``multi_only`` models of several parts. No pairs are built: see ``beaten_spans``.
     """
     pool = models.join(keep.select("gene_id").distinct(), "gene_id", "left_semi") if listed_only else models
     pool = (pool.where("n_cds > 1") if multi_only else pool).select("gene_id", "contig", "start", "end", "n_cds")
-    spans = pool.groupBy("contig", "start", "end").agg(F.min(F.struct((-F.col("n_cds")).alias("k"), "gene_id")).alias("r"))
-    beaten = overlap_join(spans, spans, extra=F.col("b_r") < F.col("r")).select("contig", "start", "end").distinct()
-    win = spans.join(beaten, ["contig", "start", "end"], "left_anti").select(F.col("r.gene_id").alias("gene_id"))
+    spans = pool.groupBy("contig", "start", "end").agg(F.min(F.struct((-F.col("n_cds")).alias("k"), "gene_id")).alias("r")).select("contig", "start", "end", "r.k", "r.gene_id")
+    spans = materialize(number_rows(spans, ["k", "gene_id"], "rank", ["contig"]), "ranked")
+    win = spans.join(beaten_spans(spans), ["contig", "start", "end"], "left_anti").select("gene_id")
     return pool.join(win, "gene_id", "left_semi")
 
 
+def beaten_spans(spans: DataFrame) -> DataFrame:
+    """Spans ``(contig, start, end, rank)`` that overlap one of lower rank (1 is best) on their contig.
+
+    The ranks below a given one are the union of one block of 2^l ranks for each bit l set in it. A
+    span stands in the block of its rank on every level and asks those blocks for an overlap, which
+    is a running maximum: rows grow with n log n, however many spans lie on one place.
+    """
+    top = spans.groupBy("contig").agg(F.max("rank").alias("_top"))
+    place = spans.join(top, "contig").withColumn("_r", F.col("rank") - 1).withColumn("level", F.explode(F.expr("sequence(0, length(bin(_top)) - 1)")))
+    place = place.withColumn("block", F.expr("shiftright(_r, level)"))
+    odd = F.col("block") % 2 == 1
+    asks = place.where(odd).select("contig", "level", (F.col("block") - 1).alias("block"), "start", "end")
+    marks = place.where(~odd).select("contig", "level", "block", "start", "end")
+    return overlap_semi(asks, marks, ["contig", "level", "block"]).select("contig", "start", "end").distinct()
+
+
 def busco_predictions(predictions: DataFrame, regions: DataFrame) -> DataFrame:
     """Predictions or evidence inside candidate regions."""
     return flag_overlap(predictions, regions, "in_region").where("in_region").drop("in_region")
