@@ -62,18 +62,68 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 def group_loci(transcripts: DataFrame, frac: float = 0.3, keys=("contig",)) -> DataFrame:
     """Transcripts linked when one covers ``frac`` of the other's (half-open) length.
 
-    Copies of a span fold first, so only distinct spans are compared.
+    Copies of a span fold first. Take from a span what it needs to share, ``need = ceil(frac * length)``,
+    at both of its ends and its core is left. Up to ``frac`` 0.5 a pair is linked exactly where one span
+    meets the core of the other: what meets a core shares ``need`` with its span, or lies inside it whole.
+    Spans that start in a core hang together, and so do the cores that start in a span, so neighbours in
+    order of place belong to one run where a running maximum shows a core or span over both. That leaves at
+    most three links between runs for each span, however many overlap. Above 0.5, overlapping pairs are
+    compared. A span of length 0 is a locus of its own.
     """
-    from .intervals import overlap_join
     keys = list(keys)
     spans = transcripts.select(*keys, "start", "end").distinct()
     named = spans.withColumn("span", F.concat_ws(":", *keys, F.format_string("%019d", F.col("start")), F.format_string("%019d", F.col("end"))))
+    if frac <= 0.5:
+        named = named.join(_core_runs(named.where("end > start"), frac, keys), "span", "left")
+        edges = _run_links(named)
+    else:
+        named, edges = named.withColumn("run", F.col("span")), _shared_edges(named.where("end > start"), frac, keys)
+    comp = components(edges)
+    out = named.join(comp, F.col("run") == F.col("node"), "left").select(*keys, "start", "end", F.coalesce("component", "run", "span").alias("locus"))
+    return transcripts.join(out, keys + ["start", "end"])
+
+
+def _shared_edges(named: DataFrame, frac: float, keys: list[str]) -> DataFrame:
+    """Pairs of spans of which one shares ``frac`` of the other's length."""
+    from .intervals import overlap_join
     shared = F.greatest(F.least("end", "b_end") - F.greatest("start", "b_start"), F.lit(0))
     near = (shared >= (F.col("end") - F.col("start")) * frac) | (shared >= (F.col("b_end") - F.col("b_start")) * frac)
-    edges = overlap_join(named, named, keys, extra=near & (F.col("span") <= F.col("b_span")))
-    comp = components(edges.select(F.col("span").alias("u"), F.col("b_span").alias("v")))
-    out = named.join(comp, F.col("span") == F.col("node")).select(*keys, "start", "end", F.col("component").alias("locus"))
-    return transcripts.join(out, keys + ["start", "end"])
+    edges = overlap_join(named, named, keys, extra=near & (F.col("span") < F.col("b_span")))
+    return edges.select(F.col("span").alias("u"), F.col("b_span").alias("v"))
+
+
+def _core_runs(named: DataFrame, frac: float, keys: list[str]) -> DataFrame:
+    """``span``, the ``run`` of its start, and what hangs together with it: ``own`` run of its core, ``met`` run of
+    cores at its end, ``inner`` run of spans at its core's end (null where none is met). Written once.
+
+    A run is named by its first span, which is its least one; runs of cores sort behind all spans.
+    Places are doubled: ends of spans are even, ends of cores odd, so a span and a core never tie.
+    """
+    need = F.ceil((F.col("end") - F.col("start")) * F.lit(frac)).cast("long")
+    low, high, core_low, core_high = 2 * F.col("start"), 2 * F.col("end"), 2 * (F.col("start") + need) - 1, 2 * (F.col("end") - need) + 1
+    marks = F.array(*[F.struct(F.lit(kind).alias("kind"), at.alias("at"), other.alias("other")) for kind, at, other in
+                      (("span", low, high), ("core", core_low, core_high), ("span end", high, low), ("core end", core_high, core_low))])
+    events = named.select(*keys, "span", F.explode(marks).alias("m")).select(*keys, "span", "m.*")
+    line = Slabs(events, keys, ["at", "kind", "span"])
+    only = lambda kind, v: F.when(F.col("kind") == kind, v)
+    line.scan(("_spans", "max", only("span", F.col("other")), True), ("_cores", "max", only("core", F.col("other")), True))
+    # how far the cores reached at the last span, and the spans at the last core
+    last = lambda kind, reach: only(kind, F.struct(F.col("at").alias("at"), F.col(reach).alias("reach")))
+    line.scan(("_span", "last", last("span", "_cores"), False), ("_core", "last", last("core", "_spans"), False))
+    goes_on = lambda seen: F.coalesce(F.col(seen)["reach"] >= F.col("at"), F.lit(False))
+    behind = F.concat(F.lit(chr(0x10FFFF)), F.col("span"))
+    line.scan(("_run", "last", only("span", F.when(~goes_on("_span"), F.col("span"))), True), ("_core_run", "last", only("core", F.when(~goes_on("_core"), behind)), True))
+    # an end meets the last start of the other kind if that lies behind its own start
+    known = line.result().groupBy("span").agg(F.max(only("span", F.col("_run"))).alias("run"), F.max(only("core", F.col("_core_run"))).alias("own"),
+                                              F.max(only("span end", F.when(F.col("_core.at") >= F.col("other"), F.col("_core_run")))).alias("met"),
+                                              F.max(only("core end", F.when(F.col("_span.at") >= F.col("other"), F.col("_run")))).alias("inner"))
+    return materialize(known, "runs")
+
+
+def _run_links(runs: DataFrame) -> DataFrame:
+    """At most three links between runs for each span."""
+    pairs = F.array(*[F.struct(F.col(u).alias("u"), F.col(v).alias("v")) for u, v in (("run", "own"), ("run", "met"), ("own", "inner"))])
+    return runs.select(F.explode(pairs).alias("p")).select("p.*").dropna()
 
 
 def log_factorial(n: Column) -> Column:
