@@ -360,6 +360,42 @@ def test_vectors(spark):
     assert vectors.near_vectors(df.limit(0)).count() == 0
 
 
+def test_vectors_at_the_threshold(spark):
+    """Pairs whose cosine the bounds cannot tell from the threshold, and components of any size."""
+    from fractions import Fraction
+
+    rows = [(1, [1.0, 0.0, 0.0]), (2, [0.9, 0.19 ** 0.5, 0.0]), (3, [0.9 - 1e-9, 0.19 ** 0.5, 0.0]), (4, [0.9 + 1e-9, 0.0, 0.19 ** 0.5]), (5, [1e-200, 0.0, 0.0]), (6, [1e200, 1e190, 0.0]), (7, [0.0, 0.0, 1.0])]
+
+    def cosine(x, y):
+        x, y = ([Fraction(v) for v in z] for z in (x, y))
+        dot = sum(p * q for p, q in zip(x, y))
+        return dot >= 0 and dot * dot * 100 * 100 >= 90 * 90 * sum(p * p for p in x) * sum(q * q for q in y)
+
+    got = {r["vec_id"]: r["n_links"] for r in vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    for i, x in rows:
+        sure = [j for j, y in rows if j != i and {i, j} not in ({1, 2}, {2, 5})]  # exactly at 0.9 but for rounding
+        assert sum(cosine(x, dict(rows)[j]) for j in sure) <= got[i] <= sum(cosine(x, dict(rows)[j]) for j in sure) + len(rows) - 1 - len(sure)
+
+
+def test_second_vectors_settle_nearly_all():
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=64) + rng.normal(size=(300, 64)) * 0.33
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    q, s, e = vectors.quantise(x)
+    r, f, left = vectors.quantise(x - q * s[:, None])
+    rows = pa.table({"id": np.arange(300), "weight": np.ones(300, np.int64), "tile": np.zeros(300, np.int32), "q": [a.tobytes() + b.tobytes() for a, b in zip(q, r)],
+                     "info": [np.array(v).tobytes() for v in zip(s, e, f, left)]})
+    (ids, links, _), (i, j) = vectors.compare(rows, 64, True, 0.9)
+    hit = x @ x.T >= 0.9
+    np.fill_diagonal(hit, False)
+    full = np.zeros(300, np.int64)
+    full[ids] = links
+    for a, b in zip(i, j):
+        full[a] += hit[a, b]
+        full[b] += hit[a, b]
+    assert (full == hit.sum(1)).all() and hit.sum() > 10000 and len(i) < 0.01 * hit.sum()
+
+
 def test_quantisation_bound_is_rigorous():
     rng = np.random.default_rng(6)
     for dim in (3, 64, 1500):
