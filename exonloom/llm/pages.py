@@ -5,10 +5,12 @@ without twice those of its links; lines of menus, forms, adverts, notices, comme
 are left out. Whole class names tell them, and an article or main element in a wrapper so named
 still counts, unless that holds replies or related pages. The weights are summed over sliding
 windows of lines. Where the sums rise from nothing the text surges, where they fall to nothing it
-dives; the heaviest stretch between is the main text. If it lies in an article or main element, the
-whole element is taken with the articles beside it. Otherwise the least div or section around the
-stretch is its container: all between the first surge and the last dive in there is taken, and lists
-that stand in it directly. Around a stretch without container every stretch of the page is taken.
+dives; the text lies between, and the heaviest such stretch tells what the page is about. If most of
+its weight is in article and main elements, lines outside them weigh nothing, the sums are taken
+again and all stretches are kept, without what weighs nothing in them. Otherwise the least div or
+section around the stretch is its container: all between the first surge and the last dive in there is
+taken, and lists that stand in it directly. Around a stretch without container every stretch of the
+page is taken.
 
 Null or empty html gives an empty text, as does a page without any weight; equal rows give equal
 texts; pages are independent of each other; other columns are carried along.
@@ -17,6 +19,7 @@ texts; pages are independent of each other; other columns are carried along.
 from __future__ import annotations
 
 import html as entities
+import itertools
 import os
 import re
 
@@ -27,10 +30,10 @@ from pyspark.sql import functions as F
 WINDOW = 3
 
 #: Elements by what they mean for the text.
-RAW = ("script", "style", "title", "textarea", "noscript", "template", "iframe", "svg", "math", "object", "canvas", "audio", "video", "select", "xmp")
+RAW = ("script", "style", "title", "textarea", "template", "iframe", "object", "canvas", "audio", "video", "select", "xmp")
 ASIDE = {"nav", "footer", "aside", "form", "menu", "dialog", "button", "head", "fieldset", "datalist"}
 BLOCK = {"p", "div", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "dl", "dt", "dd", "table", "thead", "tbody", "tfoot", "tr", "td", "th", "caption", "section", "article", "main",
-         "blockquote", "pre", "figure", "figcaption", "hr", "body", "html", "header", "hgroup", "address", "details", "summary", "center", "search"} | ASIDE
+         "blockquote", "pre", "figure", "figcaption", "hr", "body", "html", "header", "hgroup", "address", "details", "summary", "center", "search", "noscript"} | ASIDE
 VOID = {"br", "hr", "img", "input", "meta", "link", "wbr", "area", "base", "col", "embed", "source", "track", "param"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 ZONES = {"article", "main"}
@@ -81,12 +84,12 @@ def side_mark(name: str, attrs: str) -> int:
     return found
 
 
-def lines_of(page: str) -> list[tuple[str, float, int, tuple[int, ...]]]:
+def lines_of(page: str) -> list[tuple[str, int, int, tuple[int, ...]]]:
     """(text, weight, zone, containers from outside in) of each block that is no side block, in page order.
 
     The zone is the number of the article or main element, or 0; articles of the same parent share one.
     """
-    out: list[tuple[str, float, int, tuple[int, ...]]] = []
+    out: list[tuple[str, int, int, tuple[int, ...]]] = []
     stack: list[tuple[str, int, int, bool, tuple[int, ...]]] = []  # name, side mark, zone, in a header, containers
     beside: dict[tuple[str, tuple[int, ...]], int] = {}
     text: list[str] = []
@@ -99,7 +102,7 @@ def lines_of(page: str) -> list[tuple[str, float, int, tuple[int, ...]]]:
         line = " ".join(entities.unescape("".join(text)).split())
         text.clear()
         if line and not (side or header and not (zone and heading)):
-            out.append((line, len(line) if zone else max(0.0, len(line) - 2.0 * linked), zone, place))
+            out.append((line, len(line) if zone else max(0, len(line) - 2 * linked), zone, place))
         linked = 0
 
     def add(part: str):
@@ -141,6 +144,8 @@ def lines_of(page: str) -> list[tuple[str, float, int, tuple[int, ...]]]:
                 places += 1
                 inside += (places,)
             above, now_side = stack[-1][1] if stack else 0, side_mark(name, m["attrs"])
+            if name == "noscript" and not own_zone:  # outside an article a notice to switch scripts on
+                now_side = 2
             if name not in ZONES or above == 2:  # an article or main element in a wrapper that only looks like a side block is text
                 now_side = max(above, now_side)
             if now_side and not side:
@@ -154,27 +159,43 @@ def lines_of(page: str) -> list[tuple[str, float, int, tuple[int, ...]]]:
     return out
 
 
+def window_sums(weights: list[int]) -> list[int]:
+    """Sum of the weights of each line and of up to ``WINDOW - 1`` lines on either side."""
+    upto = [0, *itertools.accumulate(weights)]
+    n, reach = len(weights), WINDOW - 1
+    return [upto[min(n, i + reach + 1)] - upto[max(0, i - reach)] for i in range(n)]
+
+
+def stretches(weights: list[int]) -> list[tuple[int, int]]:
+    """(first, last) line with weight between each surge of the window sums from nothing and the dive back to nothing."""
+    found: list[tuple[int, int]] = []
+    opened = None
+    for i, total in enumerate([*window_sums(weights), 0]):
+        if total > 0 and opened is None:
+            opened = i
+        elif total <= 0 and opened is not None:
+            heavy = [k for k in range(opened, i) if weights[k] > 0]
+            found.append((heavy[0], heavy[-1]))
+            opened = None
+    return found
+
+
 def main_text(page: str | None) -> str:
-    """Text between the surge and the dive around the heaviest stretch of lines, and what shares its container."""
+    """Text between the surges and dives of the window sums that belongs to the heaviest stretch."""
     lines = lines_of(page or "")
     weights = [line[1] for line in lines]
-    heavy = [i for i, w in enumerate(weights) if w > 0]
-    if not heavy:
+    found = stretches(weights)
+    if not found:
         return ""
-    # the sums fall to nothing where more than twice the reach of a window lies between weights
-    cuts = [0, *[k for k in range(1, len(heavy)) if heavy[k] - heavy[k - 1] > 2 * WINDOW - 1], len(heavy)]
-    stretches = [heavy[a:b] for a, b in zip(cuts, cuts[1:])]
-    best = max(stretches, key=lambda s: (sum(weights[i] for i in s), -s[0]))
-    by_zone: dict[int, float] = {}
-    for i in best:
-        by_zone[lines[i][2]] = by_zone.get(lines[i][2], 0.0) + weights[i]
-    zone = max(by_zone, key=lambda z: (by_zone[z], -z))
-    if zone > 0:
-        return " ".join(line[0] for line in lines if line[2] == zone)
+    first, last = max(found, key=lambda s: (sum(weights[s[0]:s[1] + 1]), -s[0]))
+    best = [i for i in range(first, last + 1) if weights[i] > 0]
+    if 2 * sum(weights[i] for i in best if lines[i][2]) >= sum(weights[i] for i in best):
+        marked = [w if line[2] else 0 for w, line in zip(weights, lines)]
+        return " ".join(lines[i][0] for a, b in stretches(marked) for i in range(a, b + 1) if marked[i] > 0)
     around = os.path.commonprefix([lines[i][3] for i in best])
     if not around:
-        return " ".join(lines[i][0] for s in stretches for i in range(s[0], s[-1] + 1))
-    inside = [i for i in heavy if lines[i][3][:len(around)] == around]
+        return " ".join(lines[i][0] for a, b in found for i in range(a, b + 1))
+    inside = [i for i, w in enumerate(weights) if w > 0 and lines[i][3][:len(around)] == around]
     return " ".join(line[0] for i, line in enumerate(lines) if line[3] == around or line[3][:len(around)] == around and inside[0] <= i <= inside[-1])
 
 

@@ -339,7 +339,48 @@ def test_pages_without_article_keep_all_of_their_container():
     assert pages.main_text(f"{menu}<div>{half}{toc}</div>{menu}") == f"{words} {parts}"
     assert pages.main_text(f"<p>one two three<p><a href=/>linked</a> x<p>four") == "one two three linked x four"
     assert pages.main_text(f"{half}{menu}{half}<p>x") == f"{words} {words} x"
-    assert pages.main_text("<div><article>one</article><p>-<article>two three</article></div><div><article>no</article></div>") == "one two three"
+    assert pages.main_text("<div><article>one</article><p>-<article>two three</article></div><div><article>four</article></div>") == "one two three four"
+
+
+def test_window_sums_surge_and_dive():
+    rng = np.random.default_rng(12)
+    for _ in range(200):
+        w = [int(x) if rng.random() < 0.25 else 0 for x in rng.integers(1, 50, int(rng.integers(0, 60)))]
+        sums = [sum(w[max(0, i - pages.WINDOW + 1):i + pages.WINDOW]) for i in range(len(w))]
+        assert pages.window_sums(w) == sums
+        spans_, at = [], 0
+        while at < len(w):
+            end = at
+            while end < len(w) and sums[end] > 0:
+                end += 1
+            if end > at:
+                inside = [k for k in range(at, end) if w[k]]
+                spans_.append((inside[0], inside[-1]))
+            at = end + 1
+        assert pages.stretches(w) == spans_
+
+
+def test_blocks_decide_without_marks():
+    """Plain pages without article, main, classes or containers: sums alone tell text from a far-off list of links,
+    and short lines between long ones stay."""
+    menu = "".join(f"<p><a href=/{k}>no</a></p>" for k in range(9))
+    body = "<h2>Title</h2>" + "<p>one two three four</p><p>- <a href=#>x</a></p>" * 4
+    want = "Title" + " one two three four - x" * 4
+    assert pages.main_text(f"<body>{menu}{body}{menu}</body>") == want
+    assert pages.main_text(f"<div>{menu}</div><div>{body}</div><div>{menu}<p>no</p></div>") == want
+    # an article of few words beside a long text does not win
+    assert pages.main_text(f"<article>no</article>{menu}<div>{body}</div>") == want
+
+
+def test_formulas_and_drawings_of_an_article_stay():
+    inner = "<p>sum <math><mi>a</mi><mo>+</mo><mi>b</mi></math> and <svg><title>no</title><style>no</style><text>label</text></svg></p><noscript><p>table as text</p></noscript>"
+    assert pages.main_text(f"<noscript>no</noscript><article>{inner}</article>") == "sum a+b and label table as text"
+    assert pages.main_text(f"<noscript>no</noscript><div><p>text</p></div>") == "text"
+
+
+def test_very_long_page():
+    text = "word " * 400_000
+    assert pages.main_text(f"<nav>no</nav><article><p>{text}</p></article>") == text.strip()
 
 
 def test_vectors(spark):
