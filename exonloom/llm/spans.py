@@ -217,7 +217,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", tid
         return own.join(each, (F.col("_key") == F.col("key")) & (F.col("_text_key") == F.col("text_key")), "left").drop("key", "text_key")
 
     # both joins read the same columns of the documents, so one shuffle of the texts serves them
-    found = joined(anchors(probes(own.select(*columns), columns, buckets)))
+    # batches are numbered by the order of rows, so a task that runs again must see the same one whatever
+    # join was chosen; a merge join has this order already and is not sorted again
+    found = joined(anchors(probes(own.select(*columns), columns, buckets))).sortWithinPartitions("_key", "_text_key")
     marked = joined(repeats(candidates(found, columns, buckets)))
     schema = own.select(*names).schema.add("n_words", "long").add("n_removed", "long")
 

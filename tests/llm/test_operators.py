@@ -462,6 +462,17 @@ def test_repeats(spark, make_docs, odd_rows, none, monkeypatch, batch):
     assert spans.remove_repeats(none).count() == 0
 
 
+def test_batches_of_repeats_keep_their_order(spark, make_docs, odd_rows, monkeypatch):
+    """Rows reach the numbered batches sorted, also where the join does not sort."""
+    seen = {}
+    real = spans.candidates
+    monkeypatch.setattr(spans, "candidates", lambda found, *rest: real(seen.setdefault("found", found), *rest))
+    spans.remove_repeats(make_docs(odd_rows).select("doc_id", "text"))
+    for part in seen["found"].select("_key", "_text_key", F.spark_partition_id().alias("p")).toPandas().groupby("p"):
+        rows = list(zip(part[1]["_key"], part[1]["_text_key"]))
+        assert rows == sorted(rows)
+
+
 def test_repeats_keep_layout_of_what_stays(spark, make_docs):
     part = " ".join(f"p{i}" for i in range(20))
     got = spans.remove_repeats(make_docs([(1, "a\n" + part + "\n z", "s"), (2, " b\tc\n" + part + "\n\nd  e ", "s"), (3, part, "s")]), tidy=False)
