@@ -107,9 +107,11 @@ def _core_runs(named: DataFrame, frac: float, keys: list[str]) -> DataFrame:
     line = Slabs(events, keys, ["at", "kind", "span"])
     only = lambda kind, v: F.when(F.col("kind") == kind, v)
     line.scan(("_spans", "max", only("span", F.col("other")), True), ("_cores", "max", only("core", F.col("other")), True))
+    line.df = materialize(line.df, "line")  # each scan reads its input twice
     # how far the cores reached at the last span, and the spans at the last core
     last = lambda kind, reach: only(kind, F.struct(F.col("at").alias("at"), F.col(reach).alias("reach")))
     line.scan(("_span", "last", last("span", "_cores"), False), ("_core", "last", last("core", "_spans"), False))
+    line.df = materialize(line.df, "line")
     goes_on = lambda seen: F.coalesce(F.col(seen)["reach"] >= F.col("at"), F.lit(False))
     behind = F.concat(F.lit(chr(0x10FFFF)), F.col("span"))
     line.scan(("_run", "last", only("span", F.when(~goes_on("_span"), F.col("span"))), True), ("_core_run", "last", only("core", F.when(~goes_on("_core"), behind)), True))
