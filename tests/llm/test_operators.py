@@ -284,6 +284,50 @@ def test_sharding_moves_little_with_slack(spark):
     assert a.join(b, "doc_id").where("s20 <> s21").count() < 0.3 * 20000
 
 
+@pytest.mark.parametrize("shards, nodes, slack, weigh", [(40, 64, 0.0, False), (7, 1, 0.0, False), (3, 5, 0.0, True), (10, 16, 0.2, True), (5, 8, 1.0, False)])
+def test_sharding_matches_a_walk(spark, shards, nodes, slack, weigh):
+    """Each shard keeps its own rows in ring order up to its capacity; the others queue and walk on."""
+    rows = spark.range(1200).selectExpr("id as doc_id", "1 + id % 50 as bytes")
+    got = {r.doc_id: r.shard for r in sharding.assign(rows, load="bytes" if weigh else None, shards=shards, nodes=nodes, slack=slack).collect()}
+    ring = sorted((r.cell, r.shard, r.v) for r in sharding._nodes(spark, shards, nodes).collect())
+    place = F.xxhash64(F.lit("row"), "doc_id")
+    keyed = rows.select("doc_id", "bytes", place.alias("place"), F.pmod(F.shiftrightunsigned(place, 20), F.lit(sharding.CELLS)).alias("cell")).collect()
+    load = {r.doc_id: r.bytes if weigh else 1 for r in keyed}
+    total = math.ceil(sum(load.values()) * (1 + slack))
+    cap = [total // shards + (s < total % shards) for s in range(shards)]
+    held, wait = [0] * shards, [[] for _ in range(len(ring) + 1)]
+    want = {}
+    for r in sorted(keyed, key=lambda r: (r.cell, r.place)):
+        arc = sum(c < r.cell for c, _, _ in ring)
+        s = ring[arc % len(ring)][1]
+        held[s] += load[r.doc_id]
+        if held[s] - load[r.doc_id] < cap[s]:
+            want[r.doc_id] = s
+        else:
+            wait[arc].append(r.doc_id)
+    if weigh:  # the rows that fill a shard may pass its capacity
+        assert set(want.items()) <= set(got.items()) and len(got) == len(rows.collect())
+        sums = np.bincount([got[k] for k in load], [load[k] for k in load], shards)
+        assert (sums <= np.array(cap) + 2 * 50).all()
+        return
+    room = [max(0, c - h) for c, h in zip(cap, held)]
+    queue = []
+    for lap in range(2):
+        for arc, late in enumerate(wait):
+            queue += late if lap == 0 else []
+            s = ring[arc % len(ring)][1]
+            while queue and room[s]:
+                room[s] -= 1
+                want[queue.pop(0)] = s
+    assert not queue and got == want
+
+
+def test_sharding_moves_few_rows_without_slack(spark):
+    rows = spark.range(20000).selectExpr("id as doc_id")
+    a, b = (sharding.assign(rows, shards=s).select("doc_id", F.col("shard").alias(f"s{s}")) for s in (40, 41))
+    assert a.join(b, "doc_id").where("s40 <> s41").count() < 0.25 * 20000
+
+
 def test_mixing(spark, make_docs, odd, none):
     lean = odd.drop("size", "copies").withColumn("size", mixing.F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).cast("long")).fillna(0, ["size"])
     got = mixing.copies(lean).toPandas()
