@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..scale import Slabs, materialize
+from ..sources.pieces import cut
+from .sequences import PIECE
+
 
 # Class letters of proteases and carbohydrate-active enzymes.
 MEROPS_CLASSES = ["A", "C", "G", "M", "N", "P", "S", "T", "U", "I"]
@@ -61,17 +67,57 @@ def variable_families(counts: DataFrame, min_std: float | None = None) -> DataFr
     return (out if min_std is None else out.where(F.col("stdev") >= min_std)).select("family", "stdev")
 
 
-def braycurtis(counts: DataFrame) -> DataFrame:
-    """sum|a-b| / sum(a+b) = 1 - 2 * sum(min) / (A + B); only shared families meet."""
-    total = (counts.groupBy("species").agg(F.sum("n").alias("t")))
-    a = counts.select(F.col("species").alias("sp_a"), "family", F.col("n").alias("na"))
-    b = counts.select(F.col("species").alias("sp_b"), "family", F.col("n").alias("nb"))
-    shared = a.join(b, "family").where("sp_a < sp_b").groupBy("sp_a", "sp_b").agg(F.sum(F.least("na", "nb")).alias("m"))
-    names = counts.agg(F.array_sort(F.collect_set("species"))).scalar()
-    pairs = total.select(F.col("species").alias("sp_a"), F.col("t").alias("ta")).withColumn("sp_b", F.explode_outer(names)).where("sp_a < sp_b")
-    tb = total.select(F.col("species").alias("sp_b"), F.col("t").alias("tb"))
-    full = pairs.join(tb, "sp_b").join(shared, ["sp_a", "sp_b"], "left")
-    return full.select("sp_a", "sp_b", (1 - F.coalesce("m", F.lit(0)) * 2.0 / (F.col("ta") + F.col("tb"))).alias("distance"))
+def _least_sums(i: int, within: bool, rows: pd.DataFrame) -> pd.DataFrame:
+    """Sums of the lesser counts of all pairs between (or within) two blocks of species, family by family."""
+    code, names = pd.factorize(rows["species"], sort=True)
+    left, right = np.unique(code[rows["block"] == i]), np.unique(code[rows["block"] != i])
+    right = left if within else right
+    at = np.full(len(names), -1)
+    at[left] = np.arange(len(left))
+    if not within:
+        at[right] = np.arange(len(right))
+    rows = rows.assign(at=at[code]).sort_values("family", kind="stable")
+    cuts = np.flatnonzero(rows["family"].to_numpy()[1:] != rows["family"].to_numpy()[:-1]) + 1
+    n, place, one = rows["n"].to_numpy(), rows["at"].to_numpy(), (rows["block"] == i).to_numpy()
+    sums = np.zeros((len(left), len(right)), np.int64)
+    for s in np.split(np.arange(len(rows)), cuts):
+        a = s[one[s]]
+        b = a if within else s[~one[s]]
+        if len(a) and len(b):
+            sums[np.ix_(place[a], place[b])] += np.minimum.outer(n[a], n[b])
+    x, y = np.nonzero(np.triu(sums, 1) if within else sums)
+    first, second = names[left[x]].to_numpy(dtype=object), names[right[y]].to_numpy(dtype=object)
+    swap = first > second
+    return pd.DataFrame({"sp_a": np.where(swap, second, first), "sp_b": np.where(swap, first, second), "m": sums[x, y]})
+
+
+def braycurtis(counts: DataFrame, block: int = 256, most: int = 1 << 20) -> DataFrame:
+    """sum|a-b| / sum(a+b) = 1 - 2 * sum(min) / (A + B), one row per pair of species (``sp_a < sp_b``).
+
+    A min-sum product: species are dealt into blocks of about ``block`` and families into parts, so that a
+    task holds about ``most`` counts of two blocks and their square of sums. No family emits its pairs, and one
+    shared by all species is spread over the pairs of blocks. The long output has half the square of the species.
+    """
+    counts = materialize(counts.select("species", "family", "n"), "counts")
+    total = counts.groupBy("species").agg(F.sum("n").alias("t"), F.count(F.lit(1)).alias("cells"))
+    size = total.agg(F.sum("cells").alias("cells"), F.count(F.lit(1)).alias("k")).first()
+    blocks = max(1, -(-size["k"] // block))
+    parts = max(1, -(-2 * (size["cells"] or 0) // (blocks * most)))
+    mine = F.pmod(F.xxhash64("species"), F.lit(blocks)).cast("int")
+
+    def met(df):
+        other = df.withColumn("block", mine).withColumn("o", F.explode(F.expr(f"sequence(0, {blocks - 1})")))
+        return other.withColumns({"i": F.least("block", "o"), "j": F.greatest("block", "o")}).drop("o")
+
+    rows = met(counts.where("species is not null and family is not null").withColumn("part", F.pmod(F.xxhash64("family"), F.lit(parts))))
+    sums = rows.groupBy("i", "j", "part").applyInPandas(lambda key, pdf: _least_sums(key[0], key[0] == key[1], pdf), "sp_a string, sp_b string, m long")
+    shared = sums.groupBy("sp_a", "sp_b").agg(F.sum("m").alias("m"))
+    ends = met(total)
+    a = ends.where("block = i").select("i", "j", F.col("species").alias("s"), F.col("t").alias("ta"))
+    b = ends.where("block = j").select("i", "j", F.col("species").alias("r"), F.col("t").alias("tb"))
+    pairs = a.join(b, ["i", "j"]).where("i < j or s < r").select(F.least("s", "r").alias("sp_a"), F.greatest("s", "r").alias("sp_b"), (F.col("ta") + F.col("tb")).alias("both"))
+    full = pairs.join(shared, ["sp_a", "sp_b"], "left")
+    return full.select("sp_a", "sp_b", (1 - F.coalesce("m", F.lit(0)) * 2.0 / F.col("both")).alias("distance"))
 
 
 def backbone_counts(products: DataFrame, clusters: DataFrame) -> DataFrame:
@@ -143,6 +189,17 @@ def supermatrix(groups: DataFrame, proteins: DataFrame) -> DataFrame:
     return lists.select("species", F.size("l").alias("n_groups"), F.array_join(F.transform("l", lambda x: x["seq"]), "").alias("seq"))
 
 
+def supermatrix_pieces(groups: DataFrame, proteins: DataFrame, size: int = PIECE) -> DataFrame:
+    """A33 in pieces ``(seq_id, piece, offset, chunk)``, so that no species is one row, however many groups it has.
+
+    ``groups(species, group_id, gene_id)`` with a gene for each species and group. A protein's place is the running length
+    of those before it; ``sinks.text.write_fasta_blocks`` takes the table as it is.
+    """
+    j = groups.join(proteins, ["species", "gene_id"]).select("species", "group_id", "gene_id", F.col("seq").alias("t"))
+    placed = Slabs(j, ["species"], ["group_id", "gene_id"]).scan(("from", "sum", F.length("t").cast("long"), False)).result()
+    return cut(placed.withColumnRenamed("species", "seq_id"), ["seq_id"], size).select("seq_id", "piece", "offset", "chunk")
+
+
 def duplicate_tags(genomes: DataFrame) -> DataFrame:
     """Locus-tag prefixes used by more than one genome."""
     return (genomes.groupBy("tag").agg(F.count_distinct("genome").alias("n_genomes")).where("n_genomes > 1"))

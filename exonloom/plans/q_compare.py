@@ -141,6 +141,15 @@ def _(t):
     return C.supermatrix(g, g.select("species", "gene_id").join(p, "gene_id"))
 
 
+@query("a33_supermatrix_pieces", f"""with {SC}, {SCO_OK}, m as (select species, string_agg(gene_id || p_name, '' order by group_id) as seq from sco join part on gene_id = 'g' || p_partkey where group_id in (select group_id from ok) group by 1)
+ select species as seq_id, i as piece, i * 500 as "offset", substr(seq, i * 500 + 1, 500) as chunk from (select species, seq, unnest(range(0, (length(seq) + 499) // 500)) as i from m)""")
+def _(t):
+    o = sco(t)
+    g = o.join(C.single_copy(o), "group_id", "left_semi")
+    p = t.part.select(F.concat(F.lit("g"), "p_partkey").alias("gene_id"), F.concat(F.lit("g"), "p_partkey", "p_name").alias("seq"))
+    return C.supermatrix_pieces(g, g.select("species", "gene_id").join(p, "gene_id"), 500)
+
+
 @query("a35_duplicate_tags", """select p_brand as tag, count(distinct p_type) as n_genomes from part group by 1 having count(distinct p_type) > 1""")
 def _(t):
     return C.duplicate_tags(t.part.select(F.col("p_brand").alias("tag"), F.col("p_type").alias("genome")))
