@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from ..scale import Slabs, materialize
 
@@ -72,17 +73,34 @@ def group_loci(transcripts: DataFrame, frac: float = 0.3, keys=("contig",)) -> D
     """
     keys = list(keys)
     spans = transcripts.select(*keys, "start", "end").distinct()
-    named = spans.withColumn("span", F.concat_ws(":", *keys, F.format_string("%019d", F.col("start")), F.format_string("%019d", F.col("end"))))
     if frac <= 0.5:
-        named = named.join(_core_runs(named.where("end > start"), frac, keys), "span", "left")
-        edges = _run_links(named)
+        out = _run_loci(spans, frac, keys)
     else:
-        named, edges = named.withColumn("run", F.col("span")), _shared_edges(named.where("end > start"), frac, keys)
-    comp = components(edges)
-    out = named.join(comp, F.col("run") == F.col("node"), "left").select(*keys, "start", "end", F.coalesce("component", "run", "span").alias("locus"))
+        named = spans.withColumn("span", _span_name(keys, F.struct("start", "end")))
+        comp = components(_shared_edges(named.where("end > start"), frac, keys))
+        out = named.join(comp, F.col("span") == F.col("node"), "left").select(*keys, "start", "end", F.coalesce("component", "span").alias("locus"))
     return transcripts.join(out, keys + ["start", "end"])
 
 
+def _span_name(keys: list[str], span: Column) -> Column:
+    return F.concat_ws(":", *keys, F.format_string("%019d", span["start"]), F.format_string("%019d", span["end"]))
+
+
+def _run_loci(spans: DataFrame, frac: float, keys: list[str]) -> DataFrame:
+    """Distinct spans with their ``locus``. Only islands of overlapping spans that hold several runs reach the
+    graph; a lone run is its island's locus, and on sparse data nearly all are."""
+    runs = _core_runs(spans.where("end > start"), frac, keys)
+    island = W.partitionBy(*keys, "island")
+    runs = materialize(runs.withColumn("open", F.min("run").over(island) != F.max("run").over(island)), "runs")
+    name = lambda c: _span_name(keys, F.col(c))
+    behind = lambda c: F.concat(F.lit(chr(0x10FFFF)), name(c))
+    tied = runs.where("open").select(*keys, "start", "end", name("run").alias("run"), *[F.when(F.col(c).isNotNull(), n(c)).alias(c) for c, n in (("own", behind), ("met", behind), ("inner", name))])
+    joined = tied.join(components(_run_links(tied)), F.col("run") == F.col("node"), "left").select(*keys, "start", "end", F.coalesce("component", "run").alias("locus"))
+    alone = runs.where("not open").select(*keys, "start", "end", name("run").alias("locus"))
+    rest = spans.where("end <= start").select(*keys, "start", "end", _span_name(keys, F.struct("start", "end")).alias("locus"))
+    return joined.unionByName(alone).unionByName(rest)
+
+
 def _shared_edges(named: DataFrame, frac: float, keys: list[str]) -> DataFrame:
     """Pairs of spans of which one shares ``frac`` of the other's length."""
     from .intervals import overlap_join
@@ -92,38 +110,47 @@ def _shared_edges(named: DataFrame, frac: float, keys: list[str]) -> DataFrame:
     return edges.select(F.col("span").alias("u"), F.col("b_span").alias("v"))
 
 
-def _core_runs(named: DataFrame, frac: float, keys: list[str]) -> DataFrame:
-    """``span``, the ``run`` of its start, and what hangs together with it: ``own`` run of its core, ``met`` run of
-    cores at its end, ``inner`` run of spans at its core's end (null where none is met). Written once.
+# kinds of marks: starts precede ends of the same place
+CORE, CORE_END, SPAN, SPAN_END = range(4)
+
+
+def _core_runs(spans: DataFrame, frac: float, keys: list[str]) -> DataFrame:
+    """Spans with the ``run`` of their start, and what hangs together with it: ``own`` run of its core, ``met`` run of
+    cores at its end, ``inner`` run of spans at its core's end (null where none is met), and the ``island`` of
+    overlapping spans.
 
-    A run is named by its first span, which is its least one; runs of cores sort behind all spans.
+    A run is named by its first span, which is its least one.
     Places are doubled: ends of spans are even, ends of cores odd, so a span and a core never tie.
     """
     need = F.ceil((F.col("end") - F.col("start")) * F.lit(frac)).cast("long")
     low, high, core_low, core_high = 2 * F.col("start"), 2 * F.col("end"), 2 * (F.col("start") + need) - 1, 2 * (F.col("end") - need) + 1
     marks = F.array(*[F.struct(F.lit(kind).alias("kind"), at.alias("at"), other.alias("other")) for kind, at, other in
-                      (("span", low, high), ("core", core_low, core_high), ("span end", high, low), ("core end", core_high, core_low))])
-    events = named.select(*keys, "span", F.explode(marks).alias("m")).select(*keys, "span", "m.*")
-    line = Slabs(events, keys, ["at", "kind", "span"])
+                      ((SPAN, low, high), (CORE, core_low, core_high), (SPAN_END, high, low), (CORE_END, core_high, core_low))])
+    events = spans.select(*keys, "start", "end", F.explode(marks).alias("m")).select(*keys, "start", "end", "m.*")
+    line = Slabs(events, keys, ["at", "kind", "start", "end"])
     only = lambda kind, v: F.when(F.col("kind") == kind, v)
-    line.scan(("_spans", "max", only("span", F.col("other")), True), ("_cores", "max", only("core", F.col("other")), True))
-    line.df = materialize(line.df, "line")  # each scan reads its input twice
+    line.scan(("_spans", "max", only(SPAN, F.col("other")), True), ("_cores", "max", only(CORE, F.col("other")), True), ("_before", "max", only(SPAN, F.col("other")), False))
+    if not line.single:
+        line.df = materialize(line.df, "line")  # each scan of slabs reads its input twice
     # how far the cores reached at the last span, and the spans at the last core
     last = lambda kind, reach: only(kind, F.struct(F.col("at").alias("at"), F.col(reach).alias("reach")))
-    line.scan(("_span", "last", last("span", "_cores"), False), ("_core", "last", last("core", "_spans"), False))
-    line.df = materialize(line.df, "line")
+    line.scan(("_span", "last", last(SPAN, "_cores"), False), ("_core", "last", last(CORE, "_spans"), False))
+    if not line.single:
+        line.df = materialize(line.df, "line")
     goes_on = lambda seen: F.coalesce(F.col(seen)["reach"] >= F.col("at"), F.lit(False))
-    behind = F.concat(F.lit(chr(0x10FFFF)), F.col("span"))
-    line.scan(("_run", "last", only("span", F.when(~goes_on("_span"), F.col("span"))), True), ("_core_run", "last", only("core", F.when(~goes_on("_core"), behind)), True))
+    opens = F.coalesce(F.col("_before") < F.col("at"), F.lit(True))
+    me = F.struct("start", "end")
+    line.scan(("_run", "last", only(SPAN, F.when(~goes_on("_span"), me)), True), ("_core_run", "last", only(CORE, F.when(~goes_on("_core"), me)), True),
+              ("_island", "last", only(SPAN, F.when(opens, F.col("at"))), True))
     # an end meets the last start of the other kind if that lies behind its own start
-    known = line.result().groupBy("span").agg(F.max(only("span", F.col("_run"))).alias("run"), F.max(only("core", F.col("_core_run"))).alias("own"),
-                                              F.max(only("span end", F.when(F.col("_core.at") >= F.col("other"), F.col("_core_run")))).alias("met"),
-                                              F.max(only("core end", F.when(F.col("_span.at") >= F.col("other"), F.col("_run")))).alias("inner"))
-    return materialize(known, "runs")
+    return line.result().groupBy(*keys, "start", "end").agg(
+        F.max(only(SPAN, F.col("_run"))).alias("run"), F.max(only(CORE, F.col("_core_run"))).alias("own"),
+        F.max(only(SPAN_END, F.when(F.col("_core.at") >= F.col("other"), F.col("_core_run")))).alias("met"),
+        F.max(only(CORE_END, F.when(F.col("_span.at") >= F.col("other"), F.col("_run")))).alias("inner"), F.max(only(SPAN, F.col("_island"))).alias("island"))
 
 
 def _run_links(runs: DataFrame) -> DataFrame:
-    """At most three links between runs for each span."""
+    """At most three links between runs for each span; runs of cores sort behind all spans."""
     pairs = F.array(*[F.struct(F.col(u).alias("u"), F.col(v).alias("v")) for u, v in (("run", "own"), ("run", "met"), ("own", "inner"))])
     return runs.select(F.explode(pairs).alias("p")).select("p.*").dropna()
 
