@@ -9,12 +9,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import sequence as S
-from ..scale import attach_row, materialize, number_rows
+from ..scale import attach_row, computed_once, materialize, number_rows
 from ..sources.lines import MODEL_FEATURES
 from .intervals import flag_overlap, overlap_anti, overlap_fraction, overlap_semi
 from .schedule import schedule
@@ -252,11 +252,8 @@ def compatible(cds: Column, exons: Column) -> Column:
     return (F.size(cds) <= F.size(exons)) & F.forall(cds, fits)
 
 
-def _assign(pdf: pd.DataFrame) -> pd.DataFrame:
+def _assign(options: dict[int, list[int]]) -> dict[int, int]:
     """First complete assignment in lexicographic order, by augmenting paths."""
-    ids = sorted(set(pdf["cds_no"]))
-    options = {i: sorted(pdf.loc[(pdf["cds_no"] == i) & pdf["ok"], "exon_no"]) for i in ids}
-
     def complete(fixed: dict) -> bool:
         owner = {x: i for i, x in fixed.items()}
         def place(i, seen):
@@ -268,32 +265,49 @@ def _assign(pdf: pd.DataFrame) -> pd.DataFrame:
                     owner[x] = i
                     return True
             return False
-        return all(place(i, set()) for i in ids if i not in fixed)
+        return all(place(i, set()) for i in options if i not in fixed)
 
     chosen: dict = {}
-    for i in ids:
+    for i in options:
         for x in options[i]:
             if x not in chosen.values() and complete({**chosen, i: x}):
                 chosen[i] = x
                 break
-    g = pdf["gene_id"].iloc[0]
-    return pd.DataFrame({"gene_id": [g] * len(ids), "cds_no": ids, "exon_no": [chosen.get(i) for i in ids]}).astype({"exon_no": "Int64"})
+    return chosen
+
+
+def _assign_genes(batches):
+    """One row per CDS list of the genes of a batch."""
+    for batch in batches:
+        out = []
+        for gene, options in zip(batch["gene_id"].to_pylist(), batch["options"].to_pylist()):
+            lists = {o["cds_no"]: o["fit"] for o in options}
+            chosen = _assign(lists)
+            out += [(gene, i, chosen.get(i)) for i in lists]
+        kinds = [batch.schema.field("gene_id").type, *[batch.schema.field("options").type.value_type.field("cds_no").type] * 2]
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)], names=["gene_id", "cds_no", "exon_no"])
 
 
 def pair_cds_exons(cds: DataFrame, exons: DataFrame) -> DataFrame:
     """Exon list for every CDS list of a gene, ``(gene_id, cds_no, exon_no)``.
 
-    Genes whose lists already match in order are settled by an equi-join; only the
-    others are assigned, one gene per group.
+    A row holds the lists of one gene. Genes whose lists match in order are settled there, and
+    those where each CDS list fits one exon list of its own; only the others are assigned.
     """
-    straight = cds.join(exons.withColumnRenamed("exon_no", "cds_no"), ["gene_id", "cds_no"]).select("gene_id", "cds_no", compatible(F.col("cds"), F.col("exons")).alias("ok"))
-    fine = straight.groupBy("gene_id").agg(F.bool_and("ok").alias("fine"))
-    ordered = straight.join(fine.where("fine"), "gene_id", "left_semi").select("gene_id", "cds_no", F.col("cds_no").alias("exon_no"))
-    rest = fine.where("not fine").select("gene_id")
-    pairs = (cds.join(rest, "gene_id", "left_semi").join(exons, "gene_id").select("gene_id", "cds_no", "exon_no", compatible(F.col("cds"), F.col("exons")).alias("ok")))
-    kinds = {f.name: f.dataType.simpleString() for f in ordered.schema.fields}
-    schema = ", ".join(f"{n} {k}" for n, k in kinds.items())
-    return ordered.unionByName(pairs.groupBy("gene_id").applyInPandas(_assign, schema))
+    kind = cds.schema["cds_no"].dataType
+    lists = cds.groupBy("gene_id").agg(F.array_sort(F.collect_list(F.struct("cds_no", "cds"))).alias("c")).join(
+        exons.groupBy("gene_id").agg(F.array_sort(F.collect_list(F.struct(F.col("exon_no").cast(kind).alias("exon_no"), "exons"))).alias("e")), "gene_id")
+    fits = lambda x: F.transform(F.filter("e", lambda y: compatible(x["cds"], y["exons"])), lambda y: y["exon_no"])
+    options = F.transform("c", lambda x: F.struct(x["cds_no"].alias("cds_no"), fits(x).alias("fit"), F.exists("e", lambda y: y["exon_no"] == x["cds_no"]).alias("twin")))
+    genes = materialize(computed_once(lists, "options", options).select("gene_id", "options"), "fits")
+    twins = F.filter("options", lambda o: o["twin"])
+    ordered = (F.size(twins) > 0) & F.forall(twins, lambda o: F.array_contains(o["fit"], o["cds_no"]))
+    only = F.flatten(F.transform("options", lambda o: o["fit"]))
+    own = F.forall("options", lambda o: F.size(o["fit"]) == 1) & (F.size(F.array_distinct(only)) == F.size("options"))
+    pair = lambda o, x: F.struct(o["cds_no"].alias("cds_no"), x.alias("exon_no"))
+    pairs = F.when(ordered, F.transform(twins, lambda o: pair(o, o["cds_no"]))).when(own, F.transform("options", lambda o: pair(o, F.get(o["fit"], F.lit(0)))))
+    settled = genes.where(ordered | own).select("gene_id", F.explode(pairs).alias("p")).select("gene_id", "p.*")
+    return settled.unionByName(genes.where(~(ordered | own)).mapInArrow(_assign_genes, settled.schema))
 
 
 def parse_weights(entries: list[str], known: dict[str, int] | None = None) -> tuple[dict[str, int], list[str]]:
