@@ -164,6 +164,14 @@ def log_factorial(n: Column) -> Column:
     return F.when(n <= 20, exact).otherwise((x - 0.5) * F.log(x) - x + 0.5 * math.log(2 * math.pi) + series)
 
 
+def likely_counts(n: Column, kk: Column, nn: Column) -> Column:
+    """Counts whose chance is not 0 in double precision: Bernstein's bound, which holds for draws without
+    return too, has all others below exp(-760). They grow with the square root of the population."""
+    mean, share, drawn = n * kk / nn, kk / nn, n / nn
+    far = F.lit(254) + F.sqrt(F.lit(254.0**2) + 1520 * F.least(n * share * (1 - share), kk * drawn * (1 - drawn)))
+    return F.sequence(F.greatest(F.lit(0).cast("long"), n + kk - nn, F.ceil(mean - far)), F.least(n, kk, F.floor(mean + far)))
+
+
 def fisher_p(k: Column, n: Column, kk: Column, nn: Column) -> Column:
     """Exact two-sided hypergeometric p-value: k of n in study, kk of nn in population.
 
@@ -171,7 +179,7 @@ def fisher_p(k: Column, n: Column, kk: Column, nn: Column) -> Column:
     """
     base = log_factorial(kk) + log_factorial(nn - kk) + log_factorial(n) + log_factorial(nn - n) - log_factorial(nn)
     chance = lambda i, b: b - log_factorial(i) - log_factorial(kk - i) - log_factorial(n - i) - log_factorial(nn - kk - n + i)
-    counts = F.sequence(F.greatest(F.lit(0).cast("long"), n + kk - nn), F.least(n, kk))
+    counts = likely_counts(n, kk, nn)
     # arrays of one element keep the figures that do not change along the sum computed once
     known = F.transform(F.array(base), lambda b: F.struct(b.alias("b"), (chance(k, b) + 1e-7).alias("ref")))
 
@@ -195,6 +203,8 @@ def go_enrichment(study: DataFrame, assoc: DataFrame, max_fdr: float = 0.05) ->
     size = s.groupBy("genome").agg(F.count(F.lit(1)).alias("study_n"))
     hit = s.join(a, "gene_id").groupBy("genome", "term").agg(F.count(F.lit(1)).alias("study_count"))
     t = hit.join(size, "genome").join(pop, "term").withColumn("pop_n", pop_n)
+    # few rows, much work in each: no coalescing into a few tasks
+    t = t.repartition(4 * t.sparkSession.sparkContext.defaultParallelism, "genome", "term")
     t = materialize(t.withColumn("p", fisher_p(*[F.col(c) for c in ("study_count", "study_n", "pop_count", "pop_n")])), "fisher")
     tests = t.groupBy("genome").agg(F.count(F.lit(1)).alias("m"))
     ranked = Slabs(t.join(tests, "genome"), ["genome"], [F.col("p").desc(), "term"])
