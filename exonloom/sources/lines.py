@@ -45,13 +45,16 @@ def _col(parts: Column, i: int, kind: str | None = None) -> Column:
 
 def _unquote(c: Column) -> Column:
     """Percent-decoding that leaves a literal plus alone."""
-    return F.coalesce(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), c)
+    return F.when(c.contains("%"), F.coalesce(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), c)).otherwise(c)
 
 
 def _attr(info: Column, *keys: str) -> Column:
-    """Value of the last attribute with one of the keys; one walk over the attributes."""
-    hits = F.filter(info, lambda x: reduce(lambda a, b: a | b, [x.startswith(f"{k}=") for k in keys]))
-    return F.get(F.transform(F.slice(F.reverse(hits), 1, 1), lambda x: F.substring(x, F.instr(x, "=") + 1, F.length(x))), F.lit(0))
+    """Value of the last attribute with one of the keys, by plain searches in ``;key=value;`` text."""
+    last = None
+    for k in keys:
+        rest = F.when(info.contains(f";{k}="), F.substring_index(info, f";{k}=", -1))
+        last = rest if last is None else F.when(last.isNull() | (F.length(rest) < F.length(last)), rest).otherwise(last)
+    return F.substring_index(last, ";", 1)
 
 
 def _list(c: Column) -> Column:
@@ -62,7 +65,9 @@ def parse_gff3(df: DataFrame) -> DataFrame:
     """S3: nine columns with typed attributes; comments and short lines dropped."""
     p = F.split("value", "\t")
     base = _cells(_data(df), p).where(F.size("p") == 9)
-    base = computed_once(base, "_info", F.transform(F.split(_col(F.col("p"), 8), ";"), lambda x: F.trim(x)))
+    a = _col(F.col("p"), 8)
+    close = F.when(a.contains("; ") | a.contains(" ;"), F.regexp_replace(a, " *; *", ";")).otherwise(a)
+    base = computed_once(base, "_info", F.concat(F.lit(";"), F.trim(close), F.lit(";")))
     info, c = F.col("_info"), F.col("p")
     rows = base.select(
         _col(c, 0).alias("contig"), _col(c, 1).alias("source"), _col(c, 2).alias("feature"), _col(c, 3, "long").alias("start"), _col(c, 4, "long").alias("end"),
