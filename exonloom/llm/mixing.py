@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from exonloom.scale import materialize
+
 from .common import ordered_slabs, running_sums, seal
 
 WEIGHTS = (1, 2, 3)
@@ -51,18 +53,21 @@ def offset(source, seed: int):
 def copies(docs: DataFrame, source: str = "source", size: str = "size", key: str = "doc_id", text: str | None = None, weights=WEIGHTS, most: int = 3, seed: int = 7) -> DataFrame:
     """``docs`` with ``source_size``, ``target`` and ``copies`` (0 to ``most``), one row per document.
 
-    The order within a source is (size, key, text): equal rows are told apart only to count them.
-    A source of any number of rows is cut into slabs and counted slab by slab.
+    The order within a source is (size, key, text): equal rows share a place and are told apart only
+    to count them. A source of any number of rows is cut into slabs and counted slab by slab.
     """
     docs, restore = seal(docs, source, size, key, *([text] if text else []))
     tie = F.xxhash64(*([text] if text else [key]))
-    lean = docs.select(F.col(source).alias("_source"), F.col(size).alias("_size"))
-    goal = targets(lean, "_source", "_size", weights, most).withColumnRenamed("source", "_goal")
-    numbered = docs.withColumns({"_tie": tie, "_row": F.monotonically_increasing_id()})
-    order = [source, size, key, "_tie", "_row"]
-    slabs = ordered_slabs(numbered, order)
-    placed = running_sums(slabs, order, [source], {"_nth": F.lit(1).cast("long")})
-    joined = placed.join(goal, F.col(source).eqNullSafe(F.col("_goal")), "left")
+    numbered = docs.withColumn("_place", F.struct(F.col(source).alias("source"), F.col(size).alias("size"), F.col(key).alias("key"), tie.alias("tie")))
+    # only places are put in order; rows with their texts are dealt once, to meet their place
+    lean = materialize(numbered.groupBy("_place").agg(F.count(F.lit(1)).alias("_n")).select("_place.*", "_n"), "places")
+    goal = targets(lean.select("source", (F.col("size") * F.col("_n")).alias("size")), "source", "size", weights, most).withColumnRenamed("source", "_goal")
+    order = ["source", "size", "key", "tie"]
+    placed = running_sums(ordered_slabs(lean, order), order, ["source"], {"_upto": F.col("_n")})
+    placed = placed.select(F.struct(*order).alias("_at"), (F.col("_upto") - F.col("_n")).alias("_before"))
+    equal = W.partitionBy("_place").rowsBetween(W.unboundedPreceding, W.currentRow)
+    met = numbered.join(placed, F.col("_place") == F.col("_at")).withColumn("_nth", F.col("_before") + F.count(F.lit(1)).over(equal))
+    joined = met.join(goal, F.col(source).eqNullSafe(F.col("_goal")), "left")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     upto = lambda n: F.floor(n * rate + offset(F.col(source), seed))
     return restore(joined.withColumn("copies", (upto(F.col("_nth")) - upto(F.col("_nth") - 1)).cast("int")), "source_size", "target", "copies")
