@@ -12,17 +12,22 @@ from ..scale import Slabs, materialize
 
 
 def go_closure(edges: DataFrame, max_rounds: int = 12) -> DataFrame:
-    """All (node, ancestor) pairs by path doubling; every round is written once."""
-    pairs = materialize(edges.select("node", "ancestor").distinct(), "closure")
-    n = pairs.count()
+    """All (node, ancestor) pairs by path doubling.
+
+    Round k has all pairs up to 2^k steps apart and hangs them under those just 2^k steps apart, which is
+    the one place where a shortest way of up to twice that length is cut. Each pair is written once.
+    """
+    pairs = materialize(edges.select("node", "ancestor").distinct().withColumn("steps", F.lit(1)), "closure")
+    parts, reach = [pairs], 1
     for _ in range(max_rounds):
-        step = pairs.join(pairs.select(F.col("node").alias("_m"), F.col("ancestor").alias("_top")), F.col("ancestor") == F.col("_m"))
-        grown = materialize(pairs.unionByName(step.select("node", F.col("_top").alias("ancestor"))).distinct(), "closure")
-        m = grown.count()
-        pairs = grown
-        if m == n:
-            return pairs
-        n = m
+        ends = parts[-1].where(F.col("steps") == reach).select("node", F.col("ancestor").alias("_m"))
+        ways = pairs.select(F.col("node").alias("_m"), "ancestor", (F.col("steps") + reach).alias("steps"))
+        grown = ends.join(ways, "_m").groupBy("node", "ancestor").agg(F.min("steps").alias("steps"))
+        # a pair may have a shorter way; where each node has one parent at most there is none
+        parts.append(materialize(grown.join(pairs, ["node", "ancestor"], "left_anti"), "closure"))
+        if parts[-1].isEmpty():
+            return pairs.select("node", "ancestor")
+        pairs, reach = pairs.unionByName(parts[-1]), 2 * reach
     raise RuntimeError("closure did not settle; raise max_rounds")
 
 

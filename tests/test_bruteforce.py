@@ -164,3 +164,20 @@ def test_lcs():
         a = "".join(rnd.choice("ABCD") for _ in range(rnd.randrange(0, 30)))
         b = "".join(rnd.choice("ABCD") for _ in range(rnd.randrange(0, 30)))
         assert lcs_length(a, b) == slow(a, b)
+
+
+def test_closure_meets_each_pair_once(spark, monkeypatch):
+    """A ring, a chord, a chain of 70 and two parents: all pairs are right, and no table holds a pair of an earlier one."""
+    edges = [(i, i + 1) for i in range(9)] + [(9, 0), (0, 5), (3, 3)] + [(100 + i, 101 + i) for i in range(70)] + [(200, 201), (200, 202), (201, 203), (202, 203)]
+    want = set(edges)
+    while True:
+        more = want | {(a, d) for a, b in want for c, d in edges if b == c}
+        if more == want:
+            break
+        want = more
+    written = []
+    true = G.materialize
+    monkeypatch.setattr(G, "materialize", lambda df, name="t": written.append(true(df, name)) or written[-1])
+    got = [tuple(r) for r in G.go_closure(spark.createDataFrame(edges, "node long, ancestor long")).collect()]
+    assert len(got) == len(want) and set(got) == want
+    assert sum(df.count() for df in written) == len(want)
