@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import sequence as S
-from ..scale import attach_row, computed_once, materialize, number_rows
+from ..scale import Slabs, attach_row, computed_once, materialize, number_rows
 from ..sources.lines import MODEL_FEATURES
 from .intervals import flag_overlap, overlap_anti, overlap_fraction, overlap_semi
 from .schedule import schedule
@@ -204,14 +204,36 @@ def select_training(models: DataFrame, keep: DataFrame, listed_only: bool = Fals
     """Of overlapping models those that a better one (more parts, then least id) touches go.
 
     ``models(gene_id, contig, start, end, n_cds)``; ``listed_only`` takes models named in ``keep``,
-    ``multi_only`` models of several parts. No pairs are built: see ``beaten_spans``.
+    ``multi_only`` models of several parts. Few pairs are built: see ``best_of_islands``.
     """
     pool = models.join(keep.select("gene_id").distinct(), "gene_id", "left_semi") if listed_only else models
-    pool = (pool.where("n_cds > 1") if multi_only else pool).select("gene_id", "contig", "start", "end", "n_cds")
+    pool = materialize((pool.where("n_cds > 1") if multi_only else pool).select("gene_id", "contig", "start", "end", "n_cds"), "pool")
     spans = pool.groupBy("contig", "start", "end").agg(F.min(F.struct((-F.col("n_cds")).alias("k"), "gene_id")).alias("r")).select("contig", "start", "end", "r.k", "r.gene_id")
-    spans = materialize(number_rows(spans, ["k", "gene_id"], "rank", ["contig"]), "ranked")
-    win = spans.join(beaten_spans(spans), ["contig", "start", "end"], "left_anti").select("gene_id")
-    return pool.join(win, "gene_id", "left_semi")
+    return pool.join(best_of_islands(spans).select("gene_id"), "gene_id", "left_semi")
+
+
+def best_of_islands(spans: DataFrame, few: int = 200) -> DataFrame:
+    """Spans ``(contig, start, end, k, gene_id)`` that overlap none of less ``k``, then ``gene_id``.
+
+    Spans of an island of overlapping ones meet each other only. In islands of up to ``few`` spans they are
+    compared, which takes no more than ``few`` pairs a span; crowded islands are ranked: see ``beaten_spans``.
+    """
+    line = Slabs(spans, ["contig"], ["start", "end"]).scan(("_reach", "max", F.col("end"), False))
+    line.scan(("island", "last", F.when(F.coalesce(F.col("_reach") < F.col("start"), F.lit(True)), F.col("start")), True))
+    placed = materialize(line.result().drop("_reach"), "placed")
+    size = placed.groupBy("contig", "island").agg(F.count(F.lit(1)).alias("_n"))
+    # a span without a contig meets nothing
+    sized = materialize(placed.join(size, ["contig", "island"], "left").withColumn("_n", F.when(F.col("contig").isNull(), 1).otherwise(F.col("_n"))), "islands")
+    own, other = sized.where(F.col("_n") <= few).alias("a"), sized.where((F.col("_n") > 1) & (F.col("_n") <= few)).alias("b")
+    meets = (F.col("b.start") <= F.col("a.end")) & (F.col("b.end") >= F.col("a.start"))
+    better = F.struct("b.k", "b.gene_id") < F.struct("a.k", "a.gene_id")
+    kept = own.join(other, (F.col("a.contig") == F.col("b.contig")) & (F.col("a.island") == F.col("b.island")) & meets & better, "left_anti")
+    out = kept.select(*spans.columns)
+    crowded = sized.where(F.col("_n") > few).select(*spans.columns)
+    if crowded.isEmpty():
+        return out
+    ranked = materialize(number_rows(crowded, ["k", "gene_id"], "rank", ["contig"]), "ranked")
+    return out.unionByName(ranked.join(beaten_spans(ranked), ["contig", "start", "end"], "left_anti").select(*spans.columns))
 
 
 def beaten_spans(spans: DataFrame) -> DataFrame:
