@@ -89,14 +89,19 @@ def overlap_fraction(a: DataFrame, b: DataFrame, frac: float = 0.9, keys=("conti
     of an interval there are.
     """
     keys = list(keys)
+    return a.join(covered_spans(a, b, frac, keys, merge_first), keys + ["start", "end"], "left_semi")
+
+
+def covered_spans(a: DataFrame, b: DataFrame, frac: float, keys=("contig",), merge_first: bool = False) -> DataFrame:
+    """Distinct spans of ``a`` of which a single ``b`` covers at least ``frac``."""
+    keys = list(keys)
     reduced = merge_intervals(b, keys=keys) if merge_first else (
         b.groupBy(*keys, "start").agg(F.max("end").alias("end")))
     spans = a.select(*keys, "start", "end").distinct()
     covered = (F.least("end", "b_end") - F.greatest("start", "b_start") + 1)
     enough = covered >= F.lit(frac) * (F.col("end") - F.col("start") + 1)
     hit = overlap_join(spans, reduced.select(*keys, "start", "end"), keys, enough)
-    hit = hit.select(*keys, "start", "end").distinct()
-    return a.join(hit, keys + ["start", "end"], "left_semi")
+    return hit.select(*keys, "start", "end").distinct()
 
 
 def merge_intervals(df: DataFrame, keys=("contig",), touching: bool = False, max_gap: int = 0) -> DataFrame:

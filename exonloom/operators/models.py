@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import sequence as S
 from ..scale import Slabs, attach_row, computed_once, materialize, number_rows
 from ..sources.lines import MODEL_FEATURES
-from .intervals import flag_overlap, overlap_anti, overlap_fraction, overlap_semi
+from .intervals import covered_spans, flag_overlap, overlap_anti, overlap_fraction, overlap_semi
 from .schedule import schedule
 from .sequences import splice
 
@@ -370,6 +370,6 @@ def consensus_models(predictions: DataFrame, evidence: DataFrame, weights: dict[
     once = predictions.groupBy("contig", "strand", "start", "end", "chain", "source").agg(F.min("name").alias("name"), F.max(weight).alias("w"))
     cand = once.groupBy("contig", "strand", "start", "end", "chain").agg(F.sum("w").cast("long").alias("w"), F.min("name").alias("name"))
     cand = materialize(cand, "models")
-    seen = overlap_fraction(cand.select("contig", "start", "end").distinct(), evidence, 0.9).select("contig", "start", "end").withColumn("_e", F.lit(1))
+    seen = covered_spans(cand, evidence, 0.9).withColumn("_e", F.lit(1))
     scored = cand.join(seen, ["contig", "start", "end"], "left").withColumn("score", F.col("w") + F.coalesce("_e", F.lit(0)))
     return schedule(scored.select("contig", "strand", "start", "end", "score", "name")).select("contig", "strand", "name", "start", "end", "score")
