@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 BASES = "TCAG"
 # Amino acids of the standard code in TCAG order.
 STANDARD = "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG"
@@ -94,8 +91,3 @@ def codon_table(transl_table: int = 1) -> dict[str, str]:
     table = dict(zip(codons, STANDARD))
     table.update((w[:3], w[3]) for w in REASSIGNED[transl_table].split())
     return table
-
-
-def codon_map(transl_table: int = 1) -> Column:
-    items = [F.lit(x) for pair in codon_table(transl_table).items() for x in pair]
-    return F.create_map(*items)
