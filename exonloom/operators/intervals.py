@@ -144,10 +144,18 @@ def loci_with_gaps(df: DataFrame, keys=("contig",)) -> DataFrame:
     return slabs.result().withColumn("gap", F.col("start") - F.col("_prev")).drop("_prev")
 
 
-def covered_length(df: DataFrame, keys=("contig",)) -> DataFrame:
-    """Bases covered by at least one interval per key."""
-    merged = merge_intervals(df, keys, touching=True)
-    return merged.groupBy(*keys).agg(F.sum(F.col("end") - F.col("start") + 1).alias("covered"))
+def covered_length(df: DataFrame, keys=("contig",), along: dict | None = None) -> DataFrame:
+    """Bases covered by at least one interval per key: what each adds behind the ends of earlier starts.
+
+    ``along`` names columns that come with each key and their aggregate (``F.min`` or ``F.max``).
+    """
+    keys, along = list(keys), along or {}
+    carried = [f(c).alias(c) for c, f in along.items()]
+    spans = df.groupBy(*keys, "start").agg(F.max("end").alias("end"), *carried)
+    seen = Slabs(spans, keys, ["start"]).scan(("_reach", "max", F.col("end"), False)).result()
+    # greatest passes over nulls
+    added = F.greatest(F.col("end") - F.greatest("_reach", F.col("start") - 1), F.lit(0))
+    return seen.groupBy(*keys).agg(F.sum(added).alias("covered"), *carried)
 
 
 def shared_length(a: DataFrame, b: DataFrame, keys=("contig",)) -> DataFrame:
