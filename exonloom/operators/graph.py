@@ -50,9 +50,13 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     Alternates large-star and small-star contraction, which needs a logarithmic
     number of rounds in practice. No neighbour list is collected: hubs are an
     aggregate plus an equi-join, and each round's edges are written out.
+    Nodes are numbered in their own order first: least numbers are found by hashing, least texts only by sorting.
     """
-    nodes = edges.select(F.col("u").alias("node")).union(edges.select("v")).distinct()
-    cur = materialize(edges.select("u", "v").where("u != v").distinct(), "edges")
+    edges = materialize(edges.select("u", "v").distinct(), "edges")
+    nodes = materialize(edges.select(F.col("u").alias("node")).union(edges.select("v")).distinct(), "nodes")
+    nodes = materialize(nodes.orderBy("node").withColumn("id", F.monotonically_increasing_id()), "nodes")
+    number = lambda c: nodes.select(F.col("node").alias(c), F.col("id").alias(f"_{c}"))
+    cur = materialize(edges.where("u != v").join(number("u"), "u").join(number("v"), "v").select(F.col("_u").alias("u"), F.col("_v").alias("v")), "edges")
     mark = None
     for _ in range(max_rounds):
         cur = materialize(_star(_star(cur, True), False), "edges")
@@ -62,7 +66,9 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         mark = now
     else:
         raise RuntimeError("components did not settle; raise max_rounds")
-    return nodes.join(cur, F.col("node") == F.col("u"), "left").select("node", F.coalesce("v", "node").alias("component"))
+    first = nodes.select(F.col("id").alias("v"), F.col("node").alias("component"))
+    named = nodes.join(cur.withColumnRenamed("u", "id"), "id", "left").withColumn("v", F.coalesce("v", "id"))
+    return named.join(first, "v").select("node", "component")
 
 
 def group_loci(transcripts: DataFrame, frac: float = 0.3, keys=("contig",)) -> DataFrame:

@@ -181,3 +181,15 @@ def test_closure_meets_each_pair_once(spark, monkeypatch):
     got = [tuple(r) for r in G.go_closure(spark.createDataFrame(edges, "node long, ancestor long")).collect()]
     assert len(got) == len(want) and set(got) == want
     assert sum(df.count() for df in written) == len(want)
+
+
+def test_components_count_on_numbers(spark, monkeypatch):
+    """Text labels, loops, a lone loop and a missing end: the least text is the label, and the rounds see numbers only."""
+    kinds = []
+    true = G._star
+    monkeypatch.setattr(G, "_star", lambda edges, large: kinds.append(edges.schema["u"].dataType.simpleString()) or true(edges, large))
+    edges = [("b", "a10"), ("a10", "a9"), ("z", "é"), ("é", "y"), ("q", "q"), ("b", "b"), ("m", None)] + [(f"n{i}", f"n{i + 1}") for i in range(30)]
+    got = {r["node"]: r["component"] for r in G.components(spark.createDataFrame(edges, "u string, v string")).collect()}
+    want = {"b": "a10", "a10": "a10", "a9": "a10", "z": "y", "é": "y", "y": "y", "q": "q", "m": "m", None: None} | {f"n{i}": "n0" for i in range(31)}
+    assert got == want
+    assert set(kinds) == {"bigint"}
