@@ -174,33 +174,48 @@ def shared_length(a: DataFrame, b: DataFrame, keys=("contig",)) -> DataFrame:
 def closest_join(a: DataFrame, b: DataFrame, keys=("contig",)) -> DataFrame:
     """The overlapping ``b`` rows, or else every ``b`` row at the least distance."""
     keys = list(keys)
-    hits = overlap_join(a, b, keys).withColumn("distance", F.lit(0).cast("long"))
-    lonely = materialize(overlap_anti(a, b, keys), "lonely")
-    spans = lonely.select(*keys, "start", "end").distinct()
-    ends = b.select(*keys, F.col("end").alias("_pos"), F.col("end").alias("_m")).distinct()
-    ask = spans.withColumn("_pos", F.col("start"))
-    left = (Slabs(ask.unionByName(ends, allowMissingColumns=True), keys, ["_pos", "start", "end"])
-            .scan(("_left", "max", F.col("_m"), True)).where("start is not null").result()
-            .select(*keys, "start", "end", "_left"))
-    starts = b.select(*keys, (-F.col("start")).alias("_pos"), (-F.col("start")).alias("_m")).distinct()
-    ask = left.withColumn("_pos", -F.col("end"))
-    near = (Slabs(ask.unionByName(starts, allowMissingColumns=True), keys, ["_pos", "start", "end"])
-            .scan(("_right", "max", F.col("_m"), True)).where("start is not null").result()
-            .withColumn("_right", -F.col("_right"))
-            .withColumn("dl", F.col("start") - F.col("_left")).withColumn("dr", F.col("_right") - F.col("end"))
-            .withColumn("distance", F.least("dl", "dr"))
-            .select(*keys, "start", "end", "distance", "_left", "_right", "dl", "dr"))
-    near = materialize(near, "near")
-    bb = b.select([F.col(c).alias(f"b_{c}") for c in b.columns])
-    on_left = near.where("dl = distance")
-    on_right = near.where("dr = distance")
-    kc = [F.col(k) == F.col(f"b_{k}") for k in keys]
-    cond_l, cond_r = F.col("_left") == F.col("b_end"), F.col("_right") == F.col("b_start")
-    for c in kc:
-        cond_l, cond_r = cond_l & c, cond_r & c
-    cols = keys + ["start", "end", "distance"] + [c for c in bb.columns if c[2:] not in keys]
-    found = on_left.join(bb, cond_l).select(cols).unionByName(on_right.join(bb, cond_r).select(cols))
-    return hits.unionByName(lonely.join(found, keys + ["start", "end"]))
+    near = closest_spans(a, b, keys)
+    return a.join(near, keys + ["start", "end"]).select(*a.columns, *near.columns[len(keys) + 2:])
+
+
+def closest_spans(a: DataFrame, b: DataFrame, keys=("contig",)) -> DataFrame:
+    """Distinct spans of ``a`` with their J4 partners, as ``b_*``, and the distance.
+
+    One scan finds the neighbours on both sides. The furthest end of any ``b`` that starts at or before
+    a span's end tells whether one overlaps it, and else is its nearest end on the left; the next start is
+    the nearest on the right. A place of a single ``b`` row brings that row along. Only spans that overlap
+    some ``b``, or lie next to a place that several rows share, are joined with ``b``.
+    """
+    keys = list(keys)
+    cols = [*keys, "start", "end"]
+    rest = [c for c in b.columns if c not in keys]
+    rows = b.dropna(subset=[*keys, "start"]).withColumn("_row", F.struct(*[F.col(c).alias(f"b_{c}") for c in rest]))
+    shared = [F.count("_row").alias("_n"), F.min("_row").alias("_row")]
+    # all rows of an end lie left of a span that no b overlaps if the first of them starts there
+    ends = (rows.groupBy(*keys, F.col("end").alias("_at")).agg(F.min("start").alias("_pos"), *shared)
+            .where("_at is not null").select(*keys, "_pos", F.struct("_at", "_n", "_row").alias("_ended")))
+    marks = (rows.select(*keys, F.col("start").alias("_pos"), "_row").unionByName(ends, allowMissingColumns=True)
+             .groupBy(*keys, "_pos").agg(F.max("_ended").alias("_ended"), *shared)
+             .select(*keys, F.col("_pos").alias("end"), "_ended", F.struct(F.col("_pos").alias("_at"), "_n", "_row").alias("_started")))
+    # marks have no start, so they precede the spans that end at their position
+    asks = a.select(*cols).dropna()
+    near = materialize(Slabs(asks.unionByName(marks, allowMissingColumns=True), keys, ["end", "start"], distinct=True)
+                       .scan(("_left", "max", F.col("_ended"), True), ("_right", "next", F.col("_started"), False))
+                       .where("start is not null").result().select(*cols, "_left", "_right"), "near")
+    hits = overlap_join(near.where("_left._at >= start").select(*cols), b, keys).withColumn("distance", F.lit(0).cast("long"))
+    dl, dr = F.col("start") - F.col("_left._at"), F.col("_right._at") - F.col("end")
+    sides = F.array(*[F.when(d == F.col("distance"), F.struct(F.lit(c).alias("_side"), f"{c}._at", f"{c}._n", f"{c}._row"))
+                      for d, c in ((dl, "_left"), (dr, "_right"))])
+    lonely = (near.where("_left is null or _left._at < start").withColumn("distance", F.least(dl, dr).cast("long"))
+              .select(*cols, "distance", F.explode(sides).alias("_p")))
+    out = [*cols, *[f"b_{c}" for c in rest], "distance"]
+    alone = lonely.where("_p._n = 1").select(*cols, "distance", "_p._row.*").select(out)
+    places = rows.select(*keys, "_row", F.explode(F.array(
+        F.struct(F.lit("_left").alias("_side"), F.col("end").alias("_at")),
+        F.struct(F.lit("_right").alias("_side"), F.col("start").alias("_at")))).alias("_p")).select(*keys, "_p.*", "_row")
+    several = lonely.where("_p._n > 1").select(*cols, "distance", "_p._side", "_p._at")
+    several = several.join(places, keys + ["_side", "_at"]).select(*cols, "distance", "_row.*").select(out)
+    return hits.select(out).unionByName(alone).unionByName(several)
 
 
 def best_overlap_join(new: DataFrame, old: DataFrame, keys=("contig",),

@@ -55,8 +55,7 @@ def _(t):
  b as (select *, min(distance) over (partition by contig, "start", "end") as md from d)
  select contig, "start", "end", mask_name, distance from b where distance = md""")
 def _(t):
-    spans = V.iv(t).select("contig", "start", "end").distinct()
-    return I.closest_join(spans, V.mask(t)).select(
+    return I.closest_spans(V.iv(t), V.mask(t)).select(
         "contig", "start", "end", F.col("b_name").alias("mask_name"), "distance")
 
 
