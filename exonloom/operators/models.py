@@ -33,32 +33,35 @@ def gene_models(features: DataFrame, sequences: DataFrame | None = None) -> Data
     f = features.where(F.col("feature").isin(*MODEL_FEATURES))
     if sequences is not None:
         f = f.join(sequences.select(F.col("seq_id").alias("contig")).distinct(), "contig", "left_semi")
-    # three passes follow; parse once and read the columns back
-    f = materialize(f.select("contig", "source", "feature", "start", "end", "strand", "phase", "id", "parents", "name", "product", "notes", "dbxrefs", "go", "ec", "synonyms", "gbkey"), "features")
-    genes = (f.where(F.col("feature").isin("gene", "pseudogene")).groupBy(F.col("id").alias("gene_id"))
-             .agg(F.min("start").alias("g0"), F.max("end").alias("g1"), F.max("name").alias("name"), F.max(F.col("feature") == "pseudogene").alias("pseudo"),
-                  F.array_sort(F.array_distinct(F.flatten(F.collect_set("synonyms")))).alias("synonyms")))
-    tx = f.where(F.col("feature").isin(*RNA_KINDS)).select(
-        F.get("parents", F.lit(0)).alias("gene_id"), F.col("id").alias("tx_id"), "contig", "source", "strand",
-        F.when(F.col("gbkey") == "misc_RNA", "ncRNA").otherwise(F.col("feature")).alias("type"), "product", "notes", "dbxrefs", "go", "ec", F.col("start").alias("t0"), F.col("end").alias("t1"))
-    part = f.where(F.col("feature").isin("exon", "CDS") & F.col("parents").isNotNull()).select(F.explode_outer("parents").alias("tx_id"), "feature", "start", "end", "phase")
+    is_gene, is_tx = F.col("feature").isin("gene", "pseudogene"), F.col("feature").isin(*RNA_KINDS)
+    is_part = F.col("feature").isin("exon", "CDS") & F.col("parents").isNotNull()
+    # genes and transcripts stand under their id and parts under that of their transcript, so one grouping reads
+    # the features once; transcripts without an id are kept apart, as they have no parts
+    tx = F.struct(F.get("parents", F.lit(0)).alias("gene_id"), "contig", "source", "strand", F.when(F.col("gbkey") == "misc_RNA", "ncRNA").otherwise(F.col("feature")).alias("type"),
+                  "product", "notes", "dbxrefs", "go", "ec", F.col("start").alias("t0"), F.col("end").alias("t1"))
+    rows = f.where(is_gene | is_tx | is_part).select(
+        F.explode_outer(F.when(is_part, F.col("parents")).otherwise(F.array("id"))).alias("key"), F.when(is_tx & F.col("id").isNull(), F.xxhash64("contig", "start", "end", "parents")).alias("_apart"),
+        "feature", "start", "end", "phase", F.when(is_tx, tx).alias("_tx"), F.when(is_gene, F.col("name")).alias("name"), F.when(is_gene, F.col("synonyms")).alias("synonyms"))
     span = F.struct("start", "end")
-    parts = part.groupBy("tx_id").agg(
+    is_gene = F.col("feature").isin("gene", "pseudogene")
+    by_id = rows.where(F.col("key").isNotNull() | F.col("_tx").isNotNull()).groupBy("key", "_apart").agg(
         F.sort_array(F.collect_list(F.when(F.col("feature") == "exon", span))).alias("exons"),
         F.sort_array(F.collect_list(F.when(F.col("feature") == "CDS", span))).alias("cds"),
         F.min_by("phase", F.when(F.col("feature") == "CDS", F.col("start"))).alias("phase_left"),
         F.max_by("phase", F.when(F.col("feature") == "CDS", F.col("end"))).alias("phase_right"),
-        F.bool_or((F.col("feature") == "CDS") & F.col("phase").isNull()).alias("phase_unknown"))
-    m = tx.join(parts, "tx_id", "left").join(genes, "gene_id", "left")
-    empty = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    m = m.withColumn("exons", F.coalesce("exons", empty)).withColumn("cds", F.coalesce("cds", empty))
-    bad = m.where((F.col("type") == "mRNA") & (F.size("cds") == 0)).select("gene_id").distinct()
-    m = m.join(bad, "gene_id", "left_anti")
+        F.bool_or((F.col("feature") == "CDS") & F.col("phase").isNull()).alias("phase_unknown"),
+        F.collect_list("_tx").alias("tx"), F.bool_or(is_gene).alias("is_gene"), F.max("name").alias("name"), F.bool_or(F.col("feature") == "pseudogene").alias("pseudo"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("synonyms")))).alias("synonyms"))
+    by_id = materialize(by_id.drop("_apart"), "by_id")
+    genes = by_id.where("is_gene").select(F.col("key").alias("gene_id"), "name", "pseudo", "synonyms")
+    m = by_id.select(F.col("key").alias("tx_id"), "exons", "cds", "phase_left", "phase_right", "phase_unknown", F.explode("tx").alias("_t")).select("_t.*", "tx_id", "exons", "cds", "phase_left", "phase_right", "phase_unknown")
     lo = F.array_min(F.transform("exons", lambda e: e["start"]))
     hi = F.array_max(F.transform("exons", lambda e: e["end"]))
-    ends = m.groupBy("gene_id").agg(F.min(F.coalesce(lo, "t0")).alias("gene_start"), F.max(F.coalesce(hi, "t1")).alias("gene_end"))
+    bad = (F.col("type") == "mRNA") & (F.size("cds") == 0)
+    ends = m.groupBy("gene_id").agg(F.min(F.coalesce(lo, "t0")).alias("gene_start"), F.max(F.coalesce(hi, "t1")).alias("gene_end"), F.bool_or(bad).alias("_bad"))
+    m = m.join(ends.where("not _bad"), "gene_id").join(genes, "gene_id", "left")
     phase = F.when(F.col("strand") == "+", F.col("phase_left")).otherwise(F.col("phase_right"))
-    return m.join(ends, "gene_id").select(
+    return m.select(
         "gene_id", "tx_id", "contig", "source", "strand", "type", "name",
         F.coalesce("product", F.when(F.col("type").isin("mRNA", "transcript"), "hypothetical protein")).alias("product"), "gene_start", "gene_end", "exons", "cds",
         F.when(~F.coalesce("phase_unknown", F.lit(False)), phase + 1).alias("codon_start"), F.coalesce("pseudo", F.lit(False)).alias("pseudo"),
@@ -142,10 +145,10 @@ def order_transcripts(tx: DataFrame, by: str = "tpm") -> DataFrame:
 def cds_phase(cds: Column, strand: Column, codon_start: Column) -> Column:
     """CDS parts in reading order with their phase."""
     ordered = F.when(strand == "-", F.reverse(F.array_sort(cds))).otherwise(F.array_sort(cds))
-    def phase(c, i):
-        before = F.aggregate(F.slice(ordered, 1, i), F.lit(0).cast("bigint"), lambda a, x: a + x["end"] - x["start"] + 1)
-        return F.struct(c["start"].alias("start"), c["end"].alias("end"), F.pmod(codon_start - 1 - before, F.lit(3)).cast("int").alias("phase"))
-    return F.transform(ordered, phase)
+    # coding length before each part, and after the last
+    before = F.aggregate(ordered, F.array(F.lit(0).cast("bigint")), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x["end"] - x["start"] + 1)))
+    return F.zip_with(ordered, F.slice(before, 1, F.size(ordered)), lambda c, b: F.struct(
+        c["start"].alias("start"), c["end"].alias("end"), F.pmod(codon_start - 1 - b, F.lit(3)).cast("int").alias("phase")))
 
 
 def exon_hints(alignments: DataFrame, priority: int = 4, src: str = "E") -> DataFrame:

@@ -40,7 +40,8 @@ def _cells(df: DataFrame, cells: Column) -> DataFrame:
 
 def _col(parts: Column, i: int, kind: str | None = None) -> Column:
     c = F.get(parts, F.lit(i))
-    return c.try_cast(kind) if kind else c
+    # a failing cast costs an exception, and a dot stands for no value in most columns
+    return F.when(c != ".", c.try_cast(kind)) if kind else c
 
 
 def _unquote(c: Column) -> Column:
@@ -69,13 +70,16 @@ def parse_gff3(df: DataFrame) -> DataFrame:
     close = F.when(a.contains("; ") | a.contains(" ;"), F.regexp_replace(a, " *; *", ";")).otherwise(a)
     base = computed_once(base, "_info", F.concat(F.lit(";"), F.trim(close), F.lit(";")))
     info, c = F.col("_info"), F.col("p")
+    # most lines hold an id and a parent only (two equal signs): no other key is looked for in them
+    plain = info.contains(";ID=") & info.contains(";Parent=") & (F.substring_index(info, "=", 3) == info)
+    base = computed_once(base, "_rest", F.when(plain, ";").otherwise(info))
     rows = base.select(
         _col(c, 0).alias("contig"), _col(c, 1).alias("source"), _col(c, 2).alias("feature"), _col(c, 3, "long").alias("start"), _col(c, 4, "long").alias("end"),
-        _col(c, 5, "double").alias("score"), _col(c, 6).alias("strand"), _col(c, 7, "int").alias("phase"), info.alias("info"), _col(c, 8).alias("attributes"))
-    i = F.col("info")
-    parent = _attr(i, "Parent")
+        _col(c, 5, "double").alias("score"), _col(c, 6).alias("strand"), _col(c, 7, "int").alias("phase"), info.alias("info"), F.col("_rest").alias("rest"), _col(c, 8).alias("attributes"))
+    i = F.col("rest")
+    parent = _attr(F.col("info"), "Parent")
     return rows.select(
-        "contig", "source", "feature", "start", "end", "score", "strand", "phase", _attr(i, "ID").alias("id"),
+        "contig", "source", "feature", "start", "end", "score", "strand", "phase", _attr(F.col("info"), "ID").alias("id"),
         F.when(parent.isNotNull(), F.split(parent, ",")).alias("parents"), _attr(i, "Name").alias("name"),
         _unquote(_attr(i, "Product", "product", "description")).alias("product"), _list(_attr(i, "Note", "note")).alias("notes"),
         _list(_attr(i, "Dbxref")).alias("dbxrefs"), _list(_attr(i, "Ontology_term")).alias("go"), _list(_attr(i, "EC_number")).alias("ec"),
