@@ -18,7 +18,7 @@ from ..scale import Slabs, attach_row, computed_once, materialize, number_rows
 from ..sources.lines import MODEL_FEATURES
 from .intervals import covered_spans, flag_overlap, overlap_anti, overlap_fraction, overlap_semi
 from .schedule import schedule
-from .sequences import splice
+from .sequences import splice_lists
 
 RNA_KINDS = ["mRNA", "transcript", "tRNA", "ncRNA", "rRNA"]
 # Evidence weights when none are given.
@@ -78,9 +78,9 @@ def gtf_models(features: DataFrame) -> DataFrame:
 
 def add_sequences(models: DataFrame, sequences: DataFrame, transl_table: int = 1) -> DataFrame:
     """Transcript, coding sequence and protein; unknown phases take the frame with fewest stops."""
-    t = splice(models, sequences, exons="exons", out="transcript")
-    t = splice(t, sequences, exons="cds", out="_c")
-    frame = S.best_frame(F.col("_c"), F.col("strand"), transl_table)["frame"]
+    t = splice_lists(models, sequences, {"exons": "transcript", "cds": "_c"})
+    # only what has no phase is translated in three frames
+    frame = S.best_frame(F.when(F.col("codon_start").isNull(), F.col("_c")), F.col("strand"), transl_table)["frame"]
     t = t.withColumn("codon_start", F.coalesce("codon_start", frame))
     oriented = F.when(F.col("strand") == "-", S.revcomp(F.col("_c"))).otherwise(F.upper("_c"))
     t = t.withColumn("cds_seq", F.substring(oriented, F.col("codon_start"), F.length("_c"))).drop("_c")
